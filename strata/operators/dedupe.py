@@ -46,8 +46,9 @@ def first_flag(df: DataFrame, keys: Sequence[str], order: Sequence[str], row_id:
     The first row id per key comes from a combining aggregate; it is joined back
     on the unique row id, so no key group is gathered in one task.
     """
+    fields = list(order) + ([row_id] if row_id not in order else [])
     firsts = (df.groupBy(*keys)
-              .agg(F.min(F.struct(*[F.col(c) for c in order], F.col(row_id))).alias("_f"))
+              .agg(F.min(F.struct(*[F.col(c) for c in fields])).alias("_f"))
               .select(F.col(f"_f.{row_id}").alias(row_id), F.lit(1).alias(flag)))
     return (df.join(firsts, row_id, "left")
             .withColumn(flag, F.coalesce(F.col(flag), F.lit(0))))

@@ -77,3 +77,193 @@ SELECT strftime(time_bucket(INTERVAL '1 day', ts), '%Y-%m-%d %H:%M:%S') AS stt,
 FROM f LEFT JOIN nation n ON f.province_id = n.n_nationkey
 GROUP BY ALL
 """)(province_order_window)
+
+
+# ---- helpers shared by the event-log windows ---------------------------------------------
+
+from strata.operators.dedupe import first_flag, first_per_key  # noqa: E402
+from strata.sources.applog import APPLOG_SQL, app_log  # noqa: E402
+
+
+def _sql_window(size: str, ts: str = "ts") -> str:
+    b = f"time_bucket(INTERVAL '{size}', {ts})"
+    return (f"strftime({b}, '%Y-%m-%d %H:%M:%S') AS stt, "
+            f"strftime({b} + INTERVAL '{size}', '%Y-%m-%d %H:%M:%S') AS edt, "
+            f"strftime({b}, '%Y-%m-%d') AS cur_date")
+
+
+def logs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return app_log(t.events(spark, sf_dir))
+
+
+def traffic_dim_window(spark: SparkSession, sf_dir: str, size: str = "1 hour") -> DataFrame:
+    """Page views by (vc, ch, ar, is_new) per window.
+
+    uv: 1 on the first page row of a mid per calendar day (D3); sv: rows with an
+    empty last page (a new session); pv: rows; dur: sum of during_time (null as 0).
+    The first-of-day flag is a combining aggregate joined back on event_id.
+    """
+    pages = logs(spark, sf_dir).filter(F.col("event_type") == "view").withColumn("d", F.to_date("ts"))
+    flagged = first_flag(pages, ["mid", "d"], ["ts", "event_id"], "event_id", "uv")
+    return tumbling(flagged, "ts", size, ["vc", "ch", "ar", "is_new"], [
+        F.sum("uv").alias("uv_ct"),
+        F.sum(F.when(F.coalesce(F.col("last_page_id"), F.lit("")) == "", 1).otherwise(0)).alias("sv_ct"),
+        F.count("*").alias("pv_ct"),
+        F.sum(F.coalesce(F.col("during_time"), F.lit(0))).alias("dur_sum"),
+    ])
+
+
+query("traffic_dim_window", f"""
+WITH l AS (SELECT * FROM ({APPLOG_SQL}) WHERE event_type = 'view'),
+f AS (SELECT *, CASE WHEN row_number() OVER (PARTITION BY mid, CAST(ts AS DATE) ORDER BY ts, event_id) = 1
+                     THEN 1 ELSE 0 END AS uv FROM l)
+SELECT {_sql_window('1 hour')}, vc, ch, ar, is_new,
+  sum(uv) AS uv_ct, sum(CASE WHEN coalesce(last_page_id, '') = '' THEN 1 ELSE 0 END) AS sv_ct,
+  count(*) AS pv_ct, sum(coalesce(during_time, 0)) AS dur_sum
+FROM f GROUP BY ALL
+""")(traffic_dim_window)
+
+
+def home_detail_uv_window(spark: SparkSession, sf_dir: str, size: str = "1 hour") -> DataFrame:
+    """Daily unique home / detail visitors per window.
+
+    Each page type is de-duplicated on its own (mid, page, day); rows that are
+    neither first home nor first detail view of the day are dropped.
+    """
+    pages = (logs(spark, sf_dir).filter(F.col("page_id").isin("home", "good_detail"))
+             .withColumn("d", F.to_date("ts")))
+    firsts = first_per_key(pages.select("mid", "page_id", "d", "ts", "event_id"),
+                           ["mid", "page_id", "d"], ["ts", "event_id"])
+    return tumbling(firsts, "ts", size, [], [
+        F.sum(F.when(F.col("page_id") == "home", 1).otherwise(0)).alias("home_uv_ct"),
+        F.sum(F.when(F.col("page_id") == "good_detail", 1).otherwise(0)).alias("good_detail_uv_ct"),
+    ])
+
+
+query("home_detail_uv_window", f"""
+WITH l AS (SELECT * FROM ({APPLOG_SQL}) WHERE page_id IN ('home', 'good_detail')),
+f AS (SELECT * FROM l QUALIFY row_number() OVER (PARTITION BY mid, page_id, CAST(ts AS DATE) ORDER BY ts, event_id) = 1)
+SELECT {_sql_window('1 hour')},
+  sum(CASE WHEN page_id = 'home' THEN 1 ELSE 0 END) AS home_uv_ct,
+  sum(CASE WHEN page_id = 'good_detail' THEN 1 ELSE 0 END) AS good_detail_uv_ct
+FROM f GROUP BY ALL
+""")(home_detail_uv_window)
+
+
+def user_login_window(spark: SparkSession, sf_dir: str, size: str = "1 day", back_days: int = 8) -> DataFrame:
+    """Unique and returning users per window.
+
+    A login is a row with a non-empty uid whose last page is 'login' or empty
+    (here: start/signup rows).  Per user and day the first login counts once
+    (uu); it is a return (back) when the previous login day is ``back_days`` or
+    more days earlier.  The previous day comes from a window over the user's
+    distinct login days, a set bounded by the calendar, not by traffic.
+    """
+    from pyspark.sql import Window as W
+    lg = (logs(spark, sf_dir)
+          .filter((F.col("event_type") == "signup") & F.col("uid").isNotNull() & (F.col("uid") != ""))
+          .withColumn("d", F.to_date("ts")))
+    days = first_per_key(lg.select("uid", "d", "ts", "event_id"), ["uid", "d"], ["ts", "event_id"])
+    prev = F.lag("d").over(W.partitionBy("uid").orderBy("d"))
+    days = days.withColumn("back", F.when(F.datediff("d", prev) >= back_days, 1).otherwise(0))
+    return tumbling(days, "ts", size, [], [
+        F.sum("back").alias("back_ct"),
+        F.count("*").alias("uu_ct"),
+    ])
+
+
+query("user_login_window", f"""
+WITH l AS (SELECT *, CAST(ts AS DATE) AS d FROM ({APPLOG_SQL}) WHERE event_type = 'signup' AND uid IS NOT NULL AND uid <> ''),
+f AS (SELECT * FROM l QUALIFY row_number() OVER (PARTITION BY uid, d ORDER BY ts, event_id) = 1),
+b AS (SELECT *, CASE WHEN date_diff('day', lag(d) OVER (PARTITION BY uid ORDER BY d), d) >= 8 THEN 1 ELSE 0 END AS back FROM f)
+SELECT {_sql_window('1 day')}, sum(back) AS back_ct, count(*) AS uu_ct
+FROM b GROUP BY ALL
+""")(user_login_window)
+
+
+def cart_add_uu_window(spark: SparkSession, sf_dir: str, size: str = "1 hour") -> DataFrame:
+    """Users adding to cart for the first time that day, per window."""
+    carts = (logs(spark, sf_dir).filter(F.col("event_type") == "purchase")
+             .select("uid", F.to_date("ts").alias("d"), "ts", "event_id"))
+    firsts = first_per_key(carts, ["uid", "d"], ["ts", "event_id"])
+    return tumbling(firsts, "ts", size, [], [F.count("*").alias("cart_add_uu_ct")])
+
+
+query("cart_add_uu_window", f"""
+WITH l AS (SELECT * FROM ({APPLOG_SQL}) WHERE event_type = 'purchase'),
+f AS (SELECT * FROM l QUALIFY row_number() OVER (PARTITION BY uid, CAST(ts AS DATE) ORDER BY ts, event_id) = 1)
+SELECT {_sql_window('1 hour')}, count(*) AS cart_add_uu_ct FROM f GROUP BY ALL
+""")(cart_add_uu_window)
+
+
+def sku_order_window(spark: SparkSession, sf_dir: str, size: str = "1 day", burst: str = "1 day") -> DataFrame:
+    """Order amounts per sku per window with the sku snowflake names.
+
+    D7 batch form: of the versions of one detail inside one burst interval only
+    the latest is kept.  Amounts are summed per (window, sku) first; the part
+    dimension (sku name, brand as trademark, type as category) is joined after
+    the aggregate, so the join sees one row per sku and window.
+    """
+    det = t.order_detail(spark, sf_dir).select(
+        *t.DETAIL_KEY, *t.DETAIL_ORDER, "sku_id", "split_original_amount", "split_activity_amount",
+        "split_coupon_amount", "split_total_amount")
+    det = det.withColumn("burst", F.window("l_shipdate", burst).start)
+    latest = latest_per_key(det, [*t.DETAIL_KEY, "burst"], t.DETAIL_ORDER)
+    win = tumbling(latest, "l_shipdate", size, ["sku_id"], [
+        F.sum("split_original_amount").cast("decimal(38,4)").alias("original_amount"),
+        F.sum("split_activity_amount").cast("decimal(38,4)").alias("activity_reduce_amount"),
+        F.sum("split_coupon_amount").cast("decimal(38,4)").alias("coupon_reduce_amount"),
+        F.sum("split_total_amount").cast("decimal(38,4)").alias("order_amount"),
+    ])
+    part = t.read(spark, sf_dir, "part").select(
+        F.col("p_partkey").alias("sku_id"), F.col("p_name").alias("sku_name"),
+        F.col("p_brand").alias("trademark_name"), F.col("p_type").alias("category3_name"))
+    return win.join(part, "sku_id", "left")
+
+
+query("sku_order_window", f"""
+WITH d AS ({LATEST_DETAIL_SQL.replace('PARTITION BY l_orderkey, l_linenumber',
+                                      "PARTITION BY l_orderkey, l_linenumber, time_bucket(INTERVAL '1 day', l_shipdate)")}),
+w AS (
+  SELECT {_sql_window('1 day', 'l_shipdate')}, l_partkey AS sku_id,
+    CAST(sum(split_original_amount) AS DECIMAL(38,4)) AS original_amount,
+    CAST(sum(split_activity_amount) AS DECIMAL(38,4)) AS activity_reduce_amount,
+    CAST(sum(split_coupon_amount) AS DECIMAL(38,4)) AS coupon_reduce_amount,
+    CAST(sum(split_total_amount) AS DECIMAL(38,4)) AS order_amount
+  FROM d GROUP BY ALL)
+SELECT w.*, p.p_name AS sku_name, p.p_brand AS trademark_name, p.p_type AS category3_name
+FROM w LEFT JOIN part p ON w.sku_id = p.p_partkey
+""")(sku_order_window)
+
+
+# Conversation turns read as search-box entries: a turn's event time is
+# 2024-01-01 plus conv_id minutes plus turn seconds.
+CONV_EPOCH_S = 1704067200
+WORD_SPLIT = r"[^\p{L}]+"
+
+
+def search_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conv = t.read(spark, sf_dir, "conversations")
+    return (conv.filter((F.col("role") == "user") & F.col("text").isNotNull())
+            .select(F.timestamp_seconds(F.lit(CONV_EPOCH_S) + F.col("conv_id") * 60 + F.col("turn")).alias("ts"),
+                    F.col("text").alias("item")))
+
+
+def keyword_window(spark: SparkSession, sf_dir: str, size: str = "10 minutes") -> DataFrame:
+    """Search keywords per window.
+
+    U1 (lateral word split, inner: an entry without words yields no row) is the
+    built-in ``split`` on non-letters + ``explode`` over the whole text.
+    """
+    from strata.operators.keywords import keywords
+    words = keywords(search_entries(spark, sf_dir), "item", "keyword")
+    return tumbling(words, "ts", size, ["keyword"], [F.count("*").alias("keyword_count")])
+
+
+query("keyword_window", rf"""
+WITH s AS (SELECT make_timestamp(({CONV_EPOCH_S} + conv_id * 60 + turn) * 1000000) AS ts, text AS item
+           FROM conversations WHERE role = 'user' AND text IS NOT NULL),
+w AS (SELECT ts, unnest(regexp_split_to_array(lower(item), '{WORD_SPLIT}')) AS keyword FROM s)
+SELECT {_sql_window('10 minutes')}, keyword, count(*) AS keyword_count
+FROM w WHERE keyword <> '' GROUP BY ALL
+""")(keyword_window)
