@@ -84,6 +84,51 @@ SELECT event_id, event_type, ts, user_id, value, k,
   CASE WHEN k % 5 = 3 THEN {_sql_pick(SEARCH_WORDS, 'k % 6')} END AS item,
   CASE WHEN k % 5 = 3 THEN 'keyword' END AS item_type,
   CAST(round(value * 1000) AS BIGINT) AS during_time,
-  epoch_ms(ts) AS ts_ms
+  epoch_us(ts) // 1000 AS ts_ms
 FROM (SELECT *, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events)
 """
+
+
+def _elems(n: Column, make) -> Column:
+    """Array of ``n`` map elements (empty when n is 0), element i built by ``make(i)``."""
+    return F.when(n > 0, F.transform(F.sequence(F.lit(1), n), make)).otherwise(
+        F.array().cast("array<map<string,string>>"))
+
+
+def raw_log_lines(ev: DataFrame) -> DataFrame:
+    """The app-log topic as JSON text lines (one per event), the input of the log split.
+
+    view/click rows carry a page and displays (k % 4 of them), click rows actions
+    (k % 3), error rows an ``err`` object, signup rows are start records (no
+    page).  Rows with k = 0 stand for records mangled in transit: their line is
+    not JSON.
+    """
+    lg = app_log(ev)
+    k = F.col("k")
+    common = F.struct(*[F.col(c) for c in ("ar", "ba", "ch", "is_new", "md", "mid", "os", "uid", "vc")],
+                      F.concat(F.lit("s_"), F.col("event_id").cast("string")).alias("sid"))
+    page = F.struct("page_id", "last_page_id", "item", "item_type", "during_time")
+    is_start = F.col("event_type") == "signup"
+    has_disp = F.col("event_type").isin("view", "click")
+    displays = _elems(k % 4, lambda i: F.create_map(
+        F.lit("display_type"), F.lit("query"),
+        F.lit("item"), (F.col("user_id") * 100 + i).cast("string"),
+        F.lit("item_type"), F.lit("sku_id"),
+        F.lit("pos_id"), i.cast("string")))
+    actions = _elems(k % 3, lambda i: F.create_map(
+        F.lit("action_id"), F.when(i % 2 == 1, F.lit("favor_add")).otherwise(F.lit("cart_add")),
+        F.lit("item"), (k + i).cast("string"),
+        F.lit("item_type"), F.lit("sku_id"),
+        F.lit("ts"), (F.col("ts_ms") + i).cast("string")))
+    rec = F.struct(
+        common.alias("common"),
+        F.when(~is_start, page).alias("page"),
+        F.when(is_start, F.create_map(F.lit("entry"), F.lit("icon"),
+                                      F.lit("loading_time"), (k * 10).cast("string"))).alias("start"),
+        F.when(F.col("event_type") == "error", F.create_map(
+            F.lit("error_code"), k.cast("string"), F.lit("msg"), F.concat(F.lit("err_"), k.cast("string")))).alias("err"),
+        F.when(has_disp, displays).alias("displays"),
+        F.when(F.col("event_type") == "click", actions).alias("actions"),
+        F.col("ts_ms").alias("ts"))
+    line = F.when(k == 0, F.concat(F.col("ts_ms").cast("string"), F.lit(" "), F.col("event_type"))).otherwise(F.to_json(rec))
+    return lg.select(line.alias("value"))
