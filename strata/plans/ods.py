@@ -99,3 +99,217 @@ query("log_page", f"""
 SELECT mid, uid, ar, ch, vc, is_new, page_id, last_page_id, item, item_type, during_time, ts_ms AS ts
 FROM ({CLEAN_LOG_SQL}) WHERE event_type <> 'signup'
 """)(log_page)
+
+
+# ---- CDC -----------------------------------------------------------------------------------
+
+from pyspark.sql import types as T  # noqa: E402
+
+from strata.operators import cdc  # noqa: E402
+from strata.operators.merge import merge_dimension  # noqa: E402
+from strata.sources.cdc import DB, cdc_topic  # noqa: E402
+
+ORDER_OP_SQL = """CASE WHEN o_orderstatus = 'F' AND o_orderpriority = '5-LOW' THEN 'd'
+  WHEN o_orderstatus = 'F' THEN 'r' WHEN o_orderstatus = 'O' THEN 'c' ELSE 'u' END"""
+CUST_TYPE_SQL = """CASE WHEN c_acctbal < 0 THEN 'update' WHEN c_mktsegment = 'AUTOMOBILE' THEN 'bootstrap-insert'
+  ELSE 'insert' END"""
+
+
+def changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cdc.normalise(cdc.parse_envelopes(cdc_topic(spark, sf_dir)))
+
+
+def cdc_normalise(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both envelope forms parsed and normalised to one shape."""
+    c = changes(spark, sf_dir)
+    return c.select("db", "table_name", "op", "is_bootstrap", cdc.row_id().alias("id"), "ts_ms",
+                    F.col("before")["order_status"].alias("status_before"),
+                    F.col("after")["order_status"].alias("status_after"),
+                    F.col("before")["acctbal"].alias("acctbal_before"),
+                    F.col("after")["acctbal"].alias("acctbal_after"))
+
+
+NORMALISED_SQL = f"""
+SELECT 'gmall' AS db, 'order_info' AS table_name, {ORDER_OP_SQL} AS op, false AS is_bootstrap,
+  CAST(o_orderkey AS VARCHAR) AS id, epoch_ms(o_orderdate) AS ts_ms,
+  CASE WHEN o_orderstatus = 'P' THEN 'O' WHEN o_orderstatus = 'F' AND o_orderpriority = '5-LOW' THEN 'F' END AS status_before,
+  CASE WHEN NOT (o_orderstatus = 'F' AND o_orderpriority = '5-LOW') THEN o_orderstatus END AS status_after,
+  CAST(NULL AS VARCHAR) AS acctbal_before, CAST(NULL AS VARCHAR) AS acctbal_after
+FROM orders
+UNION ALL
+SELECT 'gmall', 'user_info',
+  CASE {CUST_TYPE_SQL} WHEN 'update' THEN 'u' WHEN 'insert' THEN 'c' ELSE 'r' END,
+  c_mktsegment = 'AUTOMOBILE' AND c_acctbal >= 0,
+  CAST(c_custkey AS VARCHAR), (1700000000 + c_custkey) * 1000, NULL, NULL,
+  CASE WHEN c_acctbal < 0 THEN '0.00' END, CAST(CAST(c_acctbal AS DECIMAL(16,2)) AS VARCHAR)
+FROM customer
+"""
+
+query("cdc_normalise", NORMALISED_SQL)(cdc_normalise)
+
+
+def cdc_valid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P4 + P5: valid changes of the warehouse database (intent: deletes kept), bootstrap dropped."""
+    v = cdc.valid_changes(changes(spark, sf_dir), DB, keep_deletes=True, drop_bootstrap=True)
+    return v.select("table_name", "op", cdc.row_id().alias("id"), "ts_ms")
+
+
+query("cdc_valid", f"""
+SELECT table_name, op, id, ts_ms FROM ({NORMALISED_SQL}) WHERE NOT is_bootstrap
+""")(cdc_valid)
+
+
+def _config_stream(spark: SparkSession, rows: list[tuple]) -> DataFrame:
+    schema = T.StructType([T.StructField("op", T.StringType()), T.StructField("before", T.MapType(T.StringType(), T.StringType())),
+                           T.StructField("after", T.MapType(T.StringType(), T.StringType())),
+                           T.StructField("ts_ms", T.LongType())])
+    return spark.createDataFrame(rows, schema)
+
+
+# The dimension routing config as a change stream (table_process_dim).
+# user_info is created, then its column list changes; order_info is created, then deleted.
+_DIM_USER_V1 = {"source_table": "user_info", "sink_table": "dim_user_info", "sink_columns": "id,name,nation_id",
+                "sink_family": "info", "sink_row_key": "id"}
+_DIM_USER_V2 = dict(_DIM_USER_V1, sink_columns="id,name,segment")
+_DIM_ORDER = {"source_table": "order_info", "sink_table": "dim_order_info", "sink_columns": "id,user_id",
+              "sink_family": "info", "sink_row_key": "id"}
+DIM_CONFIG_CHANGES = [("r", None, _DIM_USER_V1, 1), ("r", None, _DIM_ORDER, 1),
+                      ("u", _DIM_USER_V1, _DIM_USER_V2, 2), ("d", _DIM_ORDER, None, 3)]
+
+# The fact routing config (table_process_dwd), key = table + ':' + op.
+DWD_CONFIG = [
+    {"source_table": "order_info", "source_type": "c", "sink_table": "dwd_order_created", "sink_columns": "id,user_id,total_amount"},
+    {"source_table": "order_info", "source_type": "u", "sink_table": "dwd_order_status_change", "sink_columns": "id,order_status"},
+    {"source_table": "user_info", "source_type": "c", "sink_table": "dwd_user_register", "sink_columns": "id,name"},
+]
+
+
+def cdc_config_route_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """DIM build (P4, P9, J1, P11, S20): changes of tables named in the current dim config,
+    columns pruned to the config's list, keyed by the config's row-key column."""
+    cfg = cdc.latest_config(_config_stream(spark, DIM_CONFIG_CHANGES), ["source_table"])
+    v = cdc.valid_changes(changes(spark, sf_dir), DB, keep_deletes=True, drop_bootstrap=False)
+    r = cdc.route_by_config(v, cfg, [("table_name", "source_table")])
+    row = F.when(F.col("op") == "d", F.col("before")).otherwise(F.col("after"))
+    pruned = cdc.prune_columns(row, F.col("config")["sink_columns"])
+    return r.select(F.col("config")["sink_table"].alias("sink_table"), "op",
+                    row[F.col("config")["sink_row_key"]].alias("row_key"), cdc.map_text(pruned).alias("columns"))
+
+
+query("cdc_config_route_dim", """
+SELECT 'dim_user_info' AS sink_table,
+  CASE WHEN c_acctbal < 0 THEN 'u' WHEN c_mktsegment = 'AUTOMOBILE' THEN 'r' ELSE 'c' END AS op,
+  CAST(c_custkey AS VARCHAR) AS row_key,
+  'id=' || CAST(c_custkey AS VARCHAR) || ',name=' || c_name || ',segment=' || c_mktsegment AS columns
+FROM customer
+""")(cdc_config_route_dim)
+
+
+def cdc_config_route_dwd(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Config-driven facts (P2, P5, J2, P11, S6): key = (table, op); bootstrap rows dropped."""
+    cfg_rows = [("r", None, c, 1) for c in DWD_CONFIG]
+    cfg = cdc.latest_config(_config_stream(spark, cfg_rows), ["source_table", "source_type"])
+    v = cdc.valid_changes(changes(spark, sf_dir), DB, keep_deletes=True, drop_bootstrap=True)
+    r = cdc.route_by_config(v, cfg, [("table_name", "source_table"), ("op", "source_type")])
+    pruned = cdc.prune_columns(F.col("after"), F.col("config")["sink_columns"])
+    return r.select(F.col("config")["sink_table"].alias("sink_table"), cdc.row_id().alias("id"),
+                    cdc.map_text(pruned).alias("columns"), "ts_ms")
+
+
+query("cdc_config_route_dwd", """
+SELECT 'dwd_order_created' AS sink_table, CAST(o_orderkey AS VARCHAR) AS id,
+  'id=' || CAST(o_orderkey AS VARCHAR) || ',total_amount=' || CAST(CAST(o_totalprice AS DECIMAL(16,2)) AS VARCHAR)
+    || ',user_id=' || CAST(o_custkey AS VARCHAR) AS columns, epoch_ms(o_orderdate) AS ts_ms
+FROM orders WHERE o_orderstatus = 'O'
+UNION ALL
+SELECT 'dwd_order_status_change', CAST(o_orderkey AS VARCHAR),
+  'id=' || CAST(o_orderkey AS VARCHAR) || ',order_status=' || o_orderstatus, epoch_ms(o_orderdate)
+FROM orders WHERE o_orderstatus = 'P'
+UNION ALL
+SELECT 'dwd_user_register', CAST(c_custkey AS VARCHAR),
+  'id=' || CAST(c_custkey AS VARCHAR) || ',name=' || c_name, (1700000000 + c_custkey) * 1000
+FROM customer WHERE c_acctbal >= 0 AND c_mktsegment <> 'AUTOMOBILE'
+""")(cdc_config_route_dwd)
+
+
+# ---- dimension maintenance -------------------------------------------------------------------
+
+DIM_COLS = ["name", "nation_id", "segment", "acctbal"]
+
+
+def dim_user_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = t.read(spark, sf_dir, "customer")
+    return c.select(F.col("c_custkey").cast("string").alias("id"), F.col("c_name").alias("name"),
+                    F.col("c_nationkey").cast("string").alias("nation_id"), F.col("c_mktsegment").alias("segment"),
+                    F.col("c_acctbal").cast("decimal(16,2)").cast("string").alias("acctbal"))
+
+
+def dim_user_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Changes to apply: balances below -900 are deletes; HOUSEHOLD rows are updates with an
+    empty name (the old name must survive), a new segment and balance + 100; BUILDING rows
+    re-register under id + 10,000,000 (inserts)."""
+    c = t.read(spark, sf_dir, "customer")
+    bal = F.col("c_acctbal").cast("decimal(16,2)")
+    dels = c.filter(F.col("c_acctbal") < -900).select(
+        F.col("c_custkey").cast("string").alias("id"), F.lit("d").alias("op"), F.lit(2).cast("bigint").alias("ts_ms"),
+        *[F.lit(None).cast("string").alias(x) for x in DIM_COLS])
+    ups = c.filter(F.col("c_mktsegment") == "HOUSEHOLD").select(
+        F.col("c_custkey").cast("string").alias("id"), F.lit("u").alias("op"), F.lit(1).cast("bigint").alias("ts_ms"),
+        F.lit("").alias("name"), F.lit(None).cast("string").alias("nation_id"), F.lit("HOUSEHOLD_VIP").alias("segment"),
+        (bal + 100).cast("string").alias("acctbal"))
+    ins = c.filter(F.col("c_mktsegment") == "BUILDING").select(
+        (F.col("c_custkey") + 10_000_000).cast("string").alias("id"), F.lit("c").alias("op"), F.lit(1).cast("bigint").alias("ts_ms"),
+        F.concat(F.col("c_name"), F.lit("_2")).alias("name"), F.col("c_nationkey").cast("string").alias("nation_id"),
+        F.col("c_mktsegment").alias("segment"), bal.cast("string").alias("acctbal"))
+    return dels.unionByName(ups).unionByName(ins)
+
+
+def dim_upsert_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """put/delete by row key; empty values keep the old cell."""
+    return merge_dimension(dim_user_snapshot(spark, sf_dir), dim_user_changes(spark, sf_dir), "id", DIM_COLS)
+
+
+DIM_MERGE_SQL = """
+SELECT CAST(c_custkey AS VARCHAR) AS id, c_name AS name, CAST(c_nationkey AS VARCHAR) AS nation_id,
+  CASE WHEN c_mktsegment = 'HOUSEHOLD' THEN 'HOUSEHOLD_VIP' ELSE c_mktsegment END AS segment,
+  CAST(CAST(c_acctbal AS DECIMAL(16,2)) + CASE WHEN c_mktsegment = 'HOUSEHOLD' THEN 100 ELSE 0 END AS VARCHAR) AS acctbal
+FROM customer WHERE NOT c_acctbal < -900
+UNION ALL
+SELECT CAST(c_custkey + 10000000 AS VARCHAR), c_name || '_2', CAST(c_nationkey AS VARCHAR), c_mktsegment,
+  CAST(CAST(c_acctbal AS DECIMAL(16,2)) AS VARCHAR)
+FROM customer WHERE c_mktsegment = 'BUILDING'
+"""
+
+query("dim_upsert_merge", DIM_MERGE_SQL)(dim_upsert_merge)
+
+
+def dim_upsert_ignore_deletes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S10 with F16: deletes ignored, nulls written as 'null', row key = md5 of the id."""
+    m = merge_dimension(dim_user_snapshot(spark, sf_dir), dim_user_changes(spark, sf_dir), "id", DIM_COLS,
+                        ignore_deletes=True, null_text=True)
+    return m.select(F.md5("id").alias("row_key"), "id", *DIM_COLS)
+
+
+query("dim_upsert_ignore_deletes", """
+SELECT md5(CAST(c_custkey AS VARCHAR)) AS row_key, CAST(c_custkey AS VARCHAR) AS id,
+  CASE WHEN c_mktsegment = 'HOUSEHOLD' THEN '' ELSE c_name END AS name,
+  CASE WHEN c_mktsegment = 'HOUSEHOLD' THEN 'null' ELSE CAST(c_nationkey AS VARCHAR) END AS nation_id,
+  CASE WHEN c_mktsegment = 'HOUSEHOLD' THEN 'HOUSEHOLD_VIP' ELSE c_mktsegment END AS segment,
+  CAST(CAST(c_acctbal AS DECIMAL(16,2)) + CASE WHEN c_mktsegment = 'HOUSEHOLD' THEN 100 ELSE 0 END AS VARCHAR) AS acctbal
+FROM customer
+UNION ALL
+SELECT md5(CAST(c_custkey + 10000000 AS VARCHAR)), CAST(c_custkey + 10000000 AS VARCHAR), c_name || '_2',
+  CAST(c_nationkey AS VARCHAR), c_mktsegment, CAST(CAST(c_acctbal AS DECIMAL(16,2)) AS VARCHAR)
+FROM customer WHERE c_mktsegment = 'BUILDING'
+""")(dim_upsert_ignore_deletes)
+
+
+def dim_scan_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S12 row count of the merged dimension, per segment."""
+    m = dim_upsert_merge(spark, sf_dir)
+    return m.groupBy("segment").agg(F.count("*").alias("row_count"))
+
+
+query("dim_scan_count", f"""
+SELECT segment, count(*) AS row_count FROM ({DIM_MERGE_SQL}) GROUP BY segment
+""")(dim_scan_count)
