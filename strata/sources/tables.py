@@ -77,3 +77,12 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """App events with the numeric key of ``props`` extracted (``k``)."""
     ev = read(spark, sf_dir, "events")
     return ev.withColumn("k", F.get_json_object("props", "$.k").cast("int"))
+
+
+def stage_topic(df: DataFrame) -> DataFrame:
+    """Materialise a derived topic (JSON lines built from the tables) in the shared checkpoint
+    folder and cut its lineage: the consumer's plan then starts at the topic, as it does
+    when the lines arrive from a message queue, instead of re-deriving every field."""
+    from strata.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
