@@ -57,3 +57,20 @@ def first_flag(df: DataFrame, keys: Sequence[str], order: Sequence[str], row_id:
 def exact_dedupe(df: DataFrame) -> DataFrame:
     """Drop rows that repeat a previous row exactly (all columns)."""
     return df.dropDuplicates()
+
+
+def latest_per_entity(df: DataFrame, keys: Sequence[str], order: Sequence[str],
+                      cluster_by: Sequence[str] | None = None) -> DataFrame:
+    """Last row per key for keys that name one business entity (an order line, a cart row),
+    whose version count is bounded by the entity's own life.
+
+    Rows are hash-partitioned on ``cluster_by`` (a prefix of the key, e.g. the order id)
+    and ranked inside the partition; Spark's window group limit drops all but the top
+    row per key before the full sort.  Partitioning on the prefix lets later joins and
+    aggregates on that prefix reuse it without another shuffle.  For keys that can be
+    hot (users, devices) use ``latest_per_key``.
+    """
+    from pyspark.sql import Window as W
+    d = df.repartition(*cluster_by) if cluster_by else df
+    w = W.partitionBy(*keys).orderBy(*[F.col(c).desc() for c in order])
+    return d.withColumn("__rn", F.row_number().over(w)).filter(F.col("__rn") == 1).drop("__rn")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.operators.dedupe import latest_per_key
+from strata.operators.dedupe import latest_per_entity, latest_per_key
 from strata.operators.joins import bounded_broadcast
 from strata.operators.windows import tumbling
 from strata.plans.registry import query
@@ -28,10 +28,11 @@ QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber
 
 
 def latest_details(spark: SparkSession, sf_dir: str, columns: list[str]) -> DataFrame:
-    """Net state of the order-detail changelog: the last version of each detail."""
+    """Net state of the order-detail changelog: the last version of each detail,
+    clustered by order id (the key of every later join and aggregate)."""
     d = t.order_detail(spark, sf_dir).select(*t.DETAIL_KEY, *t.DETAIL_ORDER,
                                              *[c for c in columns if c not in t.DETAIL_KEY + t.DETAIL_ORDER])
-    return latest_per_key(d, t.DETAIL_KEY, t.DETAIL_ORDER)
+    return latest_per_entity(d, t.DETAIL_KEY, t.DETAIL_ORDER, cluster_by=["l_orderkey"])
 
 
 def province_order_window(spark: SparkSession, sf_dir: str, size: str = "1 day") -> DataFrame:

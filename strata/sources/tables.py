@@ -50,17 +50,21 @@ DETAIL_ORDER = ("l_shipdate", "l_partkey", "l_suppkey", "l_quantity", "l_extende
                 "l_discount", "l_tax", "l_returnflag", "l_linestatus")
 
 
-def money(c) -> F.Column:
-    """Money as DECIMAL(16,2) (the reference's SQL type); exact from 2-decimal doubles."""
-    return F.col(c).cast("decimal(16,2)") if isinstance(c, str) else c.cast("decimal(16,2)")
+def money(c, precision: int = 16) -> F.Column:
+    """Money as DECIMAL(16,2) (the reference's SQL type); exact from 2-decimal doubles.
+
+    Line amounts use DECIMAL(12,2) so products with rates stay within 18 digits,
+    where Spark keeps decimals in a long (the fast path); values are unchanged."""
+    t = f"decimal({precision},2)"
+    return F.col(c).cast(t) if isinstance(c, str) else c.cast(t)
 
 
 def order_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
     """lineitem as the order_detail table, all versions, with money columns as decimals."""
     li = read(spark, sf_dir, "lineitem")
-    price = money("l_extendedprice")
-    disc = F.col("l_discount").cast("decimal(4,2)")
-    tax = F.col("l_tax").cast("decimal(4,2)")
+    price = money("l_extendedprice", 12)
+    disc = F.col("l_discount").cast("decimal(3,2)")
+    tax = F.col("l_tax").cast("decimal(3,2)")
     return li.select(
         *[F.col(c) for c in li.columns],
         F.col("l_orderkey").alias("order_id"),
