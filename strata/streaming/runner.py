@@ -50,15 +50,16 @@ def write_kafka(df: DataFrame, servers: str, topic: str | None, checkpoint: str)
 
 def run_stream(df: DataFrame, sink: str | Callable, name: str, output_mode: str = "append",
                trigger: dict | None = None, fmt: str = "parquet", partition_by: list[str] | None = None,
-               options: dict | None = None) -> StreamingQuery:
+               options: dict | None = None, checkpoint: str | None = None) -> StreamingQuery:
     """U4: start ``df`` into ``sink`` (a path, or a ``foreachBatch`` function).
 
     Default trigger ``availableNow``: process what is there, then stop (the file
     stand-in's equivalent of a bounded catch-up); pass ``{"processingTime": "5 seconds"}``
-    for a long-running job."""
+    for a long-running job.  The checkpoint defaults to ``<spark.checkpoint.dir>/streams/<name>``,
+    so a restarted job resumes where it stopped."""
     spark = df.sparkSession
     w = (df.writeStream.queryName(name).outputMode(output_mode)
-         .option("checkpointLocation", checkpoint_location(spark, name)))
+         .option("checkpointLocation", checkpoint or checkpoint_location(spark, name)))
     for k, v in (options or {}).items():
         w = w.option(k, v)
     w = w.trigger(**(trigger or {"availableNow": True}))

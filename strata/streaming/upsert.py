@@ -29,6 +29,11 @@ def _table_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(jpath)
 
 
+def read_table(spark: SparkSession, path: str, schema) -> DataFrame:
+    """Read a sink table with its declared schema (partition values keep their text type)."""
+    return spark.read.schema(schema).parquet(path)
+
+
 def _overwrite_partitions(df: DataFrame, path: str, part_col: str) -> None:
     (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(part_col).parquet(path))
@@ -41,10 +46,11 @@ def merge_batch(batch: DataFrame, path: str, key: str, columns: Sequence[str], b
     ensure_checkpoint_dir(spark)
     changes = batch.withColumn(BUCKET, hash_bucket(key, buckets))
     touched = changes.select(BUCKET).distinct()
+    schema = ", ".join([f"{key} string"] + [f"{c} string" for c in columns])
     if _table_exists(spark, path):
-        current = spark.read.parquet(path).join(F.broadcast(touched), BUCKET, "left_semi").drop(BUCKET)
+        current = (read_table(spark, path, f"{schema}, {BUCKET} string")
+                   .join(F.broadcast(touched), BUCKET, "left_semi").drop(BUCKET))
     else:
-        schema = ", ".join([f"{key} string"] + [f"{c} string" for c in columns])
         current = spark.createDataFrame([], schema)
     merged = merge_dimension(current, changes.drop(BUCKET), key, columns, ignore_deletes, null_text)
     merged = merged.withColumn(BUCKET, hash_bucket(key, buckets)).checkpoint(eager=True)
@@ -75,7 +81,8 @@ def upsert_sink(path: str, keys: Sequence[str], order: Sequence[str], part_col:
         new = latest_per_key(batch, keys, order)
         touched = new.select(part_col).distinct()
         if _table_exists(spark, path):
-            cur = spark.read.parquet(path).join(F.broadcast(touched), part_col, "left_semi").select(*new.columns)
+            cur = (read_table(spark, path, new.schema).join(F.broadcast(touched), part_col, "left_semi")
+                   .select(*new.columns))
             merged = latest_per_key(cur.unionByName(new), keys, order)
         else:
             merged = new
