@@ -43,3 +43,28 @@ def upsert_latest(df: DataFrame, key: Sequence[str], order: Sequence[str]) -> Da
     """S7 batch form: last row per primary key wins."""
     from strata.operators.dedupe import latest_per_key
     return latest_per_key(df, key, order)
+
+
+def partial_update(df: DataFrame, key: Sequence[str], order: str, columns: Sequence[str],
+                   extra: Sequence[F.Column] = ()) -> DataFrame:
+    """Per key, each column's latest non-null value by ``order`` (deletes are not applied).
+
+    ``max_by`` ignores rows whose ordering value is null, so the ordering is nulled
+    where the column is null."""
+    aggs = [F.max_by(c, F.when(F.col(c).isNotNull(), F.col(order))).alias(c) for c in columns]
+    return df.groupBy(*key).agg(*aggs, *extra)
+
+
+def point_read(table: DataFrame, key: str, value) -> DataFrame:
+    """S12 ``getRow``: the row with the given key (a pushed-down equality filter)."""
+    return table.filter(F.col(key) == F.lit(value))
+
+
+def bounded_scan(table: DataFrame, key: str, n: int) -> DataFrame:
+    """S12 ``getAll(limit)``: the first ``n`` rows by key (the limit is the feature)."""
+    return table.orderBy(key).limit(n)
+
+
+def delete_keys(table: DataFrame, keys: DataFrame, key: str) -> DataFrame:
+    """S12 ``deleteByRowkeys``: the table without the given keys."""
+    return table.join(keys.select(key).distinct(), key, "left_anti")

@@ -180,10 +180,10 @@ def partial_update_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per (id, ds) the latest non-null value of every column by change time
     (deletes ignored).  ``max_by`` over a version that is null where the value is
     null skips those rows, so each column takes its own latest non-null value."""
+    from strata.operators.merge import partial_update
     rows = cart_lake_rows(spark, sf_dir)
-    cols = ["sku_num", "cart_price", "sku_id"]
-    aggs = [F.max_by(c, F.when(F.col(c).isNotNull(), F.col("version"))).alias(c) for c in cols]
-    return rows.groupBy("id", "ds").agg(*aggs, F.max("ts_ms").alias("ts_ms"))
+    return partial_update(rows, ["id", "ds"], "version", ["sku_num", "cart_price", "sku_id"],
+                          [F.max("ts_ms").alias("ts_ms")])
 
 
 query("partial_update_merge", f"""

@@ -69,21 +69,33 @@ def dimension_sink(path: str, key: str, columns: Sequence[str], **kw) -> Callabl
     return write
 
 
-def upsert_sink(path: str, keys: Sequence[str], order: Sequence[str], part_col: str) -> Callable[[DataFrame, int], None]:
+def upsert_sink(path: str, keys: Sequence[str], order: Sequence[str], part_col: str,
+                partial_columns: Sequence[str] | None = None) -> Callable[[DataFrame, int], None]:
     """S7/S14 ``foreachBatch`` function: last row per primary key wins, by ``order``.
 
-    ``part_col`` (e.g. ``ds``) must be part of the key so a key lives in one partition."""
+    With ``partial_columns`` (S14 partial update, A9) each listed column keeps its
+    latest non-null value instead.  ``part_col`` (e.g. ``ds``) must be part of the
+    key so a key lives in one partition."""
     from strata.operators.dedupe import latest_per_key
+    from strata.operators.merge import partial_update
+
+    def merge_rows(df: DataFrame) -> DataFrame:
+        last = latest_per_key(df, keys, order)
+        if not partial_columns:
+            return last
+        part = partial_update(df, keys, order[0], partial_columns)
+        rest = [c for c in df.columns if c not in partial_columns]
+        return last.select(*rest).join(part, list(keys)).select(*df.columns)
 
     def write(batch: DataFrame, epoch_id: int) -> None:
         spark = batch.sparkSession
         ensure_checkpoint_dir(spark)
-        new = latest_per_key(batch, keys, order)
+        new = merge_rows(batch)
         touched = new.select(part_col).distinct()
         if _table_exists(spark, path):
             cur = (read_table(spark, path, new.schema).join(F.broadcast(touched), part_col, "left_semi")
                    .select(*new.columns))
-            merged = latest_per_key(cur.unionByName(new), keys, order)
+            merged = merge_rows(cur.unionByName(new))
         else:
             merged = new
         _overwrite_partitions(merged.checkpoint(eager=True), path, part_col)

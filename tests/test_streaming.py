@@ -184,3 +184,18 @@ def test_day_bucket_file_sink(spark, sf_small, tmp_path):
     got = {r.day: r.n for r in spark.read.text(path).groupBy("day").agg(F.count("*").alias("n")).collect()}
     want = {r.bucket.replace("day=", ""): r.n for r in entry.queries()["file_buckets"](spark, sf_small).collect()}
     assert got == want
+
+
+def test_partial_update_sink_equals_batch(spark, sf_small, tmp_path):
+    from strata.plans.state import cart_lake_rows
+    from strata.streaming.upsert import read_table
+    path = str(tmp_path / "lake")
+    rows_ = cart_lake_rows(spark, sf_small).select("id", "ds", "sku_num", "cart_price", "sku_id", "ts_ms", "version")
+    sink = upsert_sink(path, ["id", "ds"], ["version"], "ds", partial_columns=["sku_num", "cart_price", "sku_id"])
+    cut = F.lit("1998-01-01").cast("timestamp")
+    sink(rows_.filter(F.col("version.l_shipdate") < cut), 0)
+    sink(rows_.filter(F.col("version.l_shipdate") >= cut), 1)
+    got = read_table(spark, path, rows_.schema)
+    want = entry.queries()["partial_update_merge"](spark, sf_small)
+    cols = ["id", "ds", "sku_num", "cart_price", "sku_id"]
+    assert rows(got, cols) == rows(want, cols)
