@@ -184,3 +184,59 @@ def interval_join_stream(left: DataFrame, right: DataFrame, key: str, left_ts: s
         (F.col(f"r.{right_ts}") >= F.col(f"l.{left_ts}") + F.expr(f"INTERVAL {lower_s} SECONDS")) & \
         (F.col(f"r.{right_ts}") <= F.col(f"l.{left_ts}") + F.expr(f"INTERVAL {upper_s} SECONDS"))
     return lw.join(rw, cond, "inner").drop(F.col(f"r.{key}"))
+
+
+# ---- D7: latest within a burst (event-time timer) -------------------------------------------------
+
+def latest_in_burst_stream(df: DataFrame, key: str, ts: str, order: Sequence[str], burst_s: int,
+                           delay: str = "0 seconds") -> DataFrame:
+    """The first row of a key opens a burst of ``burst_s`` seconds; newer rows inside it
+    replace the kept row; when the burst ends (event-time timer, watermark driven) the
+    kept row is emitted and the state cleared.  Output: the input columns."""
+    from pyspark.sql import types as T
+    cols = df.columns
+    schema = df.schema
+    ts_cols = [f.name for f in schema.fields if isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType))]
+    burst = _dt.timedelta(seconds=burst_s)
+
+    def frame(out):
+        f = pd.DataFrame(out, columns=cols)
+        for c in ts_cols:
+            f[c] = pd.to_datetime(f[c])
+        return f
+
+    def fn(k, pdfs, state: GroupState):
+        out = []
+        if state.hasTimedOut:
+            out.append(json.loads(state.get[0]))
+            state.remove()
+            yield frame(out)
+            return
+        kept = json.loads(state.get[0]) if state.exists else None
+        end = pd.Timestamp(state.get[1]) if state.exists else None
+        for r in _rows(pdfs, order).to_dict("records"):
+            if end is not None and r[ts] > end:
+                out.append(kept)
+                kept, end = None, None
+            if kept is None:
+                end = r[ts] + burst
+            kept = {c: (v.isoformat() if isinstance(v, pd.Timestamp) else v) for c, v in r.items()}
+        if kept is not None:
+            state.update((json.dumps(kept, default=str), end.to_pydatetime()))
+            state.setTimeoutTimestamp(int(end.timestamp() * 1000) + 1)
+        yield frame(out)
+
+    return df.withWatermark(ts, delay).groupBy(key).applyInPandasWithState(
+        fn, schema, "row string, burst_end timestamp", "append", GroupStateTimeout.EventTimeTimeout)
+
+
+# ---- W3: processing-time windows ------------------------------------------------------------------
+
+def per_trigger_window(aggregate, sink):
+    """W3 stream form: with a processing-time trigger equal to the window size, each
+    micro-batch is one processing-time window; ``aggregate(batch)`` summarises it and the
+    result is stamped with the batch's processing time before ``sink(result, epoch)``."""
+    def run(batch: DataFrame, epoch_id: int) -> None:
+        res = aggregate(batch).withColumn("proc_time", F.current_timestamp())
+        sink(res, epoch_id)
+    return run
