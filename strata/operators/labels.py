@@ -92,8 +92,9 @@ def score_rows(family: str) -> list[tuple]:
 
 
 def score_table(spark: SparkSession, family: str) -> DataFrame:
+    from strata.sources.tables import literal_table
     cols = ", ".join(f"{family}_{b} {SCORE_TYPE}" for b in BANDS)
-    return spark.createDataFrame(score_rows(family), f"__key string, {cols}")
+    return literal_table(spark, score_rows(family), f"__key string, {cols}")
 
 
 def score_columns(family: str) -> list[str]:

@@ -69,7 +69,8 @@ def moderate(comments: DataFrame, text_col: str, words: Sequence[str], blacklist
     the words joined by ', '.  ``blacklist`` (column ``word``) defaults to ``words``.
     """
     spark = comments.sparkSession
-    bl = blacklist if blacklist is not None else spark.createDataFrame([(w,) for w in words], "word string")
+    from strata.sources.tables import literal_table
+    bl = blacklist if blacklist is not None else literal_table(spark, [(w,) for w in words], "word string")
     bl = F.broadcast(bl.select(F.col("word").alias("__w")).distinct())
     c = comments.withColumn("__last", last_token(text_col))
     c = c.join(bl, c["__last"] == bl["__w"], "left")

@@ -264,7 +264,7 @@ DIC_SQL = "(VALUES " + ", ".join(f"('{c}', '{n}')" for c, n in APPRAISE_DIC) + "
 
 
 def dictionary(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(APPRAISE_DIC, "dic_code string, dic_name string")
+    return t.literal_table(spark, APPRAISE_DIC, "dic_code string, dic_name string")
 
 
 def comments(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -160,10 +160,7 @@ SELECT table_name, op, id, ts_ms FROM ({NORMALISED_SQL}) WHERE NOT is_bootstrap
 
 
 def _config_stream(spark: SparkSession, rows: list[tuple]) -> DataFrame:
-    schema = T.StructType([T.StructField("op", T.StringType()), T.StructField("before", T.MapType(T.StringType(), T.StringType())),
-                           T.StructField("after", T.MapType(T.StringType(), T.StringType())),
-                           T.StructField("ts_ms", T.LongType())])
-    return spark.createDataFrame(rows, schema)
+    return t.literal_table(spark, rows, "op string, before map<string,string>, after map<string,string>, ts_ms bigint")
 
 
 # The dimension routing config as a change stream (table_process_dim).

@@ -106,7 +106,7 @@ def page_label(spark: SparkSession, sf_dir: str) -> DataFrame:
     agg = agg.select("uid", "pv", F.array_join(F.array_sort("os_arr"), ",").alias("os"), "ch", "md", "ba",
                      F.array_join(F.array_sort("s_arr"), ",").alias("search_item"), judge.alias("judge_os"),
                      F.when(F.size("s_arr") == 1, F.element_at("s_arr", 1)).alias("single_word"))
-    themes = spark.createDataFrame(SEARCH_THEMES, "word string, theme string")
+    themes = t.literal_table(spark, SEARCH_THEMES, "word string, theme string")
     agg = enrich(agg, themes, "single_word", "word", {"theme": "search_theme"}, max_broadcast_rows=10_000)
     agg = lb.apply_scores(agg, "device", "judge_os")
     agg = lb.apply_scores(agg, "search", F.coalesce(F.col("search_theme"), F.lit(lb.OTHER)))

@@ -20,7 +20,7 @@ HOT_KEYS = [("customer#000000000", "9001"), ("customer#000000001", "9002"), ("cu
 def hash_bucket(spark: SparkSession, sf_dir: str) -> DataFrame:
     """md5-suffix bucket (mod 128) per customer name, hot names in their own buckets."""
     c = t.read(spark, sf_dir, "customer").select("c_custkey", "c_name")
-    hot = F.broadcast(spark.createDataFrame(HOT_KEYS, "hot_key string, hot_bucket string"))
+    hot = F.broadcast(t.literal_table(spark, HOT_KEYS, "hot_key string, hot_bucket string"))
     j = c.join(hot, F.lower(c.c_name) == hot.hot_key, "left")
     return j.select("c_custkey", kf.hash_bucket("c_name").alias("bucket"),
                     kf.hash_bucket_with_hot_keys("c_name", F.col("hot_bucket")).alias("routed_bucket"))

@@ -90,3 +90,26 @@ def stage_topic(df: DataFrame) -> DataFrame:
     from strata.session import ensure_checkpoint_dir
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def literal_table(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """A small table written in code (config, dictionaries, score tables) as a JVM-side
+    local relation: ``inline`` over an array of literal structs, no Python worker.
+
+    ``schema`` is a DDL string ``"name type, ..."``; dict values become maps."""
+    from pyspark.sql.types import _parse_datatype_string
+    st = _parse_datatype_string(schema)
+    fields = st.fields
+
+    def lit(v, dt):
+        if v is None:
+            return F.lit(None).cast(dt)
+        if isinstance(v, dict):
+            kv = [x for k, val in v.items() for x in (F.lit(k), F.lit(val))]
+            return F.create_map(*kv).cast(dt)
+        return F.lit(v).cast(dt)
+
+    structs = [F.struct(*[lit(v, f.dataType).alias(f.name) for v, f in zip(r, fields)]) for r in rows]
+    if not structs:
+        return spark.createDataFrame([], st)
+    return spark.range(1).select(F.inline(F.array(*structs)))
