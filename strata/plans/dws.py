@@ -209,7 +209,7 @@ def sku_order_window(spark: SparkSession, sf_dir: str, size: str = "1 day", burs
         *t.DETAIL_KEY, *t.DETAIL_ORDER, "sku_id", "split_original_amount", "split_activity_amount",
         "split_coupon_amount", "split_total_amount")
     det = det.withColumn("burst", F.window("l_shipdate", burst).start)
-    latest = latest_per_key(det, [*t.DETAIL_KEY, "burst"], t.DETAIL_ORDER)
+    latest = latest_per_entity(det, [*t.DETAIL_KEY, "burst"], t.DETAIL_ORDER, cluster_by=["l_orderkey"])
     win = tumbling(latest, "l_shipdate", size, ["sku_id"], [
         F.sum("split_original_amount").cast("decimal(38,4)").alias("original_amount"),
         F.sum("split_activity_amount").cast("decimal(38,4)").alias("activity_reduce_amount"),

@@ -41,6 +41,25 @@ def local_session(app: str = "strata", cpus: int | str = "*", shuffle_partitions
     return spark
 
 
+def scale_conf(input_bytes: float, total_cores: int, target_partition_bytes: int = 256 << 20) -> dict:
+    """Partition sizing for a cluster run, from the bytes scanned and the cores available.
+
+    Scan splits of ``target_partition_bytes`` keep a task's input well inside an
+    executor's memory share; the initial shuffle partition count is the larger of
+    3 waves of cores and input / target, and AQE coalesces small ones at runtime
+    toward the advisory size.  At 100 TB and 8,000 cores: 409,600 shuffle partitions.
+    """
+    shuffle = max(3 * total_cores, int(input_bytes // target_partition_bytes) + 1)
+    return {
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.shuffle.partitions": str(shuffle),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes // 2),
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": str(16 << 20),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(target_partition_bytes),
+    }
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names in ``spark.checkpoint.dir``.
 
