@@ -83,13 +83,18 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ev.withColumn("k", F.get_json_object("props", "$.k").cast("int"))
 
 
-def stage_topic(df: DataFrame) -> DataFrame:
+def stage_topic(df: DataFrame, partitions: int | None = None) -> DataFrame:
     """Materialise a derived topic (JSON lines built from the tables) in the shared checkpoint
     folder and cut its lineage: the consumer's plan then starts at the topic, as it does
-    when the lines arrive from a message queue, instead of re-deriving every field."""
+    when the lines arrive from a message queue, instead of re-deriving every field.
+
+    Like a topic, the staged lines are spread over ``partitions`` (default: the shuffle
+    partition count) so the consumers' parse runs in parallel."""
     from strata.session import ensure_checkpoint_dir
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(n).checkpoint(eager=True)
 
 
 def literal_table(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
