@@ -219,3 +219,22 @@ def test_latest_in_burst_stream(spark, event_dir, sf_small):
         cur[uid] = (ts + dt.timedelta(seconds=3600), eid) if c is None else (c[0], eid)
     want += [eid for end, eid in cur.values() if end < wm]
     assert got_ids == sorted(want)
+
+
+def test_retraction_stream_equals_batch(spark, sf_small, tmp_path):
+    from strata.operators.facts import detail_id
+    src = tmp_path / "details"
+    d = t.order_detail(spark, sf_small).select(detail_id().alias("id"), F.col("split_total_amount").cast("double").alias("amount"),
+                                               *t.DETAIL_ORDER)
+    d.write.parquet(str(src))
+    s = spark.readStream.schema(spark.read.parquet(str(src)).schema).parquet(str(src))
+    got = run_to_memory(st.retraction_stream(s, "id", "amount", list(t.DETAIL_ORDER)), "retract")
+    want = entry.queries()["retraction_stream"](spark, sf_small).withColumn("amount", F.col("amount").cast("double"))
+    assert rows(got, ["id", "seq", "is_retraction", "amount"]) == rows(want, ["id", "seq", "is_retraction", "amount"])
+
+
+def test_key_ts_dedupe_stream(spark, event_dir):
+    ev = stream_events(spark, event_dir).select("uid", "ts", "event_id")
+    dup = ev.unionByName(ev)                       # every record arrives twice
+    got = run_to_memory(st.key_ts_dedupe_stream(dup, ["uid"], "ts", "1 hour"), "ktd")
+    assert got.count() == spark.read.parquet(event_dir).count()
