@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.operators.dedupe import latest_per_entity, latest_per_key
+from strata.operators.dedupe import first_flag, first_per_key, latest_per_entity
 from strata.operators.joins import bounded_broadcast
 from strata.operators.windows import tumbling
 from strata.plans.registry import query
 from strata.sources import tables as t
+from strata.sources.applog import APPLOG_SQL, app_log
 
 # Latest version of each order detail, as DuckDB sees it (shared by several oracles).
 LATEST_DETAIL_SQL = """
@@ -82,9 +83,6 @@ GROUP BY ALL
 
 # ---- helpers shared by the event-log windows ---------------------------------------------
 
-from strata.operators.dedupe import first_flag, first_per_key  # noqa: E402
-from strata.sources.applog import APPLOG_SQL, app_log  # noqa: E402
-
 
 def _sql_window(size: str, ts: str = "ts") -> str:
     b = f"time_bucket(INTERVAL '{size}', {ts})"

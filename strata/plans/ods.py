@@ -5,10 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strata.operators import cdc
 from strata.operators import logs as lg
+from strata.operators.merge import merge_dimension
 from strata.plans.registry import query
 from strata.sources import tables as t
 from strata.sources.applog import APPLOG_SQL, raw_log_lines
+from strata.sources.cdc import DB, cdc_topic
 
 CLEAN_LOG_SQL = f"SELECT * FROM ({APPLOG_SQL}) WHERE k <> 0"
 
@@ -103,12 +106,6 @@ FROM ({CLEAN_LOG_SQL}) WHERE event_type <> 'signup'
 
 # ---- CDC -----------------------------------------------------------------------------------
 
-from pyspark.sql import types as T  # noqa: E402
-
-from strata.operators import cdc  # noqa: E402
-from strata.operators.merge import merge_dimension  # noqa: E402
-from strata.sources.cdc import DB, cdc_topic  # noqa: E402
-
 ORDER_OP_SQL = """CASE WHEN o_orderstatus = 'F' AND o_orderpriority = '5-LOW' THEN 'd'
   WHEN o_orderstatus = 'F' THEN 'r' WHEN o_orderstatus = 'O' THEN 'c' ELSE 'u' END"""
 CUST_TYPE_SQL = """CASE WHEN c_acctbal < 0 THEN 'update' WHEN c_mktsegment = 'AUTOMOBILE' THEN 'bootstrap-insert'

@@ -7,10 +7,9 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from strata.functions.dates import ts_to_ms
-from strata.operators.dedupe import exact_dedupe, first_per_key, latest_per_key
+from strata.operators.dedupe import exact_dedupe, first_per_key
 from strata.operators.facts import detail_id
 from strata.operators.scan import running_max_before, running_profile
-from strata.operators.windows import tumbling
 from strata.plans.dws import _sql_window, logs
 from strata.plans.registry import query
 from strata.sources import tables as t

@@ -19,7 +19,7 @@ def day_bucket(line: str | Column, field: str) -> Column:
     (-> day=19700101), as the reference's lenient reader does."""
     ln = F.col(line) if isinstance(line, str) else line
     raw = F.get_json_object(ln, f"$.{field}")
-    num = F.expr("try_cast(__raw AS BIGINT)").alias("n") if False else raw.try_cast("bigint")
+    num = raw.try_cast("bigint")
     ms = normalise_epoch(num)
     day = F.concat(F.lit("day="), F.date_format(F.timestamp_millis(ms), "yyyyMMdd"))
     valid_json = F.get_json_object(ln, "$").isNotNull()
