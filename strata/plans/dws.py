@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.operators.dedupe import first_flag, first_per_key, latest_per_entity
+from strata.operators.dedupe import first_per_key, latest_per_entity
 from strata.operators.joins import bounded_broadcast
 from strata.operators.windows import tumbling
 from strata.plans.registry import query
@@ -100,16 +100,23 @@ def traffic_dim_window(spark: SparkSession, sf_dir: str, size: str = "1 hour") -
 
     uv: 1 on the first page row of a mid per calendar day (D3); sv: rows with an
     empty last page (a new session); pv: rows; dur: sum of during_time (null as 0).
-    The first-of-day flag is a combining aggregate joined back on event_id.
+
+    The uv flag is never joined back to the rows: the first row per (mid, day) is a
+    combining aggregate that keeps the row's own window and dimensions, those firsts
+    are counted per group, and the two small per-group results are joined.
     """
+    dims = ["vc", "ch", "ar", "is_new"]
     pages = logs(spark, sf_dir).filter(F.col("event_type") == "view").withColumn("d", F.to_date("ts"))
-    flagged = first_flag(pages, ["mid", "d"], ["ts", "event_id"], "event_id", "uv")
-    return tumbling(flagged, "ts", size, ["vc", "ch", "ar", "is_new"], [
-        F.sum("uv").alias("uv_ct"),
+    firsts = first_per_key(pages.select("mid", "d", "ts", "event_id", *dims), ["mid", "d"], ["ts", "event_id"])
+    uv = tumbling(firsts, "ts", size, dims, [F.count("*").alias("uv_ct")])
+    rest = tumbling(pages, "ts", size, dims, [
         F.sum(F.when(F.coalesce(F.col("last_page_id"), F.lit("")) == "", 1).otherwise(0)).alias("sv_ct"),
         F.count("*").alias("pv_ct"),
         F.sum(F.coalesce(F.col("during_time"), F.lit(0))).alias("dur_sum"),
     ])
+    keys = ["stt", "edt", "cur_date", *dims]
+    out = rest.join(uv, keys, "left").withColumn("uv_ct", F.coalesce(F.col("uv_ct"), F.lit(0)).cast("bigint"))
+    return out.select(*keys, "uv_ct", "sv_ct", "pv_ct", "dur_sum")
 
 
 query("traffic_dim_window", f"""
