@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from strata.functions.dates import ts_to_ms
 from strata.operators import facts as fx
+from strata.operators.dedupe import latest_per_entity
 from strata.operators.joins import enrich, literal_broadcast
 from strata.plans.dws import LATEST_DETAIL_SQL, latest_details
 from strata.plans.registry import query
@@ -213,7 +214,7 @@ def cart_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     The previous version comes from ``lag`` over the versions of one detail id,
     a partition bounded by the entity's update count.
     """
-    d = t.order_detail(spark, sf_dir)
+    d = t.order_detail(spark, sf_dir).repartition("l_orderkey")
     w = W.partitionBy(*t.DETAIL_KEY).orderBy(*t.DETAIL_ORDER)
     return d.select(
         fx.detail_id().alias("id"), "l_orderkey", F.col("sku_id").cast("string").alias("sku_id"),
@@ -228,8 +229,10 @@ def cart_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
 def cart_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cart adds (P7, P8, F12, S7): adds from inserts and grown updates, upserted by id (last wins)."""
     adds = fx.cart_add(cart_changes(spark, sf_dir))
-    last = (adds.groupBy("id").agg(F.max(F.struct("version", "l_orderkey", "sku_id", "sku_num", "ts_ms")).alias("r"))
-            .select("id", "r.l_orderkey", "r.sku_id", "r.sku_num", "r.ts_ms"))
+    # Changes are clustered by order id: the last add per cart row and the join with
+    # orders below reuse that partitioning.
+    last = latest_per_entity(adds.select("id", "l_orderkey", "sku_id", "sku_num", "ts_ms", "version"),
+                             ["l_orderkey", "id"], ["version"], cluster_by=None).drop("version")
     users = t.read(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("l_orderkey"), F.col("o_custkey").cast("string").alias("user_id"))
     return last.join(users, "l_orderkey").select(
