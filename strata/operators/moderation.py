@@ -70,8 +70,11 @@ def moderate(comments: DataFrame, text_col: str, words: Sequence[str], blacklist
     """
     spark = comments.sparkSession
     from strata.sources.tables import literal_table
-    bl = blacklist if blacklist is not None else literal_table(spark, [(w,) for w in words], "word string")
-    bl = F.broadcast(bl.select(F.col("word").alias("__w")).distinct())
+    if blacklist is None:
+        bl = literal_table(spark, [(w,) for w in dict.fromkeys(words)], "word string")
+    else:
+        bl = blacklist.select("word").distinct()
+    bl = F.broadcast(bl.select(F.col("word").alias("__w")))
     c = comments.withColumn("__last", last_token(text_col))
     c = c.join(bl, c["__last"] == bl["__w"], "left")
     found = find_words(F.col(text_col), words)

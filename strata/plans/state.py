@@ -85,12 +85,13 @@ def retraction_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = t.order_detail(spark, sf_dir)
     w = W.partitionBy(*t.DETAIL_KEY).orderBy(*t.DETAIL_ORDER)
     v = d.select(detail_id().alias("id"), F.row_number().over(w).alias("seq"),
-                 F.col("split_total_amount").alias("amount"),
-                 F.lag("split_total_amount").over(w).alias("prev_amount"))
-    adds = v.select("id", "seq", F.lit(0).alias("is_retraction"), "amount")
-    negs = v.filter(F.col("seq") > 1).select("id", "seq", F.lit(1).alias("is_retraction"),
-                                             (-F.col("prev_amount")).alias("amount"))
-    return adds.unionByName(negs).withColumn("amount", F.col("amount").cast("decimal(38,4)"))
+                 F.col("split_total_amount").cast("decimal(38,4)").alias("amount"),
+                 F.lag("split_total_amount").over(w).cast("decimal(38,4)").alias("prev_amount"))
+    # One pass: each version emits its own row and, for a repeat, the negated previous one.
+    own = F.struct(F.lit(0).alias("is_retraction"), F.col("amount").alias("amount"))
+    neg = F.struct(F.lit(1).alias("is_retraction"), (-F.col("prev_amount")).alias("amount"))
+    rows = F.when(F.col("seq") > 1, F.array(own, neg)).otherwise(F.array(own))
+    return v.select("id", "seq", F.inline(rows))
 
 
 query("retraction_stream", f"""
