@@ -29,22 +29,25 @@ def literal_broadcast(dim: DataFrame) -> DataFrame:
 
 def enrich(fact: DataFrame, dim: DataFrame, fact_key: str | Sequence[str], dim_key: str | Sequence[str],
            columns: dict[str, str], default: dict[str, object] | None = None,
-           max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS, unique: bool = False) -> DataFrame:
+           max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS, unique: bool = False,
+           literal: bool = False) -> DataFrame:
     """Left lookup of dimension attributes (the async/sync dim-join contract, J16/J17/U3).
 
     ``columns`` maps dim column -> output name.  Missing dims leave nulls, or the
     value from ``default`` (J20 uses 'N/A').  The dim is de-duplicated on its key
     first so a lookup never multiplies fact rows (first-match lookups, J23); pass
-    ``unique=True`` for a dim whose key is unique by construction (a literal table).
+    ``unique=True`` for a dim whose key is unique by construction, ``literal=True`` for a
+    table written in code (unique keys, size fixed: broadcast without a check).
     """
     fk = [fact_key] if isinstance(fact_key, str) else list(fact_key)
     dk = [dim_key] if isinstance(dim_key, str) else list(dim_key)
     tmp = [f"__k{i}" for i in range(len(dk))]
     d = (dim.select(*[F.col(c).alias(t) for c, t in zip(dk, tmp)],
                     *[F.col(c).alias(o) for c, o in columns.items()]))
-    if not unique:
-        d = d.dropDuplicates(tmp)
-    d = bounded_broadcast(d, max_broadcast_rows)
+    if literal:
+        d = literal_broadcast(d)
+    else:
+        d = bounded_broadcast(d if unique else d.dropDuplicates(tmp), max_broadcast_rows)
     cond = [fact[f] == d[t] for f, t in zip(fk, tmp)]
     out = fact.join(d, cond, "left").drop(*tmp)
     for name, val in (default or {}).items():

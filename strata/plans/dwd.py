@@ -311,7 +311,7 @@ def dict_lookup_default(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Left dictionary lookup with default 'N/A' for a missing code."""
     c = comments(spark, sf_dir)
     return enrich(c, dictionary(spark), "appraise", "dic_code", {"dic_name": "appraise_name"},
-                  default={"appraise_name": "N/A"}, unique=True).select(
+                  default={"appraise_name": "N/A"}, literal=True).select(
         "id", "user_id", "lang", "appraise", "appraise_name", "comment_txt")
 
 

@@ -17,7 +17,8 @@ CLEAN_LOG_SQL = f"SELECT * FROM ({APPLOG_SQL}) WHERE k <> 0"
 
 
 def parsed_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lg.parse_logs(t.stage_topic(raw_log_lines(t.events(spark, sf_dir))))
+    topic = t.staged(spark, ("app_log", sf_dir), lambda: raw_log_lines(t.events(spark, sf_dir)))
+    return lg.parse_logs(topic)
 
 
 def clean_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -113,7 +114,8 @@ CUST_TYPE_SQL = """CASE WHEN c_acctbal < 0 THEN 'update' WHEN c_mktsegment = 'AU
 
 
 def changes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cdc.normalise(cdc.parse_envelopes(t.stage_topic(cdc_topic(spark, sf_dir))))
+    topic = t.staged(spark, ("cdc", sf_dir), lambda: cdc_topic(spark, sf_dir))
+    return cdc.normalise(cdc.parse_envelopes(topic))
 
 
 def cdc_normalise(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -107,7 +107,7 @@ def page_label(spark: SparkSession, sf_dir: str) -> DataFrame:
                      F.array_join(F.array_sort("s_arr"), ",").alias("search_item"), judge.alias("judge_os"),
                      F.when(F.size("s_arr") == 1, F.element_at("s_arr", 1)).alias("single_word"))
     themes = t.literal_table(spark, SEARCH_THEMES, "word string, theme string")
-    agg = enrich(agg, themes, "single_word", "word", {"theme": "search_theme"}, max_broadcast_rows=10_000, unique=True)
+    agg = enrich(agg, themes, "single_word", "word", {"theme": "search_theme"}, literal=True)
     agg = lb.apply_scores(agg, "device", "judge_os")
     agg = lb.apply_scores(agg, "search", F.coalesce(F.col("search_theme"), F.lit(lb.OTHER)))
     return agg.select("uid", "pv", "os", "ch", "md", "ba", "search_item", "judge_os",

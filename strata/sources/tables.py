@@ -83,6 +83,20 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ev.withColumn("k", F.get_json_object("props", "$.k").cast("int"))
 
 
+_STAGED: dict[tuple, DataFrame] = {}
+
+
+def staged(spark: SparkSession, key: tuple, build) -> DataFrame:
+    """The staged topic for ``key`` in this session, built by ``build()`` on first use.
+
+    A topic is produced once and read by all its consumers (the six log splits read
+    one log topic, the CDC consumers one change topic)."""
+    k = (spark.sparkContext.applicationId, *key)
+    if k not in _STAGED:
+        _STAGED[k] = stage_topic(build())
+    return _STAGED[k]
+
+
 def stage_topic(df: DataFrame, partitions: int | None = None) -> DataFrame:
     """Materialise a derived topic (JSON lines built from the tables) in the shared checkpoint
     folder and cut its lineage: the consumer's plan then starts at the topic, as it does
