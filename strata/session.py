@@ -65,10 +65,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
     Only when the setting is absent (local tests) is a scratch folder made.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # remote (Connect) session: the server owns the checkpoint folder
+        return spark.conf.get("spark.checkpoint.dir", None) or ""
     configured = sc.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if configured:
-        sc.setCheckpointDir(configured)
+        if sc._jsc.sc().getCheckpointDir().isEmpty():
+            sc.setCheckpointDir(configured)
         return configured
     path = tempfile.mkdtemp(prefix="strata-ckpt-", dir="/tmp")
     spark.conf.set("spark.checkpoint.dir", path)

@@ -91,7 +91,11 @@ def staged(spark: SparkSession, key: tuple, build) -> DataFrame:
 
     A topic is produced once and read by all its consumers (the six log splits read
     one log topic, the CDC consumers one change topic)."""
-    k = (spark.sparkContext.applicationId, *key)
+    try:
+        app = spark.sparkContext.applicationId
+    except Exception:  # remote session
+        app = spark.conf.get("spark.app.id", "remote")
+    k = (app, *key)
     if k not in _STAGED:
         _STAGED[k] = stage_topic(build())
     return _STAGED[k]
