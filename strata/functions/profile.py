@@ -68,8 +68,8 @@ def price_tier(amount) -> Column:
 
 def age_years_sql(b: str, asof: str) -> str:
     a = f"DATE '{asof}'"
-    return (f"(year({a}) - year({b}) - CASE WHEN month({a}) * 100 + day({a}) < month({b}) * 100 + day({b}) "
-            f"THEN 1 ELSE 0 END)")
+    return (f"CAST(year({a}) - year({b}) - CASE WHEN month({a}) * 100 + day({a}) < month({b}) * 100 + day({b}) "
+            f"THEN 1 ELSE 0 END AS INTEGER)")
 
 
 def zodiac_sql(b: str) -> str:

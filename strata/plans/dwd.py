@@ -197,7 +197,7 @@ def refund_payment_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
 query("refund_payment_fact", f"""
 WITH d AS ({DETAIL_SQL}),
 pay AS (SELECT id, order_id, sku_id, split_total_amount AS total_amount, ts_ms FROM d WHERE l_returnflag = 'R' AND l_linestatus = 'F'),
-ref AS (SELECT order_id, sku_id, sum(CAST(sku_num AS BIGINT)) AS refund_num FROM d WHERE l_returnflag = 'R' GROUP BY ALL)
+ref AS (SELECT order_id, sku_id, CAST(sum(CAST(sku_num AS BIGINT)) AS BIGINT) AS refund_num FROM d WHERE l_returnflag = 'R' GROUP BY ALL)
 SELECT p.id, p.order_id, p.sku_id, o.user_id, o.province_id,
   strftime(make_timestamp(p.ts_ms * 1000), '%Y-%m-%d') AS date_id, CAST(p.ts_ms AS VARCHAR) AS callback_time,
   r.refund_num, p.total_amount, p.ts_ms

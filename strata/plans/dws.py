@@ -124,8 +124,8 @@ WITH l AS (SELECT * FROM ({APPLOG_SQL}) WHERE event_type = 'view'),
 f AS (SELECT *, CASE WHEN row_number() OVER (PARTITION BY mid, CAST(ts AS DATE) ORDER BY ts, event_id) = 1
                      THEN 1 ELSE 0 END AS uv FROM l)
 SELECT {_sql_window('1 hour')}, vc, ch, ar, is_new,
-  sum(uv) AS uv_ct, sum(CASE WHEN coalesce(last_page_id, '') = '' THEN 1 ELSE 0 END) AS sv_ct,
-  count(*) AS pv_ct, sum(coalesce(during_time, 0)) AS dur_sum
+  CAST(sum(uv) AS BIGINT) AS uv_ct, CAST(sum(CASE WHEN coalesce(last_page_id, '') = '' THEN 1 ELSE 0 END) AS BIGINT) AS sv_ct,
+  count(*) AS pv_ct, CAST(sum(coalesce(during_time, 0)) AS BIGINT) AS dur_sum
 FROM f GROUP BY ALL
 """)(traffic_dim_window)
 
@@ -150,8 +150,8 @@ query("home_detail_uv_window", f"""
 WITH l AS (SELECT * FROM ({APPLOG_SQL}) WHERE page_id IN ('home', 'good_detail')),
 f AS (SELECT * FROM l QUALIFY row_number() OVER (PARTITION BY mid, page_id, CAST(ts AS DATE) ORDER BY ts, event_id) = 1)
 SELECT {_sql_window('1 hour')},
-  sum(CASE WHEN page_id = 'home' THEN 1 ELSE 0 END) AS home_uv_ct,
-  sum(CASE WHEN page_id = 'good_detail' THEN 1 ELSE 0 END) AS good_detail_uv_ct
+  CAST(sum(CASE WHEN page_id = 'home' THEN 1 ELSE 0 END) AS BIGINT) AS home_uv_ct,
+  CAST(sum(CASE WHEN page_id = 'good_detail' THEN 1 ELSE 0 END) AS BIGINT) AS good_detail_uv_ct
 FROM f GROUP BY ALL
 """)(home_detail_uv_window)
 
@@ -182,7 +182,7 @@ query("user_login_window", f"""
 WITH l AS (SELECT *, CAST(ts AS DATE) AS d FROM ({APPLOG_SQL}) WHERE event_type = 'signup' AND uid IS NOT NULL AND uid <> ''),
 f AS (SELECT * FROM l QUALIFY row_number() OVER (PARTITION BY uid, d ORDER BY ts, event_id) = 1),
 b AS (SELECT *, CASE WHEN date_diff('day', lag(d) OVER (PARTITION BY uid ORDER BY d), d) >= 8 THEN 1 ELSE 0 END AS back FROM f)
-SELECT {_sql_window('1 day')}, sum(back) AS back_ct, count(*) AS uu_ct
+SELECT {_sql_window('1 day')}, CAST(sum(back) AS BIGINT) AS back_ct, count(*) AS uu_ct
 FROM b GROUP BY ALL
 """)(user_login_window)
 

@@ -84,7 +84,7 @@ def retraction_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     gives the last version's amount (the net form used by the windows)."""
     d = t.order_detail(spark, sf_dir)
     w = W.partitionBy(*t.DETAIL_KEY).orderBy(*t.DETAIL_ORDER)
-    v = d.select(detail_id().alias("id"), F.row_number().over(w).alias("seq"),
+    v = d.select(detail_id().alias("id"), F.row_number().over(w).cast("bigint").alias("seq"),
                  F.col("split_total_amount").cast("decimal(38,4)").alias("amount"),
                  F.lag("split_total_amount").over(w).cast("decimal(38,4)").alias("prev_amount"))
     # One pass: each version emits its own row and, for a repeat, the negated previous one.
@@ -170,7 +170,7 @@ def cart_lake_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.select(
         detail_id().alias("id"), F.date_format("l_shipdate", "yyyy").alias("ds"),
         F.when(F.col("l_linestatus") == "F", F.col("sku_num")).alias("sku_num"),
-        F.when(F.col("l_returnflag") != "N", F.col("split_original_amount")).alias("cart_price"),
+        F.when(F.col("l_returnflag") != "N", F.col("split_original_amount").cast("decimal(16,2)")).alias("cart_price"),
         F.when(F.col("l_discount") > 0.03, F.col("l_partkey").cast("string")).alias("sku_id"),
         ts_to_ms("l_shipdate").alias("ts_ms"),
         F.struct(*[F.col(c) for c in t.DETAIL_ORDER]).alias("version"))

@@ -30,6 +30,9 @@ def test_entry_smoke(spark):
     assert df.count() > 0
 
 
+TYPE_NAMES = {"int": "INTEGER", "bigint": "BIGINT", "string": "VARCHAR", "boolean": "BOOLEAN"}
+
+
 @pytest.mark.parametrize("name", NAMES)
 def test_query_matches_oracle(spark, con, sf_small, name):
     df = entry.queries()[name](spark, sf_small)
@@ -38,5 +41,9 @@ def test_query_matches_oracle(spark, con, sf_small, name):
     dcols = [d[0] for d in cur.description]
     drows = cur.fetchall()
     assert sorted(df.columns) == sorted(dcols)
+    dtypes = {r[0]: r[1] for r in con.execute(f"DESCRIBE {SQL[name]}").fetchall()}
+    stypes = {f.name: TYPE_NAMES.get(f.dataType.simpleString(), f.dataType.simpleString().upper())
+              for f in df.schema.fields}
+    assert stypes == dtypes
     assert len(srows) == len(drows)
     assert digest(df.columns, srows)[0] == digest(dcols, drows)[0]
