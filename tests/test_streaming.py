@@ -238,3 +238,28 @@ def test_key_ts_dedupe_stream(spark, event_dir):
     dup = ev.unionByName(ev)                       # every record arrives twice
     got = run_to_memory(st.key_ts_dedupe_stream(dup, ["uid"], "ts", "1 hour"), "ktd")
     assert got.count() == spark.read.parquet(event_dir).count()
+
+
+def test_keyword_window_stream_equals_batch(spark, sf_small, tmp_path):
+    from strata.plans.dws import search_entries
+    from strata.streaming.windows import keyword_window_stream
+    src = tmp_path / "entries"
+    search_entries(spark, sf_small).write.parquet(str(src))
+    s = spark.readStream.schema(spark.read.parquet(str(src)).schema).parquet(str(src))
+    got = run_to_memory(keyword_window_stream(s), "kw")
+    want = entry.queries()["keyword_window"](spark, sf_small)
+    last_end = want.agg(F.max("edt")).first()[0]
+    want = want.filter(F.col("edt") < F.lit(last_end))   # the last window is still open at the end
+    cols = ["stt", "keyword", "keyword_count"]
+    assert set(rows(want, cols)) <= set(rows(got, cols))
+    assert rows(got.filter(F.col("edt") < F.lit(last_end)), cols) == rows(want, cols)
+
+
+def test_home_detail_uv_stream_equals_batch(spark, event_dir, sf_small):
+    from strata.streaming.windows import home_detail_uv_stream
+    got = run_to_memory(home_detail_uv_stream(stream_events(spark, event_dir)), "hd")
+    want = entry.queries()["home_detail_uv_window"](spark, sf_small)
+    cutoff = batch_logs(spark, sf_small).filter(F.col("page_id").isin("home", "good_detail")).agg(
+        F.date_format(F.max("ts") - F.expr("INTERVAL 1 DAY"), "yyyy-MM-dd HH:mm:ss")).first()[0]
+    cols = ["stt", "home_uv_ct", "good_detail_uv_ct"]
+    assert rows(got, cols) == rows(want.filter(F.col("edt") <= F.lit(cutoff)), cols)
