@@ -84,3 +84,19 @@ def interval_join(left: DataFrame, right: DataFrame, keys: Sequence[str], left_t
 def later_of(a: str, b: str) -> Column:
     """Event time of an interval-join result: the later of the two input times."""
     return F.greatest(F.col(a), F.col(b))
+
+
+def lookup_chain(fact: DataFrame, steps: Sequence[tuple], how: str = "left") -> DataFrame:
+    """A chain of dimension lookups through a snowflake.
+
+    Each step is ``(dim, fact_key, dim_key, {dim_col: out_name}, max_broadcast_rows)``;
+    a later step may key on a column an earlier step added.  ``how='inner'`` drops
+    facts whose chain breaks (the batch SQL form), ``'left'`` keeps them with nulls
+    (the async-lookup form).  Each dim is broadcast only behind its size check.
+    """
+    out = fact
+    for dim, fkey, dkey, cols, max_rows in steps:
+        d = dim.select(F.col(dkey).alias("__k"), *[F.col(c).alias(o) for c, o in cols.items()])
+        d = bounded_broadcast(d.dropDuplicates(["__k"]), max_rows)
+        out = out.join(d, out[fkey] == d["__k"], how).drop("__k")
+    return out

@@ -319,3 +319,48 @@ query("dict_lookup_default", f"""
 SELECT c.id, c.user_id, c.lang, c.appraise, coalesce(dic.dic_name, 'N/A') AS appraise_name, c.comment_txt
 FROM ({COMMENTS_SQL}) c LEFT JOIN {DIC_SQL} ON c.appraise = dic.dic_code
 """)(dict_lookup_default)
+
+
+# ---- snowflake lookups (J19, J21, J22) --------------------------------------------------------
+
+def category_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A three-level hierarchy joined level by level (inner, as the batch SQL does):
+    customer -> nation -> region."""
+    from strata.operators.joins import lookup_chain
+    c = t.read(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    n = t.read(spark, sf_dir, "nation")
+    r = t.read(spark, sf_dir, "region")
+    out = lookup_chain(c, [(n, "c_nationkey", "n_nationkey", {"n_name": "nation_name", "n_regionkey": "region_key"}, 10_000),
+                           (r, "region_key", "r_regionkey", {"r_name": "region_name"}, 10_000)], how="inner")
+    return out.select("c_custkey", "nation_name", "region_name")
+
+
+query("category_chain", """
+SELECT c.c_custkey, n.n_name AS nation_name, r.r_name AS region_name
+FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey JOIN region r ON n.n_regionkey = r.r_regionkey
+""")(category_chain)
+
+
+def sku_snowflake(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every net order detail with its sku (part) name, brand and category, its
+    supplier and the supplier's nation and region, by left lookups (missing dims -> null).
+    Part and supplier grow with the data: each is broadcast only when its size check passes."""
+    from strata.operators.joins import lookup_chain
+    det = detail_table(spark, sf_dir).select("id", "l_partkey", "l_suppkey")
+    steps = [
+        (t.read(spark, sf_dir, "part"), "l_partkey", "p_partkey",
+         {"p_name": "sku_name", "p_brand": "tm_name", "p_type": "category_name"}, 1_000_000),
+        (t.read(spark, sf_dir, "supplier"), "l_suppkey", "s_suppkey", {"s_name": "supplier_name", "s_nationkey": "s_nation"}, 1_000_000),
+        (t.read(spark, sf_dir, "nation"), "s_nation", "n_nationkey", {"n_name": "supplier_nation", "n_regionkey": "s_region"}, 10_000),
+        (t.read(spark, sf_dir, "region"), "s_region", "r_regionkey", {"r_name": "supplier_region"}, 10_000),
+    ]
+    out = lookup_chain(det, steps, how="left")
+    return out.select("id", "sku_name", "tm_name", "category_name", "supplier_name", "supplier_nation", "supplier_region")
+
+
+query("sku_snowflake", f"""
+SELECT d.id, p.p_name AS sku_name, p.p_brand AS tm_name, p.p_type AS category_name, s.s_name AS supplier_name,
+  n.n_name AS supplier_nation, r.r_name AS supplier_region
+FROM ({DETAIL_SQL}) d LEFT JOIN part p ON d.l_partkey = p.p_partkey LEFT JOIN supplier s ON d.l_suppkey = s.s_suppkey
+LEFT JOIN nation n ON s.s_nationkey = n.n_nationkey LEFT JOIN region r ON n.n_regionkey = r.r_regionkey
+""")(sku_snowflake)
