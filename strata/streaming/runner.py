@@ -84,3 +84,19 @@ def fan_out(outputs: dict[str, tuple[Callable[[DataFrame], DataFrame], str]], fm
         finally:
             batch.unpersist()
     return write
+
+
+def day_bucket_stream(lines: DataFrame, line_col: str, field: str, path: str, name: str,
+                      roll: str = "10 minutes", max_records_per_file: int = 1_000_000,
+                      checkpoint: str | None = None, trigger: dict | None = None) -> StreamingQuery:
+    """S16 stream form: text files under ``path/day=yyyyMMdd`` (or ``day=error_bucket``).
+
+    Files roll once per trigger (``roll``, the reference's 10-minute rollover) and at
+    ``max_records_per_file`` records (the size bound)."""
+    from strata.sources.sinks import ERROR_BUCKET, day_bucket
+    b = day_bucket(line_col, field)
+    out = lines.select(F.col(line_col).alias("value"),
+                       F.when(b == ERROR_BUCKET, F.lit(ERROR_BUCKET)).otherwise(F.regexp_extract(b, r"^day=(\d+)$", 1)).alias("day"))
+    return run_stream(out, path, name, fmt="text", partition_by=["day"],
+                      trigger=trigger or {"processingTime": roll},
+                      options={"maxRecordsPerFile": max_records_per_file}, checkpoint=checkpoint)

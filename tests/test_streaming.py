@@ -263,3 +263,17 @@ def test_home_detail_uv_stream_equals_batch(spark, event_dir, sf_small):
         F.date_format(F.max("ts") - F.expr("INTERVAL 1 DAY"), "yyyy-MM-dd HH:mm:ss")).first()[0]
     cols = ["stt", "home_uv_ct", "good_detail_uv_ct"]
     assert rows(got, cols) == rows(want.filter(F.col("edt") <= F.lit(cutoff)), cols)
+
+
+def test_day_bucket_stream(spark, sf_small, tmp_path):
+    from strata.plans.utility import file_bucket_lines
+    from strata.streaming.runner import day_bucket_stream
+    src = tmp_path / "lines"
+    file_bucket_lines(t.read(spark, sf_small, "events")).write.text(str(src))
+    q = day_bucket_stream(read_lines(spark, str(src)).withColumnRenamed("value", "line"), "line", "ts",
+                          str(tmp_path / "out"), "daybuckets", checkpoint=str(tmp_path / "ckpt"),
+                          trigger={"availableNow": True})
+    q.awaitTermination(300)
+    got = {r.day: r.n for r in spark.read.text(str(tmp_path / "out")).groupBy("day").agg(F.count("*").alias("n")).collect()}
+    want = {r.bucket.replace("day=", ""): r.n for r in entry.queries()["file_buckets"](spark, sf_small).collect()}
+    assert got == want
