@@ -27,3 +27,20 @@ def home_detail_uv_stream(logs: DataFrame, size: str = "1 hour", delay: str = "1
         F.sum(F.when(F.col("page_id") == "home", 1).otherwise(0)).alias("home_uv_ct"),
         F.sum(F.when(F.col("page_id") == "good_detail", 1).otherwise(0)).alias("good_detail_uv_ct"),
     ])
+
+
+def traffic_window_stream(logs: DataFrame, size: str = "1 hour", delay: str = "1 day") -> DataFrame:
+    """A4 with D3: page views per window and (vc, ch, ar, is_new).  The daily first visit
+    of a mid is found by ``dropDuplicatesWithinWatermark`` and counted (uv); every row
+    counts towards pv / sv / dur.  Both branches are unioned and summed once."""
+    dims = ["vc", "ch", "ar", "is_new"]
+    pages = logs.filter(F.col("event_type") == "view").withWatermark("ts", delay)
+    rows = pages.select("ts", *dims, F.lit(0).alias("uv"), F.lit(1).alias("pv"),
+                        F.when(F.coalesce(F.col("last_page_id"), F.lit("")) == "", 1).otherwise(0).alias("sv"),
+                        F.coalesce(F.col("during_time"), F.lit(0)).alias("dur"))
+    firsts = (pages.withColumn("d", F.to_date("ts")).dropDuplicatesWithinWatermark(["mid", "d"])
+              .select("ts", *dims, F.lit(1).alias("uv"), F.lit(0).alias("pv"), F.lit(0).alias("sv"),
+                      F.lit(0).cast("bigint").alias("dur")))
+    both = rows.unionByName(firsts)
+    return tumbling(both, "ts", size, dims, [
+        F.sum("uv").alias("uv_ct"), F.sum("sv").alias("sv_ct"), F.sum("pv").alias("pv_ct"), F.sum("dur").alias("dur_sum")])

@@ -277,3 +277,13 @@ def test_day_bucket_stream(spark, sf_small, tmp_path):
     got = {r.day: r.n for r in spark.read.text(str(tmp_path / "out")).groupBy("day").agg(F.count("*").alias("n")).collect()}
     want = {r.bucket.replace("day=", ""): r.n for r in entry.queries()["file_buckets"](spark, sf_small).collect()}
     assert got == want
+
+
+def test_traffic_window_stream_equals_batch(spark, event_dir, sf_small):
+    from strata.streaming.windows import traffic_window_stream
+    got = run_to_memory(traffic_window_stream(stream_events(spark, event_dir)), "traffic")
+    want = entry.queries()["traffic_dim_window"](spark, sf_small)
+    cutoff = batch_logs(spark, sf_small).filter(F.col("event_type") == "view").agg(
+        F.date_format(F.max("ts") - F.expr("INTERVAL 1 DAY"), "yyyy-MM-dd HH:mm:ss")).first()[0]
+    cols = ["stt", "vc", "ch", "ar", "is_new", "uv_ct", "sv_ct", "pv_ct", "dur_sum"]
+    assert rows(got, cols) == rows(want.filter(F.col("edt") <= F.lit(cutoff)), cols)
