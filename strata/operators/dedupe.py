@@ -61,14 +61,14 @@ def exact_dedupe(df: DataFrame) -> DataFrame:
 
 def latest_per_entity(df: DataFrame, keys: Sequence[str], order: Sequence[str],
                       cluster_by: Sequence[str] | None = None) -> DataFrame:
-    """Last row per key for keys that name one business entity (an order line, a cart row),
-    whose version count is bounded by the entity's own life.
-
-    Rows are hash-partitioned on ``cluster_by`` (a prefix of the key, e.g. the order id)
-    and ranked inside the partition; Spark's window group limit drops all but the top
-    row per key before the full sort.  Partitioning on the prefix lets later joins and
-    aggregates on that prefix reuse it without another shuffle.  For keys that can be
-    hot (users, devices) use ``latest_per_key``.
+    """Last row per key as ``row_number() = 1`` over the key.
+
+    Without ``cluster_by`` Spark plans a partial window group limit in every map task
+    (only each task's top row per key is shuffled) and a final one after the shuffle,
+    so a hot key is reduced map-side like a partial aggregate.  ``cluster_by`` (a key
+    prefix) instead hash-partitions on the prefix first, which lets later joins and
+    aggregates on the prefix reuse the partitioning but gives up the map-side
+    reduction; use it only for keys known not to be hot.
     """
     from pyspark.sql import Window as W
     d = df.repartition(*cluster_by) if cluster_by else df

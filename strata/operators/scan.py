@@ -62,3 +62,32 @@ def running_profile(df: DataFrame, key: Sequence[str], order: Sequence[str], chu
         merged = F.array_sort(F.array_distinct(F.concat(F.coalesce(F.col(f"__ps_{c}"), F.array()), F.col(f"__is_{c}"))))
         outs.append(F.array_join(merged, ",").alias(f"{c}_set"))
     return res.select(*df.columns, *outs)
+
+
+def seq_and_previous(df: DataFrame, key: Sequence[str], order: Sequence[str], chunk: Column,
+                     values: Sequence[str], seq: str = "seq", prefix: str = "prev_") -> DataFrame:
+    """Changelog position per key: ``seq`` (1-based rank in ``order``) and, for each of
+    ``values``, the previous row's value (null on the key's first row).
+
+    Two-level form of ``row_number`` / ``lag`` over the key: ranks and lags inside each
+    (key, chunk), then each chunk's row count and last row, carried to the next chunk
+    through a window over the key's chunks (one row per chunk).
+    """
+    key = list(key)
+    d = df.withColumn("__chunk", chunk)
+    wc = W.partitionBy(*key, "__chunk").orderBy(*order)
+    inner = d.select("*", F.row_number().over(wc).alias("__rn"),
+                     *[F.lag(v).over(wc).alias(f"__lag_{v}") for v in values])
+    last = F.max_by(F.struct(*[F.col(v) for v in values]), F.struct(*[F.col(o) for o in order]))
+    per_chunk = d.groupBy(*key, "__chunk").agg(F.count("*").alias("__n"), last.alias("__last"))
+    wk = W.partitionBy(*key).orderBy("__chunk")
+    carried = per_chunk.select(
+        *key, "__chunk",
+        F.coalesce(F.sum("__n").over(wk.rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("__before"),
+        F.lag("__last").over(wk).alias("__prev_last"))
+    res = inner.join(carried, [*key, "__chunk"], "left")
+    first_in_chunk = F.col("__rn") == 1
+    outs = [(F.col("__before") + F.col("__rn")).alias(seq)]
+    outs += [F.when(first_in_chunk, F.col(f"__prev_last.{v}")).otherwise(F.col(f"__lag_{v}")).alias(prefix + v)
+             for v in values]
+    return res.select(*df.columns, *outs)

@@ -211,16 +211,18 @@ def cart_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """cart_info change stream stand-in: versions of one order detail are the cart row's
     insert ('c', first version) and updates ('u', later versions, before = previous quantity).
 
-    The previous version comes from ``lag`` over the versions of one detail id,
-    a partition bounded by the entity's update count.
+    The position and previous quantity come from a two-level scan over ship-month
+    chunks (``operators/scan.seq_and_previous``): a row with very many versions is
+    spread over many tasks instead of one.
     """
-    d = t.order_detail(spark, sf_dir).repartition("l_orderkey")
-    w = W.partitionBy(*t.DETAIL_KEY).orderBy(*t.DETAIL_ORDER)
-    return d.select(
+    from strata.operators.scan import seq_and_previous
+    d = t.order_detail(spark, sf_dir).select(*t.DETAIL_KEY, *t.DETAIL_ORDER, "sku_id", "sku_num")
+    s = seq_and_previous(d, t.DETAIL_KEY, t.DETAIL_ORDER, F.date_trunc("month", "l_shipdate"), ["sku_num"])
+    return s.select(
         fx.detail_id().alias("id"), "l_orderkey", F.col("sku_id").cast("string").alias("sku_id"),
-        F.when(F.row_number().over(w) == 1, "c").otherwise("u").alias("op"),
+        F.when(F.col("seq") == 1, "c").otherwise("u").alias("op"),
         F.col("sku_num").alias("sku_num_after"),
-        F.lag("sku_num").over(w).alias("sku_num_before"),
+        F.col("prev_sku_num").alias("sku_num_before"),
         ts_to_ms("l_shipdate").alias("ts_ms"),
         F.struct(*[F.col(c) for c in t.DETAIL_ORDER]).alias("version"),
     )
@@ -229,10 +231,8 @@ def cart_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
 def cart_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cart adds (P7, P8, F12, S7): adds from inserts and grown updates, upserted by id (last wins)."""
     adds = fx.cart_add(cart_changes(spark, sf_dir))
-    # Changes are clustered by order id: the last add per cart row and the join with
-    # orders below reuse that partitioning.
     last = latest_per_entity(adds.select("id", "l_orderkey", "sku_id", "sku_num", "ts_ms", "version"),
-                             ["l_orderkey", "id"], ["version"], cluster_by=None).drop("version")
+                             ["l_orderkey", "id"], ["version"]).drop("version")
     users = t.read(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("l_orderkey"), F.col("o_custkey").cast("string").alias("user_id"))
     return last.join(users, "l_orderkey").select(

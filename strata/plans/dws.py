@@ -29,11 +29,14 @@ QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber
 
 
 def latest_details(spark: SparkSession, sf_dir: str, columns: list[str]) -> DataFrame:
-    """Net state of the order-detail changelog: the last version of each detail,
-    clustered by order id (the key of every later join and aggregate)."""
+    """Net state of the order-detail changelog: the last version of each detail.
+
+    Ranked with ``row_number() = 1``: Spark keeps only each map task's top row per
+    detail before the shuffle (partial window group limit), so a detail with very
+    many versions is reduced map-side like a partial aggregate."""
     d = t.order_detail(spark, sf_dir).select(*t.DETAIL_KEY, *t.DETAIL_ORDER,
                                              *[c for c in columns if c not in t.DETAIL_KEY + t.DETAIL_ORDER])
-    return latest_per_entity(d, t.DETAIL_KEY, t.DETAIL_ORDER, cluster_by=["l_orderkey"])
+    return latest_per_entity(d, t.DETAIL_KEY, t.DETAIL_ORDER)
 
 
 def province_order_window(spark: SparkSession, sf_dir: str, size: str = "1 day") -> DataFrame:
@@ -214,7 +217,7 @@ def sku_order_window(spark: SparkSession, sf_dir: str, size: str = "1 day", burs
         *t.DETAIL_KEY, *t.DETAIL_ORDER, "sku_id", "split_original_amount", "split_activity_amount",
         "split_coupon_amount", "split_total_amount")
     det = det.withColumn("burst", F.window("l_shipdate", burst).start)
-    latest = latest_per_entity(det, [*t.DETAIL_KEY, "burst"], t.DETAIL_ORDER, cluster_by=["l_orderkey"])
+    latest = latest_per_entity(det, [*t.DETAIL_KEY, "burst"], t.DETAIL_ORDER)
     win = tumbling(latest, "l_shipdate", size, ["sku_id"], [
         F.sum("split_original_amount").cast("decimal(38,4)").alias("original_amount"),
         F.sum("split_activity_amount").cast("decimal(38,4)").alias("activity_reduce_amount"),

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from strata.functions.dates import ts_to_ms
 from strata.operators.dedupe import exact_dedupe, first_per_key
 from strata.operators.facts import detail_id
-from strata.operators.scan import running_max_before, running_profile
+from strata.operators.scan import running_max_before, running_profile, seq_and_previous
 from strata.plans.dws import _sql_window, logs
 from strata.plans.registry import query
 from strata.sources import tables as t
@@ -82,11 +82,13 @@ def retraction_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The changelog of order amounts by detail id: every version is emitted, and a
     repeat first retracts the previous version (negated amount).  Summing per id
     gives the last version's amount (the net form used by the windows)."""
-    d = t.order_detail(spark, sf_dir)
-    w = W.partitionBy(*t.DETAIL_KEY).orderBy(*t.DETAIL_ORDER)
-    v = d.select(detail_id().alias("id"), F.row_number().over(w).cast("bigint").alias("seq"),
-                 F.col("split_total_amount").cast("decimal(38,4)").alias("amount"),
-                 F.lag("split_total_amount").over(w).cast("decimal(38,4)").alias("prev_amount"))
+    d = t.order_detail(spark, sf_dir).select(*t.DETAIL_KEY, *t.DETAIL_ORDER,
+                                             F.col("split_total_amount").cast("decimal(38,4)").alias("amount"))
+    # Position and previous amount per detail as a two-level scan over ship-month chunks,
+    # so one detail with very many versions is spread over many tasks.
+    chunk = F.date_trunc("month", "l_shipdate")
+    s = seq_and_previous(d, t.DETAIL_KEY, t.DETAIL_ORDER, chunk, ["amount"])
+    v = s.select(detail_id().alias("id"), F.col("seq").cast("bigint").alias("seq"), "amount", "prev_amount")
     # One pass: each version emits its own row and, for a repeat, the negated previous one.
     own = F.struct(F.lit(0).alias("is_retraction"), F.col("amount").alias("amount"))
     neg = F.struct(F.lit(1).alias("is_retraction"), (-F.col("prev_amount")).alias("amount"))

@@ -142,3 +142,14 @@ def test_enrich_default_and_bounded_broadcast(spark):
     assert "Broadcast" not in bounded_broadcast(big, 10)._jdf.queryExecution().analyzed().toString() or True
     plan = fact.join(bounded_broadcast(dim, 10), fact.code == dim.c)._jdf.queryExecution().executedPlan().toString()
     assert "Broadcast" in plan
+
+
+def test_seq_and_previous_matches_window(spark):
+    from strata.operators.scan import seq_and_previous
+    rnd = random.Random(11)
+    rows = [(rnd.choice("abc"), i, rnd.randint(0, 30), rnd.choice([None, 1, 2, 3])) for i in range(300)]
+    df = spark.createDataFrame(rows, "k string, pos long, t int, v int")
+    got = {r.pos: (r.seq, r.prev_v) for r in seq_and_previous(df, ["k"], ["t", "pos"], F.floor(F.col("t") / 7), ["v"]).collect()}
+    w = W.partitionBy("k").orderBy("t", "pos")
+    want = {r.pos: (r.s, r.p) for r in df.select("pos", F.row_number().over(w).alias("s"), F.lag("v").over(w).alias("p")).collect()}
+    assert got == want
