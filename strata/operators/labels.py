@@ -91,10 +91,17 @@ def score_rows(family: str) -> list[tuple]:
     return [(key, *[score(family, c) for c in coefs]) for key, coefs in COEFFICIENTS[family].items()]
 
 
+_TABLES: dict[tuple, DataFrame] = {}
+
+
 def score_table(spark: SparkSession, family: str) -> DataFrame:
-    from strata.sources.tables import literal_table
-    cols = ", ".join(f"{family}_{b} {SCORE_TYPE}" for b in BANDS)
-    return literal_table(spark, score_rows(family), f"__key string, {cols}")
+    """The family's score table (built once per session; it is a constant)."""
+    from strata.sources.tables import literal_table, session_key
+    k = (session_key(spark), family)
+    if k not in _TABLES:
+        cols = ", ".join(f"{family}_{b} {SCORE_TYPE}" for b in BANDS)
+        _TABLES[k] = literal_table(spark, score_rows(family), f"__key string, {cols}")
+    return _TABLES[k]
 
 
 def score_columns(family: str) -> list[str]:

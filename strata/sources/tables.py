@@ -86,16 +86,20 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
 _STAGED: dict[tuple, DataFrame] = {}
 
 
+def session_key(spark: SparkSession) -> str:
+    """Identity of the running application, for per-session caches of constant frames."""
+    try:
+        return spark.sparkContext.applicationId
+    except Exception:  # remote session
+        return spark.conf.get("spark.app.id", "remote")
+
+
 def staged(spark: SparkSession, key: tuple, build) -> DataFrame:
     """The staged topic for ``key`` in this session, built by ``build()`` on first use.
 
     A topic is produced once and read by all its consumers (the six log splits read
     one log topic, the CDC consumers one change topic)."""
-    try:
-        app = spark.sparkContext.applicationId
-    except Exception:  # remote session
-        app = spark.conf.get("spark.app.id", "remote")
-    k = (app, *key)
+    k = (session_key(spark), *key)
     if k not in _STAGED:
         _STAGED[k] = stage_topic(build())
     return _STAGED[k]
