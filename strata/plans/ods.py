@@ -129,14 +129,14 @@ def cdc_normalise(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 NORMALISED_SQL = f"""
-SELECT 'gmall' AS db, 'order_info' AS table_name, {ORDER_OP_SQL} AS op, false AS is_bootstrap,
+SELECT 'shop' AS db, 'order_info' AS table_name, {ORDER_OP_SQL} AS op, false AS is_bootstrap,
   CAST(o_orderkey AS VARCHAR) AS id, epoch_ms(o_orderdate) AS ts_ms,
   CASE WHEN o_orderstatus = 'P' THEN 'O' WHEN o_orderstatus = 'F' AND o_orderpriority = '5-LOW' THEN 'F' END AS status_before,
   CASE WHEN NOT (o_orderstatus = 'F' AND o_orderpriority = '5-LOW') THEN o_orderstatus END AS status_after,
   CAST(NULL AS VARCHAR) AS acctbal_before, CAST(NULL AS VARCHAR) AS acctbal_after
 FROM orders
 UNION ALL
-SELECT 'gmall', 'user_info',
+SELECT 'shop', 'user_info',
   CASE {CUST_TYPE_SQL} WHEN 'update' THEN 'u' WHEN 'insert' THEN 'c' ELSE 'r' END,
   c_mktsegment = 'AUTOMOBILE' AND c_acctbal >= 0,
   CAST(c_custkey AS VARCHAR), (1700000000 + c_custkey) * 1000, NULL, NULL,

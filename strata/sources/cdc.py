@@ -26,7 +26,7 @@ ENVELOPE_SCHEMA = T.StructType([
     T.StructField("ts", T.LongType()), T.StructField("data", M), T.StructField("old", M),
 ])
 
-DB = "gmall"
+DB = "shop"
 
 
 def _money_text(c: str):

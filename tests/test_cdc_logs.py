@@ -15,13 +15,13 @@ def lines(spark, items):
 
 def test_normalise_both_forms(spark):
     recs = [
-        json.dumps({"op": "c", "after": {"id": "1", "x": "a"}, "source": {"db": "gmall", "table": "t1"}, "ts_ms": 5}),
-        json.dumps({"op": "d", "before": {"id": "2"}, "after": None, "source": {"db": "gmall", "table": "t1"}, "ts_ms": 6}),
-        json.dumps({"op": "u", "before": {"id": "3"}, "after": {}, "source": {"db": "gmall", "table": "t1"}, "ts_ms": 7}),
-        json.dumps({"database": "gmall", "table": "t2", "type": "update", "ts": 10,
+        json.dumps({"op": "c", "after": {"id": "1", "x": "a"}, "source": {"db": "shop", "table": "t1"}, "ts_ms": 5}),
+        json.dumps({"op": "d", "before": {"id": "2"}, "after": None, "source": {"db": "shop", "table": "t1"}, "ts_ms": 6}),
+        json.dumps({"op": "u", "before": {"id": "3"}, "after": {}, "source": {"db": "shop", "table": "t1"}, "ts_ms": 7}),
+        json.dumps({"database": "shop", "table": "t2", "type": "update", "ts": 10,
                     "data": {"id": "4", "n": "new", "k": "same"}, "old": {"n": "old"}}),
-        json.dumps({"database": "gmall", "table": "t2", "type": "bootstrap-insert", "ts": 11, "data": {"id": "5"}}),
-        json.dumps({"database": "gmall", "table": "t2", "type": "delete", "ts": 12, "data": {"id": "6"}}),
+        json.dumps({"database": "shop", "table": "t2", "type": "bootstrap-insert", "ts": 11, "data": {"id": "5"}}),
+        json.dumps({"database": "shop", "table": "t2", "type": "delete", "ts": 12, "data": {"id": "6"}}),
         json.dumps({"op": "c", "after": {"id": "7"}, "source": {"db": "other", "table": "t1"}, "ts_ms": 8}),
         None,
     ]
@@ -31,9 +31,9 @@ def test_normalise_both_forms(spark):
     assert got["4"].op == "u" and got["4"].before == {"id": "4", "n": "old", "k": "same"} and got["4"].ts_ms == 10000
     assert got["5"].op == "r" and got["5"].is_bootstrap
     assert got["6"].op == "d" and got["6"].after is None and got["6"].before == {"id": "6"}
-    literal = {r.id for r in cdc.valid_changes(n, "gmall", keep_deletes=False, drop_bootstrap=False)
+    literal = {r.id for r in cdc.valid_changes(n, "shop", keep_deletes=False, drop_bootstrap=False)
                .select(cdc.row_id().alias("id")).collect()}
-    intent = {r.id for r in cdc.valid_changes(n, "gmall", keep_deletes=True, drop_bootstrap=True)
+    intent = {r.id for r in cdc.valid_changes(n, "shop", keep_deletes=True, drop_bootstrap=True)
               .select(cdc.row_id().alias("id")).collect()}
     assert literal == {"1", "4", "5"}          # deletes and empty 'after' never pass the literal filter
     assert intent == {"1", "2", "4", "6"}      # deletes with a before image pass; bootstrap dropped
