@@ -18,6 +18,7 @@ from collections.abc import Iterator, Sequence
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 
@@ -240,3 +241,33 @@ def per_trigger_window(aggregate, sink):
         res = aggregate(batch).withColumn("proc_time", F.current_timestamp())
         sink(res, epoch_id)
     return run
+
+
+# ---- D5 as a transformWithState processor (chains into event-time windows) ---------------------
+
+class LoginDays(StatefulProcessor):
+    """D5 per user: one row per login day (uu=1) with back=1 after a gap of ``back_days``.
+    State: the last login day."""
+
+    def __init__(self, back_days: int = 8):
+        self.back_days = back_days
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.last = handle.getValueState("last_day", "d string")
+
+    def handleInputRows(self, key, rows, timerValues):
+        last = _dt.date.fromisoformat(self.last.get()[0]) if self.last.exists() else None
+        out = []
+        for r in _rows(rows, ["ts", "event_id"]).itertuples(index=False):
+            d = r.ts.date()
+            if last == d:
+                continue
+            back = 1 if (last is not None and (d - last).days >= self.back_days) else 0
+            out.append((key[0], r.ts, r.event_id, 1, back))
+            last = d
+        if last is not None:
+            self.last.update((last.isoformat(),))
+        yield pd.DataFrame(out, columns=["uid", "ts", "event_id", "uu", "back"])
+
+    def close(self) -> None:
+        pass

@@ -44,3 +44,17 @@ def traffic_window_stream(logs: DataFrame, size: str = "1 hour", delay: str = "1
     both = rows.unionByName(firsts)
     return tumbling(both, "ts", size, dims, [
         F.sum("uv").alias("uv_ct"), F.sum("sv").alias("sv_ct"), F.sum("pv").alias("pv_ct"), F.sum("dur").alias("dur_sum")])
+
+
+def login_window_stream(logins: DataFrame, size: str = "1 day", delay: str = "1 day",
+                        back_days: int = 8) -> DataFrame:
+    """A6 with D5: unique and returning users per window.  The per-user state (last login
+    day) lives in a ``transformWithStateInPandas`` processor that declares ``ts`` as its
+    output event time, so the windowed sum after it runs in append mode."""
+    from strata.streaming.stateful import LoginDays
+    days = (logins.select("uid", "ts", "event_id").withWatermark("ts", delay).groupBy("uid")
+            .transformWithStateInPandas(statefulProcessor=LoginDays(back_days),
+                                        outputStructType="uid string, ts timestamp, event_id long, uu int, back int",
+                                        outputMode="Append", timeMode="None", eventTimeColumnName="ts"))
+    return tumbling(days, "ts", size, [], [F.sum("back").cast("bigint").alias("back_ct"),
+                                           F.sum("uu").cast("bigint").alias("uu_ct")])

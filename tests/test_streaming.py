@@ -287,3 +287,14 @@ def test_traffic_window_stream_equals_batch(spark, event_dir, sf_small):
         F.date_format(F.max("ts") - F.expr("INTERVAL 1 DAY"), "yyyy-MM-dd HH:mm:ss")).first()[0]
     cols = ["stt", "vc", "ch", "ar", "is_new", "uv_ct", "sv_ct", "pv_ct", "dur_sum"]
     assert rows(got, cols) == rows(want.filter(F.col("edt") <= F.lit(cutoff)), cols)
+
+
+def test_login_window_stream_equals_batch(spark, event_dir, sf_small):
+    from strata.streaming.windows import login_window_stream
+    logins = stream_events(spark, event_dir).filter(F.col("event_type") == "signup")
+    got = run_to_memory(login_window_stream(logins), "loginwin")
+    want = entry.queries()["user_login_window"](spark, sf_small)
+    cutoff = batch_logs(spark, sf_small).filter(F.col("event_type") == "signup").agg(
+        F.date_format(F.max("ts") - F.expr("INTERVAL 1 DAY"), "yyyy-MM-dd HH:mm:ss")).first()[0]
+    cols = ["stt", "back_ct", "uu_ct"]
+    assert rows(got, cols) == rows(want.filter(F.col("edt") <= F.lit(cutoff)), cols)
