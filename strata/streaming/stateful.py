@@ -271,3 +271,39 @@ class LoginDays(StatefulProcessor):
 
     def close(self) -> None:
         pass
+
+
+class NetAmount(StatefulProcessor):
+    """D6 per detail id as a transformWithState processor: every version is emitted, and a
+    repeat first emits the previous version negated, so sums over any grouping of the
+    output equal sums over the latest versions.  State: the previous amount.  Rows carry
+    their event time (``create_time``) through, so event-time windows can follow."""
+
+    def __init__(self, order: Sequence[str], carry: Sequence[str]):
+        self.order, self.carry = list(order), list(carry)
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.prev = handle.getValueState("prev", "amount string, carry string")
+
+    def handleInputRows(self, key, rows, timerValues):
+        from decimal import Decimal
+        prev = None
+        if self.prev.exists():
+            amount, carry = self.prev.get()
+            prev = (Decimal(amount), json.loads(carry))
+        out = []
+        for r in _rows(rows, self.order).to_dict("records"):
+            if prev is not None:
+                out.append({**prev[1], "amount": -prev[0], "is_retraction": 1})
+            carry = {c: r[c] for c in self.carry}
+            out.append({**carry, "amount": r["amount"], "is_retraction": 0})
+            prev = (r["amount"], carry)
+        if prev is not None:
+            self.prev.update((str(prev[0]), json.dumps(prev[1], default=str)))
+        frame = pd.DataFrame(out, columns=[*self.carry, "amount", "is_retraction"])
+        if "create_time" in frame:
+            frame["create_time"] = pd.to_datetime(frame["create_time"])
+        yield frame
+
+    def close(self) -> None:
+        pass

@@ -298,3 +298,25 @@ def test_login_window_stream_equals_batch(spark, event_dir, sf_small):
         F.date_format(F.max("ts") - F.expr("INTERVAL 1 DAY"), "yyyy-MM-dd HH:mm:ss")).first()[0]
     cols = ["stt", "back_ct", "uu_ct"]
     assert rows(got, cols) == rows(want.filter(F.col("edt") <= F.lit(cutoff)), cols)
+
+
+def test_province_window_stream_equals_batch(spark, sf_small, tmp_path):
+    from strata.streaming.windows import province_window_stream
+    src = tmp_path / "details"
+    o = t.read(spark, sf_small, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey",
+                                                 F.col("o_orderdate").alias("create_time"))
+    det = t.order_detail(spark, sf_small).select(*t.DETAIL_KEY, *t.DETAIL_ORDER,
+                                                 F.col("split_total_amount").cast("decimal(38,4)").alias("amount"))
+    feed = (det.join(o, "l_orderkey").withColumn("order_id", F.col("l_orderkey"))
+            .withColumn("chunk", F.year("create_time")))
+    # change records arrive in order-date order, the versions of a detail in version order
+    for y in sorted(r.chunk for r in feed.select("chunk").distinct().collect()):
+        feed.filter(F.col("chunk") == y).drop("chunk").coalesce(1).write.mode("append").parquet(str(src))
+    stream = spark.readStream.schema(spark.read.parquet(str(src)).schema).option("maxFilesPerTrigger", 1).parquet(str(src))
+    cust = t.read(spark, sf_small, "customer").select("c_custkey", "c_nationkey")
+    prov = t.read(spark, sf_small, "nation").select(F.col("n_nationkey").alias("province_id"), F.col("n_name").alias("province_name"))
+    got = run_to_memory(province_window_stream(stream, cust, prov, list(t.DETAIL_ORDER)), "province")
+    want = entry.queries()["province_order_window"](spark, sf_small)
+    cutoff = o.agg(F.date_format(F.max("create_time") - F.expr("INTERVAL 1 DAY"), "yyyy-MM-dd HH:mm:ss")).first()[0]
+    cols = ["stt", "province_id", "province_name", "order_amount", "order_count"]
+    assert rows(got, cols) == rows(want.filter(F.col("edt") <= F.lit(cutoff)), cols)
