@@ -320,3 +320,20 @@ def test_province_window_stream_equals_batch(spark, sf_small, tmp_path):
     cutoff = o.agg(F.date_format(F.max("create_time") - F.expr("INTERVAL 1 DAY"), "yyyy-MM-dd HH:mm:ss")).first()[0]
     cols = ["stt", "province_id", "province_name", "order_amount", "order_count"]
     assert rows(got, cols) == rows(want.filter(F.col("edt") <= F.lit(cutoff)), cols)
+
+
+def test_dim_build_stream(spark, sf_small, tmp_path):
+    from strata.plans.ods import DIM_CONFIG_CHANGES
+    from strata.sources.cdc import DB, cdc_topic
+    from strata.streaming.upsert import dim_build_sink
+    src = tmp_path / "topic"
+    cdc_topic(spark, sf_small).write.text(str(src))
+    cfg = t.literal_table(spark, DIM_CONFIG_CHANGES, "op string, before map<string,string>, after map<string,string>, ts_ms bigint")
+    root = tmp_path / "dims"
+    q = run_stream(read_lines(spark, str(src)), dim_build_sink(cfg, str(root), DB, buckets=8), "dimbuild",
+                   checkpoint=str(tmp_path / "ckpt"))
+    q.awaitTermination(300)
+    got = spark.read.parquet(str(root / "dim_user_info")).select(
+        F.concat(F.lit("id="), "id", F.lit(",name="), "name", F.lit(",segment="), "segment").alias("columns"))
+    want = entry.queries()["cdc_config_route_dim"](spark, sf_small).select("columns")
+    assert rows(got, ["columns"]) == rows(want, ["columns"])
