@@ -82,3 +82,16 @@ def province_window_stream(details: DataFrame, customers: DataFrame, provinces:
         F.sum("amount").cast("decimal(38,4)").alias("order_amount"),
         F.size(F.collect_set("order_id")).cast("bigint").alias("order_count")])
     return win.join(F.broadcast(provinces), "province_id", "left")
+
+
+def dwd_route_stream(lines: DataFrame, config: DataFrame, db: str) -> DataFrame:
+    """Config-driven facts (P2, P5, J2, P11) on a change topic: a stateless stream-static
+    join with the current fact config; write it with ``partition_by=["sink_table"]`` (or to
+    a message queue with a ``topic`` column) for the per-table outputs (S6)."""
+    from strata.operators import cdc
+    changes = cdc.normalise(cdc.parse_envelopes(lines))
+    valid = cdc.valid_changes(changes, db, keep_deletes=True, drop_bootstrap=True)
+    r = cdc.route_by_config(valid, config, [("table_name", "source_table"), ("op", "source_type")])
+    pruned = cdc.prune_columns(F.col("after"), F.col("config")["sink_columns"])
+    return r.select(F.col("config")["sink_table"].alias("sink_table"), cdc.row_id().alias("id"),
+                    cdc.map_text(pruned).alias("columns"), "ts_ms")

@@ -337,3 +337,24 @@ def test_dim_build_stream(spark, sf_small, tmp_path):
         F.concat(F.lit("id="), "id", F.lit(",name="), "name", F.lit(",segment="), "segment").alias("columns"))
     want = entry.queries()["cdc_config_route_dim"](spark, sf_small).select("columns")
     assert rows(got, ["columns"]) == rows(want, ["columns"])
+
+
+def test_dwd_route_stream(spark, sf_small, tmp_path):
+    from strata.operators import cdc
+    from strata.plans.ods import DWD_CONFIG
+    from strata.sources.cdc import DB, cdc_topic
+    from strata.streaming.windows import dwd_route_stream
+    src = tmp_path / "topic"
+    cdc_topic(spark, sf_small).write.text(str(src))
+    cfg_rows = [("r", None, c, 1) for c in DWD_CONFIG]
+    cfg = cdc.latest_config(t.literal_table(spark, cfg_rows, "op string, before map<string,string>, "
+                                                             "after map<string,string>, ts_ms bigint"),
+                            ["source_table", "source_type"])
+    out = tmp_path / "facts"
+    q = run_stream(dwd_route_stream(read_lines(spark, str(src)), cfg, DB), str(out), "dwdroute",
+                   partition_by=["sink_table"], checkpoint=str(tmp_path / "ckpt"))
+    q.awaitTermination(300)
+    got = spark.read.parquet(str(out))
+    want = entry.queries()["cdc_config_route_dwd"](spark, sf_small)
+    cols = ["sink_table", "id", "columns", "ts_ms"]
+    assert rows(got, cols) == rows(want, cols)
