@@ -358,3 +358,41 @@ def test_dwd_route_stream(spark, sf_small, tmp_path):
     want = entry.queries()["cdc_config_route_dwd"](spark, sf_small)
     cols = ["sink_table", "id", "columns", "ts_ms"]
     assert rows(got, cols) == rows(want, cols)
+
+
+def test_order_detail_fact_stream_upsert(spark, sf_small, tmp_path):
+    """J4 + S7 stream form: detail change stream x static order_info, left activity and
+    coupon, upserted by detail id (last version wins) into a partitioned table."""
+    from strata.operators import facts as fx
+    from strata.plans import dwd
+    from strata.streaming.upsert import read_table, upsert_sink
+    src = tmp_path / "details"
+    raw = t.order_detail(spark, sf_small)
+    raw.select(fx.detail_id().alias("id"), F.col("l_orderkey").alias("order_id"),
+               F.col("sku_id").cast("string").alias("sku_id"), F.col("sku_num").cast("string").alias("sku_num"),
+               *[fx.amount_text(c).alias(c) for c in ("split_original_amount", "split_activity_amount",
+                                                     "split_coupon_amount", "split_total_amount")],
+               F.unix_millis("l_shipdate").cast("string").alias("create_time"), F.unix_millis("l_shipdate").alias("ts_ms"),
+               F.struct(*[F.col(c) for c in t.DETAIL_ORDER]).alias("version_key")).write.parquet(str(src))
+    act, cou = dwd._links(dwd.detail_table(spark, sf_small))
+    stream = spark.readStream.schema(spark.read.parquet(str(src)).schema).parquet(str(src))
+    out = str(tmp_path / "fact")
+    sink = upsert_sink(out, ["id", "ds"], ["version_key"], "ds")
+    q = run_stream(_fact_rows(stream, act, cou, spark, sf_small), sink, "odfact", checkpoint=str(tmp_path / "ck"))
+    q.awaitTermination(300)
+    got = read_table(spark, out, _fact_rows(spark.read.parquet(str(src)), act, cou, spark, sf_small).schema)
+    want = entry.queries()["order_detail_fact"](spark, sf_small)
+    cols = ["id", "order_id", "user_id", "province_id", "activity_id", "coupon_id", "date_id", "split_total_amount"]
+    assert rows(got, cols) == rows(want, cols)
+
+
+def _fact_rows(details, act, cou, spark, sf_small):
+    """Fact rows of J4 plus the version (upsert order) and ds (order year: a detail's
+    versions share it, so the key (id, ds) stays in one partition)."""
+    from strata.functions.dates import ms_to_date_text
+    from strata.plans import dwd
+    j = details.join(dwd.order_info(spark, sf_small), "order_id").join(act, "id", "left").join(cou, "id", "left")
+    return j.select("id", "order_id", "user_id", "sku_id", "province_id", "activity_id", "activity_rule_id", "coupon_id",
+                    ms_to_date_text("create_time").alias("date_id"), "create_time", "sku_num",
+                    "split_original_amount", "split_activity_amount", "split_coupon_amount", "split_total_amount",
+                    "ts_ms", "version_key", F.date_format(F.timestamp_millis("order_ts_ms"), "yyyy").alias("ds"))
