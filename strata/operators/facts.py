@@ -36,13 +36,16 @@ def status_filter(df: DataFrame, status_col: str, statuses) -> DataFrame:
     return df.filter(F.col(status_col).isin(*statuses))
 
 
-def cart_add(changes: DataFrame) -> DataFrame:
+def cart_add(changes: DataFrame, literal: bool = False) -> DataFrame:
     """cart adds from cart_info changes.
 
     Inserts add their whole quantity; updates add ``after - before`` when the
-    quantity grew (intent; the literal predicate compared a value with itself).
+    quantity grew (intent).  ``literal=True`` reproduces the reference predicate,
+    which compares the new quantity with itself and so passes snapshot rows only.
     Input columns: op, sku_num_after, sku_num_before.
     """
+    if literal:
+        return changes.filter(F.col("op") == "r").withColumn("sku_num", F.col("sku_num_after"))
     grown = (F.col("op") == "u") & (F.col("sku_num_after") > F.col("sku_num_before"))
     return (changes.filter((F.col("op").isin("c", "r")) | grown)
             .withColumn("sku_num", F.when(F.col("op") == "u", F.col("sku_num_after") - F.col("sku_num_before"))

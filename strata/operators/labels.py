@@ -140,12 +140,25 @@ def key_sql(family: str, expr: str) -> str:
     return f"CASE WHEN {expr} IS NULL THEN NULL WHEN {expr} IN ({lst}) THEN {expr} ELSE '{OTHER}' END"
 
 
-def band_totals(df: DataFrame, families: list[str], out_prefix: str = "total") -> DataFrame:
-    """X8 (intent): per band, the sum of all families' scores, a missing score counting 0."""
+# Literal reference behaviour of X8: mixed key spellings drop the four order families
+# from bands 35-39 and 40-49, and device/search are not joined yet in any band.
+LITERAL_DROPPED = {"35_39": {"pay_time", "amount", "tm", "b1name"}, "40_49": {"pay_time", "amount", "tm", "b1name"}}
+LITERAL_MISSING = {"device", "search"}
+
+
+def band_totals(df: DataFrame, families: list[str], out_prefix: str = "total", literal: bool = False) -> DataFrame:
+    """Per band, the sum of all families' scores, a missing score counting 0 (intent).
+
+    ``literal=True`` reproduces the reference's totals (see LITERAL_DROPPED)."""
     cols = []
     for b in BANDS:
         s = None
-        for f in families:
+        used = [f for f in families
+                if not literal or (f not in LITERAL_MISSING and f not in LITERAL_DROPPED.get(b, set()))]
+        if not used:
+            cols.append(F.lit(0).cast("decimal(8,3)").alias(f"{out_prefix}_{b}"))
+            continue
+        for f in used:
             c = F.coalesce(F.col(f"{f}_{b}"), F.lit(0).cast(SCORE_TYPE))
             s = c if s is None else s + c
         cols.append(s.cast("decimal(8,3)").alias(f"{out_prefix}_{b}"))

@@ -153,3 +153,18 @@ def test_seq_and_previous_matches_window(spark):
     w = W.partitionBy("k").orderBy("t", "pos")
     want = {r.pos: (r.s, r.p) for r in df.select("pos", F.row_number().over(w).alias("s"), F.lag("v").over(w).alias("p")).collect()}
     assert got == want
+
+
+def test_literal_modes(spark):
+    from strata.operators.facts import cart_add
+    ch = spark.createDataFrame([("r", 3, None), ("c", 2, None), ("u", 5, 2), ("u", 1, 4)],
+                               "op string, sku_num_after int, sku_num_before int")
+    assert sorted(r.sku_num for r in cart_add(ch).collect()) == [2, 3, 3]
+    assert [r.sku_num for r in cart_add(ch, literal=True).collect()] == [3]
+    fams = ["device", "search", "pay_time", "amount", "tm", "b1name"]
+    row = [1] * (6 * len(fams))
+    df = spark.createDataFrame([tuple(row)], ", ".join(f"{f}_{b} int" for f in fams for b in lb.BANDS))
+    intent = lb.band_totals(df, fams).select([f"total_{b}" for b in lb.BANDS]).first()
+    literal = lb.band_totals(df, fams, literal=True).select([f"total_{b}" for b in lb.BANDS]).first()
+    assert [int(x) for x in intent] == [6] * 6
+    assert [int(x) for x in literal] == [4, 4, 4, 0, 0, 4]
