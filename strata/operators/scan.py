@@ -77,9 +77,11 @@ def seq_and_previous(df: DataFrame, key: Sequence[str], order: Sequence[str], ch
     d = df.withColumn("__chunk", chunk)
     wc = W.partitionBy(*key, "__chunk").orderBy(*order)
     inner = d.select("*", F.row_number().over(wc).alias("__rn"),
+                     F.count("*").over(W.partitionBy(*key, "__chunk")).alias("__n"),
                      *[F.lag(v).over(wc).alias(f"__lag_{v}") for v in values])
-    last = F.max_by(F.struct(*[F.col(v) for v in values]), F.struct(*[F.col(o) for o in order]))
-    per_chunk = d.groupBy(*key, "__chunk").agg(F.count("*").alias("__n"), last.alias("__last"))
+    # each chunk's last row, taken from the ranked rows (no second pass over the data)
+    per_chunk = inner.filter(F.col("__rn") == F.col("__n")).select(
+        *key, "__chunk", "__n", F.struct(*[F.col(v) for v in values]).alias("__last"))
     wk = W.partitionBy(*key).orderBy("__chunk")
     carried = per_chunk.select(
         *key, "__chunk",
