@@ -28,7 +28,7 @@ def normalise(env: DataFrame) -> DataFrame:
     """
     form1 = F.col("op").isNotNull()
     typ = F.col("type")
-    op2 = F.coalesce(F.element_at(F.create_map(*[x for kv in FORM2_OPS.items() for x in map(F.lit, kv)]), typ),
+    op2 = F.coalesce(F.try_element_at(F.create_map(*[x for kv in FORM2_OPS.items() for x in map(F.lit, kv)]), typ),
                      F.when(typ.startswith("bootstrap-"), F.lit("r")))
     unchanged = F.map_filter(F.col("data"), lambda k, v: ~F.array_contains(F.map_keys(F.col("old")), k))
     before2 = F.when(F.col("old").isNotNull(), F.map_concat(unchanged, F.col("old")))

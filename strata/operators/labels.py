@@ -169,7 +169,7 @@ def age_band(prefix: str = "total") -> Column:
     """The band with the largest total; the first band wins ties."""
     totals = F.array(*[F.col(f"{prefix}_{b}") for b in BANDS])
     names = F.array(*[F.lit(n) for n in BAND_NAMES])
-    return F.element_at(names, F.array_position(totals, F.array_max(totals)).cast("int"))
+    return F.try_element_at(names, F.array_position(totals, F.array_max(totals)).cast("int"))
 
 
 def max_band_map(prefix: str = "total") -> Column:

@@ -102,7 +102,7 @@ def page_label(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.count("*").alias("pv"), F.collect_set("os").alias("os_arr"), _set_text("ch").alias("ch"),
         _set_text("md").alias("md"), _set_text("ba").alias("ba"), F.collect_set("search_item").alias("s_arr"))
     judge = (F.when(F.array_contains("os_arr", "iOS"), "iOS").when(F.array_contains("os_arr", "Android"), "Android")
-             .otherwise(F.element_at(F.array_sort("os_arr"), 1)))
+             .otherwise(F.try_element_at(F.array_sort("os_arr"), F.lit(1))))
     agg = agg.select("uid", "pv", F.array_join(F.array_sort("os_arr"), ",").alias("os"), "ch", "md", "ba",
                      F.array_join(F.array_sort("s_arr"), ",").alias("search_item"), judge.alias("judge_os"),
                      F.when(F.size("s_arr") == 1, F.element_at("s_arr", 1)).alias("single_word"))
@@ -265,8 +265,8 @@ def user_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     doc = profile_document(combined(spark, sf_dir))
     m = F.col("calculate.max_band")
     return doc.select("uid", "base.name", "base.gender", "base.age", "base.zodiac_sign", "device.judge_os", "log.pv",
-                      F.element_at(F.map_keys(m), 1).alias("max_band"),
-                      F.element_at(F.map_values(m), 1).alias("max_band_score"), "ds")
+                      F.try_element_at(F.map_keys(m), F.lit(1)).alias("max_band"),
+                      F.try_element_at(F.map_values(m), F.lit(1)).alias("max_band_score"), "ds")
 
 
 query("user_profile", f"""
