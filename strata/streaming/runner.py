@@ -100,3 +100,29 @@ def day_bucket_stream(lines: DataFrame, line_col: str, field: str, path: str, na
     return run_stream(out, path, name, fmt="text", partition_by=["day"],
                       trigger=trigger or {"processingTime": roll},
                       options={"maxRecordsPerFile": max_records_per_file}, checkpoint=checkpoint)
+
+
+def log_split_stream(lines: DataFrame, root: str, name: str, checkpoint: str | None = None,
+                     trigger: dict | None = None) -> StreamingQuery:
+    """The app-log split job (P1, D1, R1-R6) as one stream: parse, repair ``is_new`` per mid
+    (stateful, the record travels through the state step as JSON text), then write the
+    err / start / display / action / page outputs of each micro-batch under
+    ``root/<output>`` (fan-out, the batch persisted once)."""
+    from strata.operators import logs as lg
+    from strata.streaming.stateful import new_visitor_records_stream
+
+    parsed = lg.clean(lg.parse_logs(lines))
+    keyed = parsed.select(F.col("common.mid").alias("mid"), F.col("ts").alias("ts_ms"),
+                          F.col("common.is_new").alias("is_new"), F.to_json(F.struct(*parsed.columns)).alias("line"))
+    fixed = new_visitor_records_stream(keyed)
+    outputs = {out: ((lambda b, out=out: lg.split_logs(repaired_records(b))[out]
+                      .select(F.to_json(F.struct("*")).alias("value"))), f"{root}/{out}")
+               for out in ("err", "start", "display", "action", "page")}
+    return run_stream(fixed, fan_out(outputs), name, checkpoint=checkpoint, trigger=trigger)
+
+
+def repaired_records(batch: DataFrame) -> DataFrame:
+    """Records (line, is_new_fixed) back to log rows with the repaired ``common.is_new``."""
+    from strata.operators.logs import LOG_SCHEMA
+    rec = batch.select(F.from_json("line", LOG_SCHEMA).alias("r"), "is_new_fixed").select("r.*", "is_new_fixed")
+    return rec.withColumn("common", F.col("common").withField("is_new", F.col("is_new_fixed"))).drop("is_new_fixed")

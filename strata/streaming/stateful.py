@@ -307,3 +307,24 @@ class NetAmount(StatefulProcessor):
 
     def close(self) -> None:
         pass
+
+
+# ---- D1 carrying whole log records (for the log split job) --------------------------------------
+
+def new_visitor_records_stream(records: DataFrame) -> DataFrame:
+    """D1 over parsed log records (mid, ts_ms, is_new, line): every record passes through
+    with ``is_new`` repaired; state per mid = first visit date (no expiry)."""
+    def fn(key, pdfs, state: GroupState):
+        first = state.get[0] if state.exists else None
+        out = []
+        for r in _rows(pdfs, ["ts_ms", "line"]).itertuples(index=False):
+            d = _dt.datetime.fromtimestamp(r.ts_ms / 1000, _dt.timezone.utc).date()
+            if first is None:
+                first = (d if r.is_new == "1" else d - _dt.timedelta(days=1)).isoformat()
+            fixed = "0" if (r.is_new == "1" and first != d.isoformat()) else r.is_new
+            out.append((r.line, fixed))
+        state.update((first,))
+        yield pd.DataFrame(out, columns=["line", "is_new_fixed"])
+
+    return records.select("mid", "ts_ms", "is_new", "line").groupBy("mid").applyInPandasWithState(
+        fn, "line string, is_new_fixed string", "first_date string", "append", GroupStateTimeout.NoTimeout)

@@ -416,3 +416,24 @@ def test_per_trigger_window(spark, event_dir, tmp_path):
     assert got.select("epoch").distinct().count() == CHUNKS
     assert got.filter(F.col("proc_time").isNull()).count() == 0
     assert got.agg(F.sum("n")).first()[0] == spark.read.parquet(event_dir).count()
+
+
+def test_log_split_stream_with_new_visitor_fix(spark, sf_small, tmp_path):
+    """P1 + D1 + R1-R6 in one stream: page outputs carry the repaired is_new of the batch D1 query."""
+    from strata.sources.applog import raw_log_lines
+    from strata.streaming.runner import log_split_stream
+    src = tmp_path / "raw"
+    raw_log_lines(t.events(spark, sf_small)).write.text(str(src))
+    root = str(tmp_path / "split")
+    q = log_split_stream(read_lines(spark, str(src)), root, "logsplit", checkpoint=str(tmp_path / "ck"),
+                         trigger={"availableNow": True})
+    q.awaitTermination(300)
+    pages = spark.read.parquet(f"{root}/page").select(F.from_json("value", "common struct<mid string, is_new string>, "
+                                                                            "ts long").alias("r")).select("r.*")
+    got = rows(pages.select("common.mid", "ts", F.col("common.is_new").alias("is_new")), ["mid", "ts", "is_new"])
+    fix = entry.queries()["new_visitor_fix"](spark, sf_small).select("event_id", "mid", "is_new")
+    ev = batch_logs(spark, sf_small).select("event_id", "ts_ms", "event_type", "k")
+    want = (fix.join(ev, "event_id").filter((F.col("event_type") != "signup") & (F.col("k") != 0))
+            .select("mid", F.col("ts_ms").alias("ts"), "is_new"))
+    assert got == rows(want, ["mid", "ts", "is_new"])
+    assert spark.read.parquet(f"{root}/display").count() == entry.queries()["log_display"](spark, sf_small).count()
