@@ -1,6 +1,5 @@
 """Catalog, lifecycle, topic views, point reads."""
 
-from pyspark.sql import functions as F
 
 from strata.operators.merge import bounded_scan, delete_keys, point_read
 from strata.sources import catalog
