@@ -37,3 +37,30 @@ def test_filters_pushed_to_scan(spark, sf_small):
     assert re.search(r"PushedFilters: \[[^\]]*EqualTo\(event_type,purchase\)", plan)
     plan = plan_of(spark, sf_small, "interval_join")
     assert re.search(r"PushedFilters: \[[^\]]*EqualTo\(event_type,click\)", plan)
+
+
+USER_KEYS = {"uid", "user_id", "mid", "o_custkey"}
+# windows over a user key alone are allowed only where the rows per user are bounded
+# (distinct login days of one user, one row per chunk in the two-level scans)
+BOUNDED = {"user_login_window", "monotone_filter", "running_user_profile"}
+
+
+def window_partitions(plan):
+    out = []
+    for spec in re.findall(r"windowspecdefinition\(([^)]*)\)", plan):
+        parts = [p.strip() for p in spec.split(",")]
+        keys = []
+        for p in parts:
+            if " ASC" in p or " DESC" in p or p.startswith("specifiedwindowframe"):
+                break
+            keys.append(re.sub(r"#\d+L?$", "", p))
+        out.append(keys)
+    return out
+
+
+@pytest.mark.parametrize("name", NAMES)
+def test_no_unbounded_window_over_a_user_key(spark, sf_small, name):
+    plan = plan_of(spark, sf_small, name)
+    for keys in window_partitions(plan):
+        if len(keys) == 1 and keys[0] in USER_KEYS:
+            assert name in BOUNDED, f"{name}: window partitioned by {keys} alone"
