@@ -168,3 +168,29 @@ def test_literal_modes(spark):
     literal = lb.band_totals(df, fams, literal=True).select([f"total_{b}" for b in lb.BANDS]).first()
     assert [int(x) for x in intent] == [6] * 6
     assert [int(x) for x in literal] == [4, 4, 4, 0, 0, 4]
+
+
+def test_hot_key_holding_a_third_of_rows(spark):
+    """One key with a third of all rows: the skew-safe forms stay exact."""
+    from strata.operators.scan import seq_and_previous
+    rnd = random.Random(5)
+    rows = [("hot" if i % 3 == 0 else f"k{rnd.randint(0, 200)}", i, rnd.randint(0, 10_000), rnd.randint(0, 9))
+            for i in range(3000)]
+    df = spark.createDataFrame(rows, "k string, pos long, t long, v int")
+    chunk = F.floor(F.col("t") / 500)
+    # latest per key (map-side group limit) and per-key aggregate form agree with Python
+    want_last = {}
+    for k, pos, tt, v in rows:
+        if k not in want_last or (tt, pos) > want_last[k][:2]:
+            want_last[k] = (tt, pos, v)
+    got1 = {r.k: (r.t, r.pos, r.v) for r in latest_per_entity(df, ["k"], ["t", "pos"]).collect()}
+    got2 = {r.k: (r.t, r.pos, r.v) for r in latest_per_key(df, ["k"], ["t", "pos"]).collect()}
+    assert got1 == want_last == got2
+    # two-level position / previous value over the hot key
+    s = {r.pos: (r.seq, r.prev_v) for r in seq_and_previous(df, ["k"], ["t", "pos"], chunk, ["v"]).collect()}
+    hot = sorted((tt, pos, v) for k, pos, tt, v in rows if k == "hot")
+    for i, (tt, pos, v) in enumerate(hot):
+        assert s[pos] == (i + 1, hot[i - 1][2] if i else None)
+    # the largest (key, chunk) group the scan ranks in one task is a slice of the hot key
+    biggest = df.groupBy("k", chunk.alias("c")).count().agg(F.max("count")).first()[0]
+    assert biggest < len(hot) / 10
