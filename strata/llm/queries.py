@@ -100,9 +100,9 @@ SELECT page_id, host, path, rule, CASE WHEN rule IN ('example.com/de/', 'net/')
 
 ORACLE_SQL["op3_top_k"] = r"""
 WITH v AS (
-  SELECT vec_id, list_transform(embedding, x -> floor(256 * CAST(x AS DOUBLE))) AS v FROM embeddings
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v FROM embeddings
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
-    AND len(list_filter(embedding, x -> x IS NOT NULL AND isfinite(x))) = len(embedding)),
+    AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)),
 s AS (
   SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
   FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v) WHERE q.vec_id % 50 = 0),
@@ -115,11 +115,11 @@ WITH h AS (SELECT page_id, encode(coalesce(html, '')) AS b FROM pages),
 d AS (SELECT page_id, octet_length(b) AS n, lower(sha1(b)) AS s FROM h),
 w AS (
   SELECT page_id, n, s, list_aggregate(list_transform(range(1, 41),
-    i -> substr('0000000100100011010001010110011110001001101010111100110111101111', 4 * (instr('0123456789abcdef', substr(s, i, 1)) - 1) + 1, 4)),
+    lambda i: substr('0000000100100011010001010110011110001001101010111100110111101111', 4 * (instr('0123456789abcdef', substr(s, i, 1)) - 1) + 1, 4)),
     'string_agg', '') AS bits FROM d),
 e AS (
   SELECT page_id, n, s, list_aggregate(list_transform(range(0, 32),
-    k -> substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + 16 * CAST(substr(bits, 5 * k + 1, 1) AS INTEGER) + 8 * CAST(substr(bits, 5 * k + 2, 1) AS INTEGER)
+    lambda k: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + 16 * CAST(substr(bits, 5 * k + 1, 1) AS INTEGER) + 8 * CAST(substr(bits, 5 * k + 2, 1) AS INTEGER)
       + 4 * CAST(substr(bits, 5 * k + 3, 1) AS INTEGER) + 2 * CAST(substr(bits, 5 * k + 4, 1) AS INTEGER) + CAST(substr(bits, 5 * k + 5, 1) AS INTEGER), 1)),
     'string_agg', '') AS digest, min(page_id) OVER (PARTITION BY s) AS first FROM w)
 SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, digest AS payload_digest,
@@ -129,10 +129,10 @@ SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, digest AS payload_digest,
 
 ORACLE_SQL["op8_metric_join"] = r"""
 WITH RECURSIVE v AS (
-  SELECT vec_id, label, list_transform(embedding, x -> CAST(x AS DOUBLE)) AS x FROM embeddings
+  SELECT vec_id, label, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS x FROM embeddings
   WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
-    AND len(list_filter(embedding, x -> x IS NOT NULL AND isfinite(x))) = len(embedding)
-    AND len(list_filter(embedding, x -> x <> 0)) > 0),
+    AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
 n AS (SELECT vec_id, label, x, sqrt(list_inner_product(x, x)) AS l FROM v),
 links AS (
   SELECT a.vec_id AS a, b.vec_id AS b FROM n a JOIN n b ON a.label = b.label AND len(a.x) = len(b.x) AND a.vec_id <> b.vec_id
