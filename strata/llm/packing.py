@@ -8,7 +8,6 @@ of the bins' free capacities finds in logarithmic time.  Groups are independent
 from __future__ import annotations
 
 import os
-import re
 import zlib
 
 import numpy as np
@@ -20,59 +19,57 @@ from strata.llm.common import cut, id_back, id_key
 
 SEQUENCE = 1024
 GROUP_ITEMS = 2000        # rests of a group, in expectation
-CACHE_WORDS = 200_000     # words whose ids a worker remembers
-CACHE_CHARS = 48
 TOKENIZER = os.environ.get("STRATA_TOKENIZER", "byte_bpe_50k.json")
 
 
-class WordTokenizer:
-    """Ids of a byte-level BPE file as little-endian unsigned 32-bit bytes.
+# Fixed value: the split pattern of this kind of tokenizer file.
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
-    The tokenizer splits before a space between two other characters, whatever stands around, so a
-    text is cut there and the ids of a word with its space are remembered.  Ids equal those of the
-    whole text."""
+
+def _byte_signs() -> dict[str, int]:
+    """The sign that a byte-level vocabulary writes for each byte: itself if printable, else from 256 on."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    other = [b for b in range(256) if b not in plain]
+    return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(other)}
+
+
+class ByteTokenizer:
+    """Ids of a byte-level BPE file, as little-endian unsigned 32-bit bytes.
+
+    The file's vocabulary is ranked in the order of its merges, so a rank encoder gives the same ids
+    faster; texts that hold a special token's string, or that the encoder can't take, go through the
+    file's own tokenizer."""
 
     def __init__(self, path: str):
+        import tiktoken
         from tokenizers import Tokenizer
-        self.encode = Tokenizer.from_file(path)
-        self.memory: dict[str, bytes] = {}
-
-    def _learn(self, words: list[str]) -> dict[str, bytes]:
-        found = self.encode.encode_batch_fast(words, add_special_tokens=False)
-        return {w: np.array(e.ids, "<u4").tobytes() for w, e in zip(words, found)}
-
-    def ids(self, texts: list[str]) -> list[bytes]:
-        cut_up = []
-        for t in texts:
-            if _DOUBLE.search(t) or t[:1].isspace() or t[-1:].isspace():
-                parts = _BETWEEN.split(t)
-            else:
-                parts = t.split(" ")
-            cut_up.append([parts[0], *[" " + p for p in parts[1:]]])
-        if len(self.memory) > CACHE_WORDS:
-            self.memory.clear()
-        want = set().union(*cut_up) if cut_up else set()
-        new = self._learn([w for w in want if w not in self.memory])
-        self.memory.update((w, i) for w, i in new.items() if len(w) <= CACHE_CHARS)
-        out, memory = [], self.memory
-        for parts in cut_up:
-            out.append(b"".join([memory[p] if p in memory else new[p] for p in parts]))
-        return out
-
-
-_DOUBLE = re.compile(r"\s\s")
-_BETWEEN = re.compile(r"(?<=\S) (?=\S)")
-_loaded: dict[str, WordTokenizer] = {}
-
-
-def tokenizer(name: str) -> WordTokenizer:
+        self.own = Tokenizer.from_file(path)
+        self.special = {t.content for t in self.own.get_added_tokens_decoder().values()}
+        signs = _byte_signs()
+        ranks = {bytes(signs[c] for c in w): i for w, i in self.own.get_vocab(with_added_tokens=False).items() if w not in self.special}
+        self.fast = tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+    def ids(self, text: str) -> bytes:
+        if not any(s in text for s in self.special):
+            try:
+                return self.fast.encode_to_numpy(text, disallowed_special=()).astype("<u4").tobytes()
+            except BaseException as e:   # the encoder's panic is not an Exception
+                if isinstance(e, (KeyboardInterrupt, SystemExit, GeneratorExit, MemoryError)):
+                    raise
+        return np.array(self.own.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+
+_loaded: dict[str, ByteTokenizer] = {}
+
+
+def tokenizer(name: str) -> ByteTokenizer:
     """The tokenizer of a worker, loaded once; ``name`` is a path or a file of the public tokenizers."""
     if name not in _loaded:
         path = name
         if not os.path.isabs(name):
             import public_tokenizers
             path = public_tokenizers.path(name)
-        _loaded[name] = WordTokenizer(path)
+        _loaded[name] = ByteTokenizer(path)
     return _loaded[name]
 
 
@@ -93,8 +90,8 @@ def pieces(docs: DataFrame, length: int = SEQUENCE, name: str = TOKENIZER, with_
             docs_, texts = batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()
             for at in range(0, len(texts), 256):
                 out = []
-                for doc, ids in zip(docs_[at:at + 256], encode.ids(texts[at:at + 256])):
-                    ids += b"\0\0\0\0"
+                for doc, text in zip(docs_[at:at + 256], texts[at:at + 256]):
+                    ids = encode.ids(text) + b"\0\0\0\0"
                     n, whole = len(ids) // 4, zlib.crc32(ids)
                     for start in range(0, n, length):
                         part = ids[4 * start:4 * (start + length)]
