@@ -27,7 +27,7 @@ from strata.llm.common import id_back, id_key
 from strata.session import ensure_checkpoint_dir
 
 MEMBER_BYTES = 8 << 20      # of a record in one gzip member; below 16 MiB its last byte is zero
-FILE_RECORDS = 20_000       # records of an archive file at most
+FILE_RECORDS = 10_000       # records of an archive file at most
 BLOCK_KEYS = 512            # captures of an index block
 PAGE_BLOCKS = 1024          # blocks of a directory page
 ROOT_KEYS = 1 << 16         # pages the root may hold before pages grow
@@ -86,16 +86,22 @@ def _page_of(urn: str) -> int:
 def split_members(content: bytes) -> Iterator[tuple[int, int, bytes]]:
     """(offset, length, record) of every record of an archive file."""
     at, begun, parts, need = 0, 0, [], None
-    while at < len(content):
+    view = memoryview(content)
+    while at < len(view):
         z = zlib.decompressobj(31)
-        parts.append(z.decompress(memoryview(content)[at:]))
-        at = len(content) - len(z.unused_data)
-        record = parts[0] if len(parts) == 1 else b"".join(parts)
+        while not z.eof:      # small bites: what is left over of the last one is copied
+            bite = view[at:at + 4096]
+            if not bite:
+                raise ValueError("the archive ends within a record")
+            parts.append(z.decompress(bite))
+            at += len(bite)
+        at -= len(z.unused_data)
         if need is None:
-            head = record.partition(b"\r\n\r\n")[0]
-            need = len(head) + 4 + int(re.search(rb"Content-Length: (\d+)", head).group(1)) + 4
-        if len(record) >= need:
-            yield begun, at - begun, record
+            parts = [b"".join(parts)]
+            head = parts[0].partition(b"\r\n\r\n")[0]
+            need = len(head) + 4 + int(re.search(rb"\r\nContent-Length: (\d+)", head).group(1)) + 4
+        if sum(map(len, parts)) >= need:
+            yield begun, at - begun, b"".join(parts)
             begun, parts, need = at, [], None
 
 
