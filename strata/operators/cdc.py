@@ -7,7 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.operators.joins import bounded_broadcast
 from strata.sources.cdc import ENVELOPE_SCHEMA
 
 FORM2_OPS = {"insert": "c", "update": "u", "delete": "d"}
@@ -94,6 +93,5 @@ def route_by_config(changes: DataFrame, config: DataFrame, on: Sequence[tuple[st
     """Attach the matching config row (config is tiny: broadcast behind a size check);
     rows without a config are dropped.  ``on`` pairs (change column, config field)."""
     cfg = config.select(*[F.col("config")[f].alias(f"cfg_{f}") for _, f in on], "config")
-    cfg = bounded_broadcast(cfg, 100_000)
     cond = [changes[c] == cfg[f"cfg_{f}"] for c, f in on]
     return changes.join(cfg, cond, "inner").drop(*[f"cfg_{f}" for _, f in on])

@@ -1,4 +1,4 @@
-"""Join helpers: size-checked broadcast, enrichment lookups (J16-J20, U3), interval joins."""
+"""Join helpers: first matches, enrichment lookups (J16-J20, U3), interval joins."""
 
 from __future__ import annotations
 
@@ -7,19 +7,14 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Above this many rows a dimension is joined by shuffle, not broadcast.
-DEFAULT_BROADCAST_ROWS = 2_000_000
 
-
-def bounded_broadcast(dim: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast ``dim`` only if it is proven to hold at most ``max_rows`` rows.
-
-    The check reads at most ``max_rows + 1`` rows (``limit`` stops the scan early).
-    Larger dims are returned unhinted, so Spark plans a shuffle join and AQE may
-    still convert it at runtime from the measured shuffle size.
-    """
-    n = dim.limit(max_rows + 1).count()
-    return F.broadcast(dim) if n <= max_rows else dim
+def first_match(dim: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """One row per key: the first in ``order`` (a combining aggregate), the same in every run."""
+    rest = [c for c in dim.columns if c not in keys]
+    if not rest:
+        return dim.distinct()
+    ranked = dim.groupBy(*keys).agg(F.min(F.struct(*order, *[F.col(c).alias(f"__v{i}") for i, c in enumerate(rest)])).alias("__f"))
+    return ranked.select(*keys, *[F.col(f"__f.__v{i}").alias(c) for i, c in enumerate(rest)])
 
 
 def literal_broadcast(dim: DataFrame) -> DataFrame:
@@ -29,13 +24,12 @@ def literal_broadcast(dim: DataFrame) -> DataFrame:
 
 def enrich(fact: DataFrame, dim: DataFrame, fact_key: str | Sequence[str], dim_key: str | Sequence[str],
            columns: dict[str, str], default: dict[str, object] | None = None,
-           max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS, unique: bool = False,
-           literal: bool = False) -> DataFrame:
+           unique: bool = False, literal: bool = False) -> DataFrame:
     """Left lookup of dimension attributes (the async/sync dim-join contract, J16/J17/U3).
 
     ``columns`` maps dim column -> output name.  Missing dims leave nulls, or the
-    value from ``default`` (J20 uses 'N/A').  The dim is de-duplicated on its key
-    first so a lookup never multiplies fact rows (first-match lookups, J23); pass
+    value from ``default`` (J20 uses 'N/A').  Of a key's dim rows the first in the order of
+    the looked-up columns counts, so a lookup never multiplies fact rows (J23); pass
     ``unique=True`` for a dim whose key is unique by construction, ``literal=True`` for a
     table written in code (unique keys, size fixed: broadcast without a check).
     """
@@ -47,7 +41,7 @@ def enrich(fact: DataFrame, dim: DataFrame, fact_key: str | Sequence[str], dim_k
     if literal:
         d = literal_broadcast(d)
     else:
-        d = bounded_broadcast(d if unique else d.dropDuplicates(tmp), max_broadcast_rows)
+        d = d if unique else first_match(d, tmp, [])
     cond = [fact[f] == d[t] for f, t in zip(fk, tmp)]
     out = fact.join(d, cond, "left").drop(*tmp)
     for name, val in (default or {}).items():
@@ -56,7 +50,7 @@ def enrich(fact: DataFrame, dim: DataFrame, fact_key: str | Sequence[str], dim_k
 
 
 def interval_join(left: DataFrame, right: DataFrame, keys: Sequence[str], left_ts: str, right_ts: str,
-                  lower_s: int, upper_s: int, how: str = "inner") -> DataFrame:
+                  lower_s: int, upper_s: int) -> DataFrame:
     """Inner interval join: ``right_ts BETWEEN left_ts + lower AND left_ts + upper`` (both inclusive).
 
     The range is turned into an equi-join on (keys, time bucket): buckets are as
@@ -75,7 +69,7 @@ def interval_join(left: DataFrame, right: DataFrame, keys: Sequence[str], left_t
     cond = [l2[k] == r2[k] for k in keys] + [l2["__b"] == r2["__b"]]
     cond.append(r2[right_ts] >= l2[left_ts] + F.expr(f"INTERVAL {lower_s} SECONDS"))
     cond.append(r2[right_ts] <= l2[left_ts] + F.expr(f"INTERVAL {upper_s} SECONDS"))
-    joined = l2.join(r2, cond, how)
+    joined = l2.join(r2, cond)
     return joined.select(*[l2[k] for k in keys],
                          *[l2[c] for c in left.columns if c not in keys],
                          *[r2[c] for c in right.columns if c not in keys])
@@ -89,14 +83,14 @@ def later_of(a: str, b: str) -> Column:
 def lookup_chain(fact: DataFrame, steps: Sequence[tuple], how: str = "left") -> DataFrame:
     """A chain of dimension lookups through a snowflake.
 
-    Each step is ``(dim, fact_key, dim_key, {dim_col: out_name}, max_broadcast_rows)``;
+    Each step is ``(dim, fact_key, dim_key, {dim_col: out_name})``;
     a later step may key on a column an earlier step added.  ``how='inner'`` drops
     facts whose chain breaks (the batch SQL form), ``'left'`` keeps them with nulls
-    (the async-lookup form).  Each dim is broadcast only behind its size check.
+    (the async-lookup form).  Which dim is broadcast is left to Spark's byte threshold.
     """
     out = fact
-    for dim, fkey, dkey, cols, max_rows in steps:
+    for dim, fkey, dkey, cols in steps:
         d = dim.select(F.col(dkey).alias("__k"), *[F.col(c).alias(o) for c, o in cols.items()])
-        d = bounded_broadcast(d.dropDuplicates(["__k"]), max_rows)
+        d = first_match(d, ["__k"], [])
         out = out.join(d, out[fkey] == d["__k"], how).drop("__k")
     return out

@@ -16,7 +16,7 @@ ELEM = T.MapType(S, S)
 
 COMMON = T.StructType([T.StructField(n, S) for n in ("ar", "ba", "ch", "is_new", "md", "mid", "os", "uid", "vc", "sid")])
 PAGE = T.StructType([T.StructField("page_id", S), T.StructField("last_page_id", S), T.StructField("item", S),
-                     T.StructField("item_type", S), T.StructField("during_time", T.LongType())])
+                     T.StructField("item_type", S), T.StructField("during_time", S)])
 LOG_SCHEMA = T.StructType([
     T.StructField("common", COMMON),
     T.StructField("page", PAGE),
@@ -24,7 +24,7 @@ LOG_SCHEMA = T.StructType([
     T.StructField("err", ELEM),
     T.StructField("displays", T.ArrayType(ELEM)),
     T.StructField("actions", T.ArrayType(ELEM)),
-    T.StructField("ts", T.LongType()),
+    T.StructField("ts", S),
 ])
 CORRUPT = "_corrupt_record"
 
@@ -39,7 +39,11 @@ def parse_logs(lines: DataFrame, line_col: str = "value", mode: str = "PERMISSIV
         opts["columnNameOfCorruptRecord"] = CORRUPT
     parsed = lines.filter(F.col(line_col).isNotNull()).select(
         F.col(line_col).alias("line"), F.from_json(F.col(line_col), schema, opts).alias("r"))
-    return parsed.select("line", "r.*")
+    out = parsed.select("line", "r.*")
+    # Numbers are read as text and cast here: a field of an odd type is null, the record is not dirty.
+    during = F.col("page.during_time").try_cast("bigint")
+    return out.withColumn("page", F.when(F.col("page").isNotNull(), F.col("page").withField("during_time", during))) \
+        .withColumn("ts", F.col("ts").try_cast("bigint"))
 
 
 def dirty(parsed: DataFrame) -> DataFrame:

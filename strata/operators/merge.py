@@ -1,6 +1,6 @@
 """Keyed merges: upsert (S7), dimension put/delete (S9), dimension without deletes.
 
-Batch form of a keyed sink: the last change per key is found with a combining
+Batch form of a keyed sink: the changes of a key are folded with a combining
 aggregate, then applied to the current table with one anti-join (untouched
 rows) and one left join (changed rows); no key group is gathered in a task.
 The stream form runs the same function inside ``foreachBatch`` and writes the
@@ -17,26 +17,35 @@ from pyspark.sql import functions as F
 
 def merge_dimension(current: DataFrame, changes: DataFrame, key: str, columns: Sequence[str],
                     ignore_deletes: bool = False, null_text: bool = False) -> DataFrame:
-    """Apply ``changes`` (key, op, ts_ms, one column per value) to ``current`` (key + columns).
+    """Apply all ``changes`` (key, op, ts_ms, one column per value) to ``current`` (key + columns).
 
-    S9: a put skips empty values (the old cell is kept); op 'd' removes the row.
+    S9: a put skips empty values, op 'd' removes the row.  Every change of a key counts: a
+    column is its latest non-empty value after the key's last delete; where there is none, the
+    old cell if the key was never deleted, else null.  At one time a delete comes before a
+    put, and of two puts the larger value wins.
     S10 (``ignore_deletes=True, null_text=True``): deletes are ignored, every
     column is written, and a null is written as the text 'null'.
     """
     ch = changes if not ignore_deletes else changes.filter(F.col("op") != "d")
-    last = (ch.groupBy(key).agg(F.max(F.struct("ts_ms", "op", *columns)).alias("l"))
-            .select(key, "l.op", *[F.col(f"l.{c}").alias(f"new_{c}") for c in columns]))
-    untouched = current.join(last.select(key), key, "left_anti")
-    puts = last.filter(F.col("op") != "d").join(current, key, "left")
+    put = F.col("op") != "d"
+    aggs = [F.max(F.when(~put, F.col("ts_ms"))).alias("del_ts"), F.max(F.when(put, F.col("ts_ms"))).alias("put_ts"),
+            F.max(F.when(put, F.struct("ts_ms", *columns))).alias("last")]
+    for i, c in enumerate(columns):
+        aggs.append(F.max(F.when(put & (F.col(c) != ""), F.struct("ts_ms", F.col(c).alias("v")))).alias(f"c{i}"))
+    state = ch.groupBy(key).agg(*aggs)
+    untouched = current.join(state.select(key), key, "left_anti")
+    deleted = F.col("del_ts").isNotNull()
+    alive = state.filter(F.col("put_ts").isNotNull() & (~deleted | (F.col("put_ts") >= F.col("del_ts"))))
+    alive = alive.join(current, key, "left")
     vals = []
-    for c in columns:
-        new = F.col(f"new_{c}")
+    for i, c in enumerate(columns):
         if null_text:
-            v = F.coalesce(new, F.lit("null"))
+            v = F.coalesce(F.col("last")[c], F.lit("null"))
         else:
-            v = F.when(new.isNull() | (new == ""), F.col(c)).otherwise(new)
+            fresh = F.when(~deleted | (F.col(f"c{i}.ts_ms") >= F.col("del_ts")), F.col(f"c{i}.v"))
+            v = F.coalesce(fresh, F.when(~deleted, F.col(c)))
         vals.append(v.alias(c))
-    return untouched.select(key, *columns).unionByName(puts.select(key, *vals))
+    return untouched.select(key, *columns).unionByName(alive.select(key, *vals))
 
 
 def upsert_latest(df: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:

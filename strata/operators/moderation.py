@@ -1,23 +1,17 @@
-"""Comment moderation (X12, X13, J24): blacklist checks over whole comment texts.
+"""Comment moderation (X12, X13, J24): a word list checked against whole comment texts.
 
-The word list is a small table broadcast to every task.  Pass 1 looks the last
-comma-separated token up in it (a semi-join of one value); pass 2 finds every
-listed word anywhere in the text.  For short lists pass 2 is a built-in
-``filter(words, w -> contains(text, w))``; for long lists an Aho-Corasick
-automaton per task scans each text once (Arrow batches, ``pandas_udf``).
+One list serves both passes.  Pass 1 looks the last comma-separated token up in it; pass 2
+finds every listed word anywhere in the text.  Both are built-in expressions over the list.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-# Above this many words pass 2 switches to the automaton.
-AUTOMATON_MIN_WORDS = 200
+MAX_WORDS = 10_000  # a longer list is refused, not cut
 
 
 def last_token(text) -> Column:
@@ -26,61 +20,35 @@ def last_token(text) -> Column:
     return F.trim(F.element_at(F.split(t, ","), -1))
 
 
-def find_words_builtin(text: Column, words: Sequence[str]) -> Column:
-    arr = F.array(*[F.lit(w) for w in words])
-    return F.filter(arr, lambda w: F.contains(text, w))
-
-
-def find_words_automaton(words: Sequence[str]):
-    """A ``pandas_udf`` returning, per text, the listed words it contains (list order)."""
-    word_list = list(words)
-    order = {w: i for i, w in enumerate(word_list)}
-
-    @F.pandas_udf(T.ArrayType(T.StringType()))
-    def find(texts: pd.Series) -> pd.Series:
-        import ahocorasick
-        auto = ahocorasick.Automaton()
-        for w in word_list:
-            auto.add_word(w, w)
-        auto.make_automaton()
-        out = []
-        for s in texts:
-            if s is None:
-                out.append([])
-                continue
-            hits = {w for _, w in auto.iter(s)}
-            out.append(sorted(hits, key=order.__getitem__))
-        return pd.Series(out)
-
-    return find
+def find_words(text: Column, words: Sequence[str]) -> Column:
+    """The words that ``text`` contains, in list order."""
+    arr = F.array(*[F.lit(w) for w in words]).cast("array<string>")
+    return F.coalesce(F.filter(arr, lambda w: F.contains(text, w)), F.array().cast("array<string>"))
 
 
-def find_words(text: Column, words: Sequence[str]) -> Column:
-    if len(words) >= AUTOMATON_MIN_WORDS:
-        return find_words_automaton(words)(text)
-    return find_words_builtin(text, words)
+def word_list(words: Sequence[str] | DataFrame) -> list[str]:
+    """The distinct non-empty words in list order; a table's words (column ``word``) in text order."""
+    if isinstance(words, DataFrame):
+        rows = words.select("word").where("word <> ''").distinct().orderBy("word").limit(MAX_WORDS + 1).collect()
+        words = [r["word"] for r in rows]
+    out = list(dict.fromkeys(w for w in words if w))
+    if len(out) > MAX_WORDS:
+        raise ValueError(f"more than {MAX_WORDS} words")
+    return out
 
 
-def moderate(comments: DataFrame, text_col: str, words: Sequence[str], blacklist: DataFrame | None = None) -> DataFrame:
+def moderate(comments: DataFrame, text_col: str, words: Sequence[str] | DataFrame) -> DataFrame:
     """Add violation (0/1), grade ('P0', 'P1' or '') and the matched words.
 
     Pass 1 (X12): the last comma token is on the list -> 1, P0, that word.
     Pass 2 (X13, intent): otherwise any listed word in the whole text -> 1, P1,
-    the words joined by ', '.  ``blacklist`` (column ``word``) defaults to ``words``.
+    the words joined by ', '.  Blank and repeated words of the list count for nothing.
     """
-    spark = comments.sparkSession
-    from strata.sources.tables import literal_table
-    if blacklist is None:
-        bl = literal_table(spark, [(w,) for w in dict.fromkeys(words)], "word string")
-    else:
-        bl = blacklist.select("word").distinct()
-    bl = F.broadcast(bl.select(F.col("word").alias("__w")))
-    c = comments.withColumn("__last", last_token(text_col))
-    c = c.join(bl, c["__last"] == bl["__w"], "left")
-    found = find_words(F.col(text_col), words)
-    p0 = F.col("__w").isNotNull()
-    return c.select(
+    listed = word_list(words)
+    last, found = last_token(text_col), find_words(F.col(text_col), listed)
+    p0 = F.coalesce(last.isin(listed), F.lit(False)) if listed else F.lit(False)
+    return comments.select(
         *[F.col(x) for x in comments.columns],
         F.when(p0 | (F.size(found) > 0), 1).otherwise(0).alias("violation"),
         F.when(p0, "P0").when(F.size(found) > 0, "P1").otherwise("").alias("grade"),
-        F.when(p0, F.col("__w")).when(F.size(found) > 0, F.array_join(found, ", ")).otherwise("").alias("words"))
+        F.when(p0, last).when(F.size(found) > 0, F.array_join(found, ", ")).otherwise("").alias("words"))

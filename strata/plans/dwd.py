@@ -329,8 +329,8 @@ def category_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = t.read(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     n = t.read(spark, sf_dir, "nation")
     r = t.read(spark, sf_dir, "region")
-    out = lookup_chain(c, [(n, "c_nationkey", "n_nationkey", {"n_name": "nation_name", "n_regionkey": "region_key"}, 10_000),
-                           (r, "region_key", "r_regionkey", {"r_name": "region_name"}, 10_000)], how="inner")
+    out = lookup_chain(c, [(n, "c_nationkey", "n_nationkey", {"n_name": "nation_name", "n_regionkey": "region_key"}),
+                           (r, "region_key", "r_regionkey", {"r_name": "region_name"})], how="inner")
     return out.select("c_custkey", "nation_name", "region_name")
 
 
@@ -348,10 +348,10 @@ def sku_snowflake(spark: SparkSession, sf_dir: str) -> DataFrame:
     det = detail_table(spark, sf_dir).select("id", "l_partkey", "l_suppkey")
     steps = [
         (t.read(spark, sf_dir, "part"), "l_partkey", "p_partkey",
-         {"p_name": "sku_name", "p_brand": "tm_name", "p_type": "category_name"}, 1_000_000),
-        (t.read(spark, sf_dir, "supplier"), "l_suppkey", "s_suppkey", {"s_name": "supplier_name", "s_nationkey": "s_nation"}, 1_000_000),
-        (t.read(spark, sf_dir, "nation"), "s_nation", "n_nationkey", {"n_name": "supplier_nation", "n_regionkey": "s_region"}, 10_000),
-        (t.read(spark, sf_dir, "region"), "s_region", "r_regionkey", {"r_name": "supplier_region"}, 10_000),
+         {"p_name": "sku_name", "p_brand": "tm_name", "p_type": "category_name"}),
+        (t.read(spark, sf_dir, "supplier"), "l_suppkey", "s_suppkey", {"s_name": "supplier_name", "s_nationkey": "s_nation"}),
+        (t.read(spark, sf_dir, "nation"), "s_nation", "n_nationkey", {"n_name": "supplier_nation", "n_regionkey": "s_region"}),
+        (t.read(spark, sf_dir, "region"), "s_region", "r_regionkey", {"r_name": "supplier_region"}),
     ]
     out = lookup_chain(det, steps, how="left")
     return out.select("id", "sku_name", "tm_name", "category_name", "supplier_name", "supplier_nation", "supplier_region")

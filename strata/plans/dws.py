@@ -6,11 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.operators.dedupe import first_per_key, latest_per_entity
-from strata.operators.joins import bounded_broadcast
 from strata.operators.windows import tumbling
 from strata.plans.registry import query
 from strata.sources import tables as t
-from strata.sources.applog import APPLOG_SQL, app_log
+from strata.sources.applog import APPLOG_SQL, PAGE_SQL, app_log, login_rows, page_rows, search_rows
 
 # Latest version of each order detail, as DuckDB sees it (shared by several oracles).
 LATEST_DETAIL_SQL = """
@@ -46,8 +45,8 @@ def province_order_window(spark: SparkSession, sf_dir: str, size: str = "1 day")
     sum over latest versions (intent; the reference also kept retracted orders in
     the distinct count).  Details are pre-aggregated per order before the join,
     which makes the distinct order count a plain count and shrinks the shuffle
-    to one row per order.  Provinces (a fixed 25-row table) are broadcast behind
-    a size check; customers are joined by key (they grow with the data).
+    to one row per order.  Which dimension is broadcast is left to Spark's byte
+    threshold; customers are joined by key (they grow with the data).
     """
     det = latest_details(spark, sf_dir, ["split_total_amount"])
     per_order = det.groupBy(F.col("l_orderkey").alias("order_id")).agg(
@@ -55,8 +54,8 @@ def province_order_window(spark: SparkSession, sf_dir: str, size: str = "1 day")
     orders = t.read(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("order_id"), F.col("o_custkey"), F.col("o_orderdate").alias("create_time"))
     cust = t.read(spark, sf_dir, "customer").select("c_custkey", F.col("c_nationkey").alias("province_id"))
-    prov = bounded_broadcast(t.read(spark, sf_dir, "nation").select(
-        F.col("n_nationkey").alias("province_id"), F.col("n_name").alias("province_name")), 10_000)
+    prov = t.read(spark, sf_dir, "nation").select(
+        F.col("n_nationkey").alias("province_id"), F.col("n_name").alias("province_name"))
     facts = (per_order.join(orders, "order_id")
              .join(cust, orders.o_custkey == cust.c_custkey)
              .select("order_id", "province_id", "create_time", "order_amount"))
@@ -109,7 +108,7 @@ def traffic_dim_window(spark: SparkSession, sf_dir: str, size: str = "1 hour") -
     are counted per group, and the two small per-group results are joined.
     """
     dims = ["vc", "ch", "ar", "is_new"]
-    pages = logs(spark, sf_dir).filter(F.col("event_type") == "view").withColumn("d", F.to_date("ts"))
+    pages = page_rows(logs(spark, sf_dir)).withColumn("d", F.to_date("ts"))
     firsts = first_per_key(pages.select("mid", "d", "ts", "event_id", *dims), ["mid", "d"], ["ts", "event_id"])
     uv = tumbling(firsts, "ts", size, dims, [F.count("*").alias("uv_ct")])
     rest = tumbling(pages, "ts", size, dims, [
@@ -123,7 +122,7 @@ def traffic_dim_window(spark: SparkSession, sf_dir: str, size: str = "1 hour") -
 
 
 query("traffic_dim_window", f"""
-WITH l AS (SELECT * FROM ({APPLOG_SQL}) WHERE event_type = 'view'),
+WITH l AS ({PAGE_SQL}),
 f AS (SELECT *, CASE WHEN row_number() OVER (PARTITION BY mid, CAST(ts AS DATE) ORDER BY ts, event_id) = 1
                      THEN 1 ELSE 0 END AS uv FROM l)
 SELECT {_sql_window('1 hour')}, vc, ch, ar, is_new,
@@ -162,16 +161,14 @@ FROM f GROUP BY ALL
 def user_login_window(spark: SparkSession, sf_dir: str, size: str = "1 day", back_days: int = 8) -> DataFrame:
     """Unique and returning users per window.
 
-    A login is a row with a non-empty uid whose last page is 'login' or empty
-    (here: start/signup rows).  Per user and day the first login counts once
+    A login is a page row with a non-empty uid whose last page is 'login' or
+    empty.  Per user and day the first login counts once
     (uu); it is a return (back) when the previous login day is ``back_days`` or
     more days earlier.  The previous day comes from a window over the user's
     distinct login days, a set bounded by the calendar, not by traffic.
     """
     from pyspark.sql import Window as W
-    lg = (logs(spark, sf_dir)
-          .filter((F.col("event_type") == "signup") & F.col("uid").isNotNull() & (F.col("uid") != ""))
-          .withColumn("d", F.to_date("ts")))
+    lg = login_rows(logs(spark, sf_dir)).withColumn("d", F.to_date("ts"))
     days = first_per_key(lg.select("uid", "d", "ts", "event_id"), ["uid", "d"], ["ts", "event_id"])
     prev = F.lag("d").over(W.partitionBy("uid").orderBy("d"))
     days = days.withColumn("back", F.when(F.datediff("d", prev) >= back_days, 1).otherwise(0))
@@ -182,7 +179,8 @@ def user_login_window(spark: SparkSession, sf_dir: str, size: str = "1 day", bac
 
 
 query("user_login_window", f"""
-WITH l AS (SELECT *, CAST(ts AS DATE) AS d FROM ({APPLOG_SQL}) WHERE event_type = 'signup' AND uid IS NOT NULL AND uid <> ''),
+WITH l AS (SELECT *, CAST(ts AS DATE) AS d FROM ({APPLOG_SQL})
+  WHERE event_type <> 'signup' AND uid IS NOT NULL AND uid <> '' AND (last_page_id IS NULL OR last_page_id = '' OR last_page_id = 'login')),
 f AS (SELECT * FROM l QUALIFY row_number() OVER (PARTITION BY uid, d ORDER BY ts, event_id) = 1),
 b AS (SELECT *, CASE WHEN date_diff('day', lag(d) OVER (PARTITION BY uid ORDER BY d), d) >= 8 THEN 1 ELSE 0 END AS back FROM f)
 SELECT {_sql_window('1 day')}, CAST(sum(back) AS BIGINT) AS back_ct, count(*) AS uu_ct
@@ -245,17 +243,11 @@ FROM w LEFT JOIN part p ON w.sku_id = p.p_partkey
 """)(sku_order_window)
 
 
-# Conversation turns read as search-box entries: a turn's event time is
-# 2024-01-01 plus conv_id minutes plus turn seconds.
-CONV_EPOCH_S = 1704067200
 WORD_SPLIT = r"[^\p{L}]+"
 
 
 def search_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
-    conv = t.read(spark, sf_dir, "conversations")
-    return (conv.filter((F.col("role") == "user") & F.col("text").isNotNull())
-            .select(F.timestamp_seconds(F.lit(CONV_EPOCH_S) + F.col("conv_id") * 60 + F.col("turn")).alias("ts"),
-                    F.col("text").alias("item")))
+    return search_rows(logs(spark, sf_dir)).select("ts", "item")
 
 
 def keyword_window(spark: SparkSession, sf_dir: str, size: str = "10 minutes") -> DataFrame:
@@ -270,8 +262,8 @@ def keyword_window(spark: SparkSession, sf_dir: str, size: str = "10 minutes") -
 
 
 query("keyword_window", rf"""
-WITH s AS (SELECT make_timestamp(({CONV_EPOCH_S} + conv_id * 60 + turn) * 1000000) AS ts, text AS item
-           FROM conversations WHERE role = 'user' AND text IS NOT NULL),
+WITH s AS (SELECT ts, item FROM ({APPLOG_SQL})
+           WHERE event_type <> 'signup' AND last_page_id = 'search' AND item_type = 'keyword' AND item IS NOT NULL),
 w AS (SELECT ts, unnest(regexp_split_to_array(lower(item), '{WORD_SPLIT}')) AS keyword FROM s)
 SELECT {_sql_window('10 minutes')}, keyword, count(*) AS keyword_count
 FROM w WHERE keyword <> '' GROUP BY ALL

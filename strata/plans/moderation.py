@@ -15,9 +15,12 @@ BLACKLIST = ["worthless", "idiot", "stupid", "moron", "loser", "trash", "patheti
 
 def comment_moderation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flag comments (documents) whose last comma token is listed (P0) or whose whole text
-    contains listed words (P1).  Comments are first de-duplicated exactly on id (D10)."""
-    docs = t.read(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("id"), "text")
-    docs = docs.dropDuplicates(["id"])
+    contains listed words (P1).  Comments are first de-duplicated exactly on id (D10; of
+    texts of one id the smallest).  Stand-in: some commenters end on a listed word."""
+    ends = F.when(F.col("doc_id") % 7 == 0, F.lit(", trash ")).otherwise(F.lit(""))
+    docs = t.read(spark, sf_dir, "documents").select(
+        F.col("doc_id").cast("string").alias("id"), F.concat("text", ends).alias("text"))
+    docs = docs.groupBy("id").agg(F.min("text").alias("text"))
     m = moderate(docs, "text", BLACKLIST)
     return m.select("id", "violation", "grade", "words")
 
@@ -25,8 +28,9 @@ def comment_moderation(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _sql() -> str:
     lst = "[" + ", ".join(f"'{w}'" for w in BLACKLIST) + "]"
     return f"""
-WITH d AS (SELECT CAST(doc_id AS VARCHAR) AS id, text, trim(string_split(text, ',')[-1]) AS last_tok,
-                  list_filter({lst}, lambda w: contains(text, w)) AS found FROM documents)
+WITH c AS (SELECT CAST(doc_id AS VARCHAR) AS id, text || CASE WHEN doc_id % 7 = 0 THEN ', trash ' ELSE '' END AS text FROM documents),
+d AS (SELECT id, text, trim(string_split(text, ',')[-1]) AS last_tok,
+                  list_filter({lst}, lambda w: contains(text, w)) AS found FROM c)
 SELECT id,
   CASE WHEN list_contains({lst}, last_tok) OR len(found) > 0 THEN 1 ELSE 0 END AS violation,
   CASE WHEN list_contains({lst}, last_tok) THEN 'P0' WHEN len(found) > 0 THEN 'P1' ELSE '' END AS grade,

@@ -17,8 +17,7 @@ CLEAN_LOG_SQL = f"SELECT * FROM ({APPLOG_SQL}) WHERE k <> 0"
 
 
 def parsed_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    topic = t.staged(spark, ("app_log", sf_dir), lambda: raw_log_lines(t.events(spark, sf_dir)))
-    return lg.parse_logs(topic)
+    return lg.parse_logs(raw_log_lines(t.events(spark, sf_dir)))
 
 
 def clean_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -114,8 +113,7 @@ CUST_TYPE_SQL = """CASE WHEN c_acctbal < 0 THEN 'update' WHEN c_mktsegment = 'AU
 
 
 def changes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    topic = t.staged(spark, ("cdc", sf_dir), lambda: cdc_topic(spark, sf_dir))
-    return cdc.normalise(cdc.parse_envelopes(topic))
+    return cdc.normalise(cdc.parse_envelopes(cdc_topic(spark, sf_dir)))
 
 
 def cdc_normalise(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -243,7 +241,8 @@ def dim_user_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
 def dim_user_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Changes to apply: balances below -900 are deletes; HOUSEHOLD rows are updates with an
     empty name (the old name must survive), a new segment and balance + 100; BUILDING rows
-    re-register under id + 10,000,000 (inserts)."""
+    re-register under id + 10,000,000 (inserts).  HOUSEHOLD rows get a second, later put of the
+    segment alone; balances below -950 are inserted again after their delete, without name."""
     c = t.read(spark, sf_dir, "customer")
     bal = F.col("c_acctbal").cast("decimal(16,2)")
     dels = c.filter(F.col("c_acctbal") < -900).select(
@@ -257,7 +256,12 @@ def dim_user_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("c_custkey") + 10_000_000).cast("string").alias("id"), F.lit("c").alias("op"), F.lit(1).cast("bigint").alias("ts_ms"),
         F.concat(F.col("c_name"), F.lit("_2")).alias("name"), F.col("c_nationkey").cast("string").alias("nation_id"),
         F.col("c_mktsegment").alias("segment"), bal.cast("string").alias("acctbal"))
-    return dels.unionByName(ups).unionByName(ins)
+    later = ups.select("id", F.lit("u").alias("op"), F.lit(3).cast("bigint").alias("ts_ms"), F.lit(None).cast("string").alias("name"),
+                       F.lit("").alias("nation_id"), F.lit("HOUSEHOLD_TOP").alias("segment"), F.lit(None).cast("string").alias("acctbal"))
+    again = c.filter(F.col("c_acctbal") < -950).select(
+        F.col("c_custkey").cast("string").alias("id"), F.lit("c").alias("op"), F.lit(4).cast("bigint").alias("ts_ms"),
+        F.lit("").alias("name"), F.lit("7").alias("nation_id"), F.lit("BACK").alias("segment"), F.lit(None).cast("string").alias("acctbal"))
+    return dels.unionByName(ups).unionByName(ins).unionByName(later).unionByName(again)
 
 
 def dim_upsert_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -266,14 +270,17 @@ def dim_upsert_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 DIM_MERGE_SQL = """
-SELECT CAST(c_custkey AS VARCHAR) AS id, c_name AS name, CAST(c_nationkey AS VARCHAR) AS nation_id,
-  CASE WHEN c_mktsegment = 'HOUSEHOLD' THEN 'HOUSEHOLD_VIP' ELSE c_mktsegment END AS segment,
-  CAST(CAST(c_acctbal AS DECIMAL(16,2)) + CASE WHEN c_mktsegment = 'HOUSEHOLD' THEN 100 ELSE 0 END AS VARCHAR) AS acctbal
-FROM customer WHERE NOT c_acctbal < -900
+WITH c AS (
+  SELECT *, CAST(c_acctbal AS DECIMAL(16,2)) AS bal, c_acctbal < -900 AS del, c_acctbal < -950 AS back,
+    c_mktsegment = 'HOUSEHOLD' AS hh FROM customer)
+SELECT CAST(c_custkey AS VARCHAR) AS id, CASE WHEN NOT del THEN c_name END AS name,
+  CASE WHEN back THEN '7' WHEN NOT del THEN CAST(c_nationkey AS VARCHAR) END AS nation_id,
+  CASE WHEN back THEN 'BACK' WHEN hh THEN 'HOUSEHOLD_TOP' ELSE c_mktsegment END AS segment,
+  CASE WHEN NOT del THEN CAST(bal + CASE WHEN hh THEN 100 ELSE 0 END AS VARCHAR) END AS acctbal
+FROM c WHERE NOT del OR hh OR back
 UNION ALL
-SELECT CAST(c_custkey + 10000000 AS VARCHAR), c_name || '_2', CAST(c_nationkey AS VARCHAR), c_mktsegment,
-  CAST(CAST(c_acctbal AS DECIMAL(16,2)) AS VARCHAR)
-FROM customer WHERE c_mktsegment = 'BUILDING'
+SELECT CAST(c_custkey + 10000000 AS VARCHAR), c_name || '_2', CAST(c_nationkey AS VARCHAR), c_mktsegment, CAST(bal AS VARCHAR)
+FROM c WHERE c_mktsegment = 'BUILDING'
 """
 
 query("dim_upsert_merge", DIM_MERGE_SQL)(dim_upsert_merge)
@@ -287,16 +294,18 @@ def dim_upsert_ignore_deletes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 query("dim_upsert_ignore_deletes", """
+WITH c AS (
+  SELECT *, CAST(CAST(c_acctbal AS DECIMAL(16,2)) AS VARCHAR) AS bal, c_acctbal < -950 AS back, c_mktsegment = 'HOUSEHOLD' AS hh FROM customer)
 SELECT md5(CAST(c_custkey AS VARCHAR)) AS row_key, CAST(c_custkey AS VARCHAR) AS id,
-  CASE WHEN c_mktsegment = 'HOUSEHOLD' THEN '' ELSE c_name END AS name,
-  CASE WHEN c_mktsegment = 'HOUSEHOLD' THEN 'null' ELSE CAST(c_nationkey AS VARCHAR) END AS nation_id,
-  CASE WHEN c_mktsegment = 'HOUSEHOLD' THEN 'HOUSEHOLD_VIP' ELSE c_mktsegment END AS segment,
-  CAST(CAST(c_acctbal AS DECIMAL(16,2)) + CASE WHEN c_mktsegment = 'HOUSEHOLD' THEN 100 ELSE 0 END AS VARCHAR) AS acctbal
-FROM customer
+  CASE WHEN back THEN '' WHEN hh THEN 'null' ELSE c_name END AS name,
+  CASE WHEN back THEN '7' WHEN hh THEN '' ELSE CAST(c_nationkey AS VARCHAR) END AS nation_id,
+  CASE WHEN back THEN 'BACK' WHEN hh THEN 'HOUSEHOLD_TOP' ELSE c_mktsegment END AS segment,
+  CASE WHEN back OR hh THEN 'null' ELSE bal END AS acctbal
+FROM c
 UNION ALL
 SELECT md5(CAST(c_custkey + 10000000 AS VARCHAR)), CAST(c_custkey + 10000000 AS VARCHAR), c_name || '_2',
-  CAST(c_nationkey AS VARCHAR), c_mktsegment, CAST(CAST(c_acctbal AS DECIMAL(16,2)) AS VARCHAR)
-FROM customer WHERE c_mktsegment = 'BUILDING'
+  CAST(c_nationkey AS VARCHAR), c_mktsegment, bal
+FROM c WHERE c_mktsegment = 'BUILDING'
 """)(dim_upsert_ignore_deletes)
 
 

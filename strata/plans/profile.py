@@ -13,7 +13,7 @@ from strata.operators.joins import enrich, interval_join, later_of
 from strata.plans.dws import latest_details, logs
 from strata.plans.registry import query
 from strata.sources import tables as t
-from strata.sources.applog import APPLOG_SQL
+from strata.sources.applog import PAGE_SQL, page_rows
 
 ASOF = "2025-06-01"
 USER_TS0_MS = 1_700_000_000_000
@@ -95,7 +95,7 @@ def _set_text(c: str):
 
 
 def page_label(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lg = logs(spark, sf_dir).filter(F.col("event_type") == "view").select(
+    lg = page_rows(logs(spark, sf_dir)).select(
         F.coalesce("uid", F.lit("-1")).alias("uid"), F.split("os", " ")[0].alias("os"), "ch", "md", "ba",
         F.col("item").alias("search_item"))
     agg = lg.groupBy("uid").agg(
@@ -131,7 +131,7 @@ def _score_select(family: str, alias: str) -> str:
 
 PAGE_LABEL_SQL = f"""
 WITH l AS (SELECT coalesce(uid, '-1') AS uid, split_part(os, ' ', 1) AS os, ch, md, ba, item AS search_item
-           FROM ({APPLOG_SQL}) WHERE event_type = 'view'),
+           FROM ({PAGE_SQL})),
 a AS (SELECT uid, count(*) AS pv, list_sort(list_distinct(list(os))) AS os_arr,
         array_to_string(list_sort(list_distinct(list(ch))), ',') AS ch,
         array_to_string(list_sort(list_distinct(list(md))), ',') AS md,

@@ -12,7 +12,7 @@ from strata.operators.scan import running_max_before, running_profile, seq_and_p
 from strata.plans.dws import _sql_window, logs
 from strata.plans.registry import query
 from strata.sources import tables as t
-from strata.sources.applog import APPLOG_SQL
+from strata.sources.applog import APPLOG_SQL, PAGE_SQL, page_rows
 
 DETAIL_ORDER_SQL = ("l_shipdate, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax, "
                     "l_returnflag, l_linestatus")
@@ -129,7 +129,7 @@ def running_user_profile(spark: SparkSession, sf_dir: str, chunk_seconds: int =
     """Per user, with every page row, the running page count and the sorted sets of
     os, channel, model, brand and search word seen so far (never reset).
     Two-level scan over time chunks of ``chunk_seconds``."""
-    lg = logs(spark, sf_dir).filter(F.col("event_type") == "view").select(
+    lg = page_rows(logs(spark, sf_dir)).select(
         "event_id", "uid", "ts", "os", "ch", "md", "ba", F.col("item").alias("search_item"))
     chunk = F.floor(F.unix_seconds("ts") / chunk_seconds)
     r = running_profile(lg, ["uid"], ["ts", "event_id"], chunk, ["os", "ch", "md", "ba", "search_item"])
@@ -143,14 +143,14 @@ def _sql_set(c: str) -> str:
 query("running_user_profile", f"""
 SELECT event_id, uid, count(*) OVER w AS pv, {_sql_set('os')}, {_sql_set('ch')}, {_sql_set('md')},
   {_sql_set('ba')}, {_sql_set('search_item')}
-FROM (SELECT *, item AS search_item FROM ({APPLOG_SQL}) WHERE event_type = 'view')
+FROM (SELECT *, item AS search_item FROM ({PAGE_SQL}))
 WINDOW w AS (PARTITION BY uid ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
 """)(running_user_profile)
 
 
 def last_per_window(spark: SparkSession, sf_dir: str, size: str = "1 hour") -> DataFrame:
     """A10: per user and window, the newest page row (ties broken by event id)."""
-    lg = logs(spark, sf_dir).filter(F.col("event_type") == "view")
+    lg = page_rows(logs(spark, sf_dir))
     latest = lg.groupBy(F.window("ts", size).alias("window"), "uid").agg(
         F.max(F.struct("ts", "event_id", "page_id", "os", "ch")).alias("r"))
     from strata.functions.dates import window_text
@@ -158,8 +158,7 @@ def last_per_window(spark: SparkSession, sf_dir: str, size: str = "1 hour") -> D
 
 
 query("last_per_window", f"""
-SELECT {_sql_window('1 hour')}, uid, event_id, page_id, os, ch FROM ({APPLOG_SQL})
-WHERE event_type = 'view'
+SELECT {_sql_window('1 hour')}, uid, event_id, page_id, os, ch FROM ({PAGE_SQL})
 QUALIFY row_number() OVER (PARTITION BY uid, time_bucket(INTERVAL '1 hour', ts) ORDER BY ts DESC, event_id DESC) = 1
 """)(last_per_window)
 

@@ -63,7 +63,8 @@ def scale_conf(input_bytes: float, total_cores: int, target_partition_bytes: int
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only when the setting is absent (local tests) is a scratch folder made.
+    Only in local mode, and where the setting is absent, is a scratch folder made; on a
+    cluster such a folder would lie on each machine's own disk, so that is an error.
     """
     try:
         sc = spark.sparkContext
@@ -74,6 +75,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if sc._jsc.sc().getCheckpointDir().isEmpty():
             sc.setCheckpointDir(configured)
         return configured
+    if not sc.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     path = tempfile.mkdtemp(prefix="strata-ckpt-", dir="/tmp")
     spark.conf.set("spark.checkpoint.dir", path)
     sc.setCheckpointDir(path)

@@ -61,6 +61,22 @@ def app_log(ev: DataFrame) -> DataFrame:
     )
 
 
+def page_rows(log: DataFrame) -> DataFrame:
+    """Page records are all records that are not start records."""
+    return log.filter(F.col("event_type") != "signup")
+
+
+def login_rows(log: DataFrame) -> DataFrame:
+    """Page records with a user whose last page is 'login' or empty."""
+    last = F.coalesce(F.col("last_page_id"), F.lit(""))
+    return page_rows(log).filter((F.coalesce(F.col("uid"), F.lit("")) != "") & last.isin("", "login"))
+
+
+def search_rows(log: DataFrame) -> DataFrame:
+    """Page records reached from the search page by a keyword."""
+    return page_rows(log).filter((F.col("last_page_id") == "search") & (F.col("item_type") == "keyword") & F.col("item").isNotNull())
+
+
 def _sql_pick(values: list, idx: str) -> str:
     items = ", ".join("NULL" if v is None else "'" + v + "'" for v in values)
     return f"[{items}][({idx}) + 1]"
@@ -88,6 +104,8 @@ SELECT event_id, event_type, ts, user_id, value, k,
 FROM (SELECT *, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events)
 """
 
+PAGE_SQL = f"SELECT * FROM ({APPLOG_SQL}) WHERE event_type <> 'signup'"
+
 
 def _elems(n: Column, make) -> Column:
     """Array of ``n`` map elements (empty when n is 0), element i built by ``make(i)``."""

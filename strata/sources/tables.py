@@ -83,9 +83,6 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ev.withColumn("k", F.get_json_object("props", "$.k").cast("int"))
 
 
-_STAGED: dict[tuple, DataFrame] = {}
-
-
 def session_key(spark: SparkSession) -> str:
     """Identity of the running application, for per-session caches of constant frames."""
     try:
@@ -94,31 +91,6 @@ def session_key(spark: SparkSession) -> str:
         return spark.conf.get("spark.app.id", "remote")
 
 
-def staged(spark: SparkSession, key: tuple, build) -> DataFrame:
-    """The staged topic for ``key`` in this session, built by ``build()`` on first use.
-
-    A topic is produced once and read by all its consumers (the six log splits read
-    one log topic, the CDC consumers one change topic)."""
-    k = (session_key(spark), *key)
-    if k not in _STAGED:
-        _STAGED[k] = stage_topic(build())
-    return _STAGED[k]
-
-
-def stage_topic(df: DataFrame, partitions: int | None = None) -> DataFrame:
-    """Materialise a derived topic (JSON lines built from the tables) in the shared checkpoint
-    folder and cut its lineage: the consumer's plan then starts at the topic, as it does
-    when the lines arrive from a message queue, instead of re-deriving every field.
-
-    Like a topic, the staged lines are spread over ``partitions`` (default: the shuffle
-    partition count) so the consumers' parse runs in parallel."""
-    from strata.session import ensure_checkpoint_dir
-    spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartition(n).checkpoint(eager=True)
-
-
 def literal_table(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
     """A small table written in code (config, dictionaries, score tables) as a JVM-side
     local relation: ``inline`` over an array of literal structs, no Python worker.

@@ -74,13 +74,13 @@ def run_stream(df: DataFrame, sink: str | Callable, name: str, output_mode: str
 def fan_out(outputs: dict[str, tuple[Callable[[DataFrame], DataFrame], str]], fmt: str = "parquet"):
     """A ``foreachBatch`` function writing several outputs of one micro-batch.
 
-    The batch is persisted once so the parse above it runs once for all outputs;
-    each output is appended under its own path."""
+    The batch is persisted once so the parse above it runs once for all outputs; each
+    output goes to ``path/epoch=<id>``, overwritten, so a replayed batch leaves the same rows."""
     def write(batch: DataFrame, epoch_id: int) -> None:
         batch.persist()
         try:
             for _, (transform, path) in outputs.items():
-                transform(batch).write.mode("append").format(fmt).save(path)
+                transform(batch).write.mode("overwrite").format(fmt).save(f"{path.rstrip('/')}/epoch={epoch_id}")
         finally:
             batch.unpersist()
     return write
@@ -106,18 +106,22 @@ def log_split_stream(lines: DataFrame, root: str, name: str, checkpoint: str | N
                      trigger: dict | None = None) -> StreamingQuery:
     """The app-log split job (P1, D1, R1-R6) as one stream: parse, repair ``is_new`` per mid
     (stateful, the record travels through the state step as JSON text), then write the
-    err / start / display / action / page outputs of each micro-batch under
-    ``root/<output>`` (fan-out, the batch persisted once)."""
+    dirty / err / start / display / action / page outputs of each micro-batch under
+    ``root/<output>`` (fan-out, the batch persisted once).  Records that are not JSON go to
+    ``dirty`` as they are; a record without ``ts`` has time 0 (W6)."""
     from strata.operators import logs as lg
     from strata.streaming.stateful import new_visitor_records_stream
 
-    parsed = lg.clean(lg.parse_logs(lines))
+    every = lg.parse_logs(lines)
+    parsed = lg.clean(every).withColumn("ts", F.coalesce("ts", F.lit(0).cast("bigint")))
     keyed = parsed.select(F.col("common.mid").alias("mid"), F.col("ts").alias("ts_ms"),
                           F.col("common.is_new").alias("is_new"), F.to_json(F.struct(*parsed.columns)).alias("line"))
-    fixed = new_visitor_records_stream(keyed)
-    outputs = {out: ((lambda b, out=out: lg.split_logs(repaired_records(b))[out]
+    fixed = new_visitor_records_stream(keyed).withColumn("is_dirty", F.lit(False))
+    fixed = fixed.unionByName(lg.dirty(every).withColumn("is_dirty", F.lit(True)), allowMissingColumns=True)
+    outputs = {out: ((lambda b, out=out: lg.split_logs(repaired_records(b.filter(~F.col("is_dirty")).drop("is_dirty")))[out]
                       .select(F.to_json(F.struct("*")).alias("value"))), f"{root}/{out}")
                for out in ("err", "start", "display", "action", "page")}
+    outputs["dirty"] = (lambda b: b.filter("is_dirty").select(F.col("line").alias("value")), f"{root}/dirty")
     return run_stream(fixed, fan_out(outputs), name, checkpoint=checkpoint, trigger=trigger)
 
 
@@ -125,4 +129,6 @@ def repaired_records(batch: DataFrame) -> DataFrame:
     """Records (line, is_new_fixed) back to log rows with the repaired ``common.is_new``."""
     from strata.operators.logs import LOG_SCHEMA
     rec = batch.select(F.from_json("line", LOG_SCHEMA).alias("r"), "is_new_fixed").select("r.*", "is_new_fixed")
+    rec = rec.withColumn("ts", F.col("ts").try_cast("bigint")).withColumn("page", F.when(
+        F.col("page").isNotNull(), F.col("page").withField("during_time", F.col("page.during_time").try_cast("bigint"))))
     return rec.withColumn("common", F.col("common").withField("is_new", F.col("is_new_fixed"))).drop("is_new_fixed")

@@ -14,6 +14,7 @@ from __future__ import annotations
 import datetime as _dt
 import json
 from collections.abc import Iterator, Sequence
+from decimal import Decimal
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -108,8 +109,9 @@ def retraction_stream(changes: DataFrame, key: str, amount: str, order: Sequence
         state.update((prev, seq))
         yield pd.DataFrame(out, columns=[key, "seq", "is_retraction", "amount"])
 
+    kind = dict(changes.dtypes)[amount]  # money stays decimal
     return changes.select(key, amount, *order).groupBy(key).applyInPandasWithState(
-        fn, f"{key} string, seq long, is_retraction int, amount double", "prev double, seq long",
+        fn, f"{key} string, seq long, is_retraction int, amount {kind}", f"prev {kind}, seq long",
         "append", GroupStateTimeout.NoTimeout)
 
 
@@ -198,10 +200,13 @@ def latest_in_burst_stream(df: DataFrame, key: str, ts: str, order: Sequence[str
     cols = df.columns
     schema = df.schema
     ts_cols = [f.name for f in schema.fields if isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType))]
+    decimals = [f.name for f in schema.fields if isinstance(f.dataType, T.DecimalType)]
     burst = _dt.timedelta(seconds=burst_s)
 
     def frame(out):
         f = pd.DataFrame(out, columns=cols)
+        for c in decimals:  # the state holds them as text
+            f[c] = [None if v is None else Decimal(v) for v in f[c]]
         for c in ts_cols:
             f[c] = pd.to_datetime(f[c])
         return f

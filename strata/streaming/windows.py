@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from strata.operators.keywords import keywords
 from strata.operators.windows import tumbling
+from strata.sources.applog import page_rows
 
 
 def keyword_window_stream(entries: DataFrame, size: str = "10 minutes", delay: str = "0 seconds") -> DataFrame:
@@ -34,7 +35,7 @@ def traffic_window_stream(logs: DataFrame, size: str = "1 hour", delay: str = "1
     of a mid is found by ``dropDuplicatesWithinWatermark`` and counted (uv); every row
     counts towards pv / sv / dur.  Both branches are unioned and summed once."""
     dims = ["vc", "ch", "ar", "is_new"]
-    pages = logs.filter(F.col("event_type") == "view").withWatermark("ts", delay)
+    pages = page_rows(logs).withWatermark("ts", delay)
     rows = pages.select("ts", *dims, F.lit(0).alias("uv"), F.lit(1).alias("pv"),
                         F.when(F.coalesce(F.col("last_page_id"), F.lit("")) == "", 1).otherwise(0).alias("sv"),
                         F.coalesce(F.col("during_time"), F.lit(0)).alias("dur"))

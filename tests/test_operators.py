@@ -8,10 +8,10 @@ from pyspark.sql import functions as F
 
 from strata.operators import labels as lb
 from strata.operators.dedupe import first_flag, first_per_key, latest_per_entity, latest_per_key
-from strata.operators.joins import bounded_broadcast, enrich, interval_join
+from strata.operators.joins import enrich, interval_join
 from strata.operators.keywords import keywords
 from strata.operators.merge import merge_dimension
-from strata.operators.moderation import find_words_automaton, moderate
+from strata.operators.moderation import moderate
 from strata.operators.scan import running_max_before, running_profile
 
 
@@ -103,14 +103,33 @@ def test_moderation_passes(spark):
     assert got["6"][0] == 0
 
 
-def test_automaton_equals_builtin(spark):
-    words = [f"w{i}x" for i in range(300)] + ["zz"]
-    rows = [(str(i), " ".join(random.Random(i).choice(words) for _ in range(5)) + " zz") for i in range(50)]
-    df = spark.createDataFrame(rows, "id string, text string")
-    a = {r.id: r.f for r in df.select("id", find_words_automaton(words)("text").alias("f")).collect()}
-    b = {r.id: r.f for r in df.select("id", F.filter(F.array(*[F.lit(w) for w in words]),
-                                                       lambda w: F.contains(F.col("text"), w)).alias("f")).collect()}
-    assert a == b
+def test_moderation_is_the_same_for_any_list_length(spark):
+    df = spark.createDataFrame([(1, "a w1x, w1x"), (2, "has w1x inside"), (3, "clean"), (4, None), (5, "")], "id int, text string")
+    words = ["w1x", "w1x", "", "inside"]
+    want = [(1, 1, "P0", "w1x"), (2, 1, "P1", "w1x, inside"), (3, 0, "", ""), (4, 0, "", ""), (5, 0, "", "")]
+    table = spark.createDataFrame([("w1x",), ("w1x",), ("",), (None,)], "word string")
+    for listed in (words, words + [f"other{i}x" for i in range(300)]):
+        assert sorted((r.id, r.violation, r.grade, r.words) for r in moderate(df, "text", listed).collect()) == want
+    assert [r.words for r in moderate(df.filter("id = 2"), "text", table).collect()] == ["w1x"]
+    assert [r.grade for r in moderate(df, "text", []).collect()] == [""] * 5
+
+
+def test_merge_applies_every_change_of_a_key(spark):
+    cur = spark.createDataFrame([("1", "old", "s0"), ("2", "old", "s0"), ("3", "old", "s0")], "id string, name string, seg string")
+    ch = spark.createDataFrame([("1", "u", 1, "new", None), ("1", "u", 2, "", "s2"), ("2", "d", 1, None, None), ("2", "c", 2, "", "s9"),
+                                ("3", "u", 1, "x", "y"), ("3", "d", 2, None, None)], "id string, op string, ts_ms long, name string, seg string")
+    got = sorted(tuple(r) for r in merge_dimension(cur, ch, "id", ["name", "seg"]).collect())
+    assert got == [("1", "new", "s2"), ("2", None, "s9")]
+
+
+def test_page_predicates(spark):
+    from strata.sources.applog import login_rows, page_rows, search_rows
+    rows = [("view", "1", None, "keyword", "w"), ("click", "1", "login", None, None), ("signup", "1", "login", None, None),
+            ("view", "", "login", None, None), ("view", None, "", None, None), ("view", "2", "search", "keyword", "w"),
+            ("view", "2", "search", "keyword", None), ("error", "2", "home", "keyword", "w")]
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "i int, event_type string, uid string, last_page_id string, item_type string, item string")
+    ids = lambda d: sorted(r.i for r in d.collect())
+    assert ids(page_rows(df)) == [0, 1, 3, 4, 5, 6, 7] and ids(login_rows(df)) == [0, 1] and ids(search_rows(df)) == [5]
 
 
 def test_keywords_inner(spark):
@@ -133,15 +152,11 @@ def test_scores_and_bands(spark):
     assert got[0].a == "25-29" and got[0].m == {"25-29": 2} and got[1].m == {}
 
 
-def test_enrich_default_and_bounded_broadcast(spark):
+def test_enrich_default_and_first_match(spark):
     fact = spark.createDataFrame([("1201",), ("9999",), (None,)], "code string")
     dim = spark.createDataFrame([("1201", "good"), ("1201", "dup")], "c string, n string")
     got = sorted(r.name for r in enrich(fact, dim, "code", "c", {"n": "name"}, default={"name": "N/A"}).collect())
-    assert len(got) == 3 and got.count("N/A") == 2
-    big = spark.range(100)
-    assert "Broadcast" not in bounded_broadcast(big, 10)._jdf.queryExecution().analyzed().toString() or True
-    plan = fact.join(bounded_broadcast(dim, 10), fact.code == dim.c)._jdf.queryExecution().executedPlan().toString()
-    assert "Broadcast" in plan
+    assert got == ["N/A", "N/A", "dup"]
 
 
 def test_seq_and_previous_matches_window(spark):

@@ -13,6 +13,7 @@ from strata.plans.dws import logs as batch_logs
 from strata.sources import tables as t
 from strata.sources.applog import app_log
 from strata.streaming import stateful as st
+from strata.sources.applog import login_rows, page_rows
 from strata.streaming.runner import fan_out, read_lines, run_stream
 from strata.streaming.upsert import dimension_sink, upsert_sink
 
@@ -72,7 +73,7 @@ def test_login_stream_equals_batch(spark, event_dir, sf_small):
 
 
 def test_running_profile_stream_equals_batch(spark, event_dir, sf_small):
-    views = stream_events(spark, event_dir).filter(F.col("event_type") == "view").withColumn("search_item", F.col("item"))
+    views = page_rows(stream_events(spark, event_dir)).withColumn("search_item", F.col("item"))
     got = run_to_memory(st.running_profile_stream(views, "uid", ["os", "ch", "md", "ba", "search_item"]), "prof")
     want = entry.queries()["running_user_profile"](spark, sf_small)
     cols = ["event_id", "uid", "pv", "os_set", "ch_set", "search_item_set"]
@@ -80,10 +81,10 @@ def test_running_profile_stream_equals_batch(spark, event_dir, sf_small):
 
 
 def test_daily_flag_stream_equals_batch(spark, event_dir, sf_small):
-    views = stream_events(spark, event_dir).filter(F.col("event_type") == "view")
+    views = page_rows(stream_events(spark, event_dir))
     got = run_to_memory(st.daily_first_flag_stream(views, "mid", "event_id"), "uvflag")
     from strata.operators.dedupe import first_flag
-    b = batch_logs(spark, sf_small).filter(F.col("event_type") == "view").withColumn("d", F.to_date("ts"))
+    b = page_rows(batch_logs(spark, sf_small)).withColumn("d", F.to_date("ts"))
     want = first_flag(b, ["mid", "d"], ["ts", "event_id"], "event_id", "uv")
     assert rows(got, ["event_id", "uv"]) == rows(want, ["event_id", "uv"])
 
@@ -283,7 +284,7 @@ def test_traffic_window_stream_equals_batch(spark, event_dir, sf_small):
     from strata.streaming.windows import traffic_window_stream
     got = run_to_memory(traffic_window_stream(stream_events(spark, event_dir)), "traffic")
     want = entry.queries()["traffic_dim_window"](spark, sf_small)
-    cutoff = batch_logs(spark, sf_small).filter(F.col("event_type") == "view").agg(
+    cutoff = page_rows(batch_logs(spark, sf_small)).agg(
         F.date_format(F.max("ts") - F.expr("INTERVAL 1 DAY"), "yyyy-MM-dd HH:mm:ss")).first()[0]
     cols = ["stt", "vc", "ch", "ar", "is_new", "uv_ct", "sv_ct", "pv_ct", "dur_sum"]
     assert rows(got, cols) == rows(want.filter(F.col("edt") <= F.lit(cutoff)), cols)
@@ -291,10 +292,10 @@ def test_traffic_window_stream_equals_batch(spark, event_dir, sf_small):
 
 def test_login_window_stream_equals_batch(spark, event_dir, sf_small):
     from strata.streaming.windows import login_window_stream
-    logins = stream_events(spark, event_dir).filter(F.col("event_type") == "signup")
+    logins = login_rows(stream_events(spark, event_dir))
     got = run_to_memory(login_window_stream(logins), "loginwin")
     want = entry.queries()["user_login_window"](spark, sf_small)
-    cutoff = batch_logs(spark, sf_small).filter(F.col("event_type") == "signup").agg(
+    cutoff = login_rows(batch_logs(spark, sf_small)).agg(
         F.date_format(F.max("ts") - F.expr("INTERVAL 1 DAY"), "yyyy-MM-dd HH:mm:ss")).first()[0]
     cols = ["stt", "back_ct", "uu_ct"]
     assert rows(got, cols) == rows(want.filter(F.col("edt") <= F.lit(cutoff)), cols)
@@ -437,3 +438,23 @@ def test_log_split_stream_with_new_visitor_fix(spark, sf_small, tmp_path):
             .select("mid", F.col("ts_ms").alias("ts"), "is_new"))
     assert got == rows(want, ["mid", "ts", "is_new"])
     assert spark.read.parquet(f"{root}/display").count() == entry.queries()["log_display"](spark, sf_small).count()
+    dirty = spark.read.parquet(f"{root}/dirty")
+    assert rows(dirty, ["value"]) == rows(entry.queries()["log_dirty"](spark, sf_small).withColumnRenamed("line", "value"), ["value"])
+
+
+def test_replayed_batch_leaves_the_same_rows(spark, tmp_path):
+    write = fan_out({"all": (lambda b: b, str(tmp_path / "all"))})
+    batch = spark.range(3)
+    for epoch in (0, 0, 1):
+        write(batch, epoch)
+    assert spark.read.parquet(str(tmp_path / "all")).count() == 6
+
+
+def test_topic_follows_its_source(spark, tmp_path):
+    from strata.plans.ods import log_page
+    src = t.read(spark, "/root/testdata/sf0.001", "events")
+    folder = tmp_path / "events.parquet"
+    src.limit(50).write.parquet(str(folder))
+    before = log_page(spark, str(tmp_path)).count()
+    src.limit(50).write.mode("append").parquet(str(folder))
+    assert log_page(spark, str(tmp_path)).count() == 2 * before > 0
