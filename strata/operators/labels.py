@@ -124,22 +124,6 @@ def apply_scores(df: DataFrame, family: str, key: Column | str) -> DataFrame:
     return df.withColumn("__key", k2).join(tbl, "__key", "left").drop("__key")
 
 
-def scores_sql(family: str) -> str:
-    """The score table as a DuckDB VALUES relation named ``{family}_s``."""
-    rows = ", ".join("(" + ", ".join([f"'{k}'"] + [f"CAST({v} AS DECIMAL(6,3))" for v in vals]) + ")"
-                     for k, *vals in score_rows(family))
-    cols = ", ".join(["k"] + score_columns(family))
-    return f"(VALUES {rows}) AS {family}_s({cols})"
-
-
-def key_sql(family: str, expr: str) -> str:
-    known = [k for k in COEFFICIENTS[family] if k != OTHER]
-    if OTHER not in COEFFICIENTS[family]:
-        return expr
-    lst = ", ".join(f"'{k}'" for k in known)
-    return f"CASE WHEN {expr} IS NULL THEN NULL WHEN {expr} IN ({lst}) THEN {expr} ELSE '{OTHER}' END"
-
-
 # Literal reference behaviour of X8: mixed key spellings drop the four order families
 # from bands 35-39 and 40-49, and device/search are not joined yet in any band.
 LITERAL_DROPPED = {"35_39": {"pay_time", "amount", "tm", "b1name"}, "40_49": {"pay_time", "amount", "tm", "b1name"}}
