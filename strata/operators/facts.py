@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -17,20 +19,45 @@ def amount_text(c) -> F.Column:
     return (F.col(c) if isinstance(c, str) else c).cast("string")
 
 
-def order_detail_fact(detail: DataFrame, order_info: DataFrame, activity: DataFrame, coupon: DataFrame) -> DataFrame:
+def order_detail_fact(detail: DataFrame, order_info: DataFrame, activity: DataFrame, coupon: DataFrame,
+                      on: Sequence[str] = ("id",)) -> DataFrame:
     """Detail inner order_info, left activity, left coupon, keyed by detail id.
 
-    ``detail`` must already be the net (last-per-id) table; the upsert sink of
-    the stream form absorbs the null-then-filled rows the left joins emit.
+    ``on`` is the detail key the link tables carry.  ``detail`` must already be the net
+    (last-per-id) table; the upsert sink of the stream form absorbs the null-then-filled
+    rows the left joins emit.
     """
-    d = detail.join(order_info, "order_id", "inner")
-    d = d.join(activity, "id", "left").join(coupon, "id", "left")
+    d = detail.join(activity, list(on), "left").join(coupon, list(on), "left")
+    d = d.join(order_info, "order_id", "inner")
     return d.select(
-        "id", "order_id", "user_id", "sku_id", "province_id", "activity_id", "activity_rule_id", "coupon_id",
+        "id", "order_id", "user_id", "sku_id", "sku_name", "province_id", "activity_id", "activity_rule_id", "coupon_id",
         ms_to_date_text("create_time").alias("date_id"), "create_time", "sku_num",
         "split_original_amount", "split_activity_amount", "split_coupon_amount", "split_total_amount", "ts_ms")
 
 
+def cancel_rows(joined: DataFrame) -> DataFrame:
+    """Cancel fact columns (J5) of cancels joined to order detail facts."""
+    return joined.select(
+        "id", "order_id", "user_id", "sku_id", "sku_name", "province_id", "activity_id", "activity_rule_id", "coupon_id",
+        "date_id", "operate_time", "sku_num", "split_original_amount", "split_activity_amount", "split_coupon_amount",
+        "split_total_amount", "ts_ms")
+
+
+def payment_rows(joined: DataFrame) -> DataFrame:
+    """Payment fact columns (J6) of payments joined to order detail facts."""
+    return joined.select(
+        F.col("id").alias("order_detail_id"), "order_id", "user_id", "sku_id", "sku_name", "province_id", "activity_id",
+        "activity_rule_id", "coupon_id", "payment_type_code", "callback_time", "sku_num", "split_original_amount",
+        "split_activity_amount", "split_coupon_amount", F.col("split_total_amount").alias("split_payment_amount"), "ts_ms")
+
+
+def refund_payment_rows(joined: DataFrame) -> DataFrame:
+    """Refund payment fact columns (J8) of refund payments joined to refunds and orders."""
+    return joined.select("id", "user_id", "order_id", "sku_id", "province_id", "payment_type",
+                         ms_to_date_text("callback_time").alias("date_id"), "callback_time", "refund_num", "total_amount",
+                         "ts_ms")
+
+
 def status_filter(df: DataFrame, status_col: str, statuses) -> DataFrame:
     """Keep rows in the given statuses (intent form; no AND/OR precedence slip)."""
     return df.filter(F.col(status_col).isin(*statuses))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from strata.functions.dates import ts_to_ms
@@ -28,6 +28,7 @@ def detail_table(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_returnflag", "l_linestatus",
         "l_discount", "l_tax", "l_quantity",
         F.col("sku_id").cast("string").alias("sku_id"),
+        F.concat(F.lit("sku-"), F.col("sku_id").cast("string")).alias("sku_name"),
         F.col("sku_num").cast("string").alias("sku_num"),
         fx.amount_text("split_original_amount").alias("split_original_amount"),
         fx.amount_text("split_activity_amount").alias("split_activity_amount"),
@@ -42,7 +43,7 @@ DETAIL_SQL = f"""
 SELECT CAST(l_orderkey AS VARCHAR) || '_' || CAST(l_linenumber AS VARCHAR) AS id,
   l_orderkey AS order_id, l_orderkey, l_linenumber, l_partkey, l_suppkey, l_returnflag, l_linestatus,
   l_discount, l_tax, l_quantity,
-  CAST(l_partkey AS VARCHAR) AS sku_id,
+  CAST(l_partkey AS VARCHAR) AS sku_id, 'sku-' || CAST(l_partkey AS VARCHAR) AS sku_name,
   CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) AS sku_num,
   CAST(split_original_amount AS VARCHAR) AS split_original_amount,
   CAST(split_activity_amount AS VARCHAR) AS split_activity_amount,
@@ -72,84 +73,103 @@ SELECT o_orderkey AS order_id, CAST(o_custkey AS VARCHAR) AS user_id, CAST(c_nat
 FROM orders LEFT JOIN customer ON o_custkey = c_custkey
 """
 
-# Stand-in link tables derived from the net details: a detail with a discount of at
-# least 5 % carries an activity, one with a tax of at least 6 % a coupon.
-ACTIVITY_SQL = f"""
-SELECT id, CAST(CAST(round(l_discount * 100) AS INTEGER) AS VARCHAR) AS activity_id,
-       CAST(CAST(round(l_discount * 100) AS INTEGER) AS VARCHAR) || '_' || CAST(l_linenumber AS VARCHAR) AS activity_rule_id
-FROM ({DETAIL_SQL}) WHERE l_discount >= 0.05
+# Stand-in link tables: a detail with a version discounted by at least 5 % carries an
+# activity (of the largest discount), one taxed at least 6 % a coupon (of the last supplier).
+ACTIVITY_SQL = """
+SELECT l_orderkey, l_linenumber, CAST(CAST(round(max(l_discount) * 100) AS INTEGER) AS VARCHAR) AS activity_id,
+       CAST(CAST(round(max(l_discount) * 100) AS INTEGER) AS VARCHAR) || '_' || CAST(l_linenumber AS VARCHAR) AS activity_rule_id
+FROM lineitem WHERE l_discount >= 0.05 GROUP BY l_orderkey, l_linenumber
 """
-COUPON_SQL = f"""
-SELECT id, 'cp' || CAST(l_suppkey AS VARCHAR) AS coupon_id FROM ({DETAIL_SQL}) WHERE l_tax >= 0.06
+COUPON_SQL = """
+SELECT l_orderkey, l_linenumber, 'cp' || CAST(max(l_suppkey) AS VARCHAR) AS coupon_id
+FROM lineitem WHERE l_tax >= 0.06 GROUP BY l_orderkey, l_linenumber
 """
 
 
-def _links(det: DataFrame):
-    pct = F.round(F.col("l_discount") * 100).cast("int").cast("string")
-    act = det.filter(F.col("l_discount") >= 0.05).select(
-        "id", pct.alias("activity_id"),
-        F.concat_ws("_", pct, F.col("l_linenumber").cast("string")).alias("activity_rule_id"))
-    cou = det.filter(F.col("l_tax") >= 0.06).select(
-        "id", F.concat(F.lit("cp"), F.col("l_suppkey").cast("string")).alias("coupon_id"))
+def links(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """order_detail_activity and order_detail_coupon, one row per detail key."""
+    li = t.read(spark, sf_dir, "lineitem")
+    pct = F.round(F.max("l_discount") * 100).cast("int").cast("string")
+    act = (li.filter(F.col("l_discount") >= 0.05).groupBy(*t.DETAIL_KEY).agg(pct.alias("activity_id"))
+           .withColumn("activity_rule_id", F.concat_ws("_", "activity_id", F.col("l_linenumber").cast("string"))))
+    cou = li.filter(F.col("l_tax") >= 0.06).groupBy(*t.DETAIL_KEY).agg(
+        F.concat(F.lit("cp"), F.max("l_suppkey").cast("string")).alias("coupon_id"))
     return act, cou
 
 
 def order_detail_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Order detail fact (P8, J4, F4, F11, S7): net details x order_info, left activity and coupon."""
-    det = detail_table(spark, sf_dir)
-    act, cou = _links(det)
-    return fx.order_detail_fact(det, order_info(spark, sf_dir), act, cou)
+    """Order detail fact (P8, J4, F4, F11, S7): net details x order_info, left activity and coupon.
 
+    The links are joined on the detail's two-column key, by which ranking left the details
+    partitioned; the one shuffle after that is by order."""
+    act, cou = links(spark, sf_dir)
+    return fx.order_detail_fact(detail_table(spark, sf_dir), order_info(spark, sf_dir), act, cou, on=t.DETAIL_KEY)
 
-query("order_detail_fact", f"""
-SELECT d.id, d.order_id, o.user_id, d.sku_id, o.province_id, a.activity_id, a.activity_rule_id, c.coupon_id,
+
+ORDER_DETAIL_FACT_SQL = f"""
+SELECT d.id, d.order_id, o.user_id, d.sku_id, d.sku_name, o.province_id, a.activity_id, a.activity_rule_id, c.coupon_id,
   strftime(make_timestamp(CAST(d.create_time AS BIGINT) * 1000), '%Y-%m-%d') AS date_id,
   d.create_time, d.sku_num, d.split_original_amount, d.split_activity_amount, d.split_coupon_amount,
   d.split_total_amount, d.ts_ms
 FROM ({DETAIL_SQL}) d JOIN ({ORDER_INFO_SQL}) o ON d.order_id = o.order_id
-LEFT JOIN ({ACTIVITY_SQL}) a ON d.id = a.id LEFT JOIN ({COUPON_SQL}) c ON d.id = c.id
-""")(order_detail_fact)
-
+LEFT JOIN ({ACTIVITY_SQL}) a ON d.l_orderkey = a.l_orderkey AND d.l_linenumber = a.l_linenumber
+LEFT JOIN ({COUPON_SQL}) c ON d.l_orderkey = c.l_orderkey AND d.l_linenumber = c.l_linenumber
+"""
 
-def _detail_x_orders(spark: SparkSession, sf_dir: str, statuses: list[str], time_name: str) -> DataFrame:
-    det = detail_table(spark, sf_dir)
-    oi = fx.status_filter(order_info(spark, sf_dir), "order_status", statuses)
-    j = det.join(oi, "order_id")
-    return j.select("id", "order_id", "user_id", "sku_id", "province_id",
-                    F.date_format(F.timestamp_millis("order_ts_ms"), "yyyy-MM-dd").alias("date_id"),
-                    F.col("order_ts_ms").cast("string").alias(time_name),
-                    "sku_num", "split_original_amount", "split_total_amount", "ts_ms")
+query("order_detail_fact", ORDER_DETAIL_FACT_SQL)(order_detail_fact)
 
 
-def _detail_x_orders_sql(statuses: str, time_name: str) -> str:
-    return f"""
-SELECT d.id, d.order_id, o.user_id, d.sku_id, o.province_id,
-  strftime(make_timestamp(o.order_ts_ms * 1000), '%Y-%m-%d') AS date_id,
-  CAST(o.order_ts_ms AS VARCHAR) AS {time_name},
-  d.sku_num, d.split_original_amount, d.split_total_amount, d.ts_ms
-FROM ({DETAIL_SQL}) d JOIN ({ORDER_INFO_SQL}) o ON d.order_id = o.order_id
-WHERE o.order_status IN ({statuses})
-"""
+def order_cancels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """order_info rows in the cancel status ('P' here): operated an hour after the order."""
+    o = fx.status_filter(t.read(spark, sf_dir, "orders"), "o_orderstatus", ["P"])
+    at = ts_to_ms("o_orderdate") + 3_600_000
+    return o.select(F.col("o_orderkey").alias("order_id"), at.cast("string").alias("operate_time"), at.alias("ts_ms"))
 
 
 def order_cancel_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Cancelled order details (P16, J5): order_info in the cancel status ('P' here) x net details.
+    """Cancelled order details (P16, J5): cancels x the order detail fact.
 
-    The 1805 s state bound of the stream form is a state-size control; the batch
-    form joins the two net tables.
+    ``streaming.facts.cancel_stream`` is the stream form, where the 1805 s bound limits the
+    state; the batch form joins the two tables whole.
     """
-    return _detail_x_orders(spark, sf_dir, ["P"], "cancel_time")
+    od = order_detail_fact(spark, sf_dir)
+    return fx.cancel_rows(order_cancels(spark, sf_dir).join(od.drop("ts_ms"), "order_id"))
+
 
+query("order_cancel_fact", f"""
+SELECT d.id, d.order_id, d.user_id, d.sku_id, d.sku_name, d.province_id, d.activity_id, d.activity_rule_id, d.coupon_id,
+  d.date_id, CAST(epoch_ms(o_orderdate) + 3600000 AS VARCHAR) AS operate_time, d.sku_num, d.split_original_amount,
+  d.split_activity_amount, d.split_coupon_amount, d.split_total_amount, epoch_ms(o_orderdate) + 3600000 AS ts_ms
+FROM orders JOIN ({ORDER_DETAIL_FACT_SQL}) d ON d.order_id = o_orderkey WHERE o_orderstatus = 'P'
+""")(order_cancel_fact)
 
-query("order_cancel_fact", _detail_x_orders_sql("'P'", "cancel_time"))(order_cancel_fact)
+
+def payment_info(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """payment_info stand-in, one payment per order: orders in status 'F' are paid (1602), the
+    rest are not (1601); the type is one of three by key, the call-back within half an hour."""
+    o = t.read(spark, sf_dir, "orders")
+    at = ts_to_ms("o_orderdate") + F.col("o_orderkey") % 1800 * 1000
+    return o.select(F.col("o_orderkey").alias("order_id"), (F.col("o_orderkey") % 3 + 1101).cast("string").alias("payment_type_code"),
+                    at.cast("string").alias("callback_time"), at.alias("ts_ms"),
+                    F.when(F.col("o_orderstatus") == "F", "1602").otherwise("1601").alias("payment_status"))
 
 
 def payment_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Paid order details (P16, J6): payments in the success status ('F' orders here) x net details."""
-    return _detail_x_orders(spark, sf_dir, ["F"], "callback_time")
+    """Paid order details (P16, J6): successful payments (1602) x the order detail fact.
+    Stream form: ``streaming.facts.payment_stream``."""
+    pay = fx.status_filter(payment_info(spark, sf_dir), "payment_status", ["1602"])
+    od = order_detail_fact(spark, sf_dir)
+    return fx.payment_rows(pay.join(od.drop("ts_ms"), "order_id"))
 
 
-query("payment_fact", _detail_x_orders_sql("'F'", "callback_time"))(payment_fact)
+query("payment_fact", f"""
+SELECT d.id AS order_detail_id, d.order_id, d.user_id, d.sku_id, d.sku_name, d.province_id, d.activity_id, d.activity_rule_id,
+  d.coupon_id, CAST(o_orderkey % 3 + 1101 AS VARCHAR) AS payment_type_code,
+  CAST(epoch_ms(o_orderdate) + o_orderkey % 1800 * 1000 AS VARCHAR) AS callback_time, d.sku_num, d.split_original_amount,
+  d.split_activity_amount, d.split_coupon_amount, d.split_total_amount AS split_payment_amount,
+  epoch_ms(o_orderdate) + o_orderkey % 1800 * 1000 AS ts_ms
+FROM orders JOIN ({ORDER_DETAIL_FACT_SQL}) d ON d.order_id = o_orderkey WHERE o_orderstatus = 'F'
+""")(payment_fact)
 
 
 def refund_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -175,32 +195,29 @@ WHERE d.l_returnflag = 'R' AND o.order_status = 'O'
 def refund_payment_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Refund payments (J8): refund payment x refund on (order_id, sku_id), then x order_info.
 
-    Refund payments in the success status are the refunded details whose line
-    status is 'F'; refunds are the details with return flag 'R' (quantities
-    summed per order and sku).
+    Stand-ins: refunds are the details with return flag 'R' (quantities summed per order and
+    sku), successful refund payments those with line status 'F', orders refunded those in
+    status 'F'.  Both sides come from the details, so the first join is a sum over the lines
+    of one order and sku.  Stream form, with two joins: ``streaming.facts.refund_payment_stream``.
     """
-    det = detail_table(spark, sf_dir)
-    pay = det.filter((F.col("l_returnflag") == "R") & (F.col("l_linestatus") == "F")).select(
-        "id", "order_id", "sku_id", F.col("split_total_amount").alias("total_amount"), "ts_ms")
-    # Refunds are summed per (order, sku) first: one row per key on that side, so
-    # the composite-key join never pairs up repeated rows.
-    ref = (det.filter(F.col("l_returnflag") == "R").groupBy("order_id", "sku_id")
-           .agg(F.sum(F.col("sku_num").cast("bigint")).alias("refund_num")))
-    oi = order_info(spark, sf_dir).select("order_id", "user_id", "province_id")
-    return (pay.join(ref, ["order_id", "sku_id"]).join(oi, "order_id")
-            .select("id", "order_id", "sku_id", "user_id", "province_id",
-                    F.date_format(F.timestamp_millis("ts_ms"), "yyyy-MM-dd").alias("date_id"),
-                    F.col("ts_ms").cast("string").alias("callback_time"), "refund_num", "total_amount", "ts_ms"))
+    det = detail_table(spark, sf_dir).filter(F.col("l_returnflag") == "R")
+    summed = F.sum(F.col("sku_num").cast("bigint")).over(Window.partitionBy("order_id", "sku_id"))
+    pay = det.select("id", "order_id", "sku_id", "l_linestatus", F.col("split_total_amount").alias("total_amount"),
+                     F.col("ts_ms").cast("string").alias("callback_time"), "ts_ms", summed.alias("refund_num"),
+                     (F.col("order_id") % 3 + 1101).cast("string").alias("payment_type")).filter(F.col("l_linestatus") == "F")
+    oi = fx.status_filter(order_info(spark, sf_dir), "order_status", ["F"]).select("order_id", "user_id", "province_id")
+    return fx.refund_payment_rows(pay.join(oi, "order_id"))
 
 
 query("refund_payment_fact", f"""
 WITH d AS ({DETAIL_SQL}),
 pay AS (SELECT id, order_id, sku_id, split_total_amount AS total_amount, ts_ms FROM d WHERE l_returnflag = 'R' AND l_linestatus = 'F'),
 ref AS (SELECT order_id, sku_id, CAST(sum(CAST(sku_num AS BIGINT)) AS BIGINT) AS refund_num FROM d WHERE l_returnflag = 'R' GROUP BY ALL)
-SELECT p.id, p.order_id, p.sku_id, o.user_id, o.province_id,
+SELECT p.id, o.user_id, p.order_id, p.sku_id, o.province_id, CAST(p.order_id % 3 + 1101 AS VARCHAR) AS payment_type,
   strftime(make_timestamp(p.ts_ms * 1000), '%Y-%m-%d') AS date_id, CAST(p.ts_ms AS VARCHAR) AS callback_time,
   r.refund_num, p.total_amount, p.ts_ms
-FROM pay p JOIN ref r ON p.order_id = r.order_id AND p.sku_id = r.sku_id JOIN ({ORDER_INFO_SQL}) o ON p.order_id = o.order_id
+FROM pay p JOIN ref r ON p.order_id = r.order_id AND p.sku_id = r.sku_id
+JOIN ({ORDER_INFO_SQL}) o ON p.order_id = o.order_id WHERE o.order_status = 'F'
 """)(refund_payment_fact)
 
 

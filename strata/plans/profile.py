@@ -245,7 +245,7 @@ FAMILIES = ["device", "search", "pay_time", "amount", "tm", "b1name"]
 def combined(spark: SparkSession, sf_dir: str) -> DataFrame:
     """User label x order label within +-10 days (J12), the later time of the two x page label
     within +-24 hours (J13).  A label table holds one row per user, so the bound is a filter on
-    the user join; the stream form is ``streaming.stateful.profile_stream``."""
+    the user join; the stream form is ``streaming.facts.profile_stream``."""
     base, ol, pl = user_base(spark, sf_dir), order_label(spark, sf_dir), page_label(spark, sf_dir)
     j = base.join(ol, (base.uid == ol.user_id) & (F.abs(ol.order_ts_ms - base.ts_ms) <= USER_ORDER_BOUND_S * 1000))
     j = j.withColumn("label_ts_ms", F.greatest("ts_ms", "order_ts_ms")).drop("user_id")
@@ -410,14 +410,10 @@ CHAIN_TS0_MS = 1_706_500_000_000
 CHAIN_SPAN_S = 1000
 
 
-def order_label_interval(spark: SparkSession, sf_dir: str, bound_s: int = CHAIN_BOUND_S) -> DataFrame:
-    """Order changes x detail changes (order id), x sku changes (sku id), x brand
-    changes (brand name), each within +-``bound_s`` of the event time so far, the later of
-    the joined times.
-
-    Stand-in change times: key mod 1000 seconds after a fixed start for orders and skus, the
-    order's time and 30 s a line for details, the time of its first sku for a brand.
-    """
+def label_changes(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """Order, detail, sku and brand changes.  Stand-in change times: key mod 1000 seconds after a
+    fixed start for orders and skus, the order's time and 30 s a line for details, the time of
+    its first sku for a brand."""
     def at(c):
         return F.timestamp_millis(F.lit(CHAIN_TS0_MS) + c * 1000)
     orders = t.read(spark, sf_dir, "orders").select(
@@ -428,6 +424,14 @@ def order_label_interval(spark: SparkSession, sf_dir: str, bound_s: int = CHAIN_
     sku = sku_info(spark, sf_dir).select("sku_id", "tm_name", "category_name", at(F.col("sku_id") % CHAIN_SPAN_S).alias("s_ts"))
     brand = sku.groupBy("tm_name").agg(F.min("sku_id").alias("first_sku")).select(
         "tm_name", "first_sku", at(F.col("first_sku") % CHAIN_SPAN_S).alias("b_ts"))
+    return orders, det, sku, brand
+
+
+def order_label_interval(spark: SparkSession, sf_dir: str, bound_s: int = CHAIN_BOUND_S) -> DataFrame:
+    """Order changes x detail changes (order id), x sku changes (sku id), x brand
+    changes (brand name), each within +-``bound_s`` of the event time so far, the later of
+    the joined times.  Stream form: ``streaming.facts.order_label_stream``."""
+    orders, det, sku, brand = label_changes(spark, sf_dir)
     j = interval_join(orders, det, ["order_id"], "o_ts", "d_ts", -bound_s, bound_s).withColumn("t1", later_of("o_ts", "d_ts"))
     j = interval_join(j, sku, ["sku_id"], "t1", "s_ts", -bound_s, bound_s).withColumn("t2", later_of("t1", "s_ts"))
     j = interval_join(j, brand, ["tm_name"], "t2", "b_ts", -bound_s, bound_s)

@@ -375,7 +375,7 @@ def test_order_detail_fact_stream_upsert(spark, sf_small, tmp_path):
                                                      "split_coupon_amount", "split_total_amount")],
                F.unix_millis("l_shipdate").cast("string").alias("create_time"), F.unix_millis("l_shipdate").alias("ts_ms"),
                F.struct(*[F.col(c) for c in t.DETAIL_ORDER]).alias("version_key")).write.parquet(str(src))
-    act, cou = dwd._links(dwd.detail_table(spark, sf_small))
+    act, cou = [x.withColumn("id", fx.detail_id()).drop(*t.DETAIL_KEY) for x in dwd.links(spark, sf_small)]
     stream = spark.readStream.schema(spark.read.parquet(str(src)).schema).parquet(str(src))
     out = str(tmp_path / "fact")
     sink = upsert_sink(out, ["id", "ds"], ["version_key"], "ds")
@@ -458,3 +458,78 @@ def test_topic_follows_its_source(spark, tmp_path):
     before = log_page(spark, str(tmp_path)).count()
     src.limit(50).write.mode("append").parquet(str(folder))
     assert log_page(spark, str(tmp_path)).count() == 2 * before > 0
+
+
+def as_stream(spark, df, path, parts=3):
+    """A batch frame as a stream of files, one per micro-batch."""
+    df.repartition(parts).write.parquet(str(path))
+    return (spark.readStream.schema(spark.read.parquet(str(path)).schema).option("maxFilesPerTrigger", 1).parquet(str(path)))
+
+
+def test_label_streams_equal_batch(spark, sf_small, tmp_path):
+    """Chains of bounded stream joins against the batch queries."""
+    from strata.plans import profile as pr
+    from strata.streaming import facts as sfx
+    users = pr.user_base(spark, sf_small).select("uid", "name", F.timestamp_millis("ts_ms").alias("user_ts"))
+    orders = pr.order_label(spark, sf_small).select(
+        F.col("user_id").alias("uid"), "order_date", F.timestamp_millis("order_ts_ms").alias("order_ts"))
+    pages = pr.page_label(spark, sf_small).select("uid", "pv", F.timestamp_millis("page_ts_ms").alias("page_ts"))
+    got = run_to_memory(sfx.profile_stream(*[as_stream(spark, d, tmp_path / n) for n, d in
+                                             (("u", users), ("o", orders), ("p", pages))], delay="100 days"), "profile")
+    want = pr.combined(spark, sf_small).withColumnRenamed("label_ts_ms", "event_ts_ms")
+    cols = ["uid", "name", "order_date", "pv", "event_ts_ms"]
+    assert rows(got, cols) == rows(want, cols)
+    outside = users.join(orders, "uid").join(pages, "uid").count()
+    assert 0 < got.count() < outside
+    got = run_to_memory(sfx.order_label_stream(*[as_stream(spark, d, tmp_path / f"c{i}") for i, d in
+                                                 enumerate(pr.label_changes(spark, sf_small))], delay="1 hour"), "chain")
+    cols = ["order_id", "user_id", "line", "sku_id", "tm_name", "first_sku", "event_ts_ms"]
+    assert rows(got, cols) == rows(entry.queries()["order_label_interval"](spark, sf_small), cols)
+
+
+def test_fact_streams_equal_bounded_batch(spark, sf_small, tmp_path):
+    """J5, J6, J8 as streams: the batch join with the rows beyond 1805 s left out."""
+    from strata.operators import facts as fx
+    from strata.plans import dwd
+    from strata.streaming import facts as sfx
+    od = dwd.order_detail_fact(spark, sf_small).drop("ts_ms")
+    pay = fx.status_filter(dwd.payment_info(spark, sf_small), "payment_status", ["1602"])
+    # a detail arrives with its order, or a fraction of an hour later
+    paid = F.timestamp_millis("ts_ms")
+    late = dwd.payment_info(spark, sf_small).select("order_id", F.timestamp_millis(
+        F.col("ts_ms") + (F.col("order_id") % 5) * 700_000).alias("detail_ts"))
+    details = od.join(late, "order_id").checkpoint()
+    pays = pay.withColumn("payment_ts", paid).drop("payment_status")
+    near = F.abs(F.unix_millis("detail_ts") - F.col("ts_ms")) <= 1_805_000
+    got = run_to_memory(sfx.payment_stream(as_stream(spark, pays, tmp_path / "pay"), as_stream(spark, details, tmp_path / "d1"),
+                                           "5000 days"), "payments")
+    want = fx.payment_rows(pays.join(details, "order_id").filter(near))
+    cols = ["order_detail_id", "payment_type_code", "activity_id", "coupon_id", "split_payment_amount", "ts_ms"]
+    key = lambda df: sorted(map(str, rows_any(df, cols)))
+    assert key(got) == key(want) and 0 < got.count() < fx.payment_rows(pays.join(details, "order_id")).count()
+    cancels = dwd.order_cancels(spark, sf_small).withColumn("cancel_ts", paid)
+    d2 = details.withColumn("detail_ts", F.col("detail_ts") + F.expr("INTERVAL 1 HOUR"))
+    got = run_to_memory(sfx.cancel_stream(as_stream(spark, cancels, tmp_path / "can"), as_stream(spark, d2, tmp_path / "d2"),
+                                          "5000 days"), "cancels")
+    want = fx.cancel_rows(cancels.join(d2, "order_id").filter(near))
+    cols = ["id", "operate_time", "sku_name", "split_total_amount", "ts_ms"]
+    assert key(got) == key(want) and got.count() > 0
+    det = dwd.detail_table(spark, sf_small).filter("l_returnflag = 'R'").checkpoint()
+    rp = det.filter("l_linestatus = 'F'").select(
+        "id", "order_id", "sku_id", F.col("split_total_amount").alias("total_amount"), F.lit("1101").alias("payment_type"),
+        F.col("ts_ms").cast("string").alias("callback_time"), "ts_ms", paid.alias("payment_ts"))
+    ref = det.groupBy("order_id", "sku_id").agg(F.sum(F.col("sku_num").cast("bigint")).alias("refund_num"),
+                                                F.timestamp_millis(F.max("ts_ms") - 60_000).alias("refund_ts"))
+    first = det.groupBy("order_id").agg(F.max("ts_ms").alias("at"))
+    oi = dwd.order_info(spark, sf_small).filter("order_status = 'F'").join(first, "order_id").select(
+        "order_id", "user_id", "province_id", F.timestamp_millis("at").alias("order_ts"))
+    got = run_to_memory(sfx.refund_payment_stream(as_stream(spark, rp, tmp_path / "rp"), as_stream(spark, ref, tmp_path / "ref"),
+                                                  as_stream(spark, oi, tmp_path / "oi"), "5000 days"), "refundpay")
+    j = rp.join(ref, ["order_id", "sku_id"]).filter("abs(unix_millis(refund_ts) - ts_ms) <= 1805000")
+    j = j.join(oi, "order_id").filter("abs(unix_millis(order_ts) - greatest(ts_ms, unix_millis(refund_ts))) <= 1805000")
+    cols = ["id", "user_id", "refund_num", "total_amount", "date_id"]
+    assert key(got) == key(fx.refund_payment_rows(j)) and got.count() > 0
+
+
+def rows_any(df, cols):
+    return [tuple(r[c] for c in cols) for r in df.collect()]
