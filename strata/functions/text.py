@@ -54,6 +54,13 @@ def last_token(x, sep: str = ",") -> Column:
     return F.element_at(F.split(_c(x), sep), -1)
 
 
-def prefixed(df, prefix: str, keep: tuple = ()):  # F21
-    """prefix every column name (except ``keep``)."""
-    return df.select(*[F.col(c).alias(c if c in keep else prefix + c) for c in df.columns])
+def prefixed(m, prefix: str) -> Column:
+    """a map with every key prefixed."""
+    return F.transform_keys(_c(m), lambda k, v: F.concat(F.lit(prefix), k))
+
+
+def merged(left, right) -> Column:
+    """two maps as one; of a key in both the right value counts.  A null map is empty."""
+    empty = F.create_map().cast("map<string,string>")
+    a, b = F.coalesce(_c(left), empty), F.coalesce(_c(right), empty)
+    return F.map_concat(F.map_filter(a, lambda k, v: ~F.map_contains_key(b, k)), b)

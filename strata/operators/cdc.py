@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from strata.functions.text import merged
 from strata.sources.cdc import ENVELOPE_SCHEMA
 
 FORM2_OPS = {"insert": "c", "update": "u", "delete": "d"}
@@ -48,6 +49,24 @@ def row_id(col: str = "id"):
     return F.coalesce(F.col("after")[col], F.col("before")[col])
 
 
+def flat_change(after="after", before="before"):
+    """P10: one change as a flat map: ``op`` and ``tm_ms``, then every field of ``after`` or, where
+    that is missing or empty, of ``before`` (a field named like one of the two wins)."""
+    has_after = F.coalesce(F.size(after) > 0, F.lit(False))
+    head = F.create_map(F.lit("op"), F.col("op"), F.lit("tm_ms"), F.col("ts_ms").cast("string"))
+    return merged(head, F.when(has_after, F.col(after)).otherwise(F.col(before)))
+
+
+def flat_comment():
+    """A comment change as a flat map: source db, table and server, op, time and the fields of
+    ``after`` (``comment_txt`` as ``commentTxt``).  Null where the change has no ``after``."""
+    a, src = F.col("after"), F.col("source")
+    fields = {"ts_ms": F.col("ts_ms").cast("string"), "db": src["db"], "table": src["table"], "server_id": src["server_id"],
+              "op": F.col("op"), "commentTxt": a["comment_txt"]}
+    fields.update({k: a[k] for k in ("id", "order_id", "user_id", "appraise", "create_time")})
+    return F.when(a.isNotNull(), F.create_map(*[x for k, v in fields.items() for x in (F.lit(k), v)]))
+
+
 def valid_changes(df: DataFrame, db: str, keep_deletes: bool = True, drop_bootstrap: bool = True) -> DataFrame:
     """P4 + P5: db matches, op in c/u/d/r, payload present.
 
@@ -90,7 +109,7 @@ def map_text(m) -> F.Column:
 
 
 def route_by_config(changes: DataFrame, config: DataFrame, on: Sequence[tuple[str, str]]) -> DataFrame:
-    """Attach the matching config row (config is tiny: broadcast behind a size check);
+    """Attach the matching config row (broadcast when Spark's byte threshold allows it);
     rows without a config are dropped.  ``on`` pairs (change column, config field)."""
     cfg = config.select(*[F.col("config")[f].alias(f"cfg_{f}") for _, f in on], "config")
     cond = [changes[c] == cfg[f"cfg_{f}"] for c, f in on]

@@ -19,6 +19,7 @@ MODULES = (
     "strata.plans.ods",
     "strata.plans.profile",
     "strata.plans.moderation",
+    "strata.plans.comments",
     "strata.plans.utility",
 )
 

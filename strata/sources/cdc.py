@@ -77,6 +77,25 @@ def customer_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return c.select(F.to_json(env).alias("value"))
 
 
+def comment_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """documents as form-1 changes of ``comment_info``, each on the order of its key, 0-119 s after
+    it: inserts, and a delete ('d', no ``after``) for every eleventh."""
+    o = t.read(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("doc_id"), "o_orderdate")
+    lab = t.read(spark, sf_dir, "labels")
+    d = t.read(spark, sf_dir, "documents").join(lab, "doc_id", "left").join(o, "doc_id")
+    ms = F.unix_millis("o_orderdate") + F.col("doc_id") % 120 * 1000
+    code = (F.when(F.col("toxic") == 1, "1205").when(F.col("quality") == 1, "1201").when(F.col("quality") == 0, "1203"))
+    key = F.col("doc_id").cast("string")
+    row = F.create_map(F.lit("id"), key, F.lit("order_id"), key, F.lit("user_id"), F.col("source"),
+                       F.lit("appraise"), code, F.lit("comment_txt"), F.col("text"), F.lit("create_time"), ms.cast("string"))
+    gone = F.col("doc_id") % 11 == 0
+    env = F.struct(F.when(gone, "d").otherwise("c").alias("op"), F.when(gone, row).alias("before"),
+                   F.when(~gone, row).alias("after"),
+                   F.create_map(F.lit("db"), F.lit(DB), F.lit("table"), F.lit("comment_info"), F.lit("server_id"), F.lit("1"),
+                                F.lit("ts_ms"), ms.cast("string")).alias("source"), ms.alias("ts_ms"))
+    return d.select(F.to_json(env).alias("value"))
+
+
 def cdc_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The mixed change topic: both envelope forms, one JSON text per line."""
     return order_envelopes(spark, sf_dir).unionByName(customer_envelopes(spark, sf_dir))

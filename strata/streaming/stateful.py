@@ -28,6 +28,22 @@ def _rows(pdfs: Iterator[pd.DataFrame], order: Sequence[str]) -> pd.DataFrame:
     return df.sort_values(list(order), kind="stable")
 
 
+# ---- D11: state expiry ----------------------------------------------------------------------------
+
+def _timeout(ttl_s: float | None) -> str:
+    return GroupStateTimeout.ProcessingTimeTimeout if ttl_s else GroupStateTimeout.NoTimeout
+
+
+def _keep(state: GroupState, value: tuple, ttl_s: float | None) -> None:
+    """Update a key's state; with ``ttl_s`` a key silent for so long loses it in the next micro-batch.
+
+    Such a query runs batches without data, for ever: give it a processing-time trigger (with
+    ``availableNow`` it ends only if ``spark.sql.streaming.noDataMicroBatches.enabled`` is off)."""
+    state.update(value)
+    if ttl_s:
+        state.setTimeoutDuration(int(ttl_s * 1000))
+
+
 # ---- D1: new-visitor repair -------------------------------------------------------------------
 
 def new_visitor_stream(logs: DataFrame) -> DataFrame:
@@ -51,20 +67,25 @@ def new_visitor_stream(logs: DataFrame) -> DataFrame:
 
 # ---- D3: daily unique visitor flag --------------------------------------------------------------
 
-def daily_first_flag_stream(df: DataFrame, key: str, row_id: str, flag: str = "uv") -> DataFrame:
-    """D3: emit every row with ``flag`` = 1 on the key's first row of each calendar day."""
+def daily_first_flag_stream(df: DataFrame, key: str, row_id: str, flag: str = "uv",
+                            ttl_s: float | None = None) -> DataFrame:
+    """D3: emit every row with ``flag`` = 1 on the key's first row of each calendar day.  State
+    (the last day seen) of a key silent for ``ttl_s`` (the reference: 86400) expires (D11)."""
     def fn(k, pdfs, state: GroupState):
+        if state.hasTimedOut:
+            state.remove()
+            return
         last = state.get[0] if state.exists else None
         out = []
         for r in _rows(pdfs, ["ts", row_id]).itertuples(index=False):
             d = r.ts.date().isoformat()
             out.append((getattr(r, row_id), 1 if d != last else 0))
             last = d
-        state.update((last,))
+        _keep(state, (last,), ttl_s)
         yield pd.DataFrame(out, columns=[row_id, flag])
 
     flags = df.select(key, "ts", row_id).groupBy(key).applyInPandasWithState(
-        fn, f"{row_id} long, {flag} int", "last_day string", "append", GroupStateTimeout.NoTimeout)
+        fn, f"{row_id} long, {flag} int", "last_day string", "append", _timeout(ttl_s))
     return flags
 
 
@@ -94,9 +115,16 @@ def login_stream(logins: DataFrame, back_days: int = 8) -> DataFrame:
 
 # ---- D6: retraction by negation ----------------------------------------------------------------
 
-def retraction_stream(changes: DataFrame, key: str, amount: str, order: Sequence[str]) -> DataFrame:
-    """Per key, a repeat first emits the previous amount negated, then the new row."""
+def retraction_stream(changes: DataFrame, key: str, amount: str, order: Sequence[str],
+                      ttl_s: float | None = None) -> DataFrame:
+    """Per key, a repeat first emits the previous amount negated, then the new row.
+
+    ``ttl_s`` (the reference: 10) bounds how long a repeat may come after the version before;
+    a later one would not be netted, so no expiry is the default (D11)."""
     def fn(k, pdfs, state: GroupState):
+        if state.hasTimedOut:
+            state.remove()
+            return
         prev, seq = (state.get if state.exists else (None, 0))
         out = []
         for r in _rows(pdfs, order).itertuples(index=False):
@@ -106,20 +134,24 @@ def retraction_stream(changes: DataFrame, key: str, amount: str, order: Sequence
                 out.append((k[0], seq, 1, -prev))
             out.append((k[0], seq, 0, val))
             prev = val
-        state.update((prev, seq))
+        _keep(state, (prev, seq), ttl_s)
         yield pd.DataFrame(out, columns=[key, "seq", "is_retraction", "amount"])
 
     kind = dict(changes.dtypes)[amount]  # money stays decimal
     return changes.select(key, amount, *order).groupBy(key).applyInPandasWithState(
         fn, f"{key} string, seq long, is_retraction int, amount {kind}", f"prev {kind}, seq long",
-        "append", GroupStateTimeout.NoTimeout)
+        "append", _timeout(ttl_s))
 
 
 # ---- D9: monotone filter -------------------------------------------------------------------------
 
-def monotone_stream(df: DataFrame, key: str, ts: str, arrival: str) -> DataFrame:
-    """Pass a row only if its ``ts`` is later than every earlier row of the key."""
+def monotone_stream(df: DataFrame, key: str, ts: str, arrival: str, ttl_s: float | None = None) -> DataFrame:
+    """Pass a row only if its ``ts`` is later than every earlier row of the key.  A key silent
+    for ``ttl_s`` (the reference: 3600) starts anew (D11)."""
     def fn(k, pdfs, state: GroupState):
+        if state.hasTimedOut:
+            state.remove()
+            return
         mx = pd.Timestamp(state.get[0]) if state.exists else None
         keep = []
         for r in _rows(pdfs, [arrival]).to_dict("records"):
@@ -127,12 +159,12 @@ def monotone_stream(df: DataFrame, key: str, ts: str, arrival: str) -> DataFrame
                 keep.append(r)
                 mx = r[ts]
         if mx is not None:
-            state.update((mx.to_pydatetime(),))
+            _keep(state, (mx.to_pydatetime(),), ttl_s)
         yield pd.DataFrame(keep, columns=[arrival, key, ts])
 
     schema = df.select(arrival, key, ts).schema
     return df.select(arrival, key, ts).groupBy(key).applyInPandasWithState(
-        fn, schema, "max_ts timestamp", "append", GroupStateTimeout.NoTimeout)
+        fn, schema, "max_ts timestamp", "append", _timeout(ttl_s))
 
 
 # ---- A8: running profile -------------------------------------------------------------------------
@@ -279,33 +311,39 @@ class LoginDays(StatefulProcessor):
 
 
 class NetAmount(StatefulProcessor):
-    """D6 per detail id as a transformWithState processor: every version is emitted, and a
-    repeat first emits the previous version negated, so sums over any grouping of the
-    output equal sums over the latest versions.  State: the previous amount.  Rows carry
-    their event time (``create_time``) through, so event-time windows can follow."""
+    """D6 per order line, grouped by order, as a transformWithState processor: every version is
+    emitted, and a repeat first emits the line's previous version negated, so sums over any
+    grouping of the output equal sums over the latest versions.  The order's first row
+    carries ``orders`` = 1, every other 0, so a sum counts distinct orders without a set.
+    State: the previous version of each line of the order.  Rows carry their event time
+    (``create_time``) through, so event-time windows can follow."""
 
-    def __init__(self, order: Sequence[str], carry: Sequence[str]):
-        self.order, self.carry = list(order), list(carry)
+    def __init__(self, order: Sequence[str], carry: Sequence[str], line: str):
+        self.order, self.carry, self.line = list(order), list(carry), line
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.prev = handle.getValueState("prev", "amount string, carry string")
+        self.prev = handle.getMapState("prev", "line long", "amount string, carry string")
+        self.counted = handle.getValueState("counted", "counted boolean")
 
     def handleInputRows(self, key, rows, timerValues):
-        from decimal import Decimal
-        prev = None
-        if self.prev.exists():
-            amount, carry = self.prev.get()
-            prev = (Decimal(amount), json.loads(carry))
-        out = []
-        for r in _rows(rows, self.order).to_dict("records"):
-            if prev is not None:
-                out.append({**prev[1], "amount": -prev[0], "is_retraction": 1})
+        new_order, touched, out = not self.counted.exists(), {}, []
+        for r in _rows(rows, [*self.order, self.line]).to_dict("records"):
+            line = int(r[self.line])
+            if line not in touched and self.prev.containsKey((line,)):
+                amount, carry = self.prev.getValue((line,))
+                touched[line] = (Decimal(amount), json.loads(carry))
+            if line in touched:
+                amount, carry = touched[line]
+                out.append({**carry, "amount": -amount, "is_retraction": 1, "orders": 0})
             carry = {c: r[c] for c in self.carry}
-            out.append({**carry, "amount": r["amount"], "is_retraction": 0})
-            prev = (r["amount"], carry)
-        if prev is not None:
-            self.prev.update((str(prev[0]), json.dumps(prev[1], default=str)))
-        frame = pd.DataFrame(out, columns=[*self.carry, "amount", "is_retraction"])
+            out.append({**carry, "amount": r["amount"], "is_retraction": 0, "orders": int(new_order)})
+            new_order = False
+            touched[line] = (r["amount"], carry)
+        for line, (amount, carry) in touched.items():
+            self.prev.updateValue((line,), (str(amount), json.dumps(carry, default=str)))
+        if touched:
+            self.counted.update((True,))
+        frame = pd.DataFrame(out, columns=[*self.carry, "amount", "is_retraction", "orders"])
         if "create_time" in frame:
             frame["create_time"] = pd.to_datetime(frame["create_time"])
         yield frame

@@ -93,7 +93,7 @@ def upsert_sink(path: str, keys: Sequence[str], order: Sequence[str], part_col:
         new = merge_rows(batch)
         touched = new.select(part_col).distinct()
         if _table_exists(spark, path):
-            cur = (read_table(spark, path, new.schema).join(F.broadcast(touched), part_col, "left_semi")
+            cur = (read_table(spark, path, new.schema).join(touched, part_col, "left_semi")
                    .select(*new.columns))
             merged = merge_rows(cur.unionByName(new))
         else:

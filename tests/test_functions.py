@@ -84,3 +84,16 @@ def test_string_helpers(spark):
         ft.capitalize_first("a"), ft.lower_first(F.lit("ABC")), ft.is_blank("b"), ft.is_blank(F.lit(None)),
         ft.allowed_chars(F.lit("ab#1")), ft.allowed_chars(F.lit("a b")), ft.first_token("a"), ft.last_token("a", " ")).first()
     assert tuple(r) == ("Hello world", "aBC", True, True, True, False, "hello", "world")
+
+
+def test_map_merge_and_prefix(spark):
+    df = spark.sql("SELECT map('a', '1', 'b', '2') l, map('b', '3', 'c', CAST(NULL AS STRING)) r, CAST(NULL AS map<string,string>) n")
+    got = df.select(ft.merged("l", "r").alias("m"), ft.merged("n", "l").alias("n"), ft.prefixed("l", "info_").alias("p")).first()
+    assert got.m == {"a": "1", "b": "3", "c": None}
+    assert got.n == {"a": "1", "b": "2"}
+    assert got.p == {"info_a": "1", "info_b": "2"}
+
+
+def test_date_text_and_day_number(spark):
+    got = spark.range(1).select(fd.text_to_ms(F.lit("2024-01-02 03:04:05")).alias("ms"), fd.today_int("2024-01-02").alias("d")).first()
+    assert (got.ms, got.d) == (1704164645000, 20240102)

@@ -209,3 +209,17 @@ def test_hot_key_holding_a_third_of_rows(spark):
     # the largest (key, chunk) group the scan ranks in one task is a slice of the hot key
     biggest = df.groupBy("k", chunk.alias("c")).count().agg(F.max("count")).first()[0]
     assert biggest < len(hot) / 10
+
+
+def test_every_score_row_is_reached(spark, sf_small):
+    """The order label check runs over every slot, tier, brand and category that has scores."""
+    from strata.operators import labels as lb
+    from strata.plans.profile import order_label
+    seen = order_label(spark, sf_small).checkpoint()
+    for family, col in (("pay_time", "pay_time_slot"), ("amount", "amount_tier"), ("tm", "tm_name"), ("b1name", "category_name")):
+        values = {r[0] for r in seen.select(col).distinct().collect()}
+        known = {k for k in lb.COEFFICIENTS[family] if k != lb.OTHER}
+        assert known <= values, family
+        if lb.OTHER in lb.COEFFICIENTS[family]:
+            assert values - known - {""}, family
+    assert {r[0] for r in seen.filter("tm_name = ''").select("tm_18_24").collect()} == {None}

@@ -2,6 +2,7 @@
 
 import os
 import tempfile
+import time
 
 import pyarrow.parquet as pq
 import pytest
@@ -533,3 +534,22 @@ def test_fact_streams_equal_bounded_batch(spark, sf_small, tmp_path):
 
 def rows_any(df, cols):
     return [tuple(r[c] for c in cols) for r in df.collect()]
+
+
+def test_state_of_a_silent_key_expires(spark, tmp_path):
+    """With a time to live a key that stays away for a micro-batch starts anew."""
+    src = tmp_path / "src"
+    for key, second in (("a", 10), ("b", 11), ("a", 5)):
+        spark.createDataFrame([(key, second)], "key string, s long").select(
+            "key", F.timestamp_seconds("s").alias("ts"), F.monotonically_increasing_id().alias("n")).coalesce(1).write.mode("append").parquet(str(src))
+        time.sleep(1.1)
+
+    def passed(ttl_s, name):
+        rows_in = spark.readStream.schema("key string, ts timestamp, n long").option("maxFilesPerTrigger", 1).parquet(str(src))
+        return run_to_memory(st.monotone_stream(rows_in, "key", "ts", "n", ttl_s), name).count()
+    assert passed(None, "mono_kept") == 2
+    spark.conf.set("spark.sql.streaming.noDataMicroBatches.enabled", "false")
+    try:
+        assert passed(0.001, "mono_expired") == 3
+    finally:
+        spark.conf.unset("spark.sql.streaming.noDataMicroBatches.enabled")
