@@ -10,6 +10,7 @@ from strata.sources.tables import table_path
 
 # A null id takes part in comparisons as the largest long and is given back as null.
 NULL_ID = 2 ** 63 - 1
+HOT_SHARE = 1000      # a key with more than one row in so many is hot; there are fewer such keys than this
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -43,3 +44,15 @@ def free_name(df: DataFrame, base: str) -> str:
 def sized_broadcast(df: DataFrame, rows: int, max_rows: int) -> DataFrame:
     """Hint a broadcast where the counted ``rows`` prove the side small; else leave the join to Spark."""
     return F.broadcast(df) if rows <= max_rows else df
+
+
+def join_unique(rows: DataFrame, unique: DataFrame, key: list[str], count: str, total: int) -> DataFrame:
+    """``rows`` joined with ``unique``, which has one row per ``key`` and, in the column
+    ``count``, the number of ``rows`` of that key; ``total`` is their sum or more.
+
+    Rows of hot keys stay where they are: fewer than HOT_SHARE keys can be hot, so their side is
+    broadcast.  The others are shuffled, at most one row in HOT_SHARE for each key."""
+    hot = F.col(count) * HOT_SHARE > F.lit(total)
+    head, tail = F.broadcast(unique.where(hot).drop(count)), unique.where(~hot).drop(count)
+    rest = rows.join(F.broadcast(unique.where(hot).select(*key)), key, "left_anti")
+    return rows.join(head, key).unionByName(rest.join(tail, key))

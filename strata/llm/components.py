@@ -5,7 +5,7 @@ invertible, so labels stay unique), lets every vertex adopt the smallest label a
 itself and its neighbours and contracts the edges.  A vertex has a fair chance of
 disappearing in each round whatever the shape of the component, so the number of rounds
 is logarithmic.  All steps are combining aggregates and joins with a unique side: a hub
-with very many edges is pre-aggregated, and its join is split by adaptive execution.
+with very many edges is pre-aggregated, and in a join its rows stay where they are.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import cut
+from strata.llm.common import cut, join_unique
 
 
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -24,21 +24,22 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """
     pairs = edges.select(F.col(a).cast("bigint").alias("a"), F.col(b).cast("bigint").alias("b")).where("a <> b")
     pairs = cut(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
-    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().withColumn("cur", F.col("node"))
-    step = 0
-    while not pairs.isEmpty():
+    nodes = cut(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().withColumn("cur", F.col("node")))
+    n_nodes, step = nodes.count(), 0
+    while n_pairs := pairs.count():
         def label(c):
             return F.xxhash64(F.lit(step).cast("bigint"), F.col(c))
-        both = pairs.select(label("a").alias("a"), label("b").alias("b"))
-        both = both.unionByName(both.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        best = cut(both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")))
-        nodes = nodes.select("node", label("cur").alias("cur"))
-        nodes = cut(nodes.join(best, F.col("cur") == F.col("a"), "left")
-                    .select("node", F.coalesce("m", "cur").alias("cur")))
+        both = pairs.select(label("a").alias("x"), label("b").alias("y"))
+        both = both.unionByName(both.select(F.col("y").alias("x"), F.col("x").alias("y")))
+        best = cut(both.groupBy("x").agg(F.min("y").alias("m"), F.count("*").alias("n")).select("x", F.least("x", "m").alias("m"), "n"))
+        nodes = nodes.select("node", label("cur").alias("x"))
+        held = nodes.groupBy("x").agg(F.count("*").alias("n")).join(best.drop("n"), "x", "left")
+        moved = join_unique(nodes, held, ["x"], "n", n_nodes)
+        nodes = cut(moved.select("node", F.coalesce("m", "x").alias("cur")))
         one = pairs.select(label("a").alias("x"), label("b").alias("y"))
-        one = one.join(best, F.col("x") == F.col("a")).select(F.col("m").alias("x"), "y")
-        one = one.join(best, F.col("y") == F.col("a")).select("x", F.col("m").alias("y")).where("x <> y")
-        pairs = cut(one.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct())
+        one = cut(join_unique(one, best, ["x"], "n", 2 * n_pairs).select(F.col("m").alias("p"), F.col("y").alias("x")))
+        one = join_unique(one, best, ["x"], "n", 2 * n_pairs).select("p", F.col("m").alias("q")).where("p <> q")
+        pairs = cut(one.select(F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b")).distinct())
         step += 1
-    first = nodes.groupBy("cur").agg(F.min("node").alias("comp"))
-    return nodes.join(first, "cur").select("node", "comp")
+    first = nodes.groupBy("cur").agg(F.min("node").alias("comp"), F.count("*").alias("n"))
+    return join_unique(nodes, first, ["cur"], "n", n_nodes).select("node", "comp")

@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import cut, id_back, id_key
+from strata.llm.common import cut, id_back, id_key, join_unique
 from strata.llm.components import components
 from strata.llm.simhash import local_roots
 
@@ -157,8 +157,9 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.93, id_col: str = "vec
     comps = components(found, "rep", "root")
     counted = found.groupBy("rep").agg(F.sum("n").alias("n"))
     named = classes.join(counted, "rep", "left").join(comps, F.col("rep") == F.col("node"), "left").select(
-        "label", "v", (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n"), F.coalesce("comp", "rep").alias("comp"))
-    linked = valid.join(named, ["label", "v"]).select("id", "n", "comp")
+        "label", "v", "copies", (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n"), F.coalesce("comp", "rep").alias("comp"))
+    total = classes.agg(F.sum("copies")).first()[0] or 0
+    linked = join_unique(valid.drop("ok"), named, ["label", "v"], "copies", total).select("id", "n", "comp")
     alone = rows.where("not ok").select("id", F.lit(0).cast("bigint").alias("n"), F.col("id").alias("comp"))
     return linked.unionByName(alone).select(
         id_back("id").alias("vec_id"), F.col("n").alias("n_links"), id_back("comp").alias("component_id"),

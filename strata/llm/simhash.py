@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import cut, free_name, id_back, id_key
+from strata.llm.common import cut, free_name, id_back, id_key, join_unique
 from strata.llm.components import components
 
 SEGMENT_BYTES = 1 << 20       # long texts are cut into segments of words, joined by their last words
@@ -69,14 +69,17 @@ def fingerprint(text: str | None, words: int = 4, seed: int = 42) -> int:
 
 def fingerprints(docs: DataFrame, words: int = 4, seed: int = 42,
                  id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(id, fp)`` for every row, ``id`` a null-safe key and ``fp`` the fingerprint as a signed long."""
-    rows = docs.select(id_key(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+    """``(id, digest, fp)`` for every row: ``id`` a null-safe key, ``digest`` a hash of the text that
+    tells rows of one id apart, ``fp`` the fingerprint as a signed long."""
+    text = F.col(text_col).cast("string")
+    rows = docs.select(id_key(id_col).alias("id"), F.xxhash64(text).alias("digest"), text.alias("text"))
 
     def hashed(batches):
         for batch in batches:
             fp = np.array([fingerprint(t, words, seed) for t in batch.column("text").to_pylist()], np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(fp.view(np.int64))], ["id", "fp"])
-    return rows.mapInArrow(hashed, "id bigint, fp bigint")
+            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("digest"), pa.array(fp.view(np.int64))],
+                                             ["id", "digest", "fp"])
+    return rows.mapInArrow(hashed, "id bigint, digest bigint, fp bigint")
 
 
 # ---- ball hashing -------------------------------------------------------------------------
@@ -203,6 +206,19 @@ def links(classes: DataFrame, count: int, max_bits: int = 4, fp: str = "fp") ->
     return cells.groupBy("cell").applyInPandas(joined, "a bigint, b bigint")
 
 
+def _grouped(docs: DataFrame, words: int, max_bits: int, seed: int, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
+    """``(id, digest, fp)`` of every row, and of every distinct fingerprint ``(fp, copies, first)``:
+    the number of its rows, and the smallest (id, digest) of its component."""
+    fps = cut(fingerprints(docs, words, seed, id_col, text_col))
+    classes = cut(fps.groupBy("fp").agg(F.min(F.struct("id", "digest")).alias("first"), F.count("*").alias("copies")))
+    n = classes.count()
+    comps = components(links(classes, n, max_bits))
+    named = cut(classes.join(comps, F.col("fp") == F.col("node"), "left").select(
+        "fp", "copies", F.col("first").alias("own"), F.coalesce("comp", "fp").alias("comp")))
+    smallest = named.groupBy("comp").agg(F.min("own").alias("first"), F.count("*").alias("n"))
+    return fps, join_unique(named, smallest, ["comp"], "n", n).select("fp", "copies", "first")
+
+
 def near_duplicates(docs: DataFrame, words: int = 4, max_bits: int = 4, seed: int = 42,
                     id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(doc_id, fingerprint, component_id)`` per row of ``docs``.
@@ -211,23 +227,19 @@ def near_duplicates(docs: DataFrame, words: int = 4, max_bits: int = 4, seed: in
     included.  Equal fingerprints link at distance zero, also the zero of texts without words
     (null or empty).  A null id is the largest id, given back as null; repeated rows are in one
     group; an empty table gives an empty result; other columns are not read."""
-    fps = cut(fingerprints(docs, words, seed, id_col, text_col))
-    classes = cut(fps.groupBy("fp").agg(F.min("id").alias("first")))
-    comps = components(links(classes, classes.count(), max_bits))
-    named = classes.join(comps, F.col("fp") == F.col("node"), "left").select(
-        "fp", "first", F.coalesce("comp", "fp").alias("comp"))
-    smallest = named.groupBy("comp").agg(F.min("first").alias("component"))
-    of_class = named.join(smallest, "comp").select("fp", "component")
-    return fps.join(of_class, "fp").select(
+    fps, classes = _grouped(docs, words, max_bits, seed, id_col, text_col)
+    return join_unique(fps, cut(classes), ["fp"], "copies", fps.count()).select(
         id_back("id").alias("doc_id"),
         F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
-        id_back("component").alias("component_id"))
+        id_back("first.id").alias("component_id"))
 
 
-def keep_one(docs: DataFrame, words: int = 4, max_bits: int = 4) -> DataFrame:
+def keep_one(docs: DataFrame, words: int = 4, max_bits: int = 4, seed: int = 42) -> DataFrame:
     """The documents with one row of each near-duplicate group left: the one with the smallest
-    id (of rows that repeat this id, one)."""
-    key = free_name(docs, "_key")
-    groups = near_duplicates(docs, words, max_bits)
-    kept = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(id_key("doc_id").alias(key))
-    return docs.withColumn(key, id_key("doc_id")).join(kept.distinct(), key, "left_semi").dropDuplicates([key]).drop(key)
+    id (of rows that repeat this id in the group, one).  Rows of one id with different texts are
+    documents each, so each of their groups keeps one."""
+    key, text = free_name(docs, "_key"), F.xxhash64(F.col("text").cast("string"))
+    _, classes = _grouped(docs, words, max_bits, seed, "doc_id", "text")
+    kept = classes.select(F.col("first").alias(key)).distinct()
+    marked = docs.withColumn(key, F.struct(id_key("doc_id").alias("id"), text.alias("digest")))
+    return marked.join(kept, key, "left_semi").dropDuplicates([key]).drop(key)

@@ -11,9 +11,11 @@ from itertools import combinations
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from strata.llm import chat, lang_id, metric_join, mixing, packing, queries, secret_crf, simhash, topk, url_filter, warc
-from strata.llm.common import table
+from strata.llm.common import join_unique, table
+from strata.llm.components import components
 
 DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
 WORDS = re.compile(r"[^\x20\x09-\x0D]+")
@@ -437,3 +439,31 @@ def test_mixing_odd_rows(spark):
     assert mixing.mixed_sizes(odd.limit(0)).count() == 0
     blank = doc_rows(spark, [None, "", " "])
     assert {(r["size"], r["taken"]) for r in mixing.mixed_sizes(blank).collect()} == {(0, 0)}
+
+
+def test_near_duplicates_keep_rows_of_one_id(spark):
+    """Rows of one id with different texts are documents each; a group loses its copies only."""
+    texts = [" ".join(f"{w}{i}" for i in range(30)) for w in ("red", "blue")]
+    docs = spark.createDataFrame([(5, texts[0], "en", "a", 1), (5, texts[1], "en", "a", 1), (5, texts[1], "en", "a", 1),
+                                  (6, texts[0], "en", "a", 1)], DOCS)
+    assert sorted((r["doc_id"], r["text"]) for r in simhash.keep_one(docs).collect()) == [(5, texts[1]), (5, texts[0])]
+
+
+# ---- components and hot keys --------------------------------------------------------------
+
+def test_components_of_stars_paths_and_loops(spark):
+    star = [(0, i) for i in range(1, 3000)]
+    path = [(10_000 + i, 10_001 + i) for i in range(200)]
+    more = [(20_000, 20_001), (20_001, 20_000), (30_000, 30_000), (None, 5)]
+    edges = spark.createDataFrame(star + path + more, "a bigint, b bigint")
+    got = {r["node"]: r["comp"] for r in components(edges).collect()}
+    want = {**{i: 0 for i in range(3000)}, **{10_000 + i: 10_000 for i in range(201)}, 20_000: 20_000, 20_001: 20_000}
+    assert got == want
+    assert components(edges.limit(0)).count() == 0
+
+
+def test_join_unique_keeps_every_row(spark):
+    rows = spark.createDataFrame([(0 if i % 3 == 0 else i, i) for i in range(4000)], "k bigint, at bigint")
+    unique = rows.groupBy("k").agg(F.count("*").alias("n")).withColumn("twice", F.col("k") * 2)
+    got = join_unique(rows, unique, ["k"], "n", 4000).collect()
+    assert sorted((r["k"], r["at"], r["twice"]) for r in got) == sorted((r["k"], r["at"], 2 * r["k"]) for r in rows.collect())
