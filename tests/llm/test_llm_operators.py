@@ -467,3 +467,17 @@ def test_join_unique_keeps_every_row(spark):
     unique = rows.groupBy("k").agg(F.count("*").alias("n")).withColumn("twice", F.col("k") * 2)
     got = join_unique(rows, unique, ["k"], "n", 4000).collect()
     assert sorted((r["k"], r["at"], r["twice"]) for r in got) == sorted((r["k"], r["at"], 2 * r["k"]) for r in rows.collect())
+
+
+def test_secret_spans_apart_and_long_texts():
+    rng = np.random.default_rng(5)
+    for _ in range(200):
+        some = [sorted((("k", int(a), int(a + n)) for a, n in zip(rng.integers(0, 60, 6), rng.integers(1, 12, 6))), key=lambda s: s[1])
+                for _ in range(2)]
+        want = [s for s in some[0] if not any(b[1] < s[2] and s[1] < b[2] for b in some[1])]
+        assert secret_crf.apart(some[0], some[1]) == want
+    long = " ".join(f"token=a1b2c3d{i:06d}" for i in range(60_000))
+    examples = secret_crf.examples_of(long)
+    assert len(secret_crf.scan(long, None)) == 60_000
+    assert max(len(tags) for _, _, tags in examples) <= secret_crf.TRAIN_TOKENS
+    assert all(t == secret_crf.BEGIN for _, _, tags in examples for t in tags)
