@@ -18,7 +18,8 @@ from strata.session import ensure_checkpoint_dir
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a letter (null and empty texts too) are rejected."""
+    """Rejected are documents without a letter (null and empty texts too) and those whose language
+    scores below ``lang_id.MIN_SCORE`` of the usual; without any labelled row to learn from, only the former."""
     return lang_id.with_language(docs)
 
 

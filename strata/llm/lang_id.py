@@ -21,6 +21,10 @@ DIMENSIONS = 4096
 SEGMENT = 1 << 18             # characters turned into counts at once
 SAMPLE_PER_LANGUAGE = 250     # training documents of a language, in expectation
 MAX_LANGUAGES = 256
+# A document stays in the pipeline from this share of the usual score on (the median score of the
+# model's own training documents, so that the number of languages doesn't matter).  Documents of
+# check_s score 0.32 and more, a guess among two families of two languages about 0.25.
+MIN_SCORE = 0.3
 # Families of languages by ISO 639-1 code; a language that is not listed is its own.
 FAMILIES = {
     "germanic": ("en", "de", "nl", "sv", "da", "no", "is", "af"),
@@ -75,6 +79,7 @@ class Model:
     family_w: np.ndarray                        # a row for each family; one family: none
     languages: dict[str, list[str]]             # of each family
     pairs: dict[tuple[str, str], np.ndarray]    # positive side: the first language
+    usual: float = 1.0                          # median score of the training documents
 
     def predict(self, x: np.ndarray) -> tuple[str, float]:
         v = np.append(x, 1.0)
@@ -136,7 +141,9 @@ def train(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE, text_col: st
             for b in langs[i + 1:]:
                 at = (lang == a) | (lang == b)
                 pairs[a, b] = train_svm(x[at], np.where(lang[at] == a, 1.0, -1.0))
-    return Model(families, family_w, languages, pairs)
+    model = Model(families, family_w, languages, pairs)
+    model.usual = float(np.median([model.predict(row)[1] for row in x]))
+    return model
 
 
 # ---- prediction ---------------------------------------------------------------------------
@@ -167,9 +174,21 @@ def languages(docs: DataFrame) -> DataFrame:
     return out.select("doc_id", "held_out", F.col("p.lang").alias("lang_pred"), F.col("p.score").alias("score"))
 
 
-def with_language(docs: DataFrame, min_score: float = 0.0) -> DataFrame:
-    """The documents whose language can be told: rejected are ``und`` and scores below ``min_score``."""
+def with_letters(docs: DataFrame) -> DataFrame:
+    def lettered(texts: pa.Array) -> pa.Array:
+        return pa.array([has_letter(t) for t in texts.to_pylist()], pa.bool_())
+    return docs.where(F.arrow_udf(lettered, "boolean")(F.col("text").cast("string")))
+
+
+def with_language(docs: DataFrame, min_score: float = MIN_SCORE) -> DataFrame:
+    """The documents whose language can be told: rejected are ``und`` and scores below ``min_score``
+    times the usual score of the model.
+
+    Where no labelled row can be learnt from, nothing can be told of any document, so all that have
+    a letter stay."""
     name = free_name(docs, "_language")
     model = train(docs.where(~held_out()))
+    if model is None:
+        return with_letters(docs)
     out = docs.withColumn(name, predict_column(model, docs, F.col("text").cast("string")))
-    return out.where((F.col(name)["lang"] != "und") & (F.col(name)["score"] >= min_score)).drop(name)
+    return out.where((F.col(name)["lang"] != "und") & (F.col(name)["score"] >= min_score * model.usual)).drop(name)

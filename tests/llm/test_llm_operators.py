@@ -481,3 +481,16 @@ def test_secret_spans_apart_and_long_texts():
     assert len(secret_crf.scan(long, None)) == 60_000
     assert max(len(tags) for _, _, tags in examples) <= secret_crf.TRAIN_TOKENS
     assert all(t == secret_crf.BEGIN for _, _, tags in examples for t in tags)
+
+
+def test_language_stage_without_a_model_and_below_the_threshold(spark):
+    known = table(spark, "/root/testdata/sf0.01", "documents")
+    lettered = known.where("text rlike '[A-Za-z]'").count()
+    assert lang_id.with_language(known.withColumn("lang", F.lit(None).cast("string"))).count() == lettered
+    held = known.where(lang_id.held_out())
+    assert lang_id.with_language(held).count() == held.where("text rlike '[A-Za-z]'").count() > 0
+    odd = spark.createDataFrame([(-1, "x 1 2 3 4 5", None, "a", 11), (-2, "\u0643\u062a\u0627\u0628 " * 20, None, "a", 100), (-3, "12 !", None, "a", 4)], known.schema)
+    kept = lang_id.with_language(known.unionByName(odd)).select("doc_id")
+    assert kept.where("doc_id in (-1, -3)").count() == 0 and kept.where("doc_id >= 0").count() == lettered
+    assert lang_id.with_language(known.unionByName(odd), min_score=0.45).where("doc_id < 0").count() == 0
+    assert lang_id.with_language(odd).count() == 2
