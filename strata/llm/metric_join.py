@@ -26,7 +26,10 @@ MAX_PIVOTS = 4096     # over all labels; beyond it cells grow, and with them the
 
 
 def _classes(rows: DataFrame) -> DataFrame:
-    return rows.groupBy("label", "v").agg(F.min("id").alias("rep"), F.count("*").alias("copies"))
+    """Equal vectors of a label as one class, with its smallest id.  ``rep`` numbers the classes (ids
+    may repeat); it holds only once the frame is materialised."""
+    classes = rows.groupBy("label", "v").agg(F.min("id").alias("id"), F.count("*").alias("copies"))
+    return classes.withColumn("rep", F.monotonically_increasing_id())
 
 
 def _unit(vectors) -> np.ndarray:
@@ -37,22 +40,24 @@ def _unit(vectors) -> np.ndarray:
 def range_links(classes: DataFrame, threshold: float) -> DataFrame:
     """``(rep, root, n)`` per class and block pair: a link of the class's component there and the
     number of vectors of other classes it links with there.  ``classes``: label, v, rep, copies;
-    v is a valid vector, classes are distinct within their label."""
+    v is a valid vector, classes are distinct within their label and ``rep`` is unique.  Pivots and
+    blocks are drawn by the vectors, so they don't depend on how the classes were numbered."""
     spark = classes.sparkSession
     radius = float(np.sqrt(max(0.0, 2 - 2 * threshold)))
     slack = 1e-7   # distances near zero carry rounding of about 1e-8; more copies do no harm
     rows = classes.withColumn("part", F.struct("label", F.size("v").alias("dim")))
+    drawn = F.xxhash64("label", "v")
     total = rows.count()
     cell_rows = max(CELL, -(-total // MAX_PIVOTS))
     sizes = rows.groupBy("part").agg(F.count("*").alias("n")).where(F.col("n") > cell_rows)
     # At most total / cell_rows <= MAX_PIVOTS labels have pivots, and so many pivots in all.
     wanted = {(r["part"]["label"], r["part"]["dim"]): -(-r["n"] // cell_rows) for r in sizes.collect()}
-    share = F.pmod(F.xxhash64("rep"), F.lit(1 << 20)) / float(1 << 20)
+    share = F.pmod(drawn, F.lit(1 << 20)) / float(1 << 20)
     pivots: dict[tuple, np.ndarray] = {}
     if wanted:
         picked = rows.join(F.broadcast(sizes), "part") \
-            .where(share < 2.0 * F.ceil(F.col("n") / cell_rows) / F.col("n")).select("part", "v", "rep")
-        for r in picked.orderBy("rep").collect():
+            .where(share < 2.0 * F.ceil(F.col("n") / cell_rows) / F.col("n")).select("part", "v", drawn.alias("drawn"))
+        for r in picked.orderBy("drawn").collect():
             pivots.setdefault((r["part"]["label"], r["part"]["dim"]), []).append(r["v"])
         pivots = {p: _unit(v[:wanted[p]]) for p, v in pivots.items()}
     held = spark.sparkContext.broadcast(pivots)
@@ -100,7 +105,7 @@ def range_links(classes: DataFrame, threshold: float) -> DataFrame:
     members = members.withColumn("own", F.col("cell") == F.col("home"))
     in_cell = members.groupBy("part", "cell").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
     blocked = members.join(in_cell, ["part", "cell"]).withColumn(
-        "block", F.pmod(F.xxhash64("rep", F.lit(1)), F.col("blocks")).cast("int"))
+        "block", F.pmod(F.xxhash64("part", "v", F.lit(1)), F.col("blocks")).cast("int"))
     pair = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda o: F.struct(
         F.least(o, "block").alias("b1"), F.greatest(o, "block").alias("b2")))
     dealt = blocked.withColumn("pair", F.explode(pair)).select(
@@ -156,8 +161,11 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.93, id_col: str = "vec
     found = cut(range_links(classes, threshold))
     comps = components(found, "rep", "root")
     counted = found.groupBy("rep").agg(F.sum("n").alias("n"))
-    named = classes.join(counted, "rep", "left").join(comps, F.col("rep") == F.col("node"), "left").select(
-        "label", "v", "copies", (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n"), F.coalesce("comp", "rep").alias("comp"))
+    grouped = cut(classes.join(counted, "rep", "left").join(comps, F.col("rep") == F.col("node"), "left").select(
+        "label", "v", "id", "copies", (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n"), F.coalesce("comp", "rep").alias("group")))
+    # Only here classes get ids: the component is named by the smallest one in it.
+    first = grouped.groupBy("group").agg(F.min("id").alias("comp"), F.count("*").alias("members"))
+    named = cut(join_unique(grouped.drop("id"), first, ["group"], "members", grouped.count()).drop("group"))
     total = classes.agg(F.sum("copies")).first()[0] or 0
     linked = join_unique(valid.drop("ok"), named, ["label", "v"], "copies", total).select("id", "n", "comp")
     alone = rows.where("not ok").select("id", F.lit(0).cast("bigint").alias("n"), F.col("id").alias("comp"))

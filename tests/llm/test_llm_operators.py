@@ -11,6 +11,7 @@ from itertools import combinations
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from strata.llm import chat, lang_id, metric_join, mixing, packing, queries, secret_crf, simhash, topk, url_filter, warc
@@ -494,3 +495,16 @@ def test_language_stage_without_a_model_and_below_the_threshold(spark):
     assert kept.where("doc_id in (-1, -3)").count() == 0 and kept.where("doc_id >= 0").count() == lettered
     assert lang_id.with_language(known.unionByName(odd), min_score=0.45).where("doc_id < 0").count() == 0
     assert lang_id.with_language(odd).count() == 2
+
+
+def test_metric_join_repeated_ids_on_different_vectors(spark):
+    rows = [(1, [1.0, 0.0, 0.0], 7), (None, [0.99, 0.01, 0.0], 7), (2, [0.0, 1.0, 0.0], 8), (None, [0.0, 0.99, 0.01], 8),
+            (5, [1.0, 0.0, 0.0], 9), (5, [0.0, 1.0, 0.0], 9), (6, [0.01, 0.99, 0.0], 9), (None, [0.0, 0.0, 1.0], 9), (None, [0.0, 0.0, 1.0], 8)]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>, label int")
+    got = sorted(metric_join.near_vectors(df).collect(), key=str)
+    assert got == sorted([(1, 1, 1, True), (None, 1, 1, False), (2, 1, 2, True), (None, 1, 2, False), (5, 0, 5, True),
+                          (5, 1, 5, True), (6, 1, 5, False), (None, 0, None, True), (None, 0, None, True)], key=lambda t: str(spark_row(t)))
+
+
+def spark_row(t):
+    return Row(vec_id=t[0], n_links=t[1], component_id=t[2], kept=t[3])
