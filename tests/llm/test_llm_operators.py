@@ -508,3 +508,22 @@ def test_metric_join_repeated_ids_on_different_vectors(spark):
 
 def spark_row(t):
     return Row(vec_id=t[0], n_links=t[1], component_id=t[2], kept=t[3])
+
+
+def test_chat_long_conversations_are_streamed(spark, monkeypatch):
+    talks = {None: [("user" if i % 2 else "assistant", f"t{i} \\ é </turn>" + "x" * (i % 50)) for i in range(3000)],
+             0: [("assistant", "y" * 900)] * 40, 3: [("user", "short"), ("assistant", "one")]}
+    rows = [(c, t, *x) for c, turns in talks.items() for t, x in enumerate(turns)]
+    df = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string").repartition(5)
+    whole = sorted(chat.read_back(chat.bundles(df)).collect(), key=str)
+    for name, value in (("LONG_TURNS", 100), ("LONG_BYTES", 10_000), ("BUNDLE_CHARS", 5000)):
+        monkeypatch.setattr(chat, name, value)
+    made = chat.bundles(df).collect()
+    assert max(len(b["text"]) for b in made) < 7000 and max(len(b["segments"]) for b in made) < 300
+    for c, turns in talks.items():
+        if c != 3:
+            parts = sorted((b for b in made if b["chats"][0]["conv_id"] == c), key=lambda b: b["chats"][0]["part"])
+            assert "".join(b["text"] for b in parts) == "".join(chat.format_turn(*t)[0] for t in turns)
+            assert [b["segments"][0]["position"] for b in parts] == [sum(len(x["text"]) for x in parts[:i]) for i in range(len(parts))]
+            assert [b["chats"][0]["last"] for b in parts] == [False] * (len(parts) - 1) + [True] and len(parts) > 1
+    assert sorted(chat.read_back(chat.bundles(df)).collect(), key=str) == whole
