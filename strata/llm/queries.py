@@ -7,7 +7,7 @@ import importlib
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import chat, lang_id, metric_join, mixing, packing, secret_crf, simhash, topk, url_filter, warc
+from strata.llm import chat, lang_id, metric_join, mixing, packing, secret_crf, simhash, token_grammar, topk, url_filter, vector_code, warc, whitening
 from strata.llm.common import table
 
 URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
@@ -72,6 +72,21 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), words=4, max_bits=4, seed=42)
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All vectors whitened on the first 16 components of their distinct integer vectors."""
+    return whitening.whitened(table(spark, sf_dir, "embeddings"), components=16, scale=64, offset=1_000_000)
+
+
+def op12_vector_code(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Codes of all vectors: 16 parts, 64 entries, two rounds."""
+    return vector_code.vector_codes(table(spark, sf_dir, "embeddings"), parts=16, entries=64, rounds=2, scale=256)
+
+
+def op13_token_grammar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ids of all documents, written as grammars and read back."""
+    return token_grammar.encoded_documents(table(spark, sf_dir, "documents"), name="word_bpe_49k.json", end=2)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The five stages of ``corpus_pipeline`` over all documents."""
     return importlib.import_module("corpus_pipeline").run(spark, sf_dir)
@@ -79,7 +94,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_source_mix, op2_url_filter, op3_top_k, op4_secret_scan, op5_packing, op6_warc, op7_language_id, op8_metric_join,
-    op9_chat_format, op10_simhash, pipeline)}
+    op9_chat_format, op10_simhash, op11_whitening, op12_vector_code, op13_token_grammar, pipeline)}
 
 ORACLE_SQL: dict[str, str] = {}
 
@@ -158,3 +173,29 @@ SELECT conv_id, count(*) AS n_turns,
        CAST(sum(n) AS BIGINT) AS formatted_chars
 FROM f GROUP BY conv_id
 """
+
+ORACLE_SQL["op12_vector_code"] = r"""
+WITH v AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS x FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)),
+s AS (SELECT *, len(x) // 16 AS w, row_number() OVER (ORDER BY vec_id) AS n FROM v),
+p AS (SELECT vec_id, label, n, k AS part, x[k * w + 1:(k + 1) * w] AS v FROM s, range(16) AS t(k)),
+q AS (SELECT *, list_inner_product(v, v) AS l FROM p),
+e0 AS (SELECT part, n - 1 AS entry, v, l FROM q WHERE n <= 64),
+a0 AS (SELECT q.vec_id, q.part, any_value(q.v) AS v, arg_min(entry, (q.l - 2 * list_inner_product(q.v, e.v) + e.l, entry)) AS entry
+       FROM q JOIN e0 e USING (part) GROUP BY q.vec_id, q.part),
+m0 AS (SELECT part, entry, list(floor(t / n) ORDER BY i) AS v
+       FROM (SELECT part, entry, i, sum(v[i]) AS t, count(*) AS n FROM a0, range(1, 1025) AS r(i) WHERE i <= len(v) GROUP BY part, entry, i) GROUP BY part, entry),
+e1 AS (SELECT part, entry, coalesce(m0.v, e0.v) AS v, list_inner_product(coalesce(m0.v, e0.v), coalesce(m0.v, e0.v)) AS l FROM e0 LEFT JOIN m0 USING (part, entry)),
+a1 AS (SELECT q.vec_id, q.part, any_value(q.v) AS v, arg_min(entry, (q.l - 2 * list_inner_product(q.v, e.v) + e.l, entry)) AS entry
+       FROM q JOIN e1 e USING (part) GROUP BY q.vec_id, q.part),
+m1 AS (SELECT part, entry, list(floor(t / n) ORDER BY i) AS v
+       FROM (SELECT part, entry, i, sum(v[i]) AS t, count(*) AS n FROM a1, range(1, 1025) AS r(i) WHERE i <= len(v) GROUP BY part, entry, i) GROUP BY part, entry),
+e2 AS (SELECT part, entry, coalesce(m1.v, e1.v) AS v, list_inner_product(coalesce(m1.v, e1.v), coalesce(m1.v, e1.v)) AS l FROM e1 LEFT JOIN m1 USING (part, entry)),
+a2 AS (SELECT q.vec_id, any_value(q.label) AS label, q.part, min((q.l - 2 * list_inner_product(q.v, e.v) + e.l, entry)) AS best
+       FROM q JOIN e2 e USING (part) GROUP BY q.vec_id, q.part),
+c AS (SELECT vec_id, any_value(label) AS label, string_agg(printf('%02x', best[2]), '' ORDER BY part) AS code, CAST(sum(best[1]) AS BIGINT) AS error FROM a2 GROUP BY vec_id),
+d AS (SELECT sha256(string_agg(CAST(x AS VARCHAR), ',' ORDER BY part, entry, i)) AS codebooks_sha256
+      FROM (SELECT part, entry, i, CAST(v[i] AS BIGINT) AS x FROM e2, range(1, 1025) AS r(i) WHERE i <= len(v)))
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256 FROM c, d
+"""
