@@ -39,20 +39,43 @@ TOKENIZER = os.environ.get("STRATA_WORD_TOKENIZER", "word_bpe_49k.json")
 END = 2                     # the id appended to every document
 SHARD_IDS = 1 << 20         # ids of a shard
 FILE_BYTES = 128 << 20      # text of a file, on average
-MIN_PAIRS = 4               # a pair seen less often costs as much as a rule as it saves
+MIN_PAIRS = 8               # a pair seen less often saves little beyond its rule
 BAND = 64                   # pairs of a round occur about 1/BAND as often as its most frequent one, or more
 WORDS = 1 << 19             # words whose ids a worker remembers, twice
+PIECE = 1 << 21             # characters split at once
 HEAD = struct.Struct("<4sIIIIIIQ")
 
 
 # ---- ids ----------------------------------------------------------------------------------
 
+def _gather(store: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The runs ``store[start:start + length]`` one after another."""
+    total = int(lengths.sum())
+    before = np.cumsum(lengths) - lengths
+    return store[np.arange(total) + np.repeat(starts - before, lengths)] if total else store[:0]
+
+SPACE, LETTER, DIGIT, SIGN, ODD = range(5)
+PLAIN = 0x250               # texts of characters below are split here
+
+
+def _kinds() -> np.ndarray:
+    """The kind of every character below ``PLAIN``, as the tokenizer's split pattern sees it; the last entry stands for all others.
+
+    Odd are characters whose lower case or kind may be read in two ways."""
+    out = np.full(PLAIN + 1, SIGN, np.uint8)
+    for c in range(PLAIN):
+        out[c] = {"L": LETTER, "N": DIGIT}.get(unicodedata.category(chr(c))[0], SIGN)
+    out[[*range(0x09, 0x0E), 0x20, 0xA0]] = SPACE
+    out[[*range(0x1C, 0x20), 0x85, 0x130, PLAIN]] = ODD
+    return out
+
+
 class WordTokenizer:
     """Ids of a word-end BPE file by the tokenizers library, a batch of texts at a time.
 
-    Such a tokenizer lower-cases, splits into words, and encodes each word by itself.  Texts of plain
-    letters are split here, and only words that the worker doesn't remember go to the library, many
-    in one call; other texts go to the library whole.  Ids are the same (tested)."""
+    Such a tokenizer lower-cases, splits into words, and encodes each word by itself.  Plain texts are split
+    here, all texts of a batch at once, and only words that the worker doesn't remember go to the
+    library, many in one call; other texts go to the library whole.  Ids are the same (tested)."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -61,10 +84,7 @@ class WordTokenizer:
         vocab = self.own.get_vocab(with_added_tokens=False)
         self.ends = np.zeros(max(vocab.values()) + 1, bool)
         self.ends[[i for w, i in vocab.items() if w.endswith("</w>")]] = True
-        kinds = {k: "".join(re.escape(chr(c)) for c in range(0x250) if unicodedata.category(chr(c))[0] == k) for k in "LN"}
-        # The tokenizer's own split pattern, its classes written out for the letters that are split here.
-        self.words = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[{L}]+|[{N}]|[^\\x09-\\x0d\\x20\\x85\\xa0{L}{N}]+".format(**kinds))
-        self.other = re.compile("[^\x00-\x1b\x20-\x84\x86-įı-ɏ]")
+        self.kinds = _kinds()
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
@@ -72,11 +92,9 @@ class WordTokenizer:
         return np.array(self.own.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def _learn(self, words: list[str]) -> None:
-        if len(self.young) > WORDS:
-            self.young, self.old = {}, self.young
         new = []
         for w in words:
-            known = self.old.get(w)
+            known = b"" if w.isspace() else self.old.get(w)
             if known is None:
                 new.append(w)
             else:
@@ -92,13 +110,93 @@ class WordTokenizer:
             for w, stop in zip(part, (4 * stops).tolist()):
                 self.young[w], last = raw[last:stop], stop
 
+    def _split(self, texts: list[str]) -> tuple[pa.DictionaryArray, np.ndarray] | list[int]:
+        """The words and blanks of lower-cased texts, and how many there are up to each text's end; or the texts
+        that hold odd characters, if any does."""
+        joined = "\n".join(texts) + "\n"
+        code = np.frombuffer(joined.encode("utf-32-le"), "<u4")
+        kind = self.kinds[np.minimum(code, PLAIN)]
+        ends = np.cumsum([len(t) + 1 for t in texts])
+        odd = np.flatnonzero(kind == ODD)
+        if len(odd):
+            return np.unique(np.searchsorted(ends, odd, "right")).tolist()
+        starts = np.ones(len(code), bool)
+        starts[1:] = (kind[1:] != kind[:-1]) | (kind[1:] == DIGIT)
+        at = np.flatnonzero((code == ord("'")) & starts)[:]
+        at = at[at + 2 < len(code)]
+        one = np.isin(code[at + 1], [ord(c) for c in "stmd"])
+        two = np.zeros(len(at), bool)
+        for a, b in ("re", "ve", "ll"):
+            two |= (code[at + 1] == ord(a)) & (code[at + 2] == ord(b))
+        starts[at[one | two] + 1] = False
+        starts[at[one] + 2] = True
+        starts[at[two] + 3] = True
+        begin = np.flatnonzero(starts)
+        places = begin if joined.isascii() else (np.cumsum(1 + (code >= 0x80)) - 1 - (code >= 0x80))[begin]
+        data = joined.encode()
+        offsets = np.append(places, len(data)).astype(np.int32)
+        words = pa.StringArray.from_buffers(len(begin), pa.py_buffer(offsets.tobytes()), pa.py_buffer(data))
+        return words.dictionary_encode(), np.searchsorted(begin, ends)
+
+    def _plain(self, texts: list[str]) -> list[bytes | None]:
+        """The ids of texts without special tokens; None for those that must go to the library whole."""
+        out: list[bytes | None] = [None] * len(texts)
+        lower, own = [t.lower() for t in texts], list(range(len(texts)))
+        split = self._split(lower)
+        if isinstance(split, list):
+            odd = set(split)
+            own = [i for i in own if i not in odd]
+            if not own:
+                return out
+            split = self._split([lower[i] for i in own])
+        found, stops = split
+        words = found.dictionary.to_numpy(zero_copy_only=False).tolist()
+        if len(self.young) > WORDS:
+            self.young, self.old = {}, self.young
+        self._learn(list(set(words).difference(self.young)))
+        raw = list(map(self.young.__getitem__, words))
+        lengths = np.fromiter(map(len, raw), np.int64, len(raw)) // 4
+        place = found.indices.to_numpy()
+        ids = _gather(np.frombuffer(b"".join(raw), "<u4"), (np.cumsum(lengths) - lengths)[place], lengths[place]).tobytes()
+        last = 0
+        for i, stop in zip(own, (4 * np.append(0, np.cumsum(lengths[place]))[stops]).tolist()):
+            out[i], last = ids[last:stop], stop
+        return out
+
     def batch(self, texts: list[str]) -> list[bytes]:
         """The ids of every text as little-endian unsigned 32-bit integers."""
-        split = [None if self.other.search(t) or any(s in t for s in self.special) else self.words.findall(t.lower()) for t in texts]
-        words = set().union(*(s for s in split if s))
-        self._learn(list(words.difference(self.young)))
-        ids = self.young.__getitem__
-        return [self._whole(t) if s is None else b"".join(map(ids, s)) for t, s in zip(texts, split)]
+        out: list[bytes | None] = [None] * len(texts)
+        group, size = [], 0
+        for i, t in enumerate(texts):
+            if any(s in t for s in self.special):
+                continue
+            if len(t) > PIECE:
+                out[i] = self._long(t)
+                continue
+            group.append(i)
+            size += len(t)
+            if size >= PIECE or len(group) >= 1 << 14:
+                for j, ids in zip(group, self._plain([texts[j] for j in group])):
+                    out[j] = ids
+                group, size = [], 0
+        if group:
+            for j, ids in zip(group, self._plain([texts[j] for j in group])):
+                out[j] = ids
+        return [self._whole(t) if ids is None else ids for t, ids in zip(texts, out)]
+
+    def _long(self, text: str) -> bytes | None:
+        """A very long text piece by piece, cut at spaces; None if it must go to the library whole."""
+        parts, at = [], 0
+        while at < len(text):
+            stop = len(text) if len(text) - at <= PIECE else text.rfind(" ", at, at + PIECE) + 1
+            if not stop:
+                return None
+            ids = self._plain([text[at:stop]])[0]
+            if ids is None:
+                return None
+            parts.append(ids)
+            at = stop
+        return b"".join(parts)
 
 
 _loaded: dict[str, WordTokenizer] = {}
@@ -205,13 +303,6 @@ def repair(ids: np.ndarray, min_pairs: int = MIN_PAIRS, band: int = BAND) -> tup
     return alphabet.astype(np.uint32), np.concatenate([none, *lefts]), np.concatenate([none, *rights]), seq
 
 
-def _gather(store: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-    """The runs ``store[start:start + length]`` one after another."""
-    total = int(lengths.sum())
-    before = np.cumsum(lengths) - lengths
-    return store[np.arange(total) + np.repeat(starts - before, lengths)] if total else store[:0]
-
-
 class Shard:
     """A shard read from bytes; ids are expanded on demand."""
 
@@ -345,8 +436,8 @@ def write_ids(docs: DataFrame, folder: str, name: str = TOKENIZER, end: int = EN
         wrap = lambda shard: pa.RecordBatch.from_arrays([pa.array([shard], pa.binary())], ["shard"])
         for batch in batches:
             ids, texts = batch.column("doc_id").to_pylist(), batch.column("text")
-            for at in range(0, len(ids), 64):
-                for doc, found in zip(ids[at:at + 64], encode.batch(texts[at:at + 64].to_pylist())):
+            for at in range(0, len(ids), 2048):
+                for doc, found in zip(ids[at:at + 2048], encode.batch(texts[at:at + 2048].to_pylist())):
                     yield from map(wrap, out.add(doc, found + tail))
         yield from map(wrap, out.rest())
     # The text sink writes bytes as they are, each shard ended by a line feed, on any file system of Spark.
