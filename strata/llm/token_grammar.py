@@ -38,11 +38,11 @@ from strata.session import ensure_checkpoint_dir
 TOKENIZER = os.environ.get("STRATA_WORD_TOKENIZER", "word_bpe_49k.json")
 END = 2                     # the id appended to every document
 SHARD_IDS = 1 << 20         # ids of a shard
-FILE_BYTES = 128 << 20      # text of a file, on average
+FILE_BYTES = 64 << 20       # text of a file, on average
 MIN_PAIRS = 8               # a pair seen less often saves little beyond its rule
 BAND = 64                   # pairs of a round occur about 1/BAND as often as its most frequent one, or more
-WORDS = 1 << 19             # words whose ids a worker remembers, twice
-PIECE = 1 << 21             # characters split at once
+WORDS = 3 << 17             # words whose ids a worker remembers, twice
+PIECE = 1 << 20             # characters split at once
 HEAD = struct.Struct("<4sIIIIIIQ")
 
 
