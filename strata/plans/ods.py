@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,9 +11,11 @@ from strata.operators import cdc
 from strata.operators import logs as lg
 from strata.operators.merge import merge_dimension
 from strata.plans.registry import query
+from strata.session import ensure_checkpoint_dir
 from strata.sources import tables as t
 from strata.sources.applog import APPLOG_SQL, raw_log_lines
 from strata.sources.cdc import DB, cdc_topic
+from strata.streaming.keyed_table import KeyedTable
 
 CLEAN_LOG_SQL = f"SELECT * FROM ({APPLOG_SQL}) WHERE k <> 0"
 
@@ -286,6 +290,23 @@ FROM c WHERE c_mktsegment = 'BUILDING'
 query("dim_upsert_merge", DIM_MERGE_SQL)(dim_upsert_merge)
 
 
+def keyed_table_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S9 over change files: the snapshot is the oldest of three batches but comes last, the changes come in
+    two batches against the order of their times, with a compaction between; deletes are cells too."""
+    folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/keyed-{uuid.uuid4().hex}"
+    table = KeyedTable(spark, folder, {"id": "string"}, dict.fromkeys(DIM_COLS, "string"), buckets=16)
+    snap = dim_user_snapshot(spark, sf_dir).select("id", F.lit("r").alias("op"), F.lit(0).cast("bigint").alias("ts_ms"), *DIM_COLS)
+    changes = dim_user_changes(spark, sf_dir)
+    table.write(changes.where("ts_ms >= 3"), 0, "ts_ms", "op", skip_empty=True)
+    table.write(changes.where("ts_ms < 3"), 1, "ts_ms", "op", skip_empty=True)
+    table.compact(0)
+    table.write(snap, 2, "ts_ms", "op", skip_empty=True)
+    return table.read()
+
+
+query("keyed_table_dim", DIM_MERGE_SQL)(keyed_table_dim)
+
+
 def dim_upsert_ignore_deletes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S10 with F16: deletes ignored, nulls written as 'null', row key = md5 of the id."""
     m = merge_dimension(dim_user_snapshot(spark, sf_dir), dim_user_changes(spark, sf_dir), "id", DIM_COLS,

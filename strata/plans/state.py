@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,7 +14,9 @@ from strata.operators.scan import running_max_before, running_profile, seq_and_p
 from strata.plans.dws import _sql_window, logs
 from strata.plans.registry import query
 from strata.sources import tables as t
+from strata.session import ensure_checkpoint_dir
 from strata.sources.applog import APPLOG_SQL, PAGE_SQL, page_rows
+from strata.streaming.keyed_table import KeyedTable
 
 DETAIL_ORDER_SQL = ("l_shipdate, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax, "
                     "l_returnflag, l_linestatus")
@@ -199,3 +203,41 @@ SELECT id, ds, arg_max(sku_num, v) FILTER (WHERE sku_num IS NOT NULL) AS sku_num
   arg_max(sku_id, v) FILTER (WHERE sku_id IS NOT NULL) AS sku_id, max(ts_ms) AS ts_ms
 FROM r GROUP BY id, ds
 """)(partial_update_merge)
+
+
+# ---- keyed tables of change files (S7, S9, S14, A9) ----------------------------------------
+
+CART_CELLS = {"sku_num": "bigint", "cart_price": "decimal(16,2)", "sku_id": "string"}
+
+
+def cart_table(spark: SparkSession, buckets: int = 16) -> KeyedTable:
+    folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/keyed-{uuid.uuid4().hex}"
+    return KeyedTable(spark, folder, {"id": "string", "ds": "string"}, CART_CELLS, buckets=buckets)
+
+
+def keyed_table_cart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S14 by last-writer-wins cells: cart changes arrive in three batches, the newest batch first, and the
+    first two are compacted before the third, late one.  Each column keeps the value of its newest change."""
+    rows = cart_lake_rows(spark, sf_dir)
+    table = cart_table(spark)
+    part = F.pmod(F.month(F.timestamp_millis("ts_ms")), F.lit(3))
+    for batch, arrives in enumerate((2, 0, 1)):
+        table.write(rows.where(part == arrives), batch, "ts_ms")
+        if batch == 1:
+            table.compact(0)
+    return table.read()
+
+
+query("keyed_table_cart", """
+WITH r AS (
+  SELECT CAST(l_orderkey AS VARCHAR) || '_' || CAST(l_linenumber AS VARCHAR) AS id, strftime(l_shipdate, '%Y') AS ds,
+    CASE WHEN l_linestatus = 'F' THEN CAST(l_quantity AS BIGINT) END AS sku_num,
+    CASE WHEN l_returnflag <> 'N' THEN CAST(l_extendedprice AS DECIMAL(16,2)) END AS cart_price,
+    CASE WHEN l_discount > 0.03 THEN CAST(l_partkey AS VARCHAR) END AS sku_id, epoch_ms(l_shipdate) AS ts_ms
+  FROM lineitem)
+SELECT id, ds,
+  (max(struct_pack(t := ts_ms, v := sku_num)) FILTER (WHERE sku_num IS NOT NULL)).v AS sku_num,
+  (max(struct_pack(t := ts_ms, v := cart_price)) FILTER (WHERE cart_price IS NOT NULL)).v AS cart_price,
+  (max(struct_pack(t := ts_ms, v := sku_id)) FILTER (WHERE sku_id IS NOT NULL)).v AS sku_id
+FROM r GROUP BY id, ds
+""")(keyed_table_cart)

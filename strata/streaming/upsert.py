@@ -1,4 +1,4 @@
-"""Keyed table sinks for streams (S7, S9, S10, S14): micro-batch merge into a Parquet table.
+"""Keyed table sinks for streams (S7, S9, S10): micro-batch merge into a Parquet table.
 
 The table is partitioned by a bucket of the key (or by a given partition column
 such as ``ds``).  Each micro-batch: last change per key (combining aggregate),
@@ -6,6 +6,7 @@ read only the partitions the batch touches, merge, cut lineage with
 ``checkpoint()`` (the shared checkpoint folder), and overwrite just those
 partitions (dynamic partition overwrite).  Re-running a batch after a failure
 rewrites the same partitions with the same content, so the sink is idempotent.
+``keyed_table.py`` has the sink that writes its changes alone.
 """
 
 from __future__ import annotations
@@ -69,33 +70,22 @@ def dimension_sink(path: str, key: str, columns: Sequence[str], **kw) -> Callabl
     return write
 
 
-def upsert_sink(path: str, keys: Sequence[str], order: Sequence[str], part_col: str,
-                partial_columns: Sequence[str] | None = None) -> Callable[[DataFrame, int], None]:
-    """S7/S14 ``foreachBatch`` function: last row per primary key wins, by ``order``.
+def upsert_sink(path: str, keys: Sequence[str], order: Sequence[str], part_col: str) -> Callable[[DataFrame, int], None]:
+    """S7 ``foreachBatch`` function: last row per primary key wins, by ``order``.
 
-    With ``partial_columns`` (S14 partial update, A9) each listed column keeps its
-    latest non-null value instead.  ``part_col`` (e.g. ``ds``) must be part of the
-    key so a key lives in one partition."""
+    ``part_col`` (e.g. ``ds``) must be part of the key so a key lives in one partition.  Partial
+    updates (S14, A9), where each column has a time of its own, go to ``keyed_table.keyed_sink``."""
     from strata.operators.dedupe import latest_per_key
-    from strata.operators.merge import partial_update
-
-    def merge_rows(df: DataFrame) -> DataFrame:
-        last = latest_per_key(df, keys, order)
-        if not partial_columns:
-            return last
-        part = partial_update(df, keys, order[0], partial_columns)
-        rest = [c for c in df.columns if c not in partial_columns]
-        return last.select(*rest).join(part, list(keys)).select(*df.columns)
 
     def write(batch: DataFrame, epoch_id: int) -> None:
         spark = batch.sparkSession
         ensure_checkpoint_dir(spark)
-        new = merge_rows(batch)
+        new = latest_per_key(batch, keys, order)
         touched = new.select(part_col).distinct()
         if _table_exists(spark, path):
             cur = (read_table(spark, path, new.schema).join(touched, part_col, "left_semi")
                    .select(*new.columns))
-            merged = merge_rows(cur.unionByName(new))
+            merged = latest_per_key(cur.unionByName(new), keys, order)
         else:
             merged = new
         _overwrite_partitions(merged.checkpoint(eager=True), path, part_col)
@@ -117,7 +107,8 @@ def dim_build_sink(config_changes: DataFrame, table_root: str, db: str, keep_del
         changes = cdc.normalise(cdc.parse_envelopes(batch))
         valid = cdc.valid_changes(changes, db, keep_deletes=keep_deletes, drop_bootstrap=False)
         cfg = cdc.latest_config(config_changes, ["source_table"])
-        routed = cdc.route_by_config(valid, cfg, [("table_name", "source_table")])
+        # parsed and routed once for all sink tables
+        routed = cdc.route_by_config(valid, cfg, [("table_name", "source_table")]).persist()
         for c in cfg.select("config").collect():
             conf = c["config"]
             key = conf["sink_row_key"]
@@ -126,4 +117,5 @@ def dim_build_sink(config_changes: DataFrame, table_root: str, db: str, keep_del
             sub = routed.filter(F.col("config")["sink_table"] == conf["sink_table"]).select(
                 row[key].alias(key), "op", "ts_ms", *[row[x].alias(x) for x in cols])
             merge_batch(sub, os.path.join(table_root, conf["sink_table"]), key, cols, buckets=buckets)
+        routed.unpersist()
     return write

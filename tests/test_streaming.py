@@ -189,18 +189,18 @@ def test_day_bucket_file_sink(spark, sf_small, tmp_path):
 
 
 def test_partial_update_sink_equals_batch(spark, sf_small, tmp_path):
-    from strata.plans.state import cart_lake_rows
-    from strata.streaming.upsert import read_table
-    path = str(tmp_path / "lake")
+    from strata.plans.state import CART_CELLS, cart_lake_rows
+    from strata.streaming.keyed_table import KeyedTable, keyed_sink
     rows_ = cart_lake_rows(spark, sf_small).select("id", "ds", "sku_num", "cart_price", "sku_id", "ts_ms", "version")
-    sink = upsert_sink(path, ["id", "ds"], ["version"], "ds", partial_columns=["sku_num", "cart_price", "sku_id"])
+    table = KeyedTable(spark, str(tmp_path / "lake"), {"id": "string", "ds": "string"}, CART_CELLS,
+                       time_type=rows_.schema["version"].dataType.simpleString(), buckets=8)
+    sink = keyed_sink(table, "version")
     cut = F.lit("1998-01-01").cast("timestamp")
-    sink(rows_.filter(F.col("version.l_shipdate") < cut), 0)
-    sink(rows_.filter(F.col("version.l_shipdate") >= cut), 1)
-    got = read_table(spark, path, rows_.schema)
+    sink(rows_.filter(F.col("version.l_shipdate") >= cut), 0)      # the older half arrives late
+    sink(rows_.filter(F.col("version.l_shipdate") < cut), 1)
     want = entry.queries()["partial_update_merge"](spark, sf_small)
     cols = ["id", "ds", "sku_num", "cart_price", "sku_id"]
-    assert rows(got, cols) == rows(want, cols)
+    assert rows(table.read(), cols) == rows(want, cols)
 
 
 def test_latest_in_burst_stream(spark, event_dir, sf_small):
