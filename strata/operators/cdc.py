@@ -14,9 +14,12 @@ FORM2_OPS = {"insert": "c", "update": "u", "delete": "d"}
 
 
 def parse_envelopes(lines: DataFrame, line_col: str = "value", mode: str = "FAILFAST") -> DataFrame:
-    """Parse change envelopes (null payloads dropped; a bad record fails the job)."""
-    return (lines.filter(F.col(line_col).isNotNull())
-            .select(F.from_json(F.col(line_col), ENVELOPE_SCHEMA, {"mode": mode}).alias("e")).select("e.*"))
+    """Parse change envelopes (null payloads dropped; a bad record fails the job).
+
+    The parse is the element of a generator: evaluated once, not once for every field and filter above."""
+    line = F.col(line_col)
+    parsed = F.array(F.from_json(line, ENVELOPE_SCHEMA, {"mode": mode}))
+    return lines.select(F.inline(F.when(line.isNotNull(), parsed)))
 
 
 def normalise(env: DataFrame) -> DataFrame:

@@ -1,60 +1,83 @@
 """App-log parsing and splitting.
 
-Parsing and the splits are narrow (per-row) steps: no shuffle.  The five
-outputs of one parsed frame are filters/explodes of it; a job that writes all
-of them persists the parsed frame once (see ``strata.streaming.fan_out``).
+A line is parsed once, into a map of VARIANT values that keeps every field; the columns that the
+warehouse works with are read from it.  The parse is the element of a generator, so Spark neither
+copies it into the columns and filters above nor evaluates it again for them.
+
+Parsing and the splits are narrow (per-row) steps: no shuffle.  Each output carries its whole record
+(``record``, a map of VARIANT) beside its columns; ``whole_records`` gives all six outputs as JSON text
+from one parse, in one pass.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-S = T.StringType()
-ELEM = T.MapType(S, S)
-
-COMMON = T.StructType([T.StructField(n, S) for n in ("ar", "ba", "ch", "is_new", "md", "mid", "os", "uid", "vc", "sid")])
-PAGE = T.StructType([T.StructField("page_id", S), T.StructField("last_page_id", S), T.StructField("item", S),
-                     T.StructField("item_type", S), T.StructField("during_time", S)])
-LOG_SCHEMA = T.StructType([
-    T.StructField("common", COMMON),
-    T.StructField("page", PAGE),
-    T.StructField("start", ELEM),
-    T.StructField("err", ELEM),
-    T.StructField("displays", T.ArrayType(ELEM)),
-    T.StructField("actions", T.ArrayType(ELEM)),
-    T.StructField("ts", S),
-])
-CORRUPT = "_corrupt_record"
+
+RECORD = "map<string,variant>"
+COMMON = "struct<ar:string,ba:string,ch:string,is_new:string,md:string,mid:string,os:string,uid:string,vc:string,sid:string>"
+PAGE = "struct<page_id:string,last_page_id:string,item:string,item_type:string,during_time:string>"
+ELEM = "map<string,string>"
+FIELDS = {"common": COMMON, "page": PAGE, "start": ELEM, "err": ELEM, "displays": f"array<{ELEM}>", "actions": f"array<{ELEM}>", "ts": "string"}
+SPLIT_OFF = ("err", "displays", "actions")      # what the page record leaves to the other outputs
+
+
+def once(df: DataFrame, **columns: Column) -> DataFrame:
+    """``df`` with ``columns`` evaluated once per row, however often they are used above: a generator of one element.
+
+    A row whose first column is null is dropped."""
+    made = F.struct(*[c.alias(name) for name, c in columns.items()])
+    first = next(iter(columns.values()))
+    return df.select(*df.columns, F.inline(F.when(first.isNotNull(), F.array(made))))
+
+
+def _get(value: Column, kind: str) -> Column:
+    return F.try_variant_get(value, "$", kind)
 
 
 def parse_logs(lines: DataFrame, line_col: str = "value", mode: str = "PERMISSIVE") -> DataFrame:
-    """P1 (PERMISSIVE, dirty rows kept with ``_corrupt_record``) or P2 (FAILFAST) JSON parse.
-
-    Null payloads (tombstones) are dropped first (P3)."""
-    schema = T.StructType(LOG_SCHEMA.fields + [T.StructField(CORRUPT, S)]) if mode == "PERMISSIVE" else LOG_SCHEMA
-    opts = {"mode": mode}
-    if mode == "PERMISSIVE":
-        opts["columnNameOfCorruptRecord"] = CORRUPT
-    parsed = lines.filter(F.col(line_col).isNotNull()).select(
-        F.col(line_col).alias("line"), F.from_json(F.col(line_col), schema, opts).alias("r"))
-    out = parsed.select("line", "r.*")
-    # Numbers are read as text and cast here: a field of an odd type is null, the record is not dirty.
-    during = F.col("page.during_time").try_cast("bigint")
-    return out.withColumn("page", F.when(F.col("page").isNotNull(), F.col("page").withField("during_time", during))) \
-        .withColumn("ts", F.col("ts").try_cast("bigint"))
+    """P1 (PERMISSIVE, ``record`` is null where a line is no JSON object) or P2 (FAILFAST) JSON parse.
+
+    Null payloads (tombstones) are dropped first (P3).  A field of an odd type is null in its column and
+    whole in ``record``; the line is not dirty for it.  Numbers keep their value, not their trailing zeros."""
+    line = F.col(line_col)
+    parse = F.try_parse_json if mode == "PERMISSIVE" else F.parse_json
+    text = lines.select(F.inline(F.when(line.isNotNull(), F.array(F.struct(line.alias("line"))))))
+    rec = text.select("line", F.inline(F.array(F.struct(_get(parse("line"), RECORD).alias("record")))))
+    field = {name: _get(F.col("record")[name], kind) for name, kind in FIELDS.items()}
+    field["page"] = F.when(field["page"].isNotNull(), field["page"].withField("during_time", field["page"]["during_time"].try_cast("bigint")))
+    field["ts"] = field["ts"].try_cast("bigint")
+    return rec.select("line", *[c.alias(name) for name, c in field.items()], "record")
 
 
 def dirty(parsed: DataFrame) -> DataFrame:
-    """P1 side output: the raw text of records that are not JSON."""
-    return parsed.filter(F.col(CORRUPT).isNotNull()).select("line")
+    """P1 side output: the raw text of records that are not JSON objects."""
+    return parsed.filter(F.col("record").isNull()).select("line")
 
 
 def clean(parsed: DataFrame) -> DataFrame:
-    cols = [c for c in parsed.columns if c not in ("line", CORRUPT)]
-    out = parsed.filter(F.col(CORRUPT).isNull()) if CORRUPT in parsed.columns else parsed
-    return out.select(*cols)
+    return parsed.filter(F.col("record").isNotNull()).drop("line")
+
+
+def without(record: Column | str, *names: str) -> Column:
+    """A record less some of its fields."""
+    return F.map_filter(record, lambda k, v: ~k.isin(*names))
+
+
+def parts(record: Column | str, *names: str) -> Column:
+    """A record's fields of these names, where it has them."""
+    return F.map_filter(record, lambda k, v: k.isin(*names))
+
+
+def with_is_new(record: Column, value: Column) -> Column:
+    """The record with its ``common.is_new`` replaced (D1); a record without ``common`` stays as it is."""
+    common = F.transform_values(_get(record["common"], RECORD), lambda k, v: F.when(k == "is_new", value.cast("variant")).otherwise(v))
+    new = F.call_function("to_variant_object", common)
+    return F.transform_values(record, lambda k, v: F.when((k == "common") & common.isNotNull(), new).otherwise(v))
+
+
+def _elements(record: Column, name: str) -> Column:
+    return _get(record[name], "array<variant>")
 
 
 def err_logs(logs: DataFrame) -> DataFrame:
@@ -64,29 +87,66 @@ def err_logs(logs: DataFrame) -> DataFrame:
 
 def start_logs(logs: DataFrame) -> DataFrame:
     """R2: start records; exclusive, they feed no other split except err."""
-    return logs.filter(F.col("start").isNotNull()).select("common", "start", "ts")
+    return logs.filter(F.col("start").isNotNull()).select("common", "start", "ts", without("record", "err").alias("record"))
 
 
 def _not_start(logs: DataFrame) -> DataFrame:
     return logs.filter(F.col("start").isNull())
 
 
+def _exploded(logs: DataFrame, name: str, one: str, *keep: str) -> DataFrame:
+    """One row per element of ``name``: the record's fields ``keep`` and the element under ``one``."""
+    own = parts("record", *keep)
+    whole = F.map_concat(own, F.create_map(F.lit(one), F.col("_v")))
+    return _not_start(logs).select("common", "page", "ts", "record", F.posexplode(name).alias("_i", one)) \
+        .withColumn("_v", F.try_element_at(_elements(F.col("record"), name), F.col("_i") + 1)) \
+        .withColumn("record", whole).drop("_i", "_v")
+
+
 def display_logs(logs: DataFrame) -> DataFrame:
     """One row per display element: common, page, display, ts."""
-    return _not_start(logs).select("common", "page", F.explode("displays").alias("display"), "ts")
+    return _exploded(logs, "displays", "display", "common", "page", "ts").select("common", "page", "display", "ts", "record")
 
 
 def action_logs(logs: DataFrame) -> DataFrame:
     """One row per action element: common, page, action (no ts, as in the reference)."""
-    return _not_start(logs).select("common", "page", F.explode("actions").alias("action"))
+    return _exploded(logs, "actions", "action", "common", "page").select("common", "page", "action", "record")
 
 
 def page_logs(logs: DataFrame) -> DataFrame:
     """The non-start record without err, displays and actions."""
-    return _not_start(logs).select("common", "page", "ts")
+    return _not_start(logs).select("common", "page", "ts", without("record", *SPLIT_OFF).alias("record"))
 
 
 def split_logs(logs: DataFrame) -> dict[str, DataFrame]:
     """The five outputs by tag."""
     return {"err": err_logs(logs), "start": start_logs(logs), "display": display_logs(logs),
             "action": action_logs(logs), "page": page_logs(logs)}
+
+
+def _ordered(*fields: tuple[str, Column]) -> Column:
+    """A record of these fields in order of name, without those that are null."""
+    made = F.create_map(*[x for name, c in sorted(fields, key=lambda f: f[0]) for x in (F.lit(name), c)])
+    return F.map_filter(made, lambda k, v: v.isNotNull())
+
+
+def whole_records(lines: DataFrame, line_col: str = "value") -> DataFrame:
+    """R1-R6 in one pass: ``(tag, record)``, each output's record as JSON text with all its fields, known or not.
+
+    A record gives rows to as many outputs as it belongs to; fields are in order of name.  Lines that
+    are no JSON objects are ``dirty`` as they are."""
+    r = F.col("record")
+    parsed = once(lines.select(F.col(line_col).alias("line")), _line=F.col("line"))
+    parsed = parsed.select("line", F.inline(F.array(F.struct(_get(F.try_parse_json("line"), RECORD).alias("record")))))
+    row = lambda tag, text: F.struct(F.lit(tag).alias("tag"), text.alias("record"))
+    none = F.array().cast("array<struct<tag:string,record:string>>")
+    has = lambda name: _get(r[name], RECORD).isNotNull()
+
+    def each(name: str, one: str, *keep: str) -> Column:
+        made = lambda v: row(one, F.to_json(_ordered((one, v), *[(k, r[k]) for k in keep])))
+        return F.coalesce(F.transform(_elements(r, name), made), none)
+    page = F.concat(F.array(row("page", F.to_json(without(r, *SPLIT_OFF)))), each("displays", "display", "common", "page", "ts"),
+                    each("actions", "action", "common", "page"))
+    outputs = F.concat(F.when(has("err"), F.array(row("err", F.to_json(r)))).otherwise(none),
+                       F.when(has("start"), F.array(row("start", F.to_json(without(r, "err"))))).otherwise(page))
+    return parsed.select(F.inline(F.when(r.isNull(), F.array(row("dirty", F.col("line")))).otherwise(outputs)))

@@ -109,6 +109,50 @@ FROM ({CLEAN_LOG_SQL}) WHERE event_type <> 'signup'
 """)(log_page)
 
 
+def log_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All outputs of the log split as whole records, with the fields that no column is made of."""
+    return lg.whole_records(raw_log_lines(t.events(spark, sf_dir)))
+
+
+def _json_fields(*fields: tuple[str, str]) -> str:
+    """SQL for a JSON object of ``(name, SQL of a JSON value)``, in order, without those that are null."""
+    parts = [f"""coalesce('"{name}":' || {value}, '')""" for name, value in fields]
+    return "'{' || array_to_string(list_filter([" + ", ".join(parts) + "], lambda x: x <> ''), ',') || '}'"
+
+
+def _json_text(column: str) -> str:
+    return f"""'"' || {column} || '"'"""
+
+
+_COMMON_SQL = _json_fields(*[(c, _json_text(c)) for c in ("ar", "ba", "ch", "is_new", "md", "mid", "os")],
+                           ("sid", _json_text("'s_' || CAST(event_id AS VARCHAR)")), ("uid", _json_text("uid")), ("vc", _json_text("vc")))
+_PAGE_SQL = _json_fields(("during_time", "CAST(during_time AS VARCHAR)"), ("item", _json_text("item")), ("item_type", _json_text("item_type")),
+                         ("last_page_id", _json_text("last_page_id")), ("page_id", _json_text("page_id")), ("pos_id", "CAST(k % 9 AS VARCHAR)"))
+_TS = ("ts", "CAST(ts_ms AS VARCHAR)")
+_DISPLAY_SQL = _json_fields(("display_type", "'\"query\"'"), ("item", _json_text("CAST(user_id * 100 + i AS VARCHAR)")),
+                            ("item_type", "'\"sku_id\"'"), ("pos_id", _json_text("CAST(i AS VARCHAR)")))
+_ACTION_SQL = _json_fields(("action_id", _json_text("CASE WHEN i % 2 = 1 THEN 'favor_add' ELSE 'cart_add' END")),
+                           ("item", _json_text("CAST(k + i AS VARCHAR)")), ("item_type", "'\"sku_id\"'"), ("ts", _json_text("CAST(ts_ms + i AS VARCHAR)")))
+
+query("log_records", f"""
+WITH l AS (
+  SELECT *, {_COMMON_SQL} AS common, {_PAGE_SQL} AS page,
+    '{{"net":"wifi","trace":[' || CAST(k AS VARCHAR) || ',' || CAST(k + 1 AS VARCHAR) || ']}}' AS ext,
+    {_json_fields(("error_code", _json_text("CAST(k AS VARCHAR)")), ("msg", _json_text("'err_' || CAST(k AS VARCHAR)")))} AS err,
+    {_json_fields(("entry", "'\"icon\"'"), ("loading_time", _json_text("CAST(k * 10 AS VARCHAR)")))} AS start
+  FROM ({APPLOG_SQL}))
+SELECT 'dirty' AS tag, CAST(ts_ms AS VARCHAR) || ' ' || event_type AS record FROM l WHERE k = 0
+UNION ALL SELECT 'err', {_json_fields(("common", "common"), ("err", "err"), ("ext", "ext"), ("page", "page"), _TS)}
+FROM l WHERE k <> 0 AND event_type = 'error'
+UNION ALL SELECT 'start', {_json_fields(("common", "common"), ("ext", "ext"), ("start", "start"), _TS)} FROM l WHERE k <> 0 AND event_type = 'signup'
+UNION ALL SELECT 'page', {_json_fields(("common", "common"), ("ext", "ext"), ("page", "page"), _TS)} FROM l WHERE k <> 0 AND event_type <> 'signup'
+UNION ALL SELECT 'display', {_json_fields(("common", "common"), ("display", _DISPLAY_SQL), ("page", "page"), _TS)}
+FROM (SELECT *, unnest(range(1, k % 4 + 1)) AS i FROM l WHERE k <> 0 AND event_type IN ('view', 'click'))
+UNION ALL SELECT 'action', {_json_fields(("action", _ACTION_SQL), ("common", "common"), ("page", "page"))}
+FROM (SELECT *, unnest(range(1, k % 3 + 1)) AS i FROM l WHERE k <> 0 AND event_type = 'click')
+""")(log_records)
+
+
 # ---- CDC -----------------------------------------------------------------------------------
 
 ORDER_OP_SQL = """CASE WHEN o_orderstatus = 'F' AND o_orderpriority = '5-LOW' THEN 'd'
@@ -361,11 +405,12 @@ def _snapshot_inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataF
     c = cdc.normalise(cdc.parse_envelopes(order_envelopes(spark, sf_dir)))
     log = c.where("op <> 'r'").select(cdc.row_id().cast("bigint").alias("id"), "op", F.col("after")["order_status"].alias("status"),
                                       F.col("after")["total_amount"].alias("amount"))
-    log = log.withColumn("pos", F.col("id") * 7919 % 100_000)
-    again = log.where("id % 5 = 0")
-    follow = log.where("id % 3 = 0").select("id", F.lit("u").alias("op"), F.lit("X").alias("status"), F.lit("1.00").alias("amount"),
-                                            (F.col("pos") + 20_000).alias("pos"))
-    return rows, marks, log.unionByName(again).unionByName(follow)
+    pos = F.col("id") * 7919 % 100_000
+    own = F.struct("id", "op", "status", "amount", pos.alias("pos"))
+    follow = F.struct("id", F.lit("u").alias("op"), F.lit("X").alias("status"), F.lit("1.00").alias("amount"), (pos + 20_000).alias("pos"))
+    rows_ = F.concat(F.array(own), F.when(F.col("id") % 5 == 0, F.array(own)).otherwise(F.array()),
+                     F.when(F.col("id") % 3 == 0, F.array(follow)).otherwise(F.array()))
+    return rows, marks, log.select(F.inline(rows_))
 
 
 def snapshot_log(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -119,13 +119,14 @@ def raw_log_lines(ev: DataFrame) -> DataFrame:
     view/click rows carry a page and displays (k % 4 of them), click rows actions
     (k % 3), error rows an ``err`` object, signup rows are start records (no
     page).  Rows with k = 0 stand for records mangled in transit: their line is
-    not JSON.
+    not JSON.  ``pos_id`` of the page and ``ext`` are fields that no column is made of.
     """
     lg = app_log(ev)
     k = F.col("k")
     common = F.struct(*[F.col(c) for c in ("ar", "ba", "ch", "is_new", "md", "mid", "os", "uid", "vc")],
                       F.concat(F.lit("s_"), F.col("event_id").cast("string")).alias("sid"))
-    page = F.struct("page_id", "last_page_id", "item", "item_type", "during_time")
+    page = F.struct("page_id", "last_page_id", "item", "item_type", "during_time", (k % 9).alias("pos_id"))
+    ext = F.struct(F.lit("wifi").alias("net"), F.array(k, k + 1).alias("trace"))
     is_start = F.col("event_type") == "signup"
     has_disp = F.col("event_type").isin("view", "click")
     displays = _elems(k % 4, lambda i: F.create_map(
@@ -147,6 +148,6 @@ def raw_log_lines(ev: DataFrame) -> DataFrame:
             F.lit("error_code"), k.cast("string"), F.lit("msg"), F.concat(F.lit("err_"), k.cast("string")))).alias("err"),
         F.when(has_disp, displays).alias("displays"),
         F.when(F.col("event_type") == "click", actions).alias("actions"),
-        F.col("ts_ms").alias("ts"))
+        F.col("ts_ms").alias("ts"), ext.alias("ext"))
     line = F.when(k == 0, F.concat(F.col("ts_ms").cast("string"), F.lit(" "), F.col("event_type"))).otherwise(F.to_json(rec))
     return lg.select(line.alias("value"))

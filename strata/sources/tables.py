@@ -78,9 +78,11 @@ def order_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """App events with the numeric key of ``props`` extracted (``k``)."""
+    """App events with the numeric key of ``props`` extracted (``k``).
+
+    The key is the element of a generator: ``props`` is parsed once, not once for every use of ``k``."""
     ev = read(spark, sf_dir, "events")
-    return ev.withColumn("k", F.get_json_object("props", "$.k").cast("int"))
+    return ev.select("*", F.inline(F.array(F.struct(F.get_json_object("props", "$.k").cast("int").alias("k")))))
 
 
 def session_key(spark: SparkSession) -> str:

@@ -113,22 +113,22 @@ def log_split_stream(lines: DataFrame, root: str, name: str, checkpoint: str | N
     from strata.streaming.stateful import new_visitor_records_stream
 
     every = lg.parse_logs(lines)
-    parsed = lg.clean(every).withColumn("ts", F.coalesce("ts", F.lit(0).cast("bigint")))
-    keyed = parsed.select(F.col("common.mid").alias("mid"), F.col("ts").alias("ts_ms"),
-                          F.col("common.is_new").alias("is_new"), F.to_json(F.struct(*parsed.columns)).alias("line"))
+    parsed = lg.clean(every)
+    keyed = parsed.select(F.col("common.mid").alias("mid"), F.coalesce("ts", F.lit(0).cast("bigint")).alias("ts_ms"),
+                          F.col("common.is_new").alias("is_new"), F.to_json("record").alias("line"))
     fixed = new_visitor_records_stream(keyed).withColumn("is_dirty", F.lit(False))
     fixed = fixed.unionByName(lg.dirty(every).withColumn("is_dirty", F.lit(True)), allowMissingColumns=True)
-    outputs = {out: ((lambda b, out=out: lg.split_logs(repaired_records(b.filter(~F.col("is_dirty")).drop("is_dirty")))[out]
-                      .select(F.to_json(F.struct("*")).alias("value"))), f"{root}/{out}")
+    outputs = {out: ((lambda b, out=out: lg.split_logs(repaired_records(b.filter(~F.col("is_dirty"))))[out]
+                      .select(F.to_json("record").alias("value"))), f"{root}/{out}")
                for out in ("err", "start", "display", "action", "page")}
     outputs["dirty"] = (lambda b: b.filter("is_dirty").select(F.col("line").alias("value")), f"{root}/dirty")
     return run_stream(fixed, fan_out(outputs), name, checkpoint=checkpoint, trigger=trigger)
 
 
 def repaired_records(batch: DataFrame) -> DataFrame:
-    """Records (line, is_new_fixed) back to log rows with the repaired ``common.is_new``."""
-    from strata.operators.logs import LOG_SCHEMA
-    rec = batch.select(F.from_json("line", LOG_SCHEMA).alias("r"), "is_new_fixed").select("r.*", "is_new_fixed")
-    rec = rec.withColumn("ts", F.col("ts").try_cast("bigint")).withColumn("page", F.when(
-        F.col("page").isNotNull(), F.col("page").withField("during_time", F.col("page.during_time").try_cast("bigint"))))
-    return rec.withColumn("common", F.col("common").withField("is_new", F.col("is_new_fixed"))).drop("is_new_fixed")
+    """Records (line, is_new_fixed) back to log rows, whole, with the repaired ``common.is_new``."""
+    from strata.operators import logs as lg
+    record = F.try_variant_get(F.try_parse_json("line"), "$", lg.RECORD)
+    rec = batch.select(F.inline(F.array(F.struct(record.alias("r"), F.col("is_new_fixed")))))
+    fixed = F.when(F.col("is_new_fixed").isNotNull(), lg.with_is_new(F.col("r"), F.col("is_new_fixed"))).otherwise(F.col("r"))
+    return lg.clean(lg.parse_logs(rec.select(F.to_json(fixed).alias("value"))))

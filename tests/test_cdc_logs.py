@@ -85,3 +85,31 @@ def test_log_split_edges(spark):
 def test_log_parse_failfast(spark):
     with pytest.raises(Exception):
         lg.parse_logs(lines(spark, ["{}", "nope"]), mode="FAILFAST").collect()
+
+
+def test_whole_records_keep_unknown_fields(spark):
+    common = {"mid": "m1", "is_new": "1", "imei": "77"}
+    page = {"common": common, "page": {"page_id": "x", "pos_id": 3}, "ts": 4, "zip": [1, {"a": None}],
+            "displays": [{"item": "1", "n": {"x": 1}}, {"item": "2"}], "actions": [{"action_id": "a", "deep": [True]}], "err": {"code": 5}}
+    start = {"common": common, "start": {"entry": "icon"}, "err": {"code": 1}, "ts": 5, "odd": "é"}
+    got = lg.whole_records(lines(spark, [json.dumps(page), json.dumps(start), "[1]", "12 x", None, "{}"])).collect()
+    out = {}
+    for r in got:
+        out.setdefault(r.tag, []).append(r.record if r.tag == "dirty" else json.loads(r.record))
+    bare = {k: v for k, v in page.items() if k not in ("err", "displays", "actions")}
+    assert sorted(out["dirty"]) == ["12 x", "[1]"] and out["page"] == [bare, {}]
+    assert out["err"] == [page, start] and out["start"] == [{k: v for k, v in start.items() if k != "err"}]
+    head = {"common": common, "page": page["page"]}
+    assert out["display"] == [{**head, "ts": 4, "display": d} for d in page["displays"]]
+    assert out["action"] == [{**head, "action": page["actions"][0]}]
+    split = {k: [json.loads(r[0]) for r in v.select(F.to_json("record")).collect()]
+             for k, v in lg.split_logs(lg.clean(lg.parse_logs(lines(spark, [json.dumps(page), json.dumps(start), "{}"])))).items()}
+    assert split == {k: out[k] for k in split}
+
+
+def test_is_new_is_repaired_in_the_whole_record(spark):
+    from strata.streaming.runner import repaired_records
+    recs = [('{"common":{"is_new":"1","mid":"m","x":[1]},"ts":5,"y":2}', "0"), ('{"ts":6}', None), ('{"common":{"mid":"m"},"ts":7}', "0")]
+    got = repaired_records(spark.createDataFrame(recs, "line string, is_new_fixed string")).select(F.to_json("record"), "common.is_new").collect()
+    assert [tuple(r) for r in got] == [('{"common":{"is_new":"0","mid":"m","x":[1]},"ts":5,"y":2}', "0"), ('{"ts":6}', None),
+                                       ('{"common":{"mid":"m"},"ts":7}', None)]

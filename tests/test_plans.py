@@ -65,3 +65,15 @@ def test_no_unbounded_window_over_a_user_key(spark, sf_small, name):
     for keys in window_partitions(plan):
         if len(keys) == 1 and keys[0] in USER_KEYS:
             assert name in BOUNDED, f"{name}: window partitioned by {keys} alone"
+
+
+PARSED_ONCE = ["log_dirty", "log_err", "log_start", "log_display", "log_action", "log_page", "log_records", "cdc_normalise", "cdc_valid",
+               "cdc_config_route_dim", "cdc_config_route_dwd"]
+
+
+@pytest.mark.parametrize("name", PARSED_ONCE)
+def test_lines_are_parsed_once(spark, sf_small, name):
+    spark.conf.set("spark.sql.debug.maxToStringFields", "1000")
+    plan = entry.queries()[name](spark, sf_small)._jdf.queryExecution().optimizedPlan().toString()
+    assert len(re.findall(r"from_json\(|parseJson\(|parse_json\(", plan)) == 1
+    assert plan.count("get_json_object(") <= 1
