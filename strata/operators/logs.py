@@ -1,62 +1,64 @@
 """App-log parsing and splitting.
 
-A line is parsed once, into a map of VARIANT values that keeps every field; the columns that the
-warehouse works with are read from it.  The parse is the element of a generator, so Spark neither
-copies it into the columns and filters above nor evaluates it again for them.
+A line is parsed once.  The parse is the element of a generator, so Spark neither copies it into the
+columns and filters above nor evaluates it again for them.  The columns that the warehouse works with
+come from a schema; whole records, known fields or not, are maps of VARIANT values.
 
 Parsing and the splits are narrow (per-row) steps: no shuffle.  Each output carries its whole record
-(``record``, a map of VARIANT) beside its columns; ``whole_records`` gives all six outputs as JSON text
-from one parse, in one pass.
+(``record``) beside its columns, which costs its parse where it is used and nothing where it isn't;
+``whole_records`` gives all six outputs as JSON text from one parse, in one pass.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+S = T.StringType()
+ELEM = T.MapType(S, S)
 RECORD = "map<string,variant>"
-COMMON = "struct<ar:string,ba:string,ch:string,is_new:string,md:string,mid:string,os:string,uid:string,vc:string,sid:string>"
-PAGE = "struct<page_id:string,last_page_id:string,item:string,item_type:string,during_time:string>"
-ELEM = "map<string,string>"
-FIELDS = {"common": COMMON, "page": PAGE, "start": ELEM, "err": ELEM, "displays": f"array<{ELEM}>", "actions": f"array<{ELEM}>", "ts": "string"}
+COMMON = T.StructType([T.StructField(n, S) for n in ("ar", "ba", "ch", "is_new", "md", "mid", "os", "uid", "vc", "sid")])
+PAGE = T.StructType([T.StructField(n, S) for n in ("page_id", "last_page_id", "item", "item_type", "during_time")])
+LOG_SCHEMA = T.StructType([
+    T.StructField("common", COMMON), T.StructField("page", PAGE), T.StructField("start", ELEM), T.StructField("err", ELEM),
+    T.StructField("displays", T.ArrayType(ELEM)), T.StructField("actions", T.ArrayType(ELEM)), T.StructField("ts", S)])
+CORRUPT = "_corrupt_record"
 SPLIT_OFF = ("err", "displays", "actions")      # what the page record leaves to the other outputs
 
 
-def once(df: DataFrame, **columns: Column) -> DataFrame:
-    """``df`` with ``columns`` evaluated once per row, however often they are used above: a generator of one element.
-
-    A row whose first column is null is dropped."""
-    made = F.struct(*[c.alias(name) for name, c in columns.items()])
-    first = next(iter(columns.values()))
-    return df.select(*df.columns, F.inline(F.when(first.isNotNull(), F.array(made))))
-
-
 def _get(value: Column, kind: str) -> Column:
     return F.try_variant_get(value, "$", kind)
 
 
+def record_of(line: Column | str) -> Column:
+    """A JSON object's fields as VARIANT values, by name; null if the line is no object."""
+    return _get(F.try_parse_json(line), RECORD)
+
+
 def parse_logs(lines: DataFrame, line_col: str = "value", mode: str = "PERMISSIVE") -> DataFrame:
-    """P1 (PERMISSIVE, ``record`` is null where a line is no JSON object) or P2 (FAILFAST) JSON parse.
+    """P1 (PERMISSIVE, dirty rows kept with ``_corrupt_record``) or P2 (FAILFAST) JSON parse.
 
-    Null payloads (tombstones) are dropped first (P3).  A field of an odd type is null in its column and
-    whole in ``record``; the line is not dirty for it.  Numbers keep their value, not their trailing zeros."""
+    Null payloads (tombstones) are dropped first (P3).  Numbers are read as text and cast: a field of an odd
+    type is null in its column and whole in ``record``, and the line is not dirty for it."""
     line = F.col(line_col)
-    parse = F.try_parse_json if mode == "PERMISSIVE" else F.parse_json
-    text = lines.select(F.inline(F.when(line.isNotNull(), F.array(F.struct(line.alias("line"))))))
-    rec = text.select("line", F.inline(F.array(F.struct(_get(parse("line"), RECORD).alias("record")))))
-    field = {name: _get(F.col("record")[name], kind) for name, kind in FIELDS.items()}
-    field["page"] = F.when(field["page"].isNotNull(), field["page"].withField("during_time", field["page"]["during_time"].try_cast("bigint")))
-    field["ts"] = field["ts"].try_cast("bigint")
-    return rec.select("line", *[c.alias(name) for name, c in field.items()], "record")
+    schema = T.StructType(LOG_SCHEMA.fields + [T.StructField(CORRUPT, S)]) if mode == "PERMISSIVE" else LOG_SCHEMA
+    opts = {"mode": mode, **({"columnNameOfCorruptRecord": CORRUPT} if mode == "PERMISSIVE" else {})}
+    held = lines.select(line.alias("line"))
+    out = held.select("line", F.inline(F.when(F.col("line").isNotNull(), F.array(F.from_json("line", schema, opts)))))
+    during = F.col("page.during_time").try_cast("bigint")
+    return out.withColumn("page", F.when(F.col("page").isNotNull(), F.col("page").withField("during_time", during))) \
+        .withColumn("ts", F.col("ts").try_cast("bigint")).withColumn("record", record_of("line"))
 
 
 def dirty(parsed: DataFrame) -> DataFrame:
-    """P1 side output: the raw text of records that are not JSON objects."""
-    return parsed.filter(F.col("record").isNull()).select("line")
+    """P1 side output: the raw text of records that are not JSON."""
+    return parsed.filter(F.col(CORRUPT).isNotNull()).select("line")
 
 
 def clean(parsed: DataFrame) -> DataFrame:
-    return parsed.filter(F.col("record").isNotNull()).drop("line")
+    out = parsed.filter(F.col(CORRUPT).isNull()) if CORRUPT in parsed.columns else parsed
+    return out.select(*[c for c in parsed.columns if c not in ("line", CORRUPT)])
 
 
 def without(record: Column | str, *names: str) -> Column:
@@ -136,8 +138,8 @@ def whole_records(lines: DataFrame, line_col: str = "value") -> DataFrame:
     A record gives rows to as many outputs as it belongs to; fields are in order of name.  Lines that
     are no JSON objects are ``dirty`` as they are."""
     r = F.col("record")
-    parsed = once(lines.select(F.col(line_col).alias("line")), _line=F.col("line"))
-    parsed = parsed.select("line", F.inline(F.array(F.struct(_get(F.try_parse_json("line"), RECORD).alias("record")))))
+    line = F.col("line")
+    parsed = lines.select(F.col(line_col).alias("line")).select("line", F.inline(F.when(line.isNotNull(), F.array(F.struct(record_of("line").alias("record"))))))
     row = lambda tag, text: F.struct(F.lit(tag).alias("tag"), text.alias("record"))
     none = F.array().cast("array<struct<tag:string,record:string>>")
     has = lambda name: _get(r[name], RECORD).isNotNull()

@@ -128,7 +128,6 @@ def log_split_stream(lines: DataFrame, root: str, name: str, checkpoint: str | N
 def repaired_records(batch: DataFrame) -> DataFrame:
     """Records (line, is_new_fixed) back to log rows, whole, with the repaired ``common.is_new``."""
     from strata.operators import logs as lg
-    record = F.try_variant_get(F.try_parse_json("line"), "$", lg.RECORD)
-    rec = batch.select(F.inline(F.array(F.struct(record.alias("r"), F.col("is_new_fixed")))))
+    rec = batch.select(F.inline(F.array(F.struct(lg.record_of("line").alias("r"), F.col("is_new_fixed")))))
     fixed = F.when(F.col("is_new_fixed").isNotNull(), lg.with_is_new(F.col("r"), F.col("is_new_fixed"))).otherwise(F.col("r"))
     return lg.clean(lg.parse_logs(rec.select(F.to_json(fixed).alias("value"))))
