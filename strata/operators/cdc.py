@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.functions.text import merged
+from strata.operators.scan import asof_last
 from strata.sources.cdc import ENVELOPE_SCHEMA
 
 FORM2_OPS = {"insert": "c", "update": "u", "delete": "d"}
@@ -117,3 +118,22 @@ def route_by_config(changes: DataFrame, config: DataFrame, on: Sequence[tuple[st
     cfg = config.select(*[F.col("config")[f].alias(f"cfg_{f}") for _, f in on], "config")
     cond = [changes[c] == cfg[f"cfg_{f}"] for c, f in on]
     return changes.join(cfg, cond, "inner").drop(*[f"cfg_{f}" for _, f in on])
+
+
+def route_asof(changes: DataFrame, config_changes: DataFrame, on: Sequence[tuple[str, str]], chunk_ms: int = 86_400_000) -> DataFrame:
+    """J1/J2 over history: each change with the config that was valid at its time; without one it is dropped.
+
+    ``on`` pairs (change column, config field).  A config is valid from its change on, its deletion
+    starts a gap; at one time the config change comes first.  Changes and config changes are one sequence
+    per key, and the last config is carried forward by a two-level scan over ``chunk_ms`` chunks, so a table
+    with most of the changes is spread over its chunks."""
+    names = [f"__k{i}" for i in range(len(on))]
+    row = F.when(F.col("op") == "d", F.col("before")).otherwise(F.col("after"))
+    config = config_changes.select(*[row[f].alias(n) for n, (_, f) in zip(names, on)], F.col("ts_ms").alias("__t"), F.lit(0).alias("__n"),
+                                   F.struct((F.col("op") == "d").alias("gone"), row.alias("config")).alias("__cfg"))
+    own = F.struct(*changes.columns).alias("__row")
+    both = changes.select(*[F.col(c).alias(n) for n, (c, _) in zip(names, on)], F.col("ts_ms").alias("__t"), F.lit(1).alias("__n"), own) \
+        .unionByName(config, allowMissingColumns=True)
+    found = asof_last(both, names, ["__t", "__n"], F.floor(F.col("__t") / chunk_ms), "__cfg", "__valid")
+    return found.where(F.col("__row").isNotNull() & ~F.coalesce(F.col("__valid.gone"), F.lit(True))) \
+        .select("__row.*", F.col("__valid.config").alias("config"))

@@ -42,28 +42,45 @@ def running_profile(df: DataFrame, key: Sequence[str], order: Sequence[str], chu
                     set_cols: Sequence[str], count_out: str = "pv") -> DataFrame:
     """Running row count and running distinct-value sets per key (current row included).
 
-    Sets are returned as sorted, comma-joined text.  Each set is bounded by the
-    number of distinct values of its column, not by the number of rows.
+    Sets are returned as sorted, comma-joined text.  A value is in the set of every row from its first
+    one on, so only the first row of each (key, value) is kept, by a combining aggregate, and one row
+    per key holds them; a row's sets are those whose first row is not later.  Work grows with the rows,
+    not with chunks before them; a key's row is bounded by its distinct values, as each set is.
     """
     key = list(key)
+    at = F.struct(*order)
+    values = F.inline(F.array(*[F.struct(F.lit(i).alias("__c"), F.col(c).cast("string").alias("__v")) for i, c in enumerate(set_cols)]))
+    first = df.select(*key, at.alias("__at"), values).where(F.col("__v").isNotNull()) \
+        .groupBy(*key, "__c", "__v").agg(F.min("__at").alias("__f"))
+    seen = first.groupBy(*key).agg(*[F.array_sort(F.collect_list(F.when(F.col("__c") == i, F.struct("__v", "__f")))).alias(f"__s_{c}")
+                                     for i, c in enumerate(set_cols)])
     d = df.withColumn("__chunk", chunk)
-    per_chunk = d.groupBy(*key, "__chunk").agg(
-        F.count("*").alias("__n"), *[F.collect_set(c).alias(f"__s_{c}") for c in set_cols])
     wk = W.partitionBy(*key).orderBy("__chunk").rowsBetween(W.unboundedPreceding, -1)
-    prefix = per_chunk.select(
-        *key, "__chunk", F.coalesce(F.sum("__n").over(wk), F.lit(0)).alias("__pn"),
-        *[F.array_distinct(F.flatten(F.collect_list(f"__s_{c}").over(wk))).alias(f"__ps_{c}") for c in set_cols])
-    wc = W.partitionBy(*key, "__chunk").orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
-    inner = d.select(*df.columns, "__chunk", F.count("*").over(wc).alias("__in"),
-                     *[F.collect_set(c).over(wc).alias(f"__is_{c}") for c in set_cols])
-    res = inner.join(prefix, [*key, "__chunk"], "left")
+    before = d.groupBy(*key, "__chunk").agg(F.count("*").alias("__n")) \
+        .select(*key, "__chunk", F.coalesce(F.sum("__n").over(wk), F.lit(0)).alias("__pn"))
+    inner = d.withColumn("__in", F.row_number().over(W.partitionBy(*key, "__chunk").orderBy(*order)))
+    res = inner.join(before, [*key, "__chunk"], "left").join(seen, key, "left")
     outs = [(F.col("__pn") + F.col("__in")).alias(count_out)]
     for c in set_cols:
-        merged = F.array_sort(F.array_distinct(F.concat(F.coalesce(F.col(f"__ps_{c}"), F.array()), F.col(f"__is_{c}"))))
-        outs.append(F.array_join(merged, ",").alias(f"{c}_set"))
+        held = F.filter(F.col(f"__s_{c}"), lambda x: x["__f"] <= at)
+        outs.append(F.coalesce(F.array_join(F.transform(held, lambda x: x["__v"]), ","), F.lit("")).alias(f"{c}_set"))
     return res.select(*df.columns, *outs)
 
 
+def asof_last(df: DataFrame, key: Sequence[str], order: Sequence[str], chunk: Column, value: str, out: str) -> DataFrame:
+    """Add ``out``: the last value of ``value`` that is not null, of the key's rows up to this one in ``order``."""
+    key = list(key)
+    d = df.withColumn("__chunk", chunk)
+    last = F.max_by(value, F.when(F.col(value).isNotNull(), F.struct(*order)))
+    per_chunk = d.groupBy(*key, "__chunk").agg(last.alias("__last"))
+    wk = W.partitionBy(*key).orderBy("__chunk").rowsBetween(W.unboundedPreceding, -1)
+    carried = per_chunk.select(*key, "__chunk", F.last("__last", ignorenulls=True).over(wk).alias("__carried"))
+    wc = W.partitionBy(*key, "__chunk").orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
+    inner = d.withColumn("__own", F.last(value, ignorenulls=True).over(wc))
+    res = inner.join(carried, [*key, "__chunk"], "left")
+    return res.select(*df.columns, F.coalesce("__own", "__carried").alias(out))
+
+
 def seq_and_previous(df: DataFrame, key: Sequence[str], order: Sequence[str], chunk: Column,
                      values: Sequence[str], seq: str = "seq", prefix: str = "prev_") -> DataFrame:
     """Changelog position per key: ``seq`` (1-based rank in ``order``) and, for each of

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strata.operators.bursts import with_bursts
 from strata.operators.dedupe import first_per_key, latest_per_entity
 from strata.operators.windows import tumbling
 from strata.plans.registry import query
@@ -216,6 +217,10 @@ def sku_order_window(spark: SparkSession, sf_dir: str, size: str = "1 day", burs
         "split_coupon_amount", "split_total_amount")
     det = det.withColumn("burst", F.window("l_shipdate", burst).start)
     latest = latest_per_entity(det, [*t.DETAIL_KEY, "burst"], t.DETAIL_ORDER)
+    return _sku_amounts(spark, sf_dir, latest, size)
+
+
+def _sku_amounts(spark: SparkSession, sf_dir: str, latest: DataFrame, size: str) -> DataFrame:
     win = tumbling(latest, "l_shipdate", size, ["sku_id"], [
         F.sum("split_original_amount").cast("decimal(38,4)").alias("original_amount"),
         F.sum("split_activity_amount").cast("decimal(38,4)").alias("activity_reduce_amount"),
@@ -243,6 +248,39 @@ FROM w LEFT JOIN part p ON w.sku_id = p.p_partkey
 """)(sku_order_window)
 
 
+def sku_burst_window(spark: SparkSession, sf_dir: str, size: str = "1 day", burst_days: int = 60) -> DataFrame:
+    """``sku_order_window`` with the bursts of the stream form (D7): the first version of a detail opens a burst,
+    the newest version in it is kept, and the first one after its end opens the next."""
+    det = t.order_detail(spark, sf_dir).select(
+        *t.DETAIL_KEY, *t.DETAIL_ORDER, "sku_id", "split_original_amount", "split_activity_amount",
+        "split_coupon_amount", "split_total_amount")
+    det = with_bursts(det, t.DETAIL_KEY, "l_shipdate", burst_days * 86_400, "burst")
+    return _sku_amounts(spark, sf_dir, latest_per_entity(det, [*t.DETAIL_KEY, "burst"], t.DETAIL_ORDER), size)
+
+
+query("sku_burst_window", f"""
+WITH RECURSIVE p AS (SELECT DISTINCT l_orderkey, l_linenumber, l_shipdate AS t FROM lineitem),
+s AS (
+  SELECT l_orderkey, l_linenumber, min(t) AS t FROM p GROUP BY ALL
+  UNION ALL
+  SELECT s.l_orderkey, s.l_linenumber, min(p.t) FROM s JOIN p ON s.l_orderkey = p.l_orderkey AND s.l_linenumber = p.l_linenumber
+    AND p.t > s.t + INTERVAL 60 DAY GROUP BY ALL),
+b AS (SELECT p.l_orderkey, p.l_linenumber, p.t, max(s.t) AS burst FROM p JOIN s ON p.l_orderkey = s.l_orderkey
+        AND p.l_linenumber = s.l_linenumber AND s.t <= p.t GROUP BY ALL),
+m AS (SELECT lineitem.*, burst FROM lineitem JOIN b ON lineitem.l_orderkey = b.l_orderkey AND lineitem.l_linenumber = b.l_linenumber AND l_shipdate = t),
+d AS ({LATEST_DETAIL_SQL.replace('PARTITION BY l_orderkey, l_linenumber', "PARTITION BY l_orderkey, l_linenumber, burst").replace('FROM lineitem', 'FROM m')}),
+w AS (
+  SELECT {_sql_window("1 day", "l_shipdate")}, l_partkey AS sku_id,
+    CAST(sum(split_original_amount) AS DECIMAL(38,4)) AS original_amount,
+    CAST(sum(split_activity_amount) AS DECIMAL(38,4)) AS activity_reduce_amount,
+    CAST(sum(split_coupon_amount) AS DECIMAL(38,4)) AS coupon_reduce_amount,
+    CAST(sum(split_total_amount) AS DECIMAL(38,4)) AS order_amount
+  FROM d GROUP BY ALL)
+SELECT w.*, p.p_name AS sku_name, p.p_brand AS trademark_name, p.p_type AS category3_name
+FROM w LEFT JOIN part p ON w.sku_id = p.p_partkey
+""")(sku_burst_window)
+
+
 WORD_SPLIT = r"[^\p{L}]+"
 
 

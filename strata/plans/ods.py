@@ -275,6 +275,42 @@ FROM customer WHERE c_acctbal >= 0 AND c_mktsegment <> 'AUTOMOBILE'
 """)(cdc_config_route_dwd)
 
 
+# A config history in the middle of the changes.  user_info changes its columns, order_info
+# is configured, removed (a gap) and configured anew.
+_T95, _T97, _T98 = 788_918_400_000, 852_076_800_000, 883_612_800_000      # new year of 1995, 1997, 1998
+_USER_T1, _USER_T2 = 1_700_000_050_000, 1_700_000_100_000
+_ORDER_V2 = dict(_DIM_ORDER, sink_table="dim_order_2", sink_columns="id,order_status")
+CONFIG_HISTORY = [("r", None, _DIM_USER_V1, _USER_T1), ("u", _DIM_USER_V1, _DIM_USER_V2, _USER_T2),
+                  ("r", None, _DIM_ORDER, _T95), ("d", _DIM_ORDER, None, _T97), ("r", None, _ORDER_V2, _T98)]
+
+
+def cdc_config_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J1 over history: each change routed and pruned by the config that was valid at its time."""
+    v = cdc.valid_changes(changes(spark, sf_dir), DB, keep_deletes=True, drop_bootstrap=False)
+    r = cdc.route_asof(v, _config_stream(spark, CONFIG_HISTORY), [("table_name", "source_table")], chunk_ms=30 * 86_400_000)
+    row = F.when(F.col("op") == "d", F.col("before")).otherwise(F.col("after"))
+    pruned = cdc.prune_columns(row, F.col("config")["sink_columns"])
+    return r.select(F.col("config")["sink_table"].alias("sink_table"), "op", row["id"].alias("row_key"), "ts_ms",
+                    cdc.map_text(pruned).alias("columns"))
+
+
+query("cdc_config_history", f"""
+WITH o AS (SELECT *, epoch_ms(o_orderdate) AS t, {ORDER_OP_SQL} AS op FROM orders),
+c AS (SELECT *, (1700000000 + c_custkey) * 1000 AS t, CASE {CUST_TYPE_SQL} WHEN 'update' THEN 'u' WHEN 'insert' THEN 'c' ELSE 'r' END AS op FROM customer)
+SELECT 'dim_order_info' AS sink_table, op, CAST(o_orderkey AS VARCHAR) AS row_key, t AS ts_ms,
+  'id=' || CAST(o_orderkey AS VARCHAR) || ',user_id=' || CAST(o_custkey AS VARCHAR) AS columns
+FROM o WHERE t >= {_T95} AND t < {_T97}
+UNION ALL
+SELECT 'dim_order_2', op, CAST(o_orderkey AS VARCHAR), t, 'id=' || CAST(o_orderkey AS VARCHAR) || ',order_status=' || o_orderstatus
+FROM o WHERE t >= {_T98}
+UNION ALL
+SELECT 'dim_user_info', op, CAST(c_custkey AS VARCHAR), t,
+  'id=' || CAST(c_custkey AS VARCHAR) || ',name=' || c_name
+    || CASE WHEN t < {_USER_T2} THEN ',nation_id=' || CAST(c_nationkey AS VARCHAR) ELSE ',segment=' || c_mktsegment END
+FROM c WHERE t >= {_USER_T1}
+""")(cdc_config_history)
+
+
 # ---- dimension maintenance -------------------------------------------------------------------
 
 DIM_COLS = ["name", "nation_id", "segment", "acctbal"]
