@@ -19,27 +19,31 @@ from strata.operators.scan import asof_last
 from strata.session import ensure_checkpoint_dir
 
 
+T, NEXT = "__b_t", "__b_next"       # a time and the one it points to, in microseconds
+
+
 def _next_start(points: DataFrame, key: list[str], length_us: int, chunk_us: int) -> DataFrame:
-    """``(key, t, next)``: of every time the key's first one after ``t + length_us``, where there is one.
+    """``(key, T, NEXT)``: of every time the key's first one after ``T + length_us``, where there is one.
 
     Ends and times in one falling order: the last time before an end in it is the next one after it."""
-    ends = points.select(*key, (F.col("t") + length_us).alias("u"), "t", F.lit(None).cast("bigint").alias("p"))
-    times = points.select(*key, F.col("t").alias("u"), F.lit(None).cast("bigint").alias("t"), F.col("t").alias("p"))
-    both = ends.unionByName(times).select(*key, (-F.col("u")).alias("u"), F.col("p").isNotNull().cast("int").alias("k"), "t", "p")
-    filled = asof_last(both, key, ["u", "k"], F.floor(F.col("u") / chunk_us), "p", "next")
-    return filled.where("t is not null and next is not null").select(*key, "t", "next")
+    none = F.lit(None).cast("bigint")
+    ends = points.select(*key, (-F.col(T) - length_us).alias("__b_u"), F.lit(0).alias("__b_kind"), T, none.alias("__b_p"))
+    times = points.select(*key, (-F.col(T)).alias("__b_u"), F.lit(1).alias("__b_kind"), none.alias(T), F.col(T).alias("__b_p"))
+    filled = asof_last(ends.unionByName(times), key, ["__b_u", "__b_kind"], F.floor(F.col("__b_u") / chunk_us), "__b_p", NEXT)
+    return filled.where(F.col(T).isNotNull() & F.col(NEXT).isNotNull()).select(*key, T, NEXT)
 
 
 def burst_starts(points: DataFrame, key: Sequence[str], length_us: int, chunk_us: int) -> DataFrame:
-    """The times of ``points`` (key, t; distinct) that open a burst, as ``(key, t)``."""
+    """The times of ``points`` (key, T; distinct) that open a burst, as ``(key, T)``."""
     key = list(key)
     ensure_checkpoint_dir(points.sparkSession)
-    starts = points.groupBy(*key).agg(F.min("t").alias("t"))
+    starts = points.groupBy(*key).agg(F.min(T).alias(T))
     jump = _next_start(points, key, length_us, chunk_us).checkpoint(eager=True)
     while not jump.isEmpty():
-        starts = starts.unionByName(starts.join(jump, [*key, "t"]).select(*key, F.col("next").alias("t"))).distinct().checkpoint(eager=True)
-        far = jump.select(*key, F.col("t").alias("next"), F.col("next").alias("far"))
-        jump = jump.join(far, [*key, "next"]).select(*key, "t", F.col("far").alias("next")).checkpoint(eager=True)
+        reached = starts.join(jump, [*key, T]).select(*key, F.col(NEXT).alias(T))
+        starts = starts.unionByName(reached).distinct().checkpoint(eager=True)
+        far = jump.select(*key, F.col(T).alias(NEXT), F.col(NEXT).alias("__b_far"))
+        jump = jump.join(far, [*key, NEXT]).select(*key, T, F.col("__b_far").alias(NEXT)).checkpoint(eager=True)
     return starts
 
 
@@ -48,14 +52,11 @@ def with_bursts(df: DataFrame, key: Sequence[str], ts: str | Column, length_s: i
 
     A row with a null key or time has no burst."""
     key = list(key)
-    t = F.unix_micros(F.col(ts) if isinstance(ts, str) else ts)
     length_us = length_s * 1_000_000
     chunk_us = max(1, 64 * length_us)
-    rows = df.withColumn("__t", t)
-    known = rows.where(" and ".join(f"`{c}` is not null" for c in [*key, "__t"]))
-    points = known.select(*key, F.col("__t").alias("t")).distinct()
-    # keys seen at one time alone have that time as their only start
-    starts = burst_starts(points, key, length_us, chunk_us).withColumn("s", F.col("t"))
-    marked = points.join(starts, [*key, "t"], "left")
-    placed = asof_last(marked, key, ["t"], F.floor(F.col("t") / chunk_us), "s", "__s").select(*key, F.col("t").alias("__t"), "__s")
-    return rows.join(placed, [*key, "__t"], "left").select(*df.columns, F.timestamp_micros("__s").alias(out))
+    rows = df.withColumn(T, F.unix_micros(F.col(ts) if isinstance(ts, str) else ts))
+    points = rows.select(*key, T).dropna().distinct()
+    starts = burst_starts(points, key, length_us, chunk_us).withColumn("__b_s", F.col(T))
+    marked = points.join(starts, [*key, T], "left")
+    placed = asof_last(marked, key, [T], F.floor(F.col(T) / chunk_us), "__b_s", "__b_start").select(*key, T, "__b_start")
+    return rows.join(placed, [*key, T], "left").select(*df.columns, F.timestamp_micros("__b_start").alias(out))

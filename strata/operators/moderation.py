@@ -1,7 +1,9 @@
 """Comment moderation (X12, X13, J24): a word list checked against whole comment texts.
 
 One list serves both passes.  Pass 1 looks the last comma-separated token up in it; pass 2
-finds every listed word anywhere in the text.  Both are built-in expressions over the list.
+finds every listed word anywhere in the text.  A list in code is a literal of the plan; a table of words
+of any length is joined by k-grams: the distinct k-grams of each text, where k is the length of the
+shortest word, meet the words' first k characters, and what meets is verified against the text.
 """
 
 from __future__ import annotations
@@ -11,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-MAX_WORDS = 10_000  # a longer list is refused, not cut
+SALTS = 8       # tasks that share a frequent k-gram; the word table is copied as often
 
 
 def last_token(text) -> Column:
@@ -26,15 +28,26 @@ def find_words(text: Column, words: Sequence[str]) -> Column:
     return F.coalesce(F.filter(arr, lambda w: F.contains(text, w)), F.array().cast("array<string>"))
 
 
-def word_list(words: Sequence[str] | DataFrame) -> list[str]:
-    """The distinct non-empty words in list order; a table's words (column ``word``) in text order."""
-    if isinstance(words, DataFrame):
-        rows = words.select("word").where("word <> ''").distinct().orderBy("word").limit(MAX_WORDS + 1).collect()
-        words = [r["word"] for r in rows]
-    out = list(dict.fromkeys(w for w in words if w))
-    if len(out) > MAX_WORDS:
-        raise ValueError(f"more than {MAX_WORDS} words")
-    return out
+def word_list(words: Sequence[str]) -> list[str]:
+    """The distinct non-empty words in list order."""
+    return list(dict.fromkeys(w for w in words if w))
+
+
+def words_in(texts: DataFrame, text_col: str, words: DataFrame) -> DataFrame:
+    """``(_key, found)``: of every distinct text that holds words of the table (column ``word``), those words in text order.
+
+    ``_key`` is the SHA-256 of the text.  Blank, null and repeated words count for nothing."""
+    listed = words.select("word").where("word <> ''").distinct()
+    k = listed.agg(F.min(F.length("word")).alias("k")).first()["k"] or 1
+    own = texts.select(F.col(text_col).alias("_text")).where("_text is not null").select(F.sha2(F.col("_text"), 256).alias("_key"), "_text") \
+        .groupBy("_key").agg(F.any_value("_text").alias("_text"))
+    salt = F.pmod(F.xxhash64("_key"), F.lit(SALTS))
+    # a look-ahead yields the k characters from every place on
+    grams = own.select("_key", salt.alias("_salt"), F.explode(F.array_distinct(F.regexp_extract_all("_text", F.lit(f"(?s)(?=(.{{{k}}}))"), 1))).alias("_gram"))
+    heads = listed.select("word", F.substring("word", 1, k).alias("_gram"), F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint"))).alias("_salt"))
+    met = grams.join(heads, ["_gram", "_salt"]).groupBy("_key").agg(F.array_sort(F.collect_set("word")).alias("_met"))
+    found = F.filter("_met", lambda w: F.contains(F.col("_text"), w))
+    return own.join(met, "_key").select("_key", found.alias("found")).where(F.size("found") > 0)
 
 
 def moderate(comments: DataFrame, text_col: str, words: Sequence[str] | DataFrame) -> DataFrame:
@@ -43,12 +56,17 @@ def moderate(comments: DataFrame, text_col: str, words: Sequence[str] | DataFram
     Pass 1 (X12): the last comma token is on the list -> 1, P0, that word.
     Pass 2 (X13, intent): otherwise any listed word in the whole text -> 1, P1,
     the words joined by ', '.  Blank and repeated words of the list count for nothing.
-    """
-    listed = word_list(words)
-    last, found = last_token(text_col), find_words(F.col(text_col), listed)
-    p0 = F.coalesce(last.isin(listed), F.lit(False)) if listed else F.lit(False)
-    return comments.select(
+    ``words`` is a list, or a table (column ``word``, in text order) of any length; both give the same rows."""
+    if isinstance(words, DataFrame):
+        hits = words_in(comments, text_col, words)
+        rows = comments.withColumn("_key", F.sha2(F.col(text_col), 256)).join(hits, "_key", "left")
+        found = F.coalesce(F.col("found"), F.array().cast("array<string>"))
+    else:
+        rows, found = comments, find_words(F.col(text_col), word_list(words))
+    last = last_token(text_col)
+    p0 = F.coalesce(F.array_contains(found, last), F.lit(False))      # the last token is part of the text
+    return rows.select(
         *[F.col(x) for x in comments.columns],
-        F.when(p0 | (F.size(found) > 0), 1).otherwise(0).alias("violation"),
+        F.when(F.size(found) > 0, 1).otherwise(0).alias("violation"),
         F.when(p0, "P0").when(F.size(found) > 0, "P1").otherwise("").alias("grade"),
         F.when(p0, last).when(F.size(found) > 0, F.array_join(found, ", ")).otherwise("").alias("words"))

@@ -40,3 +40,24 @@ FROM d
 
 
 query("comment_moderation", _sql())(comment_moderation)
+
+
+def moderation_word_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """X13 with a table of words, joined by k-grams: every word of 6 letters or more in the benchmark texts that
+    starts with a to f, checked against all documents."""
+    words = t.read(spark, sf_dir, "benchmark").select(F.explode(F.split(F.lower("text"), "[^a-z]+")).alias("word")) \
+        .where("length(word) >= 6 and word < 'g'")
+    docs = t.read(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("id"), "text")
+    return moderate(docs, "text", words).select("id", "violation", "grade", "words")
+
+
+query("moderation_word_table", """
+WITH w AS (SELECT DISTINCT unnest(regexp_split_to_array(lower(text), '[^a-z]+')) AS word FROM benchmark),
+l AS (SELECT word FROM w WHERE length(word) >= 6 AND word < 'g'),
+h AS (SELECT doc_id, string_agg(word, ', ' ORDER BY word) AS found FROM documents JOIN l ON contains(text, word) GROUP BY doc_id),
+d AS (SELECT doc_id, trim(string_split(text, ',')[-1]) AS last_tok, found FROM documents LEFT JOIN h USING (doc_id))
+SELECT CAST(doc_id AS VARCHAR) AS id, CASE WHEN found IS NULL THEN 0 ELSE 1 END AS violation,
+  CASE WHEN last_tok IN (SELECT word FROM l) THEN 'P0' WHEN found IS NULL THEN '' ELSE 'P1' END AS grade,
+  CASE WHEN last_tok IN (SELECT word FROM l) THEN last_tok ELSE coalesce(found, '') END AS words
+FROM d
+""")(moderation_word_table)

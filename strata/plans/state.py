@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.functions.dates import ts_to_ms
+from strata.operators.bitmaps import distinct_bitmaps, distinct_counts, united
+from strata.operators.bloom import BloomState
 from strata.operators.dedupe import exact_dedupe, first_per_key
 from strata.operators.facts import detail_id
 from strata.operators.scan import running_max_before, running_profile, seq_and_previous
@@ -241,3 +243,42 @@ SELECT id, ds,
   (max(struct_pack(t := ts_ms, v := sku_id)) FILTER (WHERE sku_id IS NOT NULL)).v AS sku_id
 FROM r GROUP BY id, ds
 """)(keyed_table_cart)
+
+
+# ---- state that merges: Bloom filters and distinct bitmaps ------------------------------------
+
+def bloom_dedupe(spark: SparkSession, sf_dir: str, buckets: int = 64) -> DataFrame:
+    """D10 over three batches with a stored Bloom filter: the first arrival of each (order, change time) stays,
+    none is dropped by a false positive.  Details arrive by line number."""
+    folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/bloom-{uuid.uuid4().hex}"
+    state = BloomState(spark, folder, ["l_orderkey", "l_shipdate"], buckets)
+    d = t.order_detail(spark, sf_dir).select("l_orderkey", "l_shipdate", "l_linenumber", *t.DETAIL_ORDER[1:])
+    order = ["l_linenumber", *t.DETAIL_ORDER[1:]]
+    parts = [state.new_rows(d.where(c), i, order) for i, c in enumerate(("l_linenumber <= 2", "l_linenumber in (3, 4)", "l_linenumber > 4"))]
+    rows = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return rows.select("l_orderkey", ts_to_ms("l_shipdate").alias("ts_ms"), "l_linenumber", "l_partkey")
+
+
+query("bloom_dedupe", f"""
+SELECT l_orderkey, epoch_ms(l_shipdate) AS ts_ms, l_linenumber, l_partkey FROM lineitem
+QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_shipdate ORDER BY l_linenumber, {DETAIL_ORDER_SQL.replace('l_shipdate, ', '')}) = 1
+""")(bloom_dedupe)
+
+
+def uv_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A2, A4, A5: exact unique visitors per page by hour, day and month from one stored table of hourly bitmaps."""
+    rows = page_rows(logs(spark, sf_dir)).select("page_id", F.date_trunc("hour", "ts").alias("hour"), "user_id")
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/uv-{uuid.uuid4().hex}"
+    distinct_bitmaps(rows, ["page_id", "hour"], "user_id").write.parquet(path)
+    stored, out = spark.read.parquet(path), None
+    for grain in ("hour", "day", "month"):
+        coarse = united(stored, ["page_id", F.date_trunc(grain, "hour").alias("at")])
+        part = distinct_counts(coarse, ["page_id", "at"], "uv").select(
+            F.lit(grain).alias("grain"), F.date_format("at", "yyyy-MM-dd HH:mm:ss").alias("stt"), "page_id", "uv")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+query("uv_rollup", " UNION ALL ".join(f"""
+SELECT '{g}' AS grain, strftime(date_trunc('{g}', ts), '%Y-%m-%d %H:%M:%S') AS stt, page_id, count(DISTINCT user_id) AS uv
+FROM ({PAGE_SQL}) GROUP BY ALL""" for g in ("hour", "day", "month")))(uv_rollup)
