@@ -2,7 +2,8 @@
 
 Stream forms of the batch operators in ``strata.operators``.  Built-in stateful
 operators are used where they exist (windowed aggregation, ``dropDuplicates*``,
-stream-stream joins); the rest are ``applyInPandasWithState`` processors whose
+stream-stream joins).  D1, D3, D5, D6 and D9 are the processors of ``keyed_state.py``, whose
+state expires; the rest are ``applyInPandasWithState`` processors whose
 state per key is a handful of scalars (a date, a running count, a value set
 bounded by the column's domain).  Rows of one key inside one micro-batch are
 processed in event order (ts, then id); across micro-batches arrival order
@@ -22,149 +23,59 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from strata.streaming import keyed_state as ks
+
 
 def _rows(pdfs: Iterator[pd.DataFrame], order: Sequence[str]) -> pd.DataFrame:
     df = pd.concat(list(pdfs), ignore_index=True)
     return df.sort_values(list(order), kind="stable")
 
 
-# ---- D11: state expiry ----------------------------------------------------------------------------
-
-def _timeout(ttl_s: float | None) -> str:
-    return GroupStateTimeout.ProcessingTimeTimeout if ttl_s else GroupStateTimeout.NoTimeout
-
-
-def _keep(state: GroupState, value: tuple, ttl_s: float | None) -> None:
-    """Update a key's state; with ``ttl_s`` a key silent for so long loses it in the next micro-batch.
-
-    Such a query runs batches without data, for ever: give it a processing-time trigger (with
-    ``availableNow`` it ends only if ``spark.sql.streaming.noDataMicroBatches.enabled`` is off)."""
-    state.update(value)
-    if ttl_s:
-        state.setTimeoutDuration(int(ttl_s * 1000))
-
-
 # ---- D1: new-visitor repair -------------------------------------------------------------------
 
-def new_visitor_stream(logs: DataFrame) -> DataFrame:
-    """D1 on a stream of (event_id, mid, ts, is_new): state = first visit date per mid, no expiry."""
-    def fn(key, pdfs, state: GroupState):
-        first = state.get[0] if state.exists else None
-        out = []
-        for r in _rows(pdfs, ["ts", "event_id"]).itertuples(index=False):
-            d = r.ts.date()
-            if first is None:
-                first = (d if r.is_new == "1" else d - _dt.timedelta(days=1)).isoformat()
-            fixed = "0" if (r.is_new == "1" and first != d.isoformat()) else r.is_new
-            out.append((r.event_id, key[0], d.isoformat(), r.is_new, fixed, first))
-        state.update((first,))
-        yield pd.DataFrame(out, columns=["event_id", "mid", "visit_date", "is_new_raw", "is_new", "first_date"])
-
-    return logs.select("event_id", "mid", "ts", "is_new").groupBy("mid").applyInPandasWithState(
-        fn, "event_id long, mid string, visit_date string, is_new_raw string, is_new string, first_date string",
-        "first_date string", "append", GroupStateTimeout.NoTimeout)
+def new_visitor_stream(logs: DataFrame, ttl_s: float = ks.YEARS) -> DataFrame:
+    """D1 on a stream of (event_id, mid, ts, is_new): state = first visit date per mid; a mid silent for
+    ``ttl_s`` starts anew (D11; the reference's 10 s would forget nearly every visitor)."""
+    return ks.run_per_key(logs.select("event_id", "mid", "ts", "is_new"), "mid", ks.FirstVisitRows(["ts", "event_id"], ttl_s),
+                          "event_id long, mid string, visit_date string, is_new_raw string, is_new string, first_date string")
 
 
 # ---- D3: daily unique visitor flag --------------------------------------------------------------
 
-def daily_first_flag_stream(df: DataFrame, key: str, row_id: str, flag: str = "uv",
-                            ttl_s: float | None = None) -> DataFrame:
+def daily_first_flag_stream(df: DataFrame, key: str, row_id: str, flag: str = "uv", ttl_s: float = ks.DAY) -> DataFrame:
     """D3: emit every row with ``flag`` = 1 on the key's first row of each calendar day.  State
     (the last day seen) of a key silent for ``ttl_s`` (the reference: 86400) expires (D11)."""
-    def fn(k, pdfs, state: GroupState):
-        if state.hasTimedOut:
-            state.remove()
-            return
-        last = state.get[0] if state.exists else None
-        out = []
-        for r in _rows(pdfs, ["ts", row_id]).itertuples(index=False):
-            d = r.ts.date().isoformat()
-            out.append((getattr(r, row_id), 1 if d != last else 0))
-            last = d
-        _keep(state, (last,), ttl_s)
-        yield pd.DataFrame(out, columns=[row_id, flag])
-
-    flags = df.select(key, "ts", row_id).groupBy(key).applyInPandasWithState(
-        fn, f"{row_id} long, {flag} int", "last_day string", "append", _timeout(ttl_s))
-    return flags
+    return ks.run_per_key(df.select(key, "ts", row_id), key, ks.DailyFirst(row_id, flag, ttl_s), f"{row_id} long, {flag} int")
 
 
 # ---- D5: login uniqueness and return users -------------------------------------------------------
 
-def login_stream(logins: DataFrame, back_days: int = 8) -> DataFrame:
+def login_stream(logins: DataFrame, back_days: int = 8, ttl_s: float = ks.YEARS) -> DataFrame:
     """D5 on (uid, ts, event_id): one row per user and day with uu=1 and back=1 when the
     previous login day is ``back_days`` or more days earlier; state = last login day."""
-    def fn(key, pdfs, state: GroupState):
-        last = _dt.date.fromisoformat(state.get[0]) if state.exists else None
-        out = []
-        for r in _rows(pdfs, ["ts", "event_id"]).itertuples(index=False):
-            d = r.ts.date()
-            if last == d:
-                continue
-            back = 1 if (last is not None and (d - last).days >= back_days) else 0
-            out.append((key[0], d.isoformat(), r.ts, r.event_id, 1, back))
-            last = d
-        if last is not None:
-            state.update((last.isoformat(),))
-        yield pd.DataFrame(out, columns=["uid", "d", "ts", "event_id", "uu", "back"])
-
-    return logins.select("uid", "ts", "event_id").groupBy("uid").applyInPandasWithState(
-        fn, "uid string, d string, ts timestamp, event_id long, uu int, back int", "last_day string",
-        "append", GroupStateTimeout.NoTimeout)
+    return ks.run_per_key(logins.select("uid", "ts", "event_id"), "uid", ks.LoginDay(back_days, ttl_s),
+                          "uid string, d string, ts timestamp, event_id long, uu int, back int")
 
 
 # ---- D6: retraction by negation ----------------------------------------------------------------
 
-def retraction_stream(changes: DataFrame, key: str, amount: str, order: Sequence[str],
-                      ttl_s: float | None = None) -> DataFrame:
+def retraction_stream(changes: DataFrame, key: str, amount: str, order: Sequence[str], ttl_s: float = ks.DAY) -> DataFrame:
     """Per key, a repeat first emits the previous amount negated, then the new row.
 
-    ``ttl_s`` (the reference: 10) bounds how long a repeat may come after the version before;
-    a later one would not be netted, so no expiry is the default (D11)."""
-    def fn(k, pdfs, state: GroupState):
-        if state.hasTimedOut:
-            state.remove()
-            return
-        prev, seq = (state.get if state.exists else (None, 0))
-        out = []
-        for r in _rows(pdfs, order).itertuples(index=False):
-            seq += 1
-            val = getattr(r, amount)
-            if prev is not None:
-                out.append((k[0], seq, 1, -prev))
-            out.append((k[0], seq, 0, val))
-            prev = val
-        _keep(state, (prev, seq), ttl_s)
-        yield pd.DataFrame(out, columns=[key, "seq", "is_retraction", "amount"])
-
+    ``ttl_s`` bounds how long a repeat may come after the version before (D11): a later one is not
+    netted.  The reference allows 10 s; the default is a day."""
     kind = dict(changes.dtypes)[amount]  # money stays decimal
-    return changes.select(key, amount, *order).groupBy(key).applyInPandasWithState(
-        fn, f"{key} string, seq long, is_retraction int, amount {kind}", f"prev {kind}, seq long",
-        "append", _timeout(ttl_s))
+    return ks.run_per_key(changes.select(key, amount, *order), key, ks.Retraction(key, amount, kind, order, ttl_s),
+                          f"{key} string, seq long, is_retraction int, amount {kind}")
 
 
 # ---- D9: monotone filter -------------------------------------------------------------------------
 
-def monotone_stream(df: DataFrame, key: str, ts: str, arrival: str, ttl_s: float | None = None) -> DataFrame:
+def monotone_stream(df: DataFrame, key: str, ts: str, arrival: str, ttl_s: float = 3600) -> DataFrame:
     """Pass a row only if its ``ts`` is later than every earlier row of the key.  A key silent
     for ``ttl_s`` (the reference: 3600) starts anew (D11)."""
-    def fn(k, pdfs, state: GroupState):
-        if state.hasTimedOut:
-            state.remove()
-            return
-        mx = pd.Timestamp(state.get[0]) if state.exists else None
-        keep = []
-        for r in _rows(pdfs, [arrival]).to_dict("records"):
-            if mx is None or r[ts] > mx:
-                keep.append(r)
-                mx = r[ts]
-        if mx is not None:
-            _keep(state, (mx.to_pydatetime(),), ttl_s)
-        yield pd.DataFrame(keep, columns=[arrival, key, ts])
-
-    schema = df.select(arrival, key, ts).schema
-    return df.select(arrival, key, ts).groupBy(key).applyInPandasWithState(
-        fn, schema, "max_ts timestamp", "append", _timeout(ttl_s))
+    rows = df.select(arrival, key, ts)
+    return ks.run_per_key(rows, key, ks.Monotone(arrival, key, ts, ttl_s), rows.schema)
 
 
 # ---- A8: running profile -------------------------------------------------------------------------
@@ -354,20 +265,8 @@ class NetAmount(StatefulProcessor):
 
 # ---- D1 carrying whole log records (for the log split job) --------------------------------------
 
-def new_visitor_records_stream(records: DataFrame) -> DataFrame:
+def new_visitor_records_stream(records: DataFrame, ttl_s: float = ks.YEARS) -> DataFrame:
     """D1 over parsed log records (mid, ts_ms, is_new, line): every record passes through
-    with ``is_new`` repaired; state per mid = first visit date (no expiry)."""
-    def fn(key, pdfs, state: GroupState):
-        first = state.get[0] if state.exists else None
-        out = []
-        for r in _rows(pdfs, ["ts_ms", "line"]).itertuples(index=False):
-            d = _dt.datetime.fromtimestamp(r.ts_ms / 1000, _dt.timezone.utc).date()
-            if first is None:
-                first = (d if r.is_new == "1" else d - _dt.timedelta(days=1)).isoformat()
-            fixed = "0" if (r.is_new == "1" and first != d.isoformat()) else r.is_new
-            out.append((r.line, fixed))
-        state.update((first,))
-        yield pd.DataFrame(out, columns=["line", "is_new_fixed"])
-
-    return records.select("mid", "ts_ms", "is_new", "line").groupBy("mid").applyInPandasWithState(
-        fn, "line string, is_new_fixed string", "first_date string", "append", GroupStateTimeout.NoTimeout)
+    with ``is_new`` repaired; state per mid = first visit date."""
+    return ks.run_per_key(records.select("mid", "ts_ms", "is_new", "line"), "mid", ks.FirstVisitRecords(["ts_ms", "line"], ttl_s),
+                          "line string, is_new_fixed string")

@@ -536,20 +536,59 @@ def rows_any(df, cols):
     return [tuple(r[c] for c in cols) for r in df.collect()]
 
 
-def test_state_of_a_silent_key_expires(spark, tmp_path):
-    """With a time to live a key that stays away for a micro-batch starts anew."""
+SILENT = {
+    "d1": (lambda d, ttl: st.new_visitor_stream(d, ttl).selectExpr("event_id as n", "first_date"), "mid"),
+    "d3": (lambda d, ttl: st.daily_first_flag_stream(d, "mid", "event_id", ttl_s=ttl).selectExpr("event_id as n", "string(uv)"), "mid"),
+    "d5": (lambda d, ttl: st.login_stream(d, 8, ttl).selectExpr("event_id as n", "string(back)"), "uid"),
+    "d6": (lambda d, ttl: st.retraction_stream(d, "id", "amount", ["event_id"], ttl).selectExpr("seq as n", "string(is_retraction)"), "id"),
+    "d9": (lambda d, ttl: st.monotone_stream(d, "uid", "ts", "event_id", ttl).selectExpr("event_id as n", "uid"), "uid"),
+}
+
+
+@pytest.mark.parametrize("name", sorted(SILENT))
+def test_state_of_a_silent_key_expires(spark, tmp_path, name):
+    """D11, with ``availableNow``: key a comes first, then b, then a again, a second apart."""
+    make, key = SILENT[name]
     src = tmp_path / "src"
-    for key, second in (("a", 10), ("b", 11), ("a", 5)):
-        spark.createDataFrame([(key, second)], "key string, s long").select(
-            "key", F.timestamp_seconds("s").alias("ts"), F.monotonically_increasing_id().alias("n")).coalesce(1).write.mode("append").parquet(str(src))
+    for n, (who, day) in enumerate((("a", 11), ("b", 11), ("a", 9 if name == "d9" else 25 if name == "d5" else 11))):
+        spark.createDataFrame([(n, who)], "event_id long, k string").select(
+            "event_id", F.col("k").alias(key), F.lit(f"2024-01-{day:02d} 00:00:00").cast("timestamp").alias("ts"),
+            F.lit("1" if n == 0 else "0").alias("is_new"), F.lit("2.50").cast("decimal(10,2)").alias("amount")) \
+            .coalesce(1).write.mode("append").parquet(str(src))
         time.sleep(1.1)
-
-    def passed(ttl_s, name):
-        rows_in = spark.readStream.schema("key string, ts timestamp, n long").option("maxFilesPerTrigger", 1).parquet(str(src))
-        return run_to_memory(st.monotone_stream(rows_in, "key", "ts", "n", ttl_s), name).count()
-    assert passed(None, "mono_kept") == 2
-    spark.conf.set("spark.sql.streaming.noDataMicroBatches.enabled", "false")
-    try:
-        assert passed(0.001, "mono_expired") == 3
-    finally:
-        spark.conf.unset("spark.sql.streaming.noDataMicroBatches.enabled")
+    schema = spark.read.parquet(str(src)).schema
+
+    def out(ttl):
+        rows_in = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(src))
+        return sorted(tuple(r) for r in run_to_memory(make(rows_in, ttl), f"silent_{name}_{int(ttl * 1000)}").collect())
+    kept, gone = out(3600.0), out(0.001)
+    want = {"d1": ([(0, "2024-01-11"), (1, "2024-01-10"), (2, "2024-01-11")], [(0, "2024-01-11"), (1, "2024-01-10"), (2, "2024-01-10")]),
+            "d3": ([(0, "1"), (1, "1"), (2, "0")], [(0, "1"), (1, "1"), (2, "1")]),
+            "d5": ([(0, "0"), (1, "0"), (2, "1")], [(0, "0"), (1, "0"), (2, "0")]),
+            "d6": ([(1, "0"), (1, "0"), (2, "0"), (2, "1")], [(1, "0"), (1, "0"), (1, "0")]),
+            "d9": ([(0, "a"), (1, "b")], [(0, "a"), (1, "b"), (2, "a")])}[name]
+    assert (kept, gone) == want
+
+
+def test_a_hot_key_passes_in_frames():
+    """A key's rows are taken and given back frame by frame, never gathered."""
+    import pandas as pd
+    from strata.streaming.keyed_state import DailyFirst
+
+    class Held:
+        value = None
+        exists = lambda self: self.value is not None
+        get = lambda self: self.value
+        update = lambda self, v: setattr(self, "value", v)
+    p, open_frames = DailyFirst("event_id", "uv", 10), []
+    p.held = Held()
+
+    def frames():
+        for i in range(50):
+            open_frames.append(i)
+            yield pd.DataFrame({"ts": pd.to_datetime(["2024-01-01", "2024-01-02"]) + pd.Timedelta(days=i), "event_id": [2 * i, 2 * i + 1]})
+    firsts = 0
+    for i, out in enumerate(p.handleInputRows(("hot",), frames(), None)):
+        assert len(open_frames) == i + 1 and len(out) == 2
+        firsts += int(out["uv"].sum())
+    assert firsts == 51 and p.held.value[0] == "2024-02-20"
