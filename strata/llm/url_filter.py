@@ -1,28 +1,35 @@
 """URL filter: a sorted array of 64-bit digests, memory-mapped and probed by binary search.
 
-A rule is (host, path prefix, verdict).  Rules are stored by the XXH64 of ``host + path`` in a
-sorted array with the full strings behind it.  A url probes every suffix of its host with every
-prefix of its path that is as long as some rule's path; a hit counts only if the stored string
-is equal, so digest collisions do no harm.
+A rule is (host, path prefix, verdict).  Rules are stored by the XXH64 of host length, host and
+path in a sorted array with the full strings behind it.  A url probes every suffix of its host
+with every prefix of its path that is as long as some rule's path; a hit counts only if the
+stored string is equal, so digest collisions do no harm.
+
+A list of at most MAX_LIST_BYTES is one array that every executor maps.  A longer one is cut by
+ranges of the digest into arrays of about that size; the candidates travel to their array.
 """
 
 from __future__ import annotations
 
+import json
 import struct
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark import SparkFiles
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm.common import cut, free_name
+from strata.llm.common import free_name, written
 from strata.session import ensure_checkpoint_dir
 
-MAX_LIST_BYTES = 64 << 20   # a larger list is joined by digest instead of sent to the executors
+MAX_LIST_BYTES = 64 << 20   # of one array
+ASKED_ROWS = 1 << 18        # candidates that about meet in one task with one array of many
+SEED = 42                   # the seed of Spark's xxhash64
 RULES = "host string, path string, verdict string"
 JUDGED = "rule string, verdict string"
 
@@ -43,33 +50,54 @@ def _after(url: str) -> Column:
 
 # ---- the array ----------------------------------------------------------------------------
 
-def pack_array(rules: list[tuple[str, str, str]]) -> bytes:
-    """Layout: count, sorted digests, offsets, the strings, and for each host length and allow or block."""
-    digest = xxhash.xxh64_intdigest
-    rows = sorted((digest((h + p).encode()), len(h.encode()), (h + p).encode(), v == "allow") for h, p, v in set(rules))
+def entry(host: str, path: str) -> bytes:
+    """The stored string; the length tells where the host ends, so no two rules share one."""
+    return f"{len(host)}:{host}{path}".encode()
+
+
+def entry_column(host: str = "host", path: str = "path") -> Column:
+    return F.concat(F.length(host).cast("string"), F.lit(":"), F.col(host), F.col(path))
+
+
+def digest(text: bytes) -> int:
+    return xxhash.xxh64_intdigest(text, SEED)
+
+
+def pack_array(rules: Iterable[tuple[str, str, str]]) -> bytes:
+    """Layout: count, sorted digests, ends of the strings, verdict numbers, the strings, the verdicts.
+    Of one rule with several verdicts the largest (``block`` before ``allow``) counts."""
+    said: dict[bytes, str] = {}
+    for h, p, v in rules:
+        k = entry(h, p)
+        said[k] = max(said.get(k, v), v)
+    rows = sorted((digest(k), k, v) for k, v in said.items())
+    names = sorted({r[2] for r in rows})
     keys = np.array([r[0] for r in rows], np.uint64)
-    ends = np.cumsum([0, *(len(r[2]) for r in rows)]).astype(np.int64)
-    meta = np.array([(r[1] << 1) | r[3] for r in rows], np.int64)
-    return struct.pack("<q", len(rows)) + keys.tobytes() + ends.tobytes() + meta.tobytes() + b"".join(r[2] for r in rows)
+    ends = np.cumsum([0, *(len(r[1]) for r in rows)]).astype(np.int64)
+    meta = np.searchsorted(np.array(names, object), np.array([r[2] for r in rows], object)).astype(np.int64) if rows else np.zeros(0, np.int64)
+    return struct.pack("<q", len(rows)) + keys.tobytes() + ends.tobytes() + meta.tobytes() + b"".join(r[1] for r in rows) \
+        + json.dumps(names).encode()
 
 
 class DigestArray:
-    """The packed array, mapped from a file."""
-
-    def __init__(self, path: str):
-        n = int(np.memmap(path, np.int64, "r", 0, 1)[0])
-        self.n, self.keys = n, np.memmap(path, np.uint64, "r", 8, n) if n else np.zeros(0, np.uint64)
-        self.ends = np.memmap(path, np.int64, "r", 8 + 8 * n, n + 1)
-        self.meta = np.memmap(path, np.int64, "r", 16 + 16 * n, n) if n else np.zeros(0, np.int64)
+    """The packed array, mapped from a file or held in memory."""
+
+    def __init__(self, source: str | bytes):
+        raw = np.memmap(source, np.uint8, "r") if isinstance(source, str) else np.frombuffer(source, np.uint8)
+        self.n = n = int(raw[:8].view(np.int64)[0])
+        self.keys = raw[8:8 + 8 * n].view(np.uint64)
+        self.ends = raw[8 + 8 * n:16 + 16 * n].view(np.int64)
+        self.meta = raw[16 + 16 * n:16 + 24 * n].view(np.int64)
         at = 16 + 24 * n
-        self.text = np.memmap(path, np.uint8, "r", at, int(self.ends[n])) if n and self.ends[n] else np.zeros(0, np.uint8)
+        self.text = raw[at:at + int(self.ends[n])]
+        self.verdicts = json.loads(raw[at + int(self.ends[n]):].tobytes())
 
     def find(self, texts: list[bytes]) -> np.ndarray:
         """Place of each text in the array, -1 where it is not in it."""
         out = np.full(len(texts), -1, np.int64)
         if not self.n or not texts:
             return out
-        want = np.array([xxhash.xxh64_intdigest(t) for t in texts], np.uint64)
+        want = np.array([digest(t) for t in texts], np.uint64)
         at = np.searchsorted(self.keys, want)
         hit = np.flatnonzero((at < self.n) & (self.keys[np.minimum(at, self.n - 1)] == want))
         for i in hit:
@@ -113,42 +141,39 @@ def judge(pages: DataFrame, rules: DataFrame, default: str = "allow", url_col: s
           max_list_bytes: int = MAX_LIST_BYTES) -> DataFrame:
     """``pages`` with ``host``, ``path``, ``rule`` and ``verdict`` of the longest rule that fits.
 
-    A rule fits its host and all subdomains if the path starts with the rule's.  Of rules of one
-    length the one with the longer host wins.  A null url, or one without ``://``, has empty host
-    and path and gets the ``default`` verdict, as does every url that no rule fits; ``rule`` is
-    then null.  Rules with a null in host or path are ignored.  A list beyond ``max_list_bytes``
-    is not sent anywhere: candidates are joined with it by string.  Columns of ``pages`` with
-    the names of the added ones are replaced."""
+    A rule fits its host and all subdomains if the path starts with the rule's.  Of the rules that
+    fit the longest in bytes wins, then the one with the longer host.  A null url, or one without
+    ``://``, has empty host and path and gets the ``default`` verdict, as does every url that no
+    rule fits; ``rule`` is then null.  Rules with a null in host, path or verdict are ignored; of
+    rules with equal host and path the largest verdict counts.  ``max_list_bytes`` is the size of
+    one array and does not change any row.  Columns of ``pages`` with the names of the added ones
+    are replaced; other columns may have any name."""
     spark = pages.sparkSession
     base = pages.select(*[F.col(c) for c in pages.columns if c.lower() not in ("host", "path", "rule", "verdict")],
                         host_of(url_col).alias("host"), path_of(url_col).alias("path"))
-    rules = rules.select("host", "path", "verdict").where("host is not null and path is not null").distinct()
-    said = rules.agg(F.coalesce(F.sum(F.octet_length("host") + F.octet_length("path") + 32), F.lit(0)).alias("b")).first()["b"]
+    rules = rules.select("host", "path", "verdict").where("host is not null and path is not null and verdict is not null") \
+        .groupBy("host", "path").agg(F.max("verdict").alias("verdict"))
+    size = F.octet_length("host") + F.octet_length("path") + 44     # digest, end, verdict number, host length
+    said = rules.agg(F.coalesce(F.sum(size), F.lit(0)).alias("b")).first()["b"]
     lengths = sorted(r["n"] for r in rules.select(F.length("path").alias("n")).distinct().toLocalIterator())
     if said > max_list_bytes:
-        return _judge_by_join(base, rules, lengths, default)
-    listed = [(r["host"], r["path"], r["verdict"]) for r in rules.collect()]
-    name = publish(spark, pack_array(listed))
+        return _judge_by_ranges(base, rules, lengths, default, -(-said // max(max_list_bytes, 1)))
+    name = publish(spark, pack_array((r["host"], r["path"], r["verdict"]) for r in rules.collect()))
 
     def probe(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
         array = DigestArray(SparkFiles.get(name))
         for hosts, paths in batches:
-            texts, owner, hostlen = [], [], []
-            for i, (h, p) in enumerate(zip(hosts, paths)):
-                for t, q in candidates(h, p, lengths):
-                    texts.append((t + q).encode())
-                    owner.append(i)
-                    hostlen.append(len(t.encode()))
+            asked = [(i, t, q) for i, (h, p) in enumerate(zip(hosts, paths)) for t, q in candidates(h, p, lengths)]
             best: dict[int, tuple[int, int, int]] = {}
-            places = array.find(texts)
+            places = array.find([entry(t, q) for _, t, q in asked])
             for k in np.flatnonzero(places >= 0):
-                j = int(places[k])
-                if int(array.meta[j]) >> 1 == hostlen[k]:
-                    best[owner[k]] = max(best.get(owner[k], (-1, 0, 0)), (len(texts[k]), hostlen[k], k))
+                i, t, q = asked[k]
+                host = len(t.encode())
+                best[i] = max(best.get(i, (-1, 0, 0)), (host + len(q.encode()), host, k))
             rule, verdict = [None] * len(hosts), [default] * len(hosts)
             for i, (_, _, k) in best.items():
-                rule[i] = texts[k].decode()
-                verdict[i] = "allow" if int(array.meta[places[k]]) & 1 else "block"
+                rule[i] = asked[k][1] + asked[k][2]
+                verdict[i] = array.verdicts[array.meta[places[k]]]
             yield pd.DataFrame({"rule": rule, "verdict": verdict})
 
     judged = free_name(base, "_judged")
@@ -156,18 +181,41 @@ def judge(pages: DataFrame, rules: DataFrame, default: str = "allow", url_col: s
     return out.select(*base.columns, F.col(judged)["rule"].alias("rule"), F.col(judged)["verdict"].alias("verdict"))
 
 
-def _judge_by_join(base: DataFrame, rules: DataFrame, lengths: list[int], default: str) -> DataFrame:
-    rows = cut(base.withColumn("_row", F.monotonically_increasing_id()))
+def _judge_by_ranges(base: DataFrame, rules: DataFrame, lengths: list[int], default: str, arrays: int) -> DataFrame:
+    """The list as ``arrays`` digest ranges.  Candidates go to the array of their digest, dealt over
+    several tasks by their row where there are many, so a host that many rows share is split."""
+    row = free_name(base, "_row")
+    rows = written(base.withColumn(row, F.monotonically_increasing_id()), "urls")
     labels = F.split("host", r"\.")
     tails = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
     heads = F.filter(F.transform(F.array(*[F.lit(n) for n in lengths]),
                                  lambda n: F.when(F.length("path") >= n, F.substring(F.col("path"), F.lit(1), n))),
                      lambda h: h.isNotNull())
-    asked = rows.select("_row", F.explode(tails).alias("host"), F.col("path")) \
-        .select("_row", "host", F.explode(heads).alias("path"))
-    best = asked.join(rules, ["host", "path"]).groupBy("_row").agg(F.max_by(
+
+    def ranged(df: DataFrame) -> DataFrame:
+        high = F.shiftrightunsigned(F.xxhash64(entry_column()), 33)      # 31 bits, so the product is a long
+        return df.withColumn("at", F.shiftright(high * F.lit(arrays).cast("bigint"), 31))
+    asked = rows.select(F.col(row).alias("row"), F.explode(tails).alias("host"), F.col("path")) \
+        .select("row", "host", F.explode(heads).alias("path"))
+    asked = ranged(asked)
+    # One row an array: how many tasks its candidates are dealt over.
+    deals = written(asked.groupBy("at").agg(F.ceil(F.count("*") / ASKED_ROWS).alias("deals")), "deals")
+    asked = asked.join(F.broadcast(deals.toDF("at", "ways")), "at").select(
+        "at", F.pmod(F.xxhash64("row"), F.col("ways")).alias("deal"), "row", "host", "path")
+    listed = ranged(rules).join(F.broadcast(deals.toDF("at", "times")), "at").select(
+        "at", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("times") - 1)).alias("deal"), "host", "path", "verdict")
+
+    def probe(asks: pa.Table, own: pa.Table) -> pa.Table:
+        array = DigestArray(pack_array(zip(*(own.column(c).to_pylist() for c in ("host", "path", "verdict")))))
+        hosts, paths = asks.column("host").to_pylist(), asks.column("path").to_pylist()
+        places = array.find([entry(t, q) for t, q in zip(hosts, paths)])
+        said = pa.array([array.verdicts[array.meta[j]] for j in places[places >= 0]], pa.string())
+        return asks.select(["row", "host", "path"]).filter(pa.array(places >= 0)).append_column("verdict", said)
+
+    found = asked.groupBy("at", "deal").cogroup(listed.groupBy("at", "deal")).applyInArrow(
+        probe, "row bigint, host string, path string, verdict string")
+    best = found.groupBy(F.col("row").alias(row)).agg(F.max_by(
         F.struct(F.concat("host", "path").alias("rule"), "verdict"),
-        F.struct(F.octet_length(F.concat("host", "path")), F.octet_length("host"), "verdict")).alias("best"))
-    out = rows.join(best, "_row", "left")
-    return out.select(*[c for c in rows.columns if c != "_row"], F.col("best.rule").alias("rule"),
-                      F.coalesce("best.verdict", F.lit(default)).alias("verdict"))
+        F.struct((F.octet_length("host") + F.octet_length("path")).alias("n"), F.octet_length("host").alias("h"))).alias("best"))
+    best = best.select(row, F.col("best.rule").alias("rule"), F.col("best.verdict").alias("verdict"))
+    return rows.join(best, row, "left").select(*base.columns, "rule", F.coalesce("verdict", F.lit(default)).alias("verdict"))
