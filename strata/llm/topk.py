@@ -14,6 +14,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from strata.llm.common import id_back, id_key, written
 
 LEAF, FAN = 128, 32
 DATA_BLOCK, QUERY_BLOCK = 8192, 4096
@@ -70,8 +71,11 @@ class Best:
             self.worst[q] = -self.rows[q][-1][0]
 
 
-def dual_search(queries: np.ndarray, query_ids: np.ndarray, data: np.ndarray, data_ids: np.ndarray, k: int) -> Best:
-    """Top ``k`` of ``data`` for every row of ``queries`` (integer matrices), its own id left out."""
+def dual_search(queries: np.ndarray, query_rows: np.ndarray, data: np.ndarray, data_ids: np.ndarray, k: int,
+                data_rows: np.ndarray | None = None) -> Best:
+    """Top ``k`` of ``data`` for every row of ``queries`` (integer matrices), ties to smaller ids; the
+    row of the same number (``data_rows``, else the ids) is left out."""
+    data_rows = data_ids if data_rows is None else data_rows
     biggest = max((int(np.abs(m).max()) if m.size else 0) for m in (queries, data))
     kind = np.float64 if biggest * biggest * max(1, data.shape[1]) < 1 << 52 else object
     q, x = queries.astype(np.float64), data.astype(np.float64)
@@ -89,7 +93,7 @@ def dual_search(queries: np.ndarray, query_ids: np.ndarray, data: np.ndarray, da
     def base(u: Node, v: Node) -> None:
         scores = exact_q[u.points] @ exact_x[v.points].T
         ids = data_ids[v.points]
-        good = (scores >= best.worst[u.points][:, None]) & (query_ids[u.points][:, None] != ids[None, :])
+        good = (scores >= best.worst[u.points][:, None]) & (query_rows[u.points][:, None] != data_rows[v.points][None, :])
         for i in np.flatnonzero(good.any(axis=1)):
             take = np.flatnonzero(good[i])
             if len(take) > 4 * k:
@@ -128,33 +132,38 @@ def quantized(embedding: str | Column) -> Column:
 def top_k(vectors: DataFrame, k: int = 5, every: int = 50, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
     """``(query_id, rank, vec_id, score)``: the ``k`` highest inner products of quantized vectors.
 
-    Queries are the rows whose id is divisible by ``every``, candidates all rows with another id;
-    ties go to the smaller id, and a query with fewer candidates gets them all.  Vectors that are
-    null, empty or hold null or non-finite components, and rows without id, take no part; vectors
-    of different length do not meet.  Rows that repeat an id are candidates each.  Products
-    beyond a long are stopped at its limits.  An empty table gives an empty result."""
-    rows = vectors.select(F.col(id_col).cast("bigint").alias("id"), quantized(vec_col).alias("v"))
-    rows = rows.where("id is not null and v is not null").withColumn("dim", F.size("v"))
-    is_query = F.col("id") % every == 0
+    Queries are the rows whose id is divisible by ``every``, candidates all rows but the query's
+    own; ties go to the smaller id (a null id is the largest, given back as null), and a query with
+    fewer candidates gets them all.  Vectors that are null, empty or hold null or non-finite
+    components take no part; vectors of different length do not meet.  Rows that repeat an id are
+    candidates and, if divisible, queries each: every such query has its own ranks, and the other
+    rows of its id are among its candidates.  Products beyond a long are stopped at its limits.
+    An empty table gives an empty result."""
+    rows = vectors.select(id_key(id_col).alias("id"), F.coalesce(F.col(id_col).cast("bigint") % every == 0, F.lit(False)).alias("asks"),
+                          quantized(vec_col).alias("v"))
+    # Rows get their numbers once, in a written table: an id may repeat.
+    rows = written(rows.where("v is not null").withColumn("dim", F.size("v")).withColumn("row", F.monotonically_increasing_id()), "vectors")
+    is_query = F.col("asks")
     counts = rows.agg(F.count("*").alias("n"), F.count(F.when(is_query, 1)).alias("q")).first()
     data_blocks, query_blocks = -(-counts["n"] // DATA_BLOCK) or 1, -(-counts["q"] // QUERY_BLOCK) or 1
-    dealt = F.pmod(F.xxhash64("id"), F.lit(2 ** 31)).cast("bigint")
+    dealt = F.pmod(F.xxhash64("row"), F.lit(2 ** 31)).cast("bigint")
     data = rows.withColumn("d", dealt % data_blocks).withColumn("q", F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1))))
     queries = rows.where(is_query).withColumn("q", (dealt % query_blocks).cast("int")) \
         .withColumn("d", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(data_blocks - 1).cast("bigint"))))
 
     def searched(q: pd.DataFrame, x: pd.DataFrame) -> pd.DataFrame:
         if not len(q) or not len(x):
-            return pd.DataFrame({"query_id": [], "vec_id": [], "score": []}).astype("int64")
+            return pd.DataFrame({"row": [], "query_id": [], "vec_id": [], "score": []}).astype("int64")
         qid, xid = q["id"].to_numpy(np.int64), x["id"].to_numpy(np.int64)
-        best = dual_search(np.stack(q["v"].to_numpy()), qid, np.stack(x["v"].to_numpy()), xid, k)
+        qrow, xrow = q["row"].to_numpy(np.int64), x["row"].to_numpy(np.int64)
+        best = dual_search(np.stack(q["v"].to_numpy()), qrow, np.stack(x["v"].to_numpy()), xid, k, xrow)
         low, high = -2 ** 63, 2 ** 63 - 1
-        found = [(int(qid[i]), int(v), min(max(int(-s), low), high)) for i, r in enumerate(best.rows) for s, v in r]
-        return pd.DataFrame(found, columns=["query_id", "vec_id", "score"]).astype("int64")
+        found = [(int(qrow[i]), int(qid[i]), int(v), min(max(int(-s), low), high)) for i, r in enumerate(best.rows) for s, v in r]
+        return pd.DataFrame(found, columns=["row", "query_id", "vec_id", "score"]).astype("int64")
 
     keys = ["dim", "q", "d"]
     found = queries.groupBy(*keys).cogroup(data.groupBy(*keys)).applyInPandas(
-        searched, "query_id bigint, vec_id bigint, score bigint")
+        searched, "row bigint, query_id bigint, vec_id bigint, score bigint")
     ranked = found.withColumn("rank", F.row_number().over(
-        Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")))
-    return ranked.where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+        Window.partitionBy("row").orderBy(F.desc("score"), "vec_id")))
+    return ranked.where(F.col("rank") <= k).select("query_id", "rank", id_back("vec_id").alias("vec_id"), "score")
