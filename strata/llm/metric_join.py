@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import cut, id_back, id_key, join_unique
+from strata.llm.common import id_back, id_key, join_unique, written
 from strata.llm.components import components
 from strata.llm.simhash import local_roots
 
@@ -79,7 +79,7 @@ def range_links(classes: DataFrame, threshold: float) -> DataFrame:
             yield pdf
     schema = "label {l}, v {v}, rep bigint, copies bigint, part struct<label:{l},dim:int>, home int, gap double".format(
         l=dict(rows.dtypes)["label"], v=dict(rows.dtypes)["v"])
-    housed = cut(rows.select("label", "v", "rep", "copies", "part").mapInPandas(homes, schema))
+    housed = written(rows.select("label", "v", "rep", "copies", "part").mapInPandas(homes, schema), "housed")
     reach = {}
     if wanted:
         far = housed.join(F.broadcast(sizes.select("part")), "part").groupBy("part", "home").agg(F.max("gap").alias("far"))
@@ -157,15 +157,15 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.93, id_col: str = "vec
     rows = vectors.select(id_key(id_col).alias("id"), F.col(label_col).alias("label"), v.alias("v"),
                           F.coalesce(F.col(label_col).isNotNull() & (F.size(v) > 0) & fine, F.lit(False)).alias("ok"))
     valid = rows.where("ok")
-    classes = cut(_classes(valid))
-    found = cut(range_links(classes, threshold))
+    classes = written(_classes(valid), "classes")
+    found = written(range_links(classes, threshold), "links")
     comps = components(found, "rep", "root")
     counted = found.groupBy("rep").agg(F.sum("n").alias("n"))
-    grouped = cut(classes.join(counted, "rep", "left").join(comps, F.col("rep") == F.col("node"), "left").select(
-        "label", "v", "id", "copies", (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n"), F.coalesce("comp", "rep").alias("group")))
+    grouped = written(classes.join(counted, "rep", "left").join(comps, F.col("rep") == F.col("node"), "left").select(
+        "label", "v", "id", "copies", (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n"), F.coalesce("comp", "rep").alias("group")), "grouped")
     # Only here classes get ids: the component is named by the smallest one in it.
     first = grouped.groupBy("group").agg(F.min("id").alias("comp"), F.count("*").alias("members"))
-    named = cut(join_unique(grouped.drop("id"), first, ["group"], "members", grouped.count()).drop("group"))
+    named = written(join_unique(grouped.drop("id"), first, ["group"], "members", grouped.count()).drop("group"), "named")
     total = classes.agg(F.sum("copies")).first()[0] or 0
     linked = join_unique(valid.drop("ok"), named, ["label", "v"], "copies", total).select("id", "n", "comp")
     alone = rows.where("not ok").select("id", F.lit(0).cast("bigint").alias("n"), F.col("id").alias("comp"))

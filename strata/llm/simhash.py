@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import cut, free_name, id_back, id_key, join_unique
+from strata.llm.common import free_name, id_back, id_key, join_unique, written
 from strata.llm.components import components
 
 SEGMENT_BYTES = 1 << 20       # long texts are cut into segments of words, joined by their last words
@@ -209,12 +209,12 @@ def links(classes: DataFrame, count: int, max_bits: int = 4, fp: str = "fp") ->
 def _grouped(docs: DataFrame, words: int, max_bits: int, seed: int, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
     """``(id, digest, fp)`` of every row, and of every distinct fingerprint ``(fp, copies, first)``:
     the number of its rows, and the smallest (id, digest) of its component."""
-    fps = cut(fingerprints(docs, words, seed, id_col, text_col))
-    classes = cut(fps.groupBy("fp").agg(F.min(F.struct("id", "digest")).alias("first"), F.count("*").alias("copies")))
+    fps = written(fingerprints(docs, words, seed, id_col, text_col), "fingerprints")
+    classes = written(fps.groupBy("fp").agg(F.min(F.struct("id", "digest")).alias("first"), F.count("*").alias("copies")), "classes")
     n = classes.count()
     comps = components(links(classes, n, max_bits))
-    named = cut(classes.join(comps, F.col("fp") == F.col("node"), "left").select(
-        "fp", "copies", F.col("first").alias("own"), F.coalesce("comp", "fp").alias("comp")))
+    named = written(classes.join(comps, F.col("fp") == F.col("node"), "left").select(
+        "fp", "copies", F.col("first").alias("own"), F.coalesce("comp", "fp").alias("comp")), "named")
     smallest = named.groupBy("comp").agg(F.min("own").alias("first"), F.count("*").alias("n"))
     return fps, join_unique(named, smallest, ["comp"], "n", n).select("fp", "copies", "first")
 
@@ -228,7 +228,7 @@ def near_duplicates(docs: DataFrame, words: int = 4, max_bits: int = 4, seed: in
     (null or empty).  A null id is the largest id, given back as null; repeated rows are in one
     group; an empty table gives an empty result; other columns are not read."""
     fps, classes = _grouped(docs, words, max_bits, seed, id_col, text_col)
-    return join_unique(fps, cut(classes), ["fp"], "copies", fps.count()).select(
+    return join_unique(fps, written(classes, "groups"), ["fp"], "copies", fps.count()).select(
         id_back("id").alias("doc_id"),
         F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
         id_back("first.id").alias("component_id"))

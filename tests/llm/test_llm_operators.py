@@ -14,6 +14,7 @@ import xxhash
 from pyspark.sql import Row
 from pyspark.sql import functions as F
 
+from strata.llm import components as components_module
 from strata.llm import chat, lang_id, metric_join, mixing, packing, queries, secret_crf, simhash, topk, url_filter, warc
 from strata.llm.common import join_unique, table
 from strata.llm.components import components
@@ -124,13 +125,37 @@ def test_url_rules_both_ways(spark):
     assert {r["verdict"] for r in none} == {"allow"} and url_filter.judge(pages.limit(0), rules).count() == 0
 
 
+def test_url_rules_that_spell_alike_and_odd_verdicts(spark):
+    """One text cut into host and path at two places are two rules; verdicts may be any text."""
+    urls = ["http://ab/x", "http://a/b/x", "http://a/b", "http://c.ab/", "http://d/", "http://e/", "http://A/b/é"]
+    pages = spark.createDataFrame([(i, u, 7) for i, u in enumerate(urls * 40)], "page_id int, url string, _row int")
+    rules = [("a", "b/", "allow"), ("ab", "/", "block"), ("a", "/b/", "review"), ("d", "/", "allow"), ("d", "/", "block"),
+             ("e", "/", None), ("e", "", "allow")]
+    frame = spark.createDataFrame(rules, url_filter.RULES)
+    want = ["block", "review", "none", "block", "block", "allow", "review"] * 40
+    said = ["ab/", "a/b/", None, "ab/", "d/", "e", "a/b/"] * 40
+    for limit in (1 << 20, 100, 1):
+        rows = sorted(url_filter.judge(pages, frame, default="none", max_list_bytes=limit).collect())
+        assert [r["verdict"] for r in rows] == want and [r["rule"] for r in rows] == said and {r["_row"] for r in rows} == {7}
+
+
+def test_url_candidates_dealt_over_tasks(spark, monkeypatch):
+    monkeypatch.setattr(url_filter, "ASKED_ROWS", 16)
+    urls = [f"http://h{i % 7}.net/p{i % 3}/" for i in range(300)]
+    rules = [("net", "/p1", "block"), ("h2.net", "/p2/", "allow"), *((f"n{i}.org", "/", "block") for i in range(50))]
+    pages = spark.createDataFrame([(i, u) for i, u in enumerate(urls)], "page_id int, url string")
+    got = url_filter.judge(pages, spark.createDataFrame(rules, url_filter.RULES), max_list_bytes=500)
+    assert sorted(tuple(r) for r in got.select("page_id", "host", "path", "rule", "verdict").collect()) \
+        == [(i, *judged_by_hand(u, rules)) for i, u in enumerate(urls)]
+
+
 def test_digest_collisions_are_confirmed(tmp_path, monkeypatch):
     monkeypatch.setattr(url_filter.xxhash, "xxh64_intdigest", lambda b, *a: len(b))
     path = tmp_path / "a.bin"
     path.write_bytes(url_filter.pack_array([("aa", "/", "block"), ("bb", "/", "allow")]))
     array = url_filter.DigestArray(str(path))
-    assert [array.text[array.ends[j]:array.ends[j + 1]].tobytes() if j >= 0 else None for j in array.find([b"bb/", b"aa/", b"cc/"])] \
-        == [b"bb/", b"aa/", None]
+    assert [array.text[array.ends[j]:array.ends[j + 1]].tobytes() if j >= 0 else None for j in array.find([b"2:bb/", b"2:aa/", b"2:cc/"])] \
+        == [b"2:bb/", b"2:aa/", None]
 
 
 # ---- 3 top-k, 8 metric join ---------------------------------------------------------------
@@ -153,6 +178,24 @@ def test_dual_search_is_exact():
         (-int(huge[1] @ x), int(v)) for x, v in zip(huge[:50], ids[:50]) if v != ids[1])[:2]
 
 
+def test_top_k_of_repeated_and_null_ids(spark, monkeypatch):
+    monkeypatch.setattr(topk, "DATA_BLOCK", 40)
+    monkeypatch.setattr(topk, "QUERY_BLOCK", 3)
+    rng = np.random.default_rng(9)
+    ids = [0] * 5 + [50, 50, 100] + [None] * 6 + [int(i) for i in rng.integers(1, 40, 100)]
+    vectors = np.round(rng.normal(size=(len(ids), 4)), 1)
+    whole = np.floor(vectors * 256).astype(np.int64)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in zip(ids, vectors)], "vec_id bigint, embedding array<double>")
+    key = [2 ** 63 - 1 if i is None else i for i in ids]
+    want = []
+    for q, own in enumerate(ids):
+        if own is not None and own % 50 == 0:
+            best = sorted((-int(whole[q] @ whole[x]), key[x]) for x in range(len(ids)) if x != q)[:5]
+            want += [(own, r, v, -s) for r, (s, v) in enumerate(best, 1)]
+    got = [(r[0], r[1], 2 ** 63 - 1 if r[2] is None else r[2], r[3]) for r in topk.top_k(df.repartition(4), 5, 50).collect()]
+    assert sorted(got) == sorted(want)
+
+
 def odd_vectors(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(0, [1.0, 0.0], 1), (50, [0.99, 0.01], 1), (None, [1.0, 0.0], 1), (2, None, 1), (3, [], 1), (4, [0.0, 0.0], 1),
@@ -452,11 +495,14 @@ def test_near_duplicates_keep_rows_of_one_id(spark):
 
 # ---- components and hot keys --------------------------------------------------------------
 
-def test_components_of_stars_paths_and_loops(spark):
+@pytest.mark.parametrize("last, held, parts", [(1 << 20, 1 << 20, 211), (0, 100, 7), (150, 1 << 20, 3)])
+def test_components_of_stars_paths_and_loops(spark, monkeypatch, last, held, parts):
+    monkeypatch.setattr(components_module, "LAST_EDGES", last)
+    monkeypatch.setattr(components_module, "FOREST_EDGES", held)
     star = [(0, i) for i in range(1, 3000)]
     path = [(10_000 + i, 10_001 + i) for i in range(200)]
     more = [(20_000, 20_001), (20_001, 20_000), (30_000, 30_000), (None, 5)]
-    edges = spark.createDataFrame(star + path + more, "a bigint, b bigint")
+    edges = spark.createDataFrame(star + path + more, "a bigint, b bigint").repartition(parts)
     got = {r["node"]: r["comp"] for r in components(edges).collect()}
     want = {**{i: 0 for i in range(3000)}, **{10_000 + i: 10_000 for i in range(201)}, 20_000: 20_000, 20_001: 20_000}
     assert got == want
