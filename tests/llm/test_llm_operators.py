@@ -285,6 +285,45 @@ def test_viterbi_against_all_paths():
     assert np.allclose(field.marginals(feats)[0], want)
 
 
+def test_field_tags_tokens_of_any_shape():
+    """Words, numbers, short tokens and pieces between other signs are in the chain too."""
+    weight = lambda token: zlib.crc32(f"head {token[:4]}".encode()) & ((1 << secret_crf.BITS) - 1)
+    for first, *rest in (["hunterhunter"], ["1234567890123456"], ["Zx9k2mQ"], ["p", "@", "ssw0rd", "!", "9"], ["пароль"]):
+        field = secret_crf.Field(np.zeros((1 << secret_crf.BITS, 3)), np.zeros((3, 3)))
+        field.step[secret_crf.OUTSIDE, secret_crf.INSIDE] = -1e3
+        for w in ("so", "it", "is", "we", "said"):
+            field.emit[weight(w), secret_crf.OUTSIDE] = 4
+        field.emit[weight(first), secret_crf.BEGIN] = 4
+        for w in rest:
+            field.emit[weight(w), secret_crf.INSIDE] = 4
+        whole = "".join([first, *rest])
+        assert secret_crf.scan(f"so it is {whole} we said", field) == [("crf", 9, 9 + len(whole))]
+
+
+def test_decoding_in_lanes_and_parts(monkeypatch):
+    rng = np.random.default_rng(2)
+    step = rng.normal(size=(3, 3))
+    for n in (0, 1, 5, 128, 131, 1000):
+        e = rng.normal(size=(n, 3))
+        best, back = np.array([0.0, -np.inf, -np.inf]), []
+        for row in e:
+            paths = best[:, None] + step
+            back.append(paths.argmax(axis=0))
+            best = paths.max(axis=0) + row
+        want = [int((best + step[:, 0]).argmax())]
+        for b in reversed(back):
+            want.append(int(b[want[-1]]))
+        assert secret_crf.viterbi(np.array_split(e, 3), step).tolist() == want[-2::-1]
+    field = secret_crf.Field(rng.normal(size=(1 << secret_crf.BITS, 3)), step)
+    words = ["token", "=", "x9y8z7w6v5", "of", "é", "1234", "the", "Ab/c.d", "\n", "\ud7ff"]
+    texts = [" ".join(rng.choice(words, n)) for n in (0, 1, 2, 3, 700, 5, 300)] + [None]
+    whole = [secret_crf.scan(t, field) for t in texts]
+    assert sum(map(len, whole)) > 100 and list(secret_crf.Scanner(field).scan(texts)) == whole
+    for name, value in {"LANE": 7, "LANES": 3, "PART_CHARS": 10, "PART_TOKENS": 4, "GROUP_TOKENS": 50, "KNOWN_TOKENS": 9}.items():
+        monkeypatch.setattr(secret_crf, name, value)
+    assert list(secret_crf.Scanner(field).scan(texts)) == whole
+
+
 # ---- 5 packing ----------------------------------------------------------------------------
 
 def test_packing_round_trip(spark):
