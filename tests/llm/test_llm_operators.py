@@ -462,6 +462,35 @@ def test_chat_tree_round_trip(spark, monkeypatch):
     assert chat.read_back(chat.bundles(df.limit(0))).count() == 0
 
 
+def test_chat_prefixes_are_emitted_once_though_bundles_close(spark, monkeypatch):
+    """A task emits every node of the prefix tree once, whatever the size of prefixes and bundles."""
+    first = ("system", "long \\### " * 10_000)
+    talks = {i: [first, ("user", f"q{i % 5}"), ("assistant", f"a{i % 7}"), ("user", "é" * 300), ("assistant", f"b{i % 11}")][:2 + i % 4]
+             for i in range(60)}
+    talks |= {100 + i: [("user", "other"), ("assistant", "same")] for i in range(9)} | {200: [first], 201: [first]}
+    rows = [(c, t, *x) for c, turns in talks.items() for t, x in enumerate(turns)]
+    df = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")
+    nodes = {tuple(turns[:n]) for turns in talks.values() for n in range(1, len(turns) + 1)}
+    size = sum(len(chat.format_turn(*n[-1])[0]) for n in nodes)
+    partitions = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "1")
+    try:
+        for chars, chats in ((1 << 16, 1024), (400, 1024), (1 << 16, 4), (1, 1)):
+            monkeypatch.setattr(chat, "BUNDLE_CHARS", chars)
+            monkeypatch.setattr(chat, "BUNDLE_CHATS", chats)
+            made = chat.bundles(df).collect()
+            assert sum(len(b["text"]) for b in made) == size and len(made) > 1
+            assert all(s["position"] == sum(i["end"] - i["start"] for i in s["attends"]) for b in made for s in b["segments"])
+            got = {r["conv_id"]: tuple(r)[1:] for r in chat.read_back(chat.bundles(df)).collect()}
+            assert len(got) == len(talks)
+            for c, turns in talks.items():
+                loss = "".join(t for r, t in turns if r == "assistant")
+                assert got[c] == (len(turns), hashlib.sha256("".join(f"{r}\n{t}\n" for r, t in turns).encode()).hexdigest(), len(loss),
+                                  hashlib.sha256(loss.encode()).hexdigest(), sum(len(chat.format_turn(*t)[0]) for t in turns))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+
+
 # ---- 10 SimHash ---------------------------------------------------------------------------
 
 def simhash_by_hand(text):
