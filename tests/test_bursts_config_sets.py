@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from strata.operators import cdc
 from strata.operators.bitmaps import distinct_bitmaps, distinct_counts, united
 from strata.operators.bloom import BloomState
+from strata.operators import moderation
 from strata.operators.bursts import with_bursts
 from strata.operators.moderation import moderate
 from strata.operators.scan import asof_last, running_profile
@@ -148,3 +149,25 @@ def test_word_tables_of_any_length(spark, n):
     if n == 8:
         assert sorted(map(tuple, moderate(df, "text", words).collect())) == sorted(map(tuple, got.values()))
     assert moderate(df, "text", table.limit(0)).where("violation = 1").count() == 0
+
+
+def test_shared_word_tables_are_not_shuffled(spark, monkeypatch):
+    """Words that go to every task meet texts of any bytes and places as the joined ones do, in a plan without a shuffle."""
+    rng = random.Random(3)
+    word = lambda: "".join(rng.choice("abé€😀\0,") for _ in range(rng.randrange(1, 14)))
+    texts = [" ".join(word() for _ in range(rng.randrange(60))) for _ in range(60)] + ["", None, "a", "é", "abababab", "ab" * 400]
+    df = spark.createDataFrame([(i, x) for i, x in enumerate(texts)], "id int, text string").coalesce(1)
+    for shortest, n in ((1, 5), (2, 40), (6, 400), (9, 3000)):
+        words = sorted({w for w in (word() for _ in range(n)) if len(w.encode()) >= shortest} | {"abababab" * 2})
+        table = spark.createDataFrame([(w,) for w in [*words, words[0], "", None]], "word string")
+        shared = moderate(df, "text", table)
+        assert "Exchange" not in shared._jdf.queryExecution().executedPlan().toString()
+        with monkeypatch.context() as m:
+            m.setattr(moderation, "PLACES", 7)
+            in_bits = sorted(map(tuple, moderate(df, "text", table).collect()))
+        with monkeypatch.context() as m:
+            m.setattr(moderation, "SHARED_BYTES", 0)
+            joined = sorted(map(tuple, moderate(df, "text", table).collect()))
+        assert sorted(map(tuple, shared.collect())) == in_bits == joined
+        want = {i: [w for w in words if w in (x or "")] for i, x in enumerate(texts)}
+        assert all(r.violation == int(bool(want[r.id])) and (r.grade == "P0" or r.words == ", ".join(want[r.id])) for r in shared.collect())
