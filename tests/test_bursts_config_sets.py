@@ -6,10 +6,9 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from strata.operators import cdc
+from strata.operators import bursts, cdc, moderation
 from strata.operators.bitmaps import distinct_bitmaps, distinct_counts, united
 from strata.operators.bloom import BloomState
-from strata.operators import moderation
 from strata.operators.bursts import with_bursts
 from strata.operators.moderation import moderate
 from strata.operators.scan import asof_last, running_profile
@@ -171,3 +170,26 @@ def test_shared_word_tables_are_not_shuffled(spark, monkeypatch):
         assert sorted(map(tuple, shared.collect())) == in_bits == joined
         want = {i: [w for w in words if w in (x or "")] for i, x in enumerate(texts)}
         assert all(r.violation == int(bool(want[r.id])) and (r.grade == "P0" or r.words == ", ".join(want[r.id])) for r in shared.collect())
+
+
+def test_bursts_of_short_keys_need_no_joins(spark, monkeypatch):
+    """Keys of few rows take one shuffle; long ones go by pointer doubling; both give the same rows, mixed too."""
+    rng = random.Random(8)
+    rows = [(rng.choice([None, 1, 2, 3, 4, 5, 6, 7, 8]), rng.choice("xy") if rng.random() > 0.05 else None,
+             T0 + dt.timedelta(seconds=rng.randrange(40)) if rng.random() > 0.05 else None) for _ in range(160)]
+    rows += [(100, "x", T0 + dt.timedelta(seconds=3 * i)) for i in range(20)]
+    df = spark.createDataFrame(rows, "k int, j string, ts timestamp")
+    got = {}
+    for short in (12, 1000):
+        monkeypatch.setattr(bursts, "SHORT", short)
+        made = with_bursts(df, ["k", "j"], "ts", 5)
+        assert short < 1000 or "Join" not in made._jdf.queryExecution().optimizedPlan().toString()
+        got[short] = sorted(map(str, made.collect()))
+    assert len(got[12]) == len(rows) and got[12] == got[1000]
+    want = {}
+    for k, j, t in rows:
+        if k is not None and j is not None and t is not None:
+            want.setdefault((k, j), []).append(t)
+    for r in made.collect():
+        held = None not in (r.k, r.j, r.ts)
+        assert r.burst_start == (greedy(want[r.k, r.j], 5)[r.ts] if held else None)
