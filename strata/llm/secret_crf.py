@@ -47,6 +47,7 @@ LANE, LANES = 128, 1024       # steps of a lane, lanes that advance together
 PART_CHARS, PART_TOKENS = 1 << 20, 1 << 16    # longer texts are tokenized in parts of so many tokens
 GROUP_TOKENS = 1 << 20        # texts are decoded together up to about so many tokens
 KNOWN_TOKENS, KNOWN_CHARS = 1 << 18, 1 << 24  # tokens whose scores a task remembers
+PART_TEXTS = 1024             # texts of a batch that a task holds as strings at once
 
 
 def base_spans(text: str) -> list[tuple[str, int, int]]:
@@ -510,12 +511,26 @@ def scanner_of(docs: DataFrame, field: Field | None) -> Callable[[], Scanner]:
     return scanner
 
 
+def text_parts(batches: Iterable[pa.Array]) -> Iterator[list[str | None]]:
+    for texts in batches:
+        for at in range(0, len(texts), PART_TEXTS):
+            yield texts.slice(at, PART_TEXTS).to_pylist()
+
+
+def cleaned_parts(scanner: Callable[[], Scanner], batches: Iterable[pa.Array]) -> Iterator[pa.Array]:
+    """The texts of ``batches`` with a mark for every secret, in smaller batches."""
+    for rows in text_parts(batches):
+        yield pa.array([None if t is None else redact(t, [(a, b) for _, a, b in spans])
+                        for t, spans in zip(rows, scanner().scan(rows))], pa.string())
+
+
 def spans_column(field: Field | None, docs: DataFrame, text: Column) -> Column:
     scanner = scanner_of(docs, field)
 
-    def scanned(texts: pa.Array) -> pa.Array:
-        rows = [[{"kind": k, "start": a, "end": b} for k, a, b in spans] for spans in scanner().scan(texts.to_pylist())]
-        return pa.array(rows, pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())])))
+    def scanned(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in text_parts(batches):
+            rows = [[{"kind": k, "start": a, "end": b} for k, a, b in spans] for spans in scanner().scan(texts)]
+            yield pa.array(rows, pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())])))
     return F.arrow_udf(scanned, SPANS)(text)
 
 
@@ -542,10 +557,8 @@ def redacted(docs: DataFrame) -> DataFrame:
     """The documents with every secret of their texts replaced by a mark (``n_chars``, if there, set anew)."""
     scanner, name = scanner_of(docs, train(docs)), free_name(docs, "_clean")
 
-    def cleaned(texts: pa.Array) -> pa.Array:
-        rows = texts.to_pylist()
-        return pa.array([None if t is None else redact(t, [(a, b) for _, a, b in spans])
-                         for t, spans in zip(rows, scanner().scan(rows))], pa.string())
+    def cleaned(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        return cleaned_parts(scanner, batches)
     out = docs.withColumn(name, F.arrow_udf(cleaned, "string")(F.col("text").cast("string")))
     kinds = dict(docs.dtypes)
     new = {"text": F.col(name).alias("text")}

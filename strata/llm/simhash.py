@@ -212,7 +212,8 @@ def _grouped(docs: DataFrame, words: int, max_bits: int, seed: int, id_col: str,
     fps = written(fingerprints(docs, words, seed, id_col, text_col), "fingerprints")
     classes = written(fps.groupBy("fp").agg(F.min(F.struct("id", "digest")).alias("first"), F.count("*").alias("copies")), "classes")
     n = classes.count()
-    comps = components(links(classes, n, max_bits))
+    # Written first: else each task of the component search has two Python workers, and executors keep all of them.
+    comps = components(written(links(classes, n, max_bits), "links"))
     named = written(classes.join(comps, F.col("fp") == F.col("node"), "left").select(
         "fp", "copies", F.col("first").alias("own"), F.coalesce("comp", "fp").alias("comp")), "named")
     smallest = named.groupBy("comp").agg(F.min("own").alias("first"), F.count("*").alias("n"))
