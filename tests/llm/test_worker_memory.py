@@ -1,11 +1,12 @@
 """What a task keeps in Python workers: one worker at a time, and a batch in parts."""
 
 import re
+import tracemalloc
 
 import pyarrow as pa
 
 from strata.llm import components as components_module
-from strata.llm import secret_crf, simhash
+from strata.llm import packing, secret_crf, simhash
 from strata.llm.common import table, written
 
 SF = "/root/testdata/sf0.001"
@@ -72,3 +73,18 @@ def test_secret_columns_keep_the_order_of_rows(spark, monkeypatch):
     found = {r["doc_id"]: r["secrets"] for r in secret_crf.secrets(docs).collect()}
     for i, t in enumerate(texts):
         assert [t[s["start"]:s["end"]] for s in found[i] if s["kind"] == "assign"] == ([] if t is None else [f"password=abc123xyz{i}"])
+
+
+def test_packing_holds_a_part_of_a_batch_as_strings(spark, monkeypatch):
+    n, text = 4000, "word " * 1000
+    docs = spark.createDataFrame([(1, "a")], "doc_id bigint, text string")
+    monkeypatch.setattr(type(docs), "mapInArrow", lambda self, f, schema: f)
+    cut_up = packing.pieces(docs)
+    packing.tokenizer(packing.TOKENIZER).ids(text)
+    batch = pa.RecordBatch.from_arrays([pa.array(range(n), pa.int64()), pa.array([text] * n)], ["doc_id", "text"])
+    tracemalloc.start()
+    seen = [i for out in cut_up([batch]) for i in out.column("doc_id").to_pylist()]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert sorted(set(seen)) == list(range(n))
+    assert peak < batch.nbytes / 2
